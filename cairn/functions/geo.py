@@ -86,6 +86,8 @@ class Albers:
         q = (k["c"] - (rho * k["n"] / self.a) ** 2) / k["n"]
         b = math.asin(max(-1.0, min(1.0, q / k["qp"])))
         phi = b + s2 * math.sin(2 * b) + s4 * math.sin(4 * b) + s6 * math.sin(6 * b)
+        slope = 2 * (1 - self.e**2) * math.cos(phi) / (1 - (self.e * math.sin(phi)) ** 2) ** 2
+        phi += (q - self._q(phi)) / slope if slope else 0.0
         return self.lon_0 + math.degrees(theta / k["n"]), math.degrees(phi)
 
     def forward(self, lon: Column, lat: Column) -> tuple[Column, Column]:
@@ -100,8 +102,11 @@ class Albers:
         return rho * F.sin(theta), F.lit(k["rho0"]) - rho * F.cos(theta)
 
     def inverse(self, x: Column, y: Column) -> tuple[Column, Column]:
-        """Projected metres to geographic (lon, lat) degrees."""
-        k, (s2, s4, s6) = self.constants, self.series
+        """Projected metres to geographic (lon, lat) degrees.
+
+        The series is good to a millimetre; one Newton step takes it to rounding.
+        """
+        k, e, (s2, s4, s6) = self.constants, self.e, self.series
         dy = F.lit(k["rho0"]) - y
         rho = F.sqrt(x * x + dy * dy)
         theta = F.atan2(x, dy)
@@ -109,6 +114,11 @@ class Albers:
         q = (k["c"] - t * t) / k["n"]
         b = F.asin(F.least(F.greatest(q / k["qp"], F.lit(-1.0)), F.lit(1.0)))
         phi = b + s2 * F.sin(2 * b) + s4 * F.sin(4 * b) + s6 * F.sin(6 * b)
+        s = F.sin(phi)
+        es = s * e
+        near = (1 - e * e) * (s / (1 - es * es) - F.ln((1 - es) / (1 + es)) / (2 * e))
+        slope = F.cos(phi) * (2 * (1 - e * e)) / ((1 - es * es) * (1 - es * es))
+        phi = phi + F.coalesce(F.try_divide(q - near, slope), F.lit(0.0))
         return F.degrees(theta / k["n"]) + self.lon_0, F.degrees(phi)
 
 

@@ -1,21 +1,29 @@
 """Constant tables as literal expressions: no join, no exchange, codegen-friendly."""
 
 from collections.abc import Mapping, Sequence
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def sql_literal(value) -> str:
+    """A constant as SQL text."""
+    if isinstance(value, str):
+        quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{quoted}'"
+    return f"{value!r}D" if isinstance(value, float) else repr(value)
+
+
 def lookup(key: Column, table: Mapping) -> Column:
     """``table[key]``, NULL for an unknown key."""
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(table.items())])[key]
+    entries = ", ".join(f"{sql_literal(k)}, {sql_literal(v)}" for k, v in table.items())
+    return F.expr(f"map({entries})")[key]
 
 
 def member(key: Column, values: Sequence[str]) -> Column:
     """Membership in a constant list; NULL keys are not members."""
-    return F.coalesce(key.isin(*values), F.lit(False))
+    return F.coalesce(F.array_contains(list_literal(values), key), F.lit(False))
 
 
 def list_literal(values: Sequence[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    return F.expr(f"array({', '.join(sql_literal(v) for v in values)})")

@@ -19,7 +19,7 @@ from cairn.dims import CANONICAL_UNIT, KM_PER_DEGREE
 from cairn.functions.geo import haversine_km
 from cairn.functions.lookup import lookup
 from cairn.operators.qc import finding
-from cairn.operators.ranking import exact_median, top_k
+from cairn.operators.ranking import median_of_counts, top_k, value_bucket
 
 
 @dataclass(frozen=True)
@@ -49,7 +49,7 @@ def is_interval_scale(variable: Column) -> Column:
 def _placed(obs: DataFrame) -> DataFrame:
     return (
         obs.withColumn("source", F.col("provenance.source_id"))
-        .filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+        .filter("latitude is not null and longitude is not null and value is not null")
         .withColumn("surface_depth", F.coalesce("depth_m", F.lit(0.0)))
     )
 
@@ -61,8 +61,20 @@ def source_roles(obs: DataFrame) -> DataFrame:
     source of a variable never anchors and the smallest is never searched, which
     also drops single-source variables.  One row per source and variable.
     """
-    per_source = _placed(obs).groupBy("variable", "source").agg(F.count(F.lit(1)).alias("n"))
-    return _with_roles(per_source)
+    return _with_roles(_per_source(_places(obs)))
+
+
+def _places(obs: DataFrame) -> DataFrame:
+    """Distinct places with the sum and count of their readings."""
+    return (
+        _placed(obs)
+        .groupBy("variable", "source", "latitude", "longitude", "surface_depth")
+        .agg(F.sum("value").alias("total"), F.count("value").alias("readings"))
+    )
+
+
+def _per_source(places: DataFrame) -> DataFrame:
+    return places.groupBy("variable", "source").agg(F.sum("readings").alias("n"))
 
 
 def _with_roles(per_source: DataFrame) -> DataFrame:
@@ -102,16 +114,8 @@ def _cell_width(band: Column, dlat: float) -> Column:
 
 def neighbour_means(obs: DataFrame, tol: Tolerance = Tolerance()) -> DataFrame:
     """Per anchor place and other source: mean and count of the readings nearby."""
-    places = (
-        _placed(obs)
-        .filter(F.col("value").isNotNull())
-        .groupBy("variable", "source", "latitude", "longitude", "surface_depth")
-        .agg(F.sum("value").alias("total"), F.count("value").alias("readings"))
-    )
-    roles = _with_roles(
-        places.groupBy("variable", "source").agg(F.sum("readings").alias("n"))
-    )
-    places = places.join(roles, ["variable", "source"])
+    places = _places(obs)
+    places = places.join(_with_roles(_per_source(places)), ["variable", "source"])
     dlat, slice_m = tol.dlat, tol.slice_m
 
     lat, lon, depth = F.col("latitude"), F.col("longitude"), F.col("surface_depth")
@@ -193,8 +197,7 @@ def colocate(obs: DataFrame, tol: Tolerance = Tolerance()) -> DataFrame:
     both are positive, else NULL.
     """
     near = neighbour_means(obs, tol)
-    mine = _placed(obs).filter(F.col("value").isNotNull())
-    joined = mine.join(
+    joined = _placed(obs).join(
         near.withColumnsRenamed(
             {"variable": "n_variable", "a_source": "anchor_source", "o_source": "other_source"}
         ),
@@ -252,37 +255,32 @@ def consistency_report(
     """One row per variable with two or more sources, in one of three outcomes."""
     pairs = colocate(obs, tol) if pairs is None else pairs
     providers = (
-        _placed(obs)
-        .select("variable", "source")
-        .distinct()
+        _per_source(_places(obs))
         .groupBy("variable")
         .agg(F.array_sort(F.collect_list("source")).alias("sources"))
         .filter(F.size("sources") >= 2)
     )
-    counts = pairs.groupBy("variable").agg(
-        F.count(F.lit(1)).alias("n_spatial"),
-        F.count("metric").alias("n_metric"),
-        F.count_if(_disagrees(tol)).alias("n_disagreements"),
-    )
-    first, second = (
-        F.least("anchor_source", "other_source"), F.greatest("anchor_source", "other_source")
-    )
-    labels = (
-        pairs.filter(F.col("metric").isNotNull())
-        .select("variable", first.alias("a"), second.alias("b"),
-                F.concat("anchor_source", F.lit(" vs "), "other_source").alias("label"))
-        .distinct()
-        .groupBy("variable")
-        .agg(F.array_sort(F.collect_list(F.struct("a", "b", "label"))).alias("ls"))
-        .select("variable", F.transform("ls", lambda x: x["label"]).alias("pair_labels"))
+    # one narrow table of distinct metrics feeds the counts, labels and median
+    tally = pairs.groupBy(
+        "variable", "anchor_source", "other_source", _disagrees(tol).alias("far"),
+        value_bucket(F.col("metric")).alias("__b"), F.col("metric").alias("__v"),
+    ).agg(F.count(F.lit(1)).alias("__c"))
+    counts = tally.groupBy("variable").agg(
+        F.expr("sum(__c) as n_spatial"),
+        F.expr("sum(case when __v is not null then __c else 0 end) as n_metric"),
+        F.expr("sum(case when far then __c else 0 end) as n_disagreements"),
+        F.expr(
+            "transform(array_sort(collect_set(case when __v is not null then struct("
+            "least(anchor_source, other_source) as a, greatest(anchor_source, other_source) as b, "
+            "concat(anchor_source, ' vs ', other_source) as label) end)), x -> x.label) as pair_labels"
+        ),
     )
-    median = exact_median(pairs, ["variable"], "metric").select(
+    median = median_of_counts(tally.filter("__v is not null and not isnan(__v)"), ["variable"]).select(
         "variable", F.col("median").alias("median_metric")
     )
     zero = F.lit(0).cast("long")
     joined = (
         providers.join(counts, "variable", "left")
-        .join(labels, "variable", "left")
         .join(median, "variable", "left")
     )
     n_spatial, n_metric = (F.coalesce(c, zero) for c in ("n_spatial", "n_metric"))

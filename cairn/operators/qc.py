@@ -17,7 +17,7 @@ from cairn.dims import (
 )
 from cairn.functions.lookup import lookup, member
 from cairn.functions.parse import blank_to_null, strip
-from cairn.operators.ranking import exact_median, smallest_distinct
+from cairn.operators.ranking import median_of_counts, smallest_distinct, value_bucket
 
 
 def finding(
@@ -37,17 +37,24 @@ def present_variables(obs: DataFrame) -> DataFrame:
 
 
 def distribution_summary(obs: DataFrame) -> DataFrame:
-    """Count, min, median, max and depth coverage per variable."""
-    plain = obs.groupBy("variable").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.count("depth_m").alias("n_with_depth"),
-        F.min("depth_m").alias("depth_min"),
-        F.max("depth_m").alias("depth_max"),
+    """Count, min, median, max and depth coverage per variable.
+
+    Everything comes from one table of distinct values with their counts, so the
+    observations are read and shuffled once.
+    """
+    v = F.col("value")
+    counted = obs.groupBy(
+        "variable", value_bucket(v).alias("__b"), v.alias("__v")
+    ).agg(
+        F.count(F.lit(1)).alias("__c"),
+        F.count("depth_m").alias("d_n"), F.min("depth_m").alias("d_lo"), F.max("depth_m").alias("d_hi"),
+    )
+    plain = counted.groupBy("variable").agg(
+        F.sum("__c").alias("n"), F.min("__v").alias("min"), F.max("__v").alias("max"),
+        F.sum("d_n").alias("n_with_depth"), F.min("d_lo").alias("depth_min"), F.max("d_hi").alias("depth_max"),
     )
-    median = exact_median(obs, ["variable"], "value").drop("n")
-    return plain.join(median, "variable", "left")
+    real = counted.filter(~F.isnan("__v"))
+    return plain.join(median_of_counts(real, ["variable"]).drop("n"), "variable", "left")
 
 
 def value_range_report(

@@ -9,7 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKETS = 65536
+_STEPS = 65536  # buckets per e-fold of magnitude
+_SLICES = 4096
 
 
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
@@ -32,63 +33,57 @@ def smallest_distinct(df: DataFrame, keys: Sequence[str], value: str, k: int) ->
     return few.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias("examples"))
 
 
+def value_bucket(value: Column) -> Column:
+    """A step function that never decreases with ``value``, fine at every magnitude."""
+    size = F.log1p(F.abs(value) * 1e6) * _STEPS
+    return F.floor(F.signum(value) * F.least(size, F.lit(1e15)))
+
+
 def exact_median(
     df: DataFrame, keys: Sequence[str], value: str, weight: Column | None = None
 ) -> DataFrame:
     """Exact median per key without ever holding a whole group in one task.
 
-    Equal values collapse first.  A fixed number of equal-width value buckets per
-    key then gives a small histogram; its running count names the one or two
-    buckets that hold the middle ranks, and only those buckets are sorted.  The
-    buckets depend on nothing but the data, so a recomputed task agrees with the
-    first run.  NULL and NaN values are left out.  Returns ``keys, n, median``.
+    Equal values collapse first, in the map tasks.  A histogram over buckets that
+    depend on the value alone then gives a running count; it names the one or two
+    buckets that hold the middle ranks, and only those are sorted.  A recomputed
+    task always agrees with the first run, as no sampling is involved.  NULL and
+    NaN values are left out.  Returns ``keys, n, median``.
     """
     keys = list(keys)
-    v, c = "__v", "__c"
+    v = F.col(value).cast("double")
     counted = (
-        df.select(*keys, F.col(value).cast("double").alias(v), (weight if weight is not None else F.lit(1)).cast("long").alias(c))
-        .filter(F.col(v).isNotNull() & ~F.isnan(v))
-        .groupBy(*keys, v)
-        .agg(F.sum(c).alias(c))
-    )
-    is_finite = F.abs(F.col(v)) < float("inf")
-    span = counted.groupBy(*keys).agg(
-        F.sum(c).alias("n"),
-        F.min(F.when(is_finite, F.col(v))).alias("__lo"),
-        F.max(F.when(is_finite, F.col(v))).alias("__hi"),
-    )
-    width = F.col("__hi") - F.col("__lo")
-    bucket = (
-        F.when(F.col(v) == float("inf"), F.lit(_BUCKETS + 1))
-        .when(F.col(v) == float("-inf"), F.lit(-1))
-        .when(width > 0, F.floor((F.col(v) - F.col("__lo")) / width * _BUCKETS))
-        .otherwise(F.lit(0))
-        .cast("int")
+        df.filter(F.col(value).isNotNull() & ~F.isnan(v))
+        .groupBy(*keys, value_bucket(v).alias("__b"), v.alias("__v"))
+        .agg(F.sum(F.lit(1) if weight is None else weight).alias("__c"))
     )
-    placed = _join_on(counted, span, keys).withColumn("__b", bucket)
-    running = Window.partitionBy(*keys).orderBy("__b").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    histogram = placed.groupBy(*keys, "__b").agg(
-        F.sum(c).alias("__bc"), F.max("n").alias("__n")
-    ).withColumn("__end", F.sum("__bc").over(running))
-    low, high = F.floor((F.col("__n") - 1) / 2), F.floor(F.col("__n") / 2)
-    middle = histogram.withColumn("__start", F.col("__end") - F.col("__bc")).filter(
-        (F.col("__start") <= high) & (F.col("__end") > low)
-    ).select(*keys, "__b", "__start", "__n")
-    within = Window.partitionBy(*keys, "__b").orderBy(v).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    return median_of_counts(counted, keys)
+
+
+def median_of_counts(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The median step on ``keys, __b, __v, __c`` (bucket, value, count)."""
+    keys = list(keys)
+    running = "rows between unbounded preceding and current row"
+    by = ", ".join(f"`{k}`" for k in keys)
+    middle = (
+        counted.groupBy(*keys, "__b").agg(F.expr("sum(__c) as __bc"))
+        .selectExpr(
+            "*", f"sum(__bc) over (partition by {by} order by __b {running}) as __end",
+            f"sum(__bc) over (partition by {by}) as __n",
+        )
+        .filter("__end - __bc <= __n div 2 and __end > (__n - 1) div 2")
+        .selectExpr(*[f"`{k}`" for k in keys], "__b", "__end - __bc as __start", "__n")
     )
-    ranked = (
-        _join_on(placed.select(*keys, "__b", v, c), middle, [*keys, "__b"])
-        .withColumn("__to", F.col("__start") + F.sum(c).over(within))
-        .withColumn("__from", F.col("__to") - F.col(c))
+    ranked = _join_on(counted, middle, [*keys, "__b"]).selectExpr(
+        *[f"`{k}`" for k in keys], "__v", "__n", "__c",
+        f"__start + sum(__c) over (partition by {by}, __b order by __v {running}) as __to",
     )
-    at = lambda k: F.max(F.when((F.col("__from") <= k) & (F.col("__to") > k), F.col(v)))
-    return (
-        ranked.groupBy(*keys)
-        .agg(F.max("__n").alias("n"), at(low).alias("__m1"), at(high).alias("__m2"))
-        .select(*keys, "n", ((F.col("__m1") + F.col("__m2")) / 2).alias("median"))
+    holds = "max(case when __to - __c <= {0} and __to > {0} then __v end)"
+    return ranked.groupBy(*keys).agg(
+        F.expr("max(__n) as n"),
+        F.expr(
+            f"({holds.format('(__n - 1) div 2')} + {holds.format('__n div 2')}) / 2 as median"
+        ),
     )
 
 
@@ -104,7 +99,7 @@ def positions(df: DataFrame, keys: Sequence[str], order: str, name: str) -> Data
     )
     width = F.col("__hi") - F.col("__lo")
     part = F.when(
-        width > 0, F.floor((F.col(order) - F.col("__lo")) / width * (_BUCKETS // 16))
+        width > 0, F.floor((F.col(order) - F.col("__lo")) / width * _SLICES)
     ).otherwise(F.lit(0)).cast("int")
     sliced = _join_on(df, span, keys).withColumn("__b", part).drop("__lo", "__hi")
     before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)

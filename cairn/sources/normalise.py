@@ -216,12 +216,15 @@ def unpivot_measured(rows: DataFrame, variables: Mapping[str, str] = WIDE_VARIAB
     measured = [c for c in rows.columns if as_header(c) in variables]
     if not measured:
         raise ValueError(f"no measured column among {rows.columns}")
-    kept = [c for c in rows.columns if c not in measured]
-    tick = lambda cs: [F.col(f"`{c}`") for c in cs]
-    long = rows.unpivot(tick(kept), tick(measured), "col_name", "raw")
-    names = {c: variables[as_header(c)] for c in measured}
-    mapped = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[F.col("col_name")]
-    return long.withColumn("variable", mapped)
+    kept = [F.col(f"`{c}`") for c in rows.columns if c not in measured]
+    entries = [
+        F.struct(
+            F.lit(c).alias("col_name"), F.col(f"`{c}`").alias("raw"),
+            F.lit(variables[as_header(c)]).alias("variable"),
+        )
+        for c in measured
+    ]
+    return rows.select(*kept, F.inline(F.array(*entries)))
 
 
 def above(rows: DataFrame, landing: Landing) -> DataFrame:

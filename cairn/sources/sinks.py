@@ -52,7 +52,9 @@ def provenance_records(info: DataFrame, downloads: DataFrame) -> DataFrame:
     d = downloads.join(i, "dataset_id", "left")
 
     def field(name: str, default: Column | None = None) -> Column:
-        c = F.col(f"i_{name}") if f"i_{name}" in d.columns else F.lit(None).cast("string")
+        if f"i_{name}" not in d.columns:
+            return F.lit(None).cast("string") if default is None else default
+        c = F.col(f"i_{name}")
         return c if default is None else F.coalesce(c, default)
 
     empty = F.array().cast("array<string>")

@@ -157,7 +157,7 @@ def source_pairs(spark, sf):
 def colocate_metrics(spark, sf):
     return C.colocate(canon(spark, sf)).select(
         "obs_id", "variable", "anchor_source", "other_source", "n_near",
-        r6("other_mean").alias("other_mean"), F.round("metric", 5).alias("metric"),
+        F.round("other_mean", 10).alias("other_mean"), F.round("metric", 9).alias("metric"),
     )
 
 
@@ -165,7 +165,7 @@ def cross_source_findings(spark, sf):
     f = C.consistency_report(canon(spark, sf))
     return f.select(
         "variable", "check", F.array_join("sources", ",").alias("sources"), "n_spatial", "n_colocated",
-        "n_disagreements", "metric", F.round("median_metric", 5).alias("median_metric"),
+        "n_disagreements", "metric", F.round("median_metric", 9).alias("median_metric"),
         F.coalesce(F.array_join("pair_labels", ", "), F.lit("")).alias("pair_labels"),
     )
 
@@ -268,8 +268,8 @@ select a.variable, a.source_id as anchor_source, o.source_id as other_source, a.
 from counted a join counted o on a.variable = o.variable
   and (a.n < o.n or (a.n = o.n and a.source_id < o.source_id))""")),
     "colocate_metrics": (colocate_metrics, V.with_ctes(*COLOCATE, body="""
-select obs_id, variable, anchor_source, other_source, n_near, round(other_mean, 6) as other_mean,
-  round(metric, 5) + 0.0 as metric from met""")),
+select obs_id, variable, anchor_source, other_source, n_near, round(other_mean, 10) as other_mean,
+  round(metric, 9) + 0.0 as metric from met""")),
     "cross_source_findings": (cross_source_findings, V.with_ctes(*COLOCATE, """labels as (
   select variable, string_agg(anchor_source || ' vs ' || other_source, ', '
       order by least(anchor_source, other_source), greatest(anchor_source, other_source)) as pair_labels
@@ -284,7 +284,7 @@ select variable, case when coalesce(n_spatial, 0) = 0 then 'cross_source_no_over
   sources, coalesce(n_spatial, 0) as n_spatial, coalesce(n_colocated, 0) as n_colocated,
   coalesce(n_disagreements, 0) as n_disagreements,
   case when variable = 'ground_temperature' then 'difference' else 'ratio' end as metric,
-  round(median_metric, 5) + 0.0 as median_metric, coalesce(pair_labels, '') as pair_labels
+  round(median_metric, 9) + 0.0 as median_metric, coalesce(pair_labels, '') as pair_labels
 from providers left join tallies using (variable) left join labels using (variable)""")),
     "cross_source_worst_sites": (cross_source_worst_sites, V.with_ctes(*COLOCATE, body="""
 select variable, rank, obs_id, anchor_source, other_source, round(latitude, 4) as lat, round(longitude, 4) as lon, n_near,

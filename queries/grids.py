@@ -53,7 +53,6 @@ def tag_time(spark, sf):
 # --- projections ------------------------------------------------------------------------
 
 _K = ALASKA_ALBERS.constants
-_S2, _S4, _S6 = ALASKA_ALBERS.series
 _E = ALASKA_ALBERS.e
 _A = ALASKA_ALBERS.a
 
@@ -74,15 +73,6 @@ PROJECTED_SQL = f"""projected as (
   from (select *, {_RHO} as rho, {_THETA} as theta from canon))"""
 
 
-def inverse_sql(source, x="x", y="y"):
-    """A derived table adding lon/lat columns to ``source`` with x/y columns."""
-    n, c, rho0, qp = (f"{_K[k]!r}::double" for k in ("n", "c", "rho0", "qp"))
-    return f"""(select *, {ALASKA_ALBERS.lon_0!r}::double + degrees(atan2({x}, {rho0} - {y}) / {n}) as lon,
-    degrees(b + {_S2!r}::double * sin(2 * b) + {_S4!r}::double * sin(4 * b) + {_S6!r}::double * sin(6 * b)) as lat
-  from (select *, asin(least(greatest(({c} - ({x} * {x} + ({rho0} - {y}) * ({rho0} - {y})) * {n} * {n} / ({_A!r}::double * {_A!r}::double)) / {n} / {qp}, -1), 1)) as b
-    from {source}))"""
-
-
 def albers_forward(spark, sf):
     return G.to_grid_xy(canon(spark, sf)).select("obs_id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
 
@@ -90,7 +80,7 @@ def albers_forward(spark, sf):
 def albers_roundtrip(spark, sf):
     p = G.to_grid_xy(canon(spark, sf))
     lon, lat = ALASKA_ALBERS.inverse(F.col("x"), F.col("y"))
-    return p.select("obs_id", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
+    return p.select("obs_id", F.round(lon, 9).alias("lon"), F.round(lat, 9).alias("lat"))
 
 
 def utm_inverse(spark, sf):
@@ -101,13 +91,13 @@ def utm_inverse(spark, sf):
     return V.table(spark, sf, "customer").select("c_custkey", F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
 
 
-def _utm_sql(table, easting, northing, keys):
+def utm_sql(table, easting, northing, keys, digits=7):
     k = {n: f"({v!r}::double)" for n, v in UTM_4N.constants.items()}
     s = f"({UTM_4N.k0!r}::double * {k['radius']})"
     xi1 = "xi - " + " - ".join(f"{k[f'b{j}']} * sin({2*j} * xi) * cosh({2*j} * eta)" for j in (1, 2, 3))
     eta1 = "eta - " + " - ".join(f"{k[f'b{j}']} * cos({2*j} * xi) * sinh({2*j} * eta)" for j in (1, 2, 3))
     phi = "chi + " + " + ".join(f"{k[f'd{j}']} * sin({2*j} * chi)" for j in (1, 2, 3))
-    return f"""select {keys}, round({k['lon0']} + degrees(atan2(sinh(eta1), cos(xi1))), 7) as lon, round(degrees({phi}), 7) as lat
+    return f"""select {keys}, round({k['lon0']} + degrees(atan2(sinh(eta1), cos(xi1))), {digits}) as lon, round(degrees({phi}), {digits}) as lat
 from (select *, asin(sin(xi1) / cosh(eta1)) as chi from (
   select *, {xi1} as xi1, {eta1} as eta1 from (
     select {keys}, ({northing}) / {s} as xi, ({easting} - 500000) / {s} as eta from {table})))"""
@@ -177,7 +167,7 @@ def vector_reproject(spark, sf):
     p = V.polygons(spark, sf).withColumn("crs", F.lit("EPSG:3338"))
     back = R.reproject_rings(R.reproject_rings(p, STORAGE_CRS).withColumn("crs", F.lit(None).cast("string")))
     return back.select("ord", "crs_assumed", F.posexplode("ring").alias("pos", "p")).select(
-        "ord", "crs_assumed", "pos", F.round("p.x", 3).alias("x"), F.round("p.y", 3).alias("y")
+        "ord", "crs_assumed", "pos", F.round("p.x", 6).alias("x"), F.round("p.y", 6).alias("y")
     )
 
 
@@ -245,9 +235,9 @@ select obs_id, time_start between timestamp '2024-01-10 00:00:00' and timestamp
     "albers_forward": (albers_forward, V.with_ctes(*CANON, PROJECTED_SQL, body="""
 select obs_id, round(x, 3) + 0.0 as x, round(y, 3) as y from projected""")),
     "albers_roundtrip": (albers_roundtrip, V.with_ctes(*CANON, body="""
-select obs_id, round(longitude, 6) as lon, round(latitude, 6) as lat from canon""")),
-    "utm_inverse": (utm_inverse, _utm_sql("customer", "400000.0::double + c_custkey * 131 % 200000", "6500000.0::double + c_custkey * 977 % 1500000", "c_custkey")),
-    "plot_centroid": (plot_centroid, _utm_sql(
+select obs_id, round(longitude, 9) as lon, round(latitude, 9) as lat from canon""")),
+    "utm_inverse": (utm_inverse, utm_sql("customer", "400000.0::double + c_custkey * 131 % 200000", "6500000.0::double + c_custkey * 977 % 1500000", "c_custkey")),
+    "plot_centroid": (plot_centroid, utm_sql(
         """(select 'P' || l_suppkey as plot_id, avg(7910000.0::double + l_partkey) as nn, avg(585000.0::double + l_orderkey % 1000) as ee
   from lineitem where l_linenumber <> 7 group by 1)""", "ee", "nn", "plot_id")),
     "grid_mean": (_grid("mean"), _grid_sql("avg(value)")),
@@ -272,7 +262,7 @@ painted as (select fr, fc, arg_max(category, ord) as category from covered group
 votes as (select fr // 5 as row, fc // 5 as col, code, category, count(*) as n from painted join legend using (category) group by all)""", body="""
 select row, col, code, category from votes qualify row_number() over (partition by row, col order by n desc, code) = 1""")),
     "vector_reproject": (vector_reproject, V.with_ctes(V.POLYGONS_SQL, body="""
-select ord, true as crs_assumed, pos, round(x, 3) as x, round(y, 3) as y from (
+select ord, true as crs_assumed, pos, round(x, 6) as x, round(y, 6) as y from (
   select ord, 0 as pos, x0 as x, y0 as y from corners
   union all select ord, 1, x0 + w, y0 + h / cast(8 as double) from corners
   union all select ord, 2, x0 + w * cast(0.83 as double), y0 + h from corners

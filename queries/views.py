@@ -4,58 +4,53 @@ Every view exists twice: as DataFrame code over the Parquet tables and as SQL te
 over the same tables, used as common table expressions by the check queries.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.schema import OBSERVATION_SCHEMA, PAPER_SCHEMA, conform
+from cairn.schema import OBSERVATION_SCHEMA, PAPER_SCHEMA
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _d(x: float) -> Column:
+def _d(x: float):
     return F.lit(float(x))
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as observations of five variables, three sources and five datasets."""
-    e = table(spark, sf_dir, "events")
-    eid, uid, k = F.col("event_id"), F.col("user_id"), F.col("k")
-    kind = lambda **m: F.create_map(*[F.lit(x) for kv in m.items() for x in kv])[F.col("event_type")]
-    odd_error = (F.col("event_type") == "error") & (eid % 2 == 1)
-    unit = kind(click="cm", error="degC", purchase="percent", signup="mm", view="category_index")
-    shaped = e.withColumn("k", F.regexp_extract("props", r"(\d+)", 1).cast("int")).select(
-        F.concat(F.lit("ev_"), eid.cast("string")).alias("obs_id"),
-        F.concat(F.lit("ds_"), (eid % 5).cast("string")).alias("dataset_id"),
-        F.when(F.col("event_type") == "view", F.lit("event")).otherwise(F.lit("point")).alias("obs_type"),
-        kind(
-            click="active_layer_thickness", error="ground_temperature",
-            purchase="volumetric_water_content", signup="snow_depth", view="thaw_event_label",
-        ).alias("variable"),
-        F.when(odd_error, F.col("value") + 200).when(
-            F.col("event_type") == "error", F.col("value") - 60
-        ).otherwise(F.col("value")).alias("value"),
-        F.when(eid % 97 == 0, F.lit("furlong")).when(odd_error, F.lit("K")).otherwise(unit).alias("unit"),
-        (_d(60) + (uid * 37 % 100) / _d(10) + (eid % 7) * _d(0.004)).alias("latitude"),
-        (_d(-165) + (uid * 53 % 300) / _d(10) + (eid % 11) * _d(0.006)).alias("longitude"),
-        F.when(k % 4 == 0, F.lit(None)).when(k == 13, _d(-1)).otherwise(k / _d(50)).alias("depth_m"),
-        F.when(k % 10 != 9, F.col("ts").cast("timestamp")).alias("time_start"),
-        F.when(k % 10 != 9, F.col("ts").cast("timestamp")).alias("time_end"),
-        F.array().cast("array<string>").alias("qc_flags"),
-        F.struct(F.concat(F.lit("src_"), (eid % 3).cast("string")).alias("source_id")).alias("src"),
-        F.create_map(F.lit("k"), k.cast("string")).alias("extra"),
-        eid.alias("ord"),
+    e = table(spark, sf_dir, "events").selectExpr("*", r"cast(regexp_extract(props, '(\\d+)', 1) as int) as k")
+    return e.selectExpr(
+        "concat('ev_', event_id) as obs_id",
+        "concat('ds_', event_id % 5) as dataset_id",
+        "if(event_type = 'view', 'event', 'point') as obs_type",
+        """case event_type when 'click' then 'active_layer_thickness' when 'error' then 'ground_temperature'
+          when 'purchase' then 'volumetric_water_content' when 'signup' then 'snow_depth'
+          when 'view' then 'thaw_event_label' end as variable""",
+        """case when event_type = 'error' and event_id % 2 = 1 then value + 200
+          when event_type = 'error' then value - 60 else value end as value""",
+        """case when event_id % 97 = 0 then 'furlong' when event_type = 'error' and event_id % 2 = 1 then 'K'
+          when event_type = 'click' then 'cm' when event_type = 'error' then 'degC'
+          when event_type = 'purchase' then 'percent' when event_type = 'signup' then 'mm'
+          when event_type = 'view' then 'category_index' end as unit""",
+        "60D + (user_id * 37 % 100) / 10D + (event_id % 7) * 0.004D as latitude",
+        "-165D + (user_id * 53 % 300) / 10D + (event_id % 11) * 0.006D as longitude",
+        "case when k % 4 = 0 then null when k = 13 then -1D else k / 50D end as depth_m",
+        "cast(if(k % 10 <> 9, ts, null) as timestamp) as time_start",
+        "cast(if(k % 10 <> 9, ts, null) as timestamp) as time_end",
+        "cast(array() as array<string>) as qc_flags",
+        f"cast(named_struct('source_id', concat('src_', event_id % 3), {_NO_PROVENANCE}) as {_PROVENANCE}) as provenance",
+        "map('k', cast(k as string)) as extra",
+        "event_id as ord",
     )
-    provenance = F.struct(
-        *[
-            (F.col("src.source_id") if f.name == "source_id" else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in OBSERVATION_SCHEMA["provenance"].dataType.fields
-        ]
-    )
-    return conform(shaped.withColumn("provenance", provenance), OBSERVATION_SCHEMA)
 
 
+_PROVENANCE = OBSERVATION_SCHEMA["provenance"].dataType.simpleString()
+_NO_PROVENANCE = ", ".join(
+    f"'{f.name}', null" for f in OBSERVATION_SCHEMA["provenance"].dataType.fields if f.name != "source_id"
+)
+
 OBS_SQL = """obs as (
   select 'ev_' || event_id as obs_id, 'ds_' || (event_id % 5) as dataset_id,
     'src_' || (event_id % 3) as source_id,
@@ -111,43 +106,37 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_EXT = ("csv", "tsv", "pdf", "xml", "nc", "tif", "txt", "json", "md", "bin")
+_PATH = """case when doc_id % 97 = 5 then 'README.md' when doc_id % 97 = 6 then '.' || doc_id
+      when doc_id % 200 = 7 then 'bagit.txt' when doc_id % 200 = 11 then 'root_dd.csv'
+      else lang || '/' || (case
+        when doc_id % 40 = 0 then 'site' || (doc_id {div} 40 % 5) || '_dd'
+        when doc_id % 40 = 10 then doc_id || '_flmd'
+        when doc_id % 10 = 0 then 'site' || (doc_id {div} 40 % 5) || '_' || doc_id
+        when doc_id % 40 = 13 then 'science-metadata-' || doc_id
+        when doc_id % 40 = 22 then doc_id || '_user_file'
+        else cast(doc_id as {text}) end) || '.' ||
+        (case doc_id % 10 when 0 then 'csv' when 1 then 'tsv' when 2 then 'pdf' when 3 then 'xml' when 4 then 'nc'
+          when 5 then 'tif' when 6 then 'txt' when 7 then 'json' when 8 then 'md' else 'bin' end) end"""
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents as package files with content and a declared md5 that is sometimes wrong."""
-    d = table(spark, sf_dir, "documents")
-    n = F.col("doc_id")
-    ext = F.get(F.array(*[F.lit(e) for e in _EXT]), (n % 10).cast("int"))
-    stem = F.when(n % 40 == 0, F.concat(n.cast("string"), F.lit("_dd"))).when(
-        n % 40 == 10, F.concat(n.cast("string"), F.lit("_flmd"))
-    ).when(n % 40 == 13, F.concat(F.lit("science-metadata-"), n.cast("string"))).when(
-        n % 40 == 22, F.concat(n.cast("string"), F.lit("_user_file"))
-    ).otherwise(n.cast("string"))
-    path = F.concat(F.col("lang"), F.lit("/"), stem, F.lit("."), ext)
-    path = F.when(n % 97 == 5, F.lit("README.md")).when(
-        n % 97 == 6, F.concat(F.lit("."), n.cast("string"))
-    ).when(n % 197 == 7, F.lit("bagit.txt")).otherwise(path)
-    return d.select(
-        "doc_id", F.col("source").alias("dataset_id"), path.alias("relative_path"),
-        F.col("text").alias("content"),
-        F.when(n % 20 == 0, F.repeat(F.lit("0"), 32)).otherwise(F.upper(F.md5("text"))).alias("declared_md5"),
+    """documents as package files, two hundred per package and source at most.
+
+    Content is the whole text; the declared md5 is sometimes wrong.
+    """
+    return table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "source as source_id", "source || '_' || (doc_id div 200) as dataset_id",
+        _PATH.format(div="div", text="string") + " as relative_path",
+        "text as content",
+        "if(doc_id % 20 = 0, repeat('0', 32), upper(md5(text))) as declared_md5",
     )
 
 
-FILES_SQL = """files as (
-  select doc_id, source as dataset_id,
-    case when doc_id % 97 = 5 then 'README.md' when doc_id % 97 = 6 then '.' || doc_id
-      when doc_id % 197 = 7 then 'bagit.txt'
-      else lang || '/' || (case when doc_id % 40 = 0 then doc_id || '_dd' when doc_id % 40 = 10 then doc_id || '_flmd'
-        when doc_id % 40 = 13 then 'science-metadata-' || doc_id when doc_id % 40 = 22 then doc_id || '_user_file'
-        else cast(doc_id as varchar) end) || '.' ||
-        (case doc_id % 10 when 0 then 'csv' when 1 then 'tsv' when 2 then 'pdf' when 3 then 'xml' when 4 then 'nc'
-          when 5 then 'tif' when 6 then 'txt' when 7 then 'json' when 8 then 'md' else 'bin' end) end as relative_path,
-    text as content,
+FILES_SQL = f"""files as (
+  select doc_id, source as source_id, source || '_' || (doc_id // 200) as dataset_id,
+    {_PATH.format(div="//", text="varchar")} as relative_path, text as content,
     case when doc_id % 20 = 0 then repeat('0', 32) else upper(md5(text)) end as declared_md5
-  from documents
-)"""
+  from documents)"""
 
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
