@@ -15,9 +15,14 @@ def sql_literal(value) -> str:
 
 
 def lookup(key: Column, table: Mapping) -> Column:
-    """``table[key]``, NULL for an unknown key."""
-    entries = ", ".join(f"{sql_literal(k)}, {sql_literal(v)}" for k, v in table.items())
-    return F.expr(f"map({entries})")[key]
+    """``table[key]``, NULL for an unknown key.
+
+    The table folds to one constant map, so ``key`` is evaluated once (a ``map()``
+    call would be unrolled into a CASE that repeats the key in every branch).
+    """
+    keys = ", ".join(sql_literal(k) for k in table)
+    values = ", ".join(sql_literal(v) for v in table.values())
+    return F.expr(f"map_from_arrays(array({keys}), array({values}))")[key]
 
 
 def member(key: Column, values: Sequence[str]) -> Column:

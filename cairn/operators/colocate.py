@@ -38,7 +38,7 @@ class Tolerance:
 
     @property
     def slice_m(self) -> float:
-        return self.depth_m if self.depth_m > 0 else 1.0
+        return 2 * self.depth_m if self.depth_m > 0 else 1.0
 
 
 def is_interval_scale(variable: Column) -> Column:

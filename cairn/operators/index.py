@@ -231,15 +231,26 @@ def resolve_by_steps(wanted: DataFrame, files: DataFrame) -> DataFrame:
         }
     )
     names = files.select("dataset_id", "file_name").distinct()
-    members = names.filter(
-        ~F.lower("file_name").contains("roster") & F.col("file_name").endswith(".csv")
+    named = lambda key, out: names.withColumn(out, F.col("file_name")).withColumnRenamed("file_name", key)
+    exact = w.join(named("filename", "f1"), ["dataset_id", "filename"], "left").join(
+        named("normal", "f2"), ["dataset_id", "normal"], "left"
     )
-    heads = members.select(
-        "dataset_id", "file_name", F.explode(_prefixes(F.col("file_name"))).alias("head")
+    open_rows = exact.filter("f1 is null and f2 is null")
+    asked = (
+        open_rows.select("dataset_id", F.explode(F.array("code", "region")).alias("head"))
+        .filter("head <> ''")
+        .distinct()
     )
     tokens = F.array_distinct(
         F.regexp_extract_all("file_name", F.lit(r"(?=(\d{4}_\d{2}_\d{2}))"), F.lit(1))
     )
+    heads = (
+        names.filter(
+            ~F.lower("file_name").contains("roster") & F.col("file_name").endswith(".csv")
+        )
+        .select("dataset_id", "file_name", F.explode(_prefixes(F.col("file_name"))).alias("head"))
+        .join(asked, ["dataset_id", "head"], "left_semi")
+    )
 
     def only(candidates: DataFrame, keys: list[str], out: str) -> DataFrame:
         return (
@@ -249,23 +260,14 @@ def resolve_by_steps(wanted: DataFrame, files: DataFrame) -> DataFrame:
             .drop("n")
         )
 
-    asked_code = w.select("dataset_id", F.col("code").alias("head")).distinct()
-    asked_region = w.select("dataset_id", F.col("region").alias("head")).distinct()
-    by_code = only(heads.join(asked_code, ["dataset_id", "head"], "left_semi"), ["head"], "f3")
-    in_region = heads.join(asked_region, ["dataset_id", "head"], "left_semi")
-    by_region = only(in_region, ["head"], "any_date")
-    by_region_date = only(
-        in_region.withColumn("date_token", F.explode(tokens)), ["head", "date_token"], "on_date"
+    alone = only(heads, ["head"], "alone")
+    on_date = only(
+        heads.withColumn("date_token", F.explode(tokens)), ["head", "date_token"], "on_date"
     )
     picked = (
-        w.join(names.withColumn("f1", F.col("file_name")).withColumnRenamed("file_name", "filename"),
-               ["dataset_id", "filename"], "left")
-        .join(names.withColumn("f2", F.col("file_name")).withColumnRenamed("file_name", "normal"),
-              ["dataset_id", "normal"], "left")
-        .join(by_code.withColumnRenamed("head", "code"), ["dataset_id", "code"], "left")
-        .join(by_region.withColumnRenamed("head", "region"), ["dataset_id", "region"], "left")
-        .join(by_region_date.withColumnRenamed("head", "region"),
-              ["dataset_id", "region", "date_token"], "left")
+        exact.join(alone.withColumnsRenamed({"head": "code", "alone": "f3"}), ["dataset_id", "code"], "left")
+        .join(alone.withColumnsRenamed({"head": "region", "alone": "any_date"}), ["dataset_id", "region"], "left")
+        .join(on_date.withColumnRenamed("head", "region"), ["dataset_id", "region", "date_token"], "left")
     )
     f4 = F.when(F.col("date_token").isNull(), F.col("any_date")).otherwise(F.col("on_date"))
     step = (

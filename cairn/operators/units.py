@@ -48,24 +48,25 @@ def to_canonical(obs: DataFrame, strict: bool = False) -> DataFrame:
     Categorical rows are untouched and a mere alias is respelled.  A unit without
     a conversion keeps its row as it is, or fails the job when ``strict``.
     """
-    variable, value, unit = F.col("variable"), F.col("value"), F.col("unit")
-    target = canonical_unit(variable)
-    src = normal_unit(unit)
-    scale, offset = _factors(src, target)
-    same = src == target
-    if strict:
-        unknown = F.raise_error(
-            F.concat(F.lit("no unit conversion from "), unit, F.lit(" to "), target)
-        ).cast("double")
-    else:
-        unknown = value
-    new_value = (
-        F.when(target.isNull() | same, value)
-        .when(scale.isNotNull(), value * scale + offset)
-        .otherwise(unknown)
+    known = obs.withColumns(
+        {"__target": canonical_unit(F.col("variable")), "__unit": normal_unit(F.col("unit"))}
+    )
+    scale, offset = _factors(F.col("__unit"), F.col("__target"))
+    known = known.withColumns({"__scale": scale, "__offset": offset})
+    unknown = (
+        "double(raise_error(concat('no unit conversion from ', unit, ' to ', __target)))"
+        if strict
+        else "value"
     )
-    new_unit = F.when(target.isNotNull() & (same | scale.isNotNull()), target).otherwise(unit)
-    return obs.withColumns({"value": new_value, "unit": new_unit})
+    return known.withColumns(
+        {
+            "value": F.expr(
+                "case when __target is null or __unit = __target then value "
+                f"when __scale is not null then value * __scale + __offset else {unknown} end"
+            ),
+            "unit": F.expr("if(__unit = __target or __scale is not null, __target, unit)"),
+        }
+    ).drop("__target", "__unit", "__scale", "__offset")
 
 
 def unit_problems(obs: DataFrame) -> DataFrame:

@@ -5,9 +5,26 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Runtime settings every session should have.  A generated method above 8000 bytes
+# of bytecode is never compiled by the JVM; Spark then splits the code instead.
+RUNTIME = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session made elsewhere."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(name: str = "cairn", cores: str = "*", shuffle_partitions: int = 8):
     """A local session for tests and the bench; a cluster job brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
@@ -15,11 +32,9 @@ def local_session(name: str = "cairn", cores: str = "*", shuffle_partitions: int
         .config("spark.driver.memory", "12g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .getOrCreate()
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
+    return tune(builder.getOrCreate())
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -37,7 +37,11 @@ FULL_NAMES, SHORT_NAMES = "AF", "AU"
 
 def record_text(chunk: Column) -> Column:
     """From the last record-start line on; blank text when there is none."""
-    return F.regexp_extract(F.regexp_replace(chunk, "\r\n?", "\n"), r"(?s)^(?:.*\n)?(PT .*)$", 1)
+    start = F.lit("\nPT ")
+    lines = F.concat(F.lit("\n"), F.replace(chunk, F.lit("\r\n"), F.lit("\n")))
+    return F.when(
+        F.contains(lines, start), F.concat(F.lit("PT "), F.substring_index(lines, "\nPT ", -1))
+    ).otherwise(F.lit(""))
 
 
 def fields(record: Column) -> Column:
@@ -45,29 +49,50 @@ def fields(record: Column) -> Column:
     return F.split(record, r"\n(?=[A-Z][A-Za-z0-9] )")
 
 
-def field_lines(all_fields: Column, tag: str) -> Column:
-    """Values of a tag, one per line, continuation lines included."""
+def _lines(value: Column) -> Column:
+    """Lines of a field value: its own and the continuation lines, blanks left out."""
+    keep = F.filter(
+        F.split(value, "\n"), lambda s, i: (i == 0) | s.startswith("   ") | s.startswith("\t")
+    )
+    return F.filter(F.transform(keep, strip), lambda s: s != "")
 
-    def lines(field: Column) -> Column:
-        parts = F.split(F.substring(field, F.lit(4), F.length(field)), "\n")
-        keep = F.filter(parts, lambda s, i: (i == 0) | s.startswith("   ") | s.startswith("\t"))
-        return F.filter(F.transform(keep, strip), lambda s: s != "")
 
-    mine = F.filter(all_fields, lambda f: f.startswith(f"{tag} "))
-    return F.flatten(F.transform(mine, lines))
+def tag_map(all_fields: Column) -> Column:
+    """Tag -> value lines, built in one pass; a repeated tag continues its list."""
+    entries = F.transform(
+        all_fields,
+        lambda f: F.struct(
+            F.substring(f, 1, 2).alias("tag"), _lines(F.substring(f, 4, 2**30)).alias("lines")
+        ),
+    )
+    tags = F.array_distinct(F.transform(entries, lambda e: e["tag"]))
+    merged = F.transform(
+        tags,
+        lambda t: F.struct(
+            t.alias("tag"),
+            F.flatten(
+                F.transform(F.filter(entries, lambda e: e["tag"] == t), lambda e: e["lines"])
+            ).alias("lines"),
+        ),
+    )
+    return F.map_from_entries(F.when(F.size(tags) == F.size(entries), entries).otherwise(merged))
 
 
 def tagged_records(records: DataFrame) -> DataFrame:
-    """One text column per known tag plus ``authors`` from rows with ``record``."""
-    cut = records.filter(F.col("record") != "").withColumn("__f", fields(F.col("record")))
-    f = F.col("__f")
-    full, short = field_lines(f, FULL_NAMES), field_lines(f, SHORT_NAMES)
-    return cut.select(
-        *[c for c in records.columns if c != "record"],
-        *[strip(F.array_join(field_lines(f, t), " ")).alias(n) for n, t in TEXT_TAGS.items()],
-        *[strip(F.array_join(field_lines(f, t), "; ")).alias(n) for n, t in LIST_TAGS.items()],
+    """One text column per known tag plus ``authors`` from rows with ``record``.
+
+    The columns leave through one generated row, so a later filter on them does not
+    make Spark parse the record again below it.
+    """
+    known = records.withColumn("__m", tag_map(fields(F.col("record"))))
+    lines = lambda tag: F.coalesce(F.col("__m")[tag], F.array().cast("array<string>"))
+    full, short = lines(FULL_NAMES), lines(SHORT_NAMES)
+    row = F.struct(
+        *[F.array_join(lines(g), " ").alias(n) for n, g in TEXT_TAGS.items()],
+        *[F.array_join(lines(g), "; ").alias(n) for n, g in LIST_TAGS.items()],
         F.when(F.size(full) > 0, full).otherwise(short).alias("authors"),
     )
+    return known.select(*[c for c in records.columns if c != "record"], F.inline(F.array(row)))
 
 
 def read_tagged(spark: SparkSession, path: str) -> DataFrame:

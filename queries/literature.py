@@ -63,7 +63,7 @@ def reference_titles(spark, sf):
     """Documents as seed files: DOIs with a title from their line or the two above."""
     d = _docs(spark, sf).selectExpr(
         "concat('f', doc_id) as file",
-        "split(concat(text, '\\n- **Bold ', doc_id, '** rest\\nplain title line\\nhttps://doi.org/10.1234/R', doc_id % 90, '), 10.1234/Q', doc_id % 3, '.\\nshort\\n2. A longer plain title here doi:10.1234/R', doc_id % 90), '\\n') as lines",
+        "split(concat(text, '\\n- x **Bold ', doc_id, '** rest\\nplain title line\\nhttps://doi.org/10.1234/R', doc_id % 90, '), 10.1234/Q', doc_id % 3, '.\\nshort\\n2. A longer plain title here doi:10.1234/S', doc_id % 90), '\\n') as lines",
     )
     lines = d.select("file", F.posexplode("lines").alias("ord", "line"))
     return R.distinct_references(R.freetext_references(lines)).select("file", "ord", "doi", "title")
@@ -157,16 +157,16 @@ def per_theme_limit(spark, sf):
 def _results(spark, sf):
     """Papers as theme results, ranked in reading order."""
     return V.papers(spark, sf).withColumns(
-        {"theme_ord": F.length("theme"), "rank_in_theme": F.col("ord")}
+        {"theme_ord": F.md5("theme"), "rank_in_theme": F.col("ord")}
     )
 
 
 def theme_merge(spark, sf):
-    return P.merge_themes(_results(spark, sf).withColumn("theme_ord", F.crc32("theme"))).select("paper_id", "theme", "ord")
+    return P.merge_themes(_results(spark, sf)).select("paper_id", "theme", "ord")
 
 
 def theme_counts(spark, sf):
-    r = _results(spark, sf).withColumn("theme_ord", F.crc32("theme"))
+    r = _results(spark, sf)
     themes = r.select("theme").distinct().unionByName(
         V.table(spark, sf, "region").select(F.col("r_name").alias("theme"))
     )
@@ -214,7 +214,7 @@ def rated_papers(spark, sf):
 
 def themed_review(spark, sf):
     """Merge, seed exclusion, batches and ratings in one plan."""
-    r = _results(spark, sf).withColumn("theme_ord", F.crc32("theme"))
+    r = _results(spark, sf)
     out = review.themed_review(r, _seeds(spark, sf), _responses(spark, sf))
     return out.select("paper_id", "theme", "batch", "pos", "relevance")
 
@@ -259,6 +259,7 @@ SEEDS_SQL = "seeds as (select * from papers where ord in (select doc_id from lab
 CHUNK = "paper_id || '_abstract_' || substr(sha256(coalesce(abstract, '')), 1, 12)"
 BATCH_SQL = """numbered as (select *, (row_number() over (partition by theme order by ord) - 1) // 10 as batch,
     cast((row_number() over (partition by theme order by ord) - 1) % 10 as integer) as pos from papers)"""
+MERGED_SQL = "merged as (select * from papers qualify row_number() over (partition by paper_id order by md5(theme), ord) = 1)"
 RATE = """case when batch % 4 = 3 or pos > 7 then 'LOW' else
     ['HIGH', 'IRRELEVANT', 'LOW', 'MEDIUM', 'LOW'][(pos + batch) % 5 + 1] end"""
 
@@ -275,7 +276,11 @@ select doc_id, unnest(case doc_id % 5 when 0 then ['GitHub classic PAT'] when 1
   when 2 then ['AWS secret access key', 'JWT'] when 3 then ['GitHub fine-grained PAT'] else [] end) as rule from documents"""),
     "abstract_shortened": (abstract_shortened, """
 select doc_id, md5(case when text = '' then '(no abstract)' when length(text) > 800 then substr(text, 1, 800) || '...' else text end) as digest from documents"""),
-    "reference_titles": (reference_titles, None),
+    "reference_titles": (reference_titles, """
+with d as (select doc_id, cast(length(text) - length(replace(text, chr(10), '')) as integer) as k from documents)
+select 'f' || doc_id as file, k + 3 as ord, '10.1234/R' || (doc_id % 90) as doi, 'Bold ' || doc_id as title from d
+union all select 'f' || doc_id, k + 3, '10.1234/Q' || (doc_id % 3), 'Bold ' || doc_id from d
+union all select 'f' || doc_id, k + 5, '10.1234/S' || (doc_id % 90), 'A longer plain title here doi:' from d"""),
     "bibtex_entries": (bibtex_entries, """
 select 'f' || doc_id as file, cast(1 as bigint) as ord, '10.1234/B' || doc_id as doi, 'Title ' || doc_id as title from documents
 union all select 'f' || doc_id, 3, '10.1234/Z', '' from documents"""),
@@ -303,8 +308,10 @@ select ord, paper_id, case when title = '' and hit then 'Work ' || substr(h, 1,
     "year_filter": (year_filter, V.with_ctes(V.PAPERS_SQL, body="select ord, year from papers where year between 1990 and 2005")),
     "per_theme_limit": (per_theme_limit, V.with_ctes(V.PAPERS_SQL, body="""
 select theme, ord, paper_id from papers qualify row_number() over (partition by theme order by ord) <= 25""")),
-    "theme_merge": (theme_merge, None),
-    "theme_counts": (theme_counts, None),
+    "theme_merge": (theme_merge, V.with_ctes(V.PAPERS_SQL, MERGED_SQL, body="select paper_id, theme, ord from merged")),
+    "theme_counts": (theme_counts, V.with_ctes(V.PAPERS_SQL, MERGED_SQL, body="""
+select t.theme, count(m.paper_id) as n_unique from (select distinct theme from papers union all select r_name from region) t
+left join merged m on m.theme = t.theme group by t.theme""")),
     "seed_anti": (seed_anti, V.with_ctes(V.PAPERS_SQL, SEEDS_SQL, body="""
 select ord, paper_id, doi from papers where doi is null or doi not in (select doi from seeds where doi is not null)""")),
     "batch_numbers": (batch_numbers, V.with_ctes(V.PAPERS_SQL, BATCH_SQL, body="select ord, theme, batch, pos from numbered")),
@@ -313,7 +320,11 @@ select doc_id, 0 as pos, ['HIGH', 'IRRELEVANT', 'LOW', 'MEDIUM'][doc_id % 4 + 1]
 union all select doc_id, 1, 'LOW', 'second' from documents where doc_id % 9 <> 8"""),
     "rated_papers": (rated_papers, V.with_ctes(V.PAPERS_SQL, BATCH_SQL, f"rated as (select *, {RATE} as relevance from numbered)", body="""
 select ord, theme, batch, pos, relevance, case when batch % 4 = 3 or pos > 7 then 'no rating returned' else 'because' end as reason from rated where relevance <> 'IRRELEVANT'""")),
-    "themed_review": (themed_review, None),
+    "themed_review": (themed_review, V.with_ctes(V.PAPERS_SQL, SEEDS_SQL, MERGED_SQL, """kept as (
+  select * from merged where doi is null or doi not in (select doi from seeds where doi is not null)),
+numbered as (select *, (row_number() over (partition by theme order by ord) - 1) // 10 as batch,
+    cast((row_number() over (partition by theme order by ord) - 1) % 10 as integer) as pos from kept)""", body=f"""
+select paper_id, theme, batch, pos, relevance from (select *, {RATE} as relevance from numbered) where relevance <> 'IRRELEVANT'""")),
     "stored_papers": (stored_papers, V.with_ctes(V.PAPERS_SQL, body=f"""
 select {CHUNK} as chunk_id, coalesce(doi, '') as doi, title, coalesce(year, 0) as year, coalesce(venue, '') as venue, 'abstract' as section,
   md5(coalesce(abstract, '')) as text, citation_count, false as verified from papers""")),
