@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 from cairn.functions.parse import strip
 
+# --- fixed values: what bytes 0x80-0x9F mean in Windows-1252, in byte order --------------
+_WINDOWS_1252 = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
+_LATIN_1 = "".join(chr(b) for b in range(0x80, 0xA0))
+
 _HEAD = 1000  # comment blocks are looked for in this many leading lines
 
 
@@ -63,10 +67,17 @@ def csv_rows(
     numbered: bool = False, pattern: str | None = None,
 ) -> DataFrame:
     """Header CSV with every column a string; ``ord`` counts data rows when asked."""
-    reader = spark.read.options(header=True, inferSchema=False, sep=sep, encoding=encoding, mode="PERMISSIVE")
+    windows = encoding.lower() in ("cp1252", "windows-1252")
+    reader = spark.read.options(
+        header=True, inferSchema=False, sep=sep, mode="PERMISSIVE",
+        encoding="ISO-8859-1" if windows else encoding,
+    )
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     rows = reader.csv(path)
+    if windows:  # Spark reads Latin-1; the 32 bytes that differ are mapped afterwards
+        mapped = [F.translate(F.col(f"`{c}`"), _LATIN_1, _WINDOWS_1252).alias(c) for c in rows.columns]
+        rows = rows.select(*mapped, "_metadata") if numbered else rows.select(*mapped)
     return _numbered(rows) if numbered else rows
 
 
@@ -138,11 +149,12 @@ def commented_table(spark: SparkSession, path: str | Sequence[str], sep: str = "
 # --- files that each bring their own header ------------------------------------------
 
 
-def cells(line: Column, width: int = 64, sep: str = ",") -> Column:
-    """One CSV line as an array of strings."""
+def with_cells(lines: DataFrame, width: int = 64, sep: str = ",") -> DataFrame:
+    """Add ``cells``, the line as an array of strings; each line is parsed once."""
     ddl = ", ".join(f"c{i} string" for i in range(width))
-    r = F.from_csv(line, ddl, {"sep": sep})
-    return F.array(*[r[f"c{i}"] for i in range(width)])
+    fields = ", ".join(f"__r.c{i}" for i in range(width))
+    parsed = lines.withColumn("__r", F.from_csv("line", ddl, {"sep": sep}))
+    return parsed.withColumn("cells", F.expr(f"array({fields})")).drop("__r")
 
 
 def _clean(c: Column) -> Column:
@@ -161,14 +173,26 @@ def header_names(*rows: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), n - 1), names)
 
 
+def _first_index(names: Column, test) -> Column:
+    """One-based index of the first column with a name that passes, NULL if none."""
+    hits = F.transform(names, lambda ns: F.exists(ns, test))
+    return F.nullif(F.array_position(hits, F.lit(True)), F.lit(0))
+
+
+def _named(names: Column, wanted: str) -> Column:
+    return _first_index(names, lambda s: s == wanted)
+
+
+def _containing(names: Column, wanted: str) -> Column:
+    return _first_index(names, lambda s: F.contains(s, F.lit(wanted)))
+
+
 def find_column(names: Column, wanted: Sequence[str], substring: bool = False) -> Column:
     """Zero-based index of the first wanted name, in the order of ``wanted``; NULL if none."""
-    hit = lambda test: F.array_position(
-        F.transform(names, lambda ns: F.exists(ns, test)), F.lit(True)
-    )
-    exact = [F.nullif(hit(lambda s, w=w: s == w), F.lit(0)) for w in wanted]
-    loose = [F.nullif(hit(lambda s, w=w: F.contains(s, F.lit(w))), F.lit(0)) for w in wanted]
-    return F.coalesce(*exact, *(loose if substring else [])) - 1
+    found = [_named(names, w) for w in wanted]
+    if substring:
+        found += [_containing(names, w) for w in wanted]
+    return F.coalesce(*found) - 1
 
 
 def per_file_columns(
@@ -185,7 +209,7 @@ def per_file_columns(
     name, used when no header answers to the concept itself.  A file without some
     concept is left out.  The header table has one row per file.
     """
-    rows = lines.withColumn("cells", cells(F.col("line"), width))
+    rows = with_cells(lines, width)
     last = max(header_rows)
     heads = (
         rows.filter(F.col("ord").isin(*header_rows))

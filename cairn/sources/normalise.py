@@ -416,11 +416,14 @@ def kanevskiy(rows: DataFrame, landing: Landing) -> DataFrame:
     return _observations(df, landing, "profile", F.lit("1"), extra, F.col("when"))
 
 
-def tsp(roster: DataFrame, members: DataFrame, landing: Landing) -> DataFrame:
+def tsp(
+    roster: DataFrame, members: DataFrame, landing: Landing, files: DataFrame | None = None
+) -> DataFrame:
     """Borehole temperature profiles: roster rows resolved to their data files.
 
     ``roster`` has ``filename, latitude, longitude, date, site_code, gtnp_id,
-    site_name, ord``; ``members`` has ``file_name, depth, temperature, ord``.
+    site_name, ord``; ``members`` has ``file_name, depth, temperature, ord``.  A plain
+    listing of ``file_name`` in ``files`` saves a pass over the members.
     """
     site = (
         roster.filter(F.col("filename") != "")
@@ -438,7 +441,9 @@ def tsp(roster: DataFrame, members: DataFrame, landing: Landing) -> DataFrame:
         )
         .drop("ord", "latitude", "longitude", "date")
     )
-    files = members.select(F.lit(landing.dataset_id).alias("dataset_id"), "file_name").distinct()
+    files = (members if files is None else files).select(
+        F.lit(landing.dataset_id).alias("dataset_id"), "file_name"
+    )
     located = resolve_by_steps(site, files).filter(F.col("when").isNotNull()).drop("dataset_id")
     stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
     df = (

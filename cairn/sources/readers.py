@@ -97,4 +97,6 @@ def read_tsp(spark: SparkSession, path: str, landing: N.Landing) -> DataFrame:
     is_roster = F.lower("file_name").contains("roster")
     roster = per_file_columns(lines.filter(is_roster), (0,), ROSTER_COLUMNS, substring=True)
     members = per_file_columns(lines.filter(~is_roster), (0,), BOREHOLE_COLUMNS, substring=True)
-    return N.tsp(roster, members, landing)
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{path}/data")
+    files = listing.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"))
+    return N.tsp(roster, members, landing, files)

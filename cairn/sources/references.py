@@ -91,7 +91,7 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     if suffix == "csv":
         found = csv_references(csv_rows(spark, path, numbered=True))
     elif suffix in ("bib", "bibtex"):
-        texts = spark.read.option("wholetext", True).text(path)  # hand-kept lists, one row each
+        texts = spark.read.text(path, wholetext=True)  # hand-kept lists, one row each
         found = bibtex_references(
             texts.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("content"))
         )
