@@ -155,10 +155,20 @@ def theme_counts(results: DataFrame, themes: DataFrame) -> DataFrame:
     )
 
 
+def _spread_doi() -> Column:
+    """Join key for a DOI that may be missing.
+
+    Rows without a DOI match nothing, but as NULL keys they would all meet in one
+    task; a key of their own scatters them.
+    """
+    return F.coalesce(F.col("doi"), F.concat(F.lit("none:"), F.coalesce("paper_id", F.lit(""))))
+
+
 def drop_seeds(papers: DataFrame, seeds: DataFrame) -> DataFrame:
     """Remove papers whose DOI is a seed; papers without a DOI stay."""
-    known = seeds.filter(F.col("doi").isNotNull()).select("doi").distinct()
-    return papers.join(known, "doi", "left_anti").select(*papers.columns)
+    known = seeds.filter(F.col("doi").isNotNull()).select(F.col("doi").alias("__doi")).distinct()
+    keyed = papers.withColumn("__doi", _spread_doi())
+    return keyed.join(known, "__doi", "left_anti").select(*papers.columns)
 
 
 def enrich(papers: DataFrame, works: DataFrame) -> DataFrame:
@@ -168,10 +178,10 @@ def enrich(papers: DataFrame, works: DataFrame) -> DataFrame:
     ``title, year, authors, venue``.
     """
     w = works.select(
-        "doi", F.lit(True).alias("w_found"),
+        F.col("doi").alias("__doi"), F.lit(True).alias("w_found"),
         *[F.col(c).alias(f"w_{c}") for c in ("title", "year", "authors", "venue")],
     )
-    joined = papers.join(w, "doi", "left")
+    joined = papers.withColumn("__doi", _spread_doi()).join(w, "__doi", "left")
     fill = {
         "title": F.coalesce(F.when(F.col("title") != "", F.col("title")), "w_title", "title"),
         "year": F.coalesce(F.when(F.col("year") != 0, F.col("year")), "w_year", "year"),
@@ -303,9 +313,13 @@ def ingest_counts(papers: DataFrame, store: DataFrame, order: Sequence[str] = ("
 
 def stored_candidates(store: DataFrame, seeds: DataFrame) -> DataFrame:
     """Stored papers for a new rating round; rows stored as seeds are left out."""
-    known = seeds.filter(F.col("doi").isNotNull()).select("doi", F.lit(True).alias("is_seed")).distinct()
+    known = seeds.filter(F.col("doi").isNotNull()).select(
+        F.col("doi").alias("__doi"), F.lit(True).alias("is_seed")
+    ).distinct()
     from_seed = F.col("chunk_id").startswith("seed") & F.col("is_seed").isNotNull()
-    rows = store.join(known, "doi", "left").filter(~from_seed)
+    no_doi = F.col("doi").isNull() | (F.col("doi") == "")
+    key = F.when(no_doi, F.concat(F.lit("none:"), "chunk_id")).otherwise(F.col("doi"))
+    rows = store.withColumn("__doi", key).join(known, "__doi", "left").filter(~from_seed)
     null_text = lambda c: F.when(F.col(c) != "", F.col(c))
     null_int = lambda c: F.when(F.col(c) != 0, F.col(c))
     shaped = rows.select(

@@ -83,9 +83,9 @@ def test_scholar_and_works(spark):
     works = P.works_snapshot(spark.createDataFrame([(work,)], "body string"))
     w = works.first()
     assert (w.doi, w.title, w.year, w.authors, w.venue) == ("10.1/a", "Work", 2001, ["A B"], "Jour")
-    papers = spark.createDataFrame([("10.1/a", "", None, [], "", False), (None, "k", 1, ["z"], None, False)], "doi string, title string, year int, authors array<string>, venue string, verified boolean")
+    papers = spark.createDataFrame([("p", "10.1/a", "", None, [], "", False), ("q", None, "k", 1, ["z"], None, False)], "paper_id string, doi string, title string, year int, authors array<string>, venue string, verified boolean")
     e = {r.doi: r for r in P.enrich(papers, works).collect()}
-    assert tuple(e["10.1/a"]) == ("10.1/a", "Work", 2001, ["A B"], "Jour", True) and not e[None].verified
+    assert tuple(e["10.1/a"]) == ("p", "10.1/a", "Work", 2001, ["A B"], "Jour", True) and not e[None].verified
 
 
 def test_ratings_parser(spark):
