@@ -116,6 +116,11 @@ def qc_records(spark, sf):
 
 # --- co-location ------------------------------------------------------------------------
 
+def half_up(column, digits):
+    """Decimal half-up rounding of a double in SQL."""
+    return f"cast(round(cast(round({column}, 10) as decimal(30, 10)), {digits}) as double)"
+
+
 PAIRS_SQL = """counted as (select variable, source_id, count(*) as n from canon group by all),
 pairs as (
   select a.variable, a.source_id as a_source, o.source_id as o_source, a.n as n_anchor, o.n as n_other
@@ -142,8 +147,9 @@ met as (
       value, avg(other_value) as other_mean, count(*) as n_near
     from near group by all)),
 scored as (
-  select *, case when interval_scale then abs(round(metric, 3)) else abs(round(metric, 3) - 1.0::double) end as strength,
-    case when interval_scale then 2.0::double else 0.2::double end as tol from met)"""
+  select *, case when interval_scale then abs(reported) else abs(reported - 1.0::double) end as strength,
+    case when interval_scale then 2.0::double else 0.2::double end as tol
+  from (select *, """ + half_up("metric", 3) + """ as reported from met))"""
 
 COLOCATE = (*CANON, PAIRS_SQL)
 
@@ -286,9 +292,9 @@ select variable, case when coalesce(n_spatial, 0) = 0 then 'cross_source_no_over
   case when variable = 'ground_temperature' then 'difference' else 'ratio' end as metric,
   round(median_metric, 9) + 0.0 as median_metric, coalesce(pair_labels, '') as pair_labels
 from providers left join tallies using (variable) left join labels using (variable)""")),
-    "cross_source_worst_sites": (cross_source_worst_sites, V.with_ctes(*COLOCATE, body="""
-select variable, rank, obs_id, anchor_source, other_source, round(latitude, 4) as lat, round(longitude, 4) as lon, n_near,
-  round(value, 4) as anchor, round(other_mean, 4) as other, round(metric, 3) as metric
+    "cross_source_worst_sites": (cross_source_worst_sites, V.with_ctes(*COLOCATE, body=f"""
+select variable, rank, obs_id, anchor_source, other_source, {half_up("latitude", 4)} as lat, {half_up("longitude", 4)} as lon, n_near,
+  {half_up("value", 4)} as anchor, {half_up("other_mean", 4)} as other, reported as metric
 from (select *, row_number() over (partition by variable order by strength desc, ord, other_source) as rank
   from scored where metric is not null and strength > tol) where rank <= 8""")),
     "assemble": (assemble, V.with_ctes(*CANON, body="""
