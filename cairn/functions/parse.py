@@ -1,5 +1,6 @@
 """Tolerant scalar parsing of messy text columns, as Column expressions."""
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -55,8 +56,21 @@ def parse_date(c: Column, formats: Sequence[str]) -> Column:
     return F.coalesce(*[_parse_one(t, f) for f in formats])
 
 
+# digits each part of a format may have
+_DIGITS = {"yyyy": r"\d{4}", "yy": r"\d{2}", "M": r"\d{1,2}", "d": r"\d{1,2}", "H": r"\d{1,2}",
+           "m": r"\d{1,2}", "HH": r"\d{2}", "mm": r"\d{2}", "ss": r"\d{2}", "MM": r"\d{2}", "dd": r"\d{2}"}
+
+
+def _shape(fmt: str) -> str:
+    """Regular expression of the texts a format can match."""
+    parts = re.findall(r"yyyy|yy|[MdHms]{1,2}|'T'|.", fmt)
+    return "^" + "".join("T" if p == "'T'" else _DIGITS.get(p, re.escape(p)) for p in parts) + "$"
+
+
 def _parse_one(t: Column, fmt: str) -> Column:
-    ts = F.try_to_timestamp(t, F.lit(fmt))
+    # the shape test keeps texts of other formats away from the parser, where each
+    # one would cost an exception
+    ts = F.when(t.rlike(_shape(fmt)), F.try_to_timestamp(t, F.lit(fmt)))
     if "yy" in fmt and "yyyy" not in fmt:  # two-digit years: 69-99 mean 1969-1999
         ts = F.when(F.year(ts) >= 2069, ts - F.expr("INTERVAL 100 YEARS")).otherwise(ts)
     return ts
