@@ -219,7 +219,7 @@ def colocate(obs: DataFrame, tol: Tolerance = Tolerance()) -> DataFrame:
     )
 
 
-def _reported(c: Column, digits: int) -> Column:
+def reported(c: Column, digits: int) -> Column:
     """Rounded for a report.  Ten digits first: the order in which a mean was summed
     must not decide on which side of a tie it falls."""
     return F.round(F.round(c, 10), digits)
@@ -227,8 +227,8 @@ def _reported(c: Column, digits: int) -> Column:
 
 def _strength() -> Column:
     """Size of a disagreement, from the reported (rounded) metric."""
-    reported = _reported(F.col("metric"), 3)
-    return F.when(F.col("interval"), F.abs(reported)).otherwise(F.abs(reported - 1.0))
+    metric = reported(F.col("metric"), 3)
+    return F.when(F.col("interval"), F.abs(metric)).otherwise(F.abs(metric - 1.0))
 
 
 def _disagrees(tol: Tolerance) -> Column:
@@ -248,10 +248,10 @@ def worst_sites(
     )
     return ranked.select(
         "variable", "rank", "obs_id", "anchor_source", "other_source",
-        _reported(F.col("latitude"), 4).alias("lat"), _reported(F.col("longitude"), 4).alias("lon"),
+        reported(F.col("latitude"), 4).alias("lat"), reported(F.col("longitude"), 4).alias("lon"),
         "depth_m",
-        _reported(F.col("value"), 4).alias("anchor"), _reported(F.col("other_mean"), 4).alias("other"),
-        "n_near", _reported(F.col("metric"), 3).alias("metric"),
+        reported(F.col("value"), 4).alias("anchor"), reported(F.col("other_mean"), 4).alias("other"),
+        "n_near", reported(F.col("metric"), 3).alias("metric"),
     )
 
 

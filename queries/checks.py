@@ -163,7 +163,7 @@ def source_pairs(spark, sf):
 def colocate_metrics(spark, sf):
     return C.colocate(canon(spark, sf)).select(
         "obs_id", "variable", "anchor_source", "other_source", "n_near",
-        F.round("other_mean", 10).alias("other_mean"), F.round("metric", 9).alias("metric"),
+        C.reported(F.col("other_mean"), 8).alias("other_mean"), C.reported(F.col("metric"), 8).alias("metric"),
     )
 
 
@@ -273,9 +273,9 @@ union all select 'citation_synthesized', 'error', 'set_' || doc_id from document
 select a.variable, a.source_id as anchor_source, o.source_id as other_source, a.n as n_anchor, o.n as n_other
 from counted a join counted o on a.variable = o.variable
   and (a.n < o.n or (a.n = o.n and a.source_id < o.source_id))""")),
-    "colocate_metrics": (colocate_metrics, V.with_ctes(*COLOCATE, body="""
-select obs_id, variable, anchor_source, other_source, n_near, round(other_mean, 10) as other_mean,
-  round(metric, 9) + 0.0 as metric from met""")),
+    "colocate_metrics": (colocate_metrics, V.with_ctes(*COLOCATE, body=f"""
+select obs_id, variable, anchor_source, other_source, n_near, {half_up("other_mean", 8)} as other_mean,
+  {half_up("metric", 8)} as metric from met""")),
     "cross_source_findings": (cross_source_findings, V.with_ctes(*COLOCATE, """labels as (
   select variable, string_agg(anchor_source || ' vs ' || other_source, ', '
       order by least(anchor_source, other_source), greatest(anchor_source, other_source)) as pair_labels
