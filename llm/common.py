@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,6 +57,11 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def widened(df: DataFrame, more: str) -> StructType:
+    """The frame's schema and more columns, for a map over its rows."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
+
+
 def fold(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(mod)).cast("int")

@@ -5,9 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, mixing
+from llm import chat, decontaminate, mixing, urls
 from llm.common import table
 
+# ---------------------------------------------------------------- 1 URL filter
+
+RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the rules decide teaches the two models; they decide the rest."""
+    host, path = urls.host_and_path(F.col("url"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", host.alias("host"), path.alias("path"))
+    pages = pages.withColumn("found", urls.longest_rule(F.col("host"), F.col("path"), RULES))
+    model = urls.fit(pages.where("found is not null").select("url", (F.col("found.verdict") == "block").alias("rejected")))
+    out = urls.judge(pages, model)
+    return out.select("page_id", "host", "path", F.col("found.rule").alias("rule"), F.coalesce("found.verdict", "verdict").alias("verdict"), "llr", "p_reject")
+
+
 # ---------------------------------------------------------------- 3 chat formatting
 
 
@@ -90,7 +105,18 @@ select doc_id, source, lang, topic, round(prob, 6) prob,
 from docs join probs using (source, lang, topic)"""
 
 
+# ---------------------------------------------------------------- 10 benchmark decontamination
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", "coverage", "contaminated", F.size("matches").alias("n_items"))
+
+
 QUERIES = {
+    "op1_url_filter": (op1_url_filter, None),
     "op3_chat_format": (op3_chat_format, OP3_SQL),
     "op6_mix_sources": (op6_mix_sources, OP6_SQL),
+    "op10_decontaminate": (op10_decontaminate, None),
 }
