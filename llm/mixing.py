@@ -54,7 +54,7 @@ def _held(cells: Column, key: Column, i: Column) -> Column:
 
 
 def fitted(cells: DataFrame, targets: Mapping[str, Mapping[str, float]], rounds: int = ROUNDS) -> DataFrame:
-    """Rake the cells (source, lang, topic, tokens): adds ``weight``, the fitted share of tokens, and ``ratio``.
+    """Rake the cells (source, lang, topic, tokens): adds ``weight``, the fitted share of tokens, ``ratio``, and ``top``, the largest ratio.
 
     The bounded cells meet in one row; each step of one aggregate rakes one dimension.  ``ratio`` (fitted over present
     share) is null for a cell without tokens.
@@ -84,9 +84,11 @@ def fitted(cells: DataFrame, targets: Mapping[str, Mapping[str, float]], rounds:
     fit = _let(shares(F.col("c")), lambda s: _let(F.array(*[goals_of(s, i) for i in range(3)]), lambda goals: F.transform(F.arrays_zip(
         s.alias("s"), F.aggregate(steps, s, lambda acc, i: rake(acc, i % 3, goals)).alias("fit")), lambda z: F.struct(
             z["s"]["keys"].alias("keys"), z["s"]["w"].alias("share"), z["fit"]["w"].alias("weight")))))
-    z = one.select(F.explode(fit).alias("z"))
+    ratio = lambda z: F.when(z["share"] > 0, z["weight"] / z["share"])
+    rows = one.select(fit.alias("fit"))
+    z = rows.select(F.array_max(F.transform("fit", ratio)).alias("top"), F.explode("fit").alias("z"))
     value = [F.substring(F.col("z.keys")[i], len(d) + 2, 2**31 - 1).alias(d) for i, d in enumerate(DIMENSIONS)]
-    return z.select(*value, F.col("z.weight").alias("weight"), F.when(F.col("z.share") > 0, F.col("z.weight") / F.col("z.share")).alias("ratio"))
+    return z.select(*value, F.col("z.weight").alias("weight"), ratio(F.col("z")).alias("ratio"), "top")
 
 
 def mixed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]], seed: int = 0, topic: Column | None = None, rounds: int = ROUNDS) -> DataFrame:
@@ -103,8 +105,7 @@ def mixed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]], seed: int
     docs = docs.withColumn("cell", cell)
     sums = docs.select("cell.*", tokens(F.col("text")).alias("tokens")).groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
     fit = fitted(sums, targets, rounds)
-    top = fit.agg(F.max("ratio").alias("top"))
-    probs = fit.crossJoin(F.broadcast(top)).select(F.struct(*DIMENSIONS).alias("cell"), F.coalesce(F.col("ratio") / F.col("top"), F.lit(1.0)).alias("prob"))
+    probs = fit.select(F.struct(*DIMENSIONS).alias("cell"), F.coalesce(F.col("ratio") / F.col("top"), F.lit(1.0)).alias("prob"))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("double") / float(2**52)
     # the cells are bounded by the targets, so is what is broadcast
     return docs.drop("prob", "kept").join(F.broadcast(probs), "cell").withColumn("kept", draw < F.col("prob"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, decontaminate, mixing, urls
-from llm.common import table
+from llm import chat, decontaminate, langid, mixing, urls
+from llm.common import fold, table
 
 # ---------------------------------------------------------------- 1 URL filter
 
@@ -105,6 +105,17 @@ select doc_id, source, lang, topic, round(prob, 6) prob,
 from docs join probs using (source, lang, topic)"""
 
 
+# ---------------------------------------------------------------- 8 language ID
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = (fold(F.col("doc_id"), 4) == 2).alias("held_out")
+    model = langid.fit(docs.where(~held))
+    out = langid.identified(docs.select("doc_id", held, "text"), model)
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
 # ---------------------------------------------------------------- 10 benchmark decontamination
 
 
@@ -118,5 +129,6 @@ QUERIES = {
     "op1_url_filter": (op1_url_filter, None),
     "op3_chat_format": (op3_chat_format, OP3_SQL),
     "op6_mix_sources": (op6_mix_sources, OP6_SQL),
+    "op8_language_id": (op8_language_id, None),
     "op10_decontaminate": (op10_decontaminate, None),
 }
