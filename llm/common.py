@@ -176,6 +176,26 @@ def unpack_counts(blob: bytes) -> np.ndarray:
     return out
 
 
+# ---------------------------------------------------------------- calibration
+
+
+def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float]:
+    """Logistic regression of one score by Newton's method; the targets are smoothed, so separable data stay finite."""
+    up, down = y.sum(), len(y) - y.sum()
+    t = np.where(y > 0, (up + 1) / (up + 2), 1 / (down + 2))
+    a, b = 1.0, 0.0
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(a * x + b, -50, 50)))
+        g = np.array([((t - p) * x).sum(), (t - p).sum()])
+        w = p * (1 - p)
+        h = np.array([[(w * x * x).sum() + 1e-6, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-6]])
+        step = np.linalg.solve(h, g)
+        a, b = a + step[0], b + step[1]
+        if np.abs(step).max() < 1e-9:
+            break
+    return float(a), float(b)
+
+
 # ---------------------------------------------------------------- corpus-wide counts, block by block
 
 

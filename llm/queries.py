@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, decontaminate, langid, mixing, urls
+from llm import chat, decontaminate, langid, mixing, toxicity, urls
 from llm.common import fold, table
 
 # ---------------------------------------------------------------- 1 URL filter
@@ -116,6 +116,17 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+# ---------------------------------------------------------------- 9 toxicity
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = (fold(F.col("doc_id"), 3) == 1).alias("held_out")
+    model = toxicity.fit(docs, labels.where(~held))
+    out = toxicity.scored(docs.select("doc_id", held, "text"), model)
+    return out.select("doc_id", "held_out", F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.7).cast("int").alias("predicted"), "weight")
+
+
 # ---------------------------------------------------------------- 10 benchmark decontamination
 
 
@@ -130,5 +141,6 @@ QUERIES = {
     "op3_chat_format": (op3_chat_format, OP3_SQL),
     "op6_mix_sources": (op6_mix_sources, OP6_SQL),
     "op8_language_id": (op8_language_id, None),
+    "op9_toxicity": (op9_toxicity, None),
     "op10_decontaminate": (op10_decontaminate, None),
 }
