@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, decontaminate, langid, mixing, toxicity, urls
+from llm import chat, decontaminate, extract, langid, mixing, toxicity, urls
 from llm.common import fold, table
 
 # ---------------------------------------------------------------- 1 URL filter
@@ -23,6 +23,15 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", F.col("found.rule").alias("rule"), F.coalesce("found.verdict", "verdict").alias("verdict"), "llr", "p_reject")
 
 
+# ---------------------------------------------------------------- 2 HTML extraction
+
+
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = extract.extracted(pages, extract.fit(pages))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 # ---------------------------------------------------------------- 3 chat formatting
 
 
@@ -138,6 +147,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": (op1_url_filter, None),
+    "op2_html_extract": (op2_html_extract, None),
     "op3_chat_format": (op3_chat_format, OP3_SQL),
     "op6_mix_sources": (op6_mix_sources, OP6_SQL),
     "op8_language_id": (op8_language_id, None),
