@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, decontaminate, extract, langid, mixing, toxicity, urls
+from llm import chat, decontaminate, extract, jaccard, langid, mixing, toxicity, urls
 from llm.common import fold, table
 
 # ---------------------------------------------------------------- 1 URL filter
@@ -67,6 +67,13 @@ select conv_id, count(*) n_turns,
     or (before = 'user' and role = 'assistant')) and arg_max(role, (turn, role, text)) in ('user', 'assistant') as valid
 from n group by conv_id"""
 
+# ---------------------------------------------------------------- 5 n-gram Jaccard join
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(table(spark, sf_dir, "documents").select("doc_id", "text"), width=4, num=85, den=100)
+
+
 # ---------------------------------------------------------------- 6 mixing
 
 TARGETS = {
@@ -149,6 +156,7 @@ QUERIES = {
     "op1_url_filter": (op1_url_filter, None),
     "op2_html_extract": (op2_html_extract, None),
     "op3_chat_format": (op3_chat_format, OP3_SQL),
+    "op5_jaccard_join": (op5_jaccard_join, None),
     "op6_mix_sources": (op6_mix_sources, OP6_SQL),
     "op8_language_id": (op8_language_id, None),
     "op9_toxicity": (op9_toxicity, None),
