@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, decontaminate, extract, jaccard, langid, mixing, toxicity, urls
+from llm import chat, decontaminate, embeddings, extract, jaccard, langid, mixing, toxicity, urls
 from llm.common import fold, table
 
 # ---------------------------------------------------------------- 1 URL filter
@@ -121,6 +121,13 @@ select doc_id, source, lang, topic, round(prob, 6) prob,
 from docs join probs using (source, lang, topic)"""
 
 
+# ---------------------------------------------------------------- 7 embedding near-duplicates
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.deduplicated(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 0.95)
+
+
 # ---------------------------------------------------------------- 8 language ID
 
 
@@ -158,6 +165,7 @@ QUERIES = {
     "op3_chat_format": (op3_chat_format, OP3_SQL),
     "op5_jaccard_join": (op5_jaccard_join, None),
     "op6_mix_sources": (op6_mix_sources, OP6_SQL),
+    "op7_embedding_dedup": (op7_embedding_dedup, None),
     "op8_language_id": (op8_language_id, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_decontaminate": (op10_decontaminate, None),
