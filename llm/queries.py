@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, decontaminate, embeddings, extract, jaccard, langid, mixing, toxicity, urls
+from llm import chat, decontaminate, embeddings, extract, jaccard, langid, lm, mixing, toxicity, urls
 from llm.common import fold, table
 
 # ---------------------------------------------------------------- 1 URL filter
@@ -67,6 +67,14 @@ select conv_id, count(*) n_turns,
     or (before = 'user' and role = 'assistant')) and arg_max(role, (turn, role, text)) in ('user', 'assistant') as valid
 from n group by conv_id"""
 
+# ---------------------------------------------------------------- 4 language-model scoring
+
+
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = (fold(F.col("doc_id"), 7) == 2).alias("held_out")
+    return lm.scored(table(spark, sf_dir, "documents").select("doc_id", "text", held))
+
+
 # ---------------------------------------------------------------- 5 n-gram Jaccard join
 
 
@@ -163,6 +171,7 @@ QUERIES = {
     "op1_url_filter": (op1_url_filter, None),
     "op2_html_extract": (op2_html_extract, None),
     "op3_chat_format": (op3_chat_format, OP3_SQL),
+    "op4_lm_score": (op4_lm_score, None),
     "op5_jaccard_join": (op5_jaccard_join, None),
     "op6_mix_sources": (op6_mix_sources, OP6_SQL),
     "op7_embedding_dedup": (op7_embedding_dedup, None),
