@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.common import WORD
@@ -54,10 +54,10 @@ def _held(cells: Column, key: Column, i: Column) -> Column:
 
 
 def fitted(cells: DataFrame, targets: Mapping[str, Mapping[str, float]], rounds: int = ROUNDS) -> DataFrame:
-    """Rake the cells (source, lang, topic, tokens): adds ``weight``, the fitted share of tokens, ``ratio``, and ``top``, the largest ratio.
+    """Rake the cells (source, lang, topic, tokens): returns their ``share`` of all tokens, the fitted ``weight`` and the ``ratio`` of the two.
 
-    The bounded cells meet in one row; each step of one aggregate rakes one dimension.  ``ratio`` (fitted over present
-    share) is null for a cell without tokens.
+    The bounded cells meet in one row; each step of one aggregate rakes one dimension.  ``ratio`` is null for a cell
+    without tokens.
     """
     keys = F.array(*[F.concat(F.lit(f"{d}|"), F.col(d)) for d in DIMENSIONS])
     one = cells.agg(F.array_sort(F.collect_list(F.struct(keys.alias("keys"), F.col("tokens").cast("double").alias("w")))).alias("c"))
@@ -84,18 +84,34 @@ def fitted(cells: DataFrame, targets: Mapping[str, Mapping[str, float]], rounds:
     fit = _let(shares(F.col("c")), lambda s: _let(F.array(*[goals_of(s, i) for i in range(3)]), lambda goals: F.transform(F.arrays_zip(
         s.alias("s"), F.aggregate(steps, s, lambda acc, i: rake(acc, i % 3, goals)).alias("fit")), lambda z: F.struct(
             z["s"]["keys"].alias("keys"), z["s"]["w"].alias("share"), z["fit"]["w"].alias("weight")))))
-    ratio = lambda z: F.when(z["share"] > 0, z["weight"] / z["share"])
-    rows = one.select(fit.alias("fit"))
-    z = rows.select(F.array_max(F.transform("fit", ratio)).alias("top"), F.explode("fit").alias("z"))
+    z = one.select(F.explode(fit).alias("z"))
     value = [F.substring(F.col("z.keys")[i], len(d) + 2, 2**31 - 1).alias(d) for i, d in enumerate(DIMENSIONS)]
-    return z.select(*value, F.col("z.weight").alias("weight"), ratio(F.col("z")).alias("ratio"), "top")
+    return z.select(*value, F.col("z.share").alias("share"), F.col("z.weight").alias("weight"), F.when(F.col("z.share") > 0, F.col("z.weight") / F.col("z.share")).alias("ratio"))
 
 
-def mixed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]], seed: int = 0, topic: Column | None = None, rounds: int = ROUNDS) -> DataFrame:
+def calibrated(fit: DataFrame, keep: float) -> DataFrame:
+    """The cells with ``prob`` = min(1, scale * ratio), the scale such that ``keep`` of all tokens are expected.
+
+    Going down the ratios, the cells above are kept whole and the scale spreads what they leave over the rest; the
+    first cell that the scale does not overfill settles it.  The windows run over the bounded cells only.
+    """
+    down = Window.orderBy(F.desc("ratio"), *DIMENSIONS)
+    held = fit.where("ratio is not null")
+    held = held.withColumns({
+        "full": F.coalesce(F.sum("share").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)),
+        "rest": F.sum("weight").over(down.rowsBetween(0, Window.unboundedFollowing)),
+    }).withColumn("scale", (F.lit(float(keep)) - F.col("full")) / F.when(F.col("rest") > 0, F.col("rest")))
+    fits = F.when(F.col("scale") * F.col("ratio") <= 1, F.col("scale"))
+    every = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    held = held.withColumn("prob", F.least(F.lit(1.0), F.coalesce(F.first(fits, ignorenulls=True).over(every) * F.col("ratio"), F.lit(1.0))))
+    return held.select(*DIMENSIONS, "prob").union(fit.where("ratio is null").select(*DIMENSIONS, F.lit(1.0)))
+
+
+def mixed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]], keep: float = 0.5, seed: int = 0, topic: Column | None = None, rounds: int = ROUNDS) -> DataFrame:
     """The documents with ``cell`` (struct), ``prob`` and ``kept``; columns of those names are replaced.
 
-    ``prob`` is the cell's ratio over the largest ratio: the largest sample without repeats whose expected token
-    shares are the fitted ones.  The draw is the md5 of seed and id, so a task that runs again draws the same.
+    The expected tokens are ``keep`` of all, in the fitted shares unless a cell has too few tokens for its part and is
+    kept whole.  The draw is the md5 of seed and id, so a task that runs again draws the same.
     """
     topic = topic_of(F.col("text")) if topic is None else topic
     cell = F.struct(
@@ -105,7 +121,7 @@ def mixed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]], seed: int
     docs = docs.withColumn("cell", cell)
     sums = docs.select("cell.*", tokens(F.col("text")).alias("tokens")).groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
     fit = fitted(sums, targets, rounds)
-    probs = fit.select(F.struct(*DIMENSIONS).alias("cell"), F.coalesce(F.col("ratio") / F.col("top"), F.lit(1.0)).alias("prob"))
+    probs = calibrated(fit, keep).select(F.struct(*DIMENSIONS).alias("cell"), "prob")
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("double") / float(2**52)
     # the cells are bounded by the targets, so is what is broadcast
     return docs.drop("prob", "kept").join(F.broadcast(probs), "cell").withColumn("kept", draw < F.col("prob"))

@@ -122,8 +122,12 @@ goals as (select d, v, case when t is null then p else t / total * (1 - free) en
 it as (select 0 k, source, lang, topic, tokens, w from shares union all
   select k + 1, source, lang, topic, tokens, w from (
     with a as ({_rake('source', 'it')}), b as ({_rake('lang', 'a')}), c as ({_rake('topic', 'b')}) select * from c) where k < {mixing.ROUNDS}),
-fit as (select source, lang, topic, case when tokens > 0 then w / (tokens / sum(tokens) over ()) end ratio from it where k = {mixing.ROUNDS}),
-probs as (select source, lang, topic, coalesce(ratio / max(ratio) over (), 1.0) prob from fit)
+fit as (select source, lang, topic, w, tokens / sum(tokens) over () share, case when tokens > 0 then w / (tokens / sum(tokens) over ()) end ratio from it where k = {mixing.ROUNDS}),
+cum as (select *, coalesce(sum(share) over (order by ratio desc, source, lang, topic rows between unbounded preceding and 1 preceding), 0) filled,
+  sum(w) over (order by ratio desc, source, lang, topic rows between current row and unbounded following) rest from fit where ratio is not null),
+scales as (select *, (0.5 - filled) / nullif(rest, 0) scale from cum),
+chosen as (select arg_max(scale, ratio) scale from scales where scale * ratio <= 1),
+probs as (select source, lang, topic, coalesce(least(1.0, (select scale from chosen) * ratio), 1.0) prob from fit)
 select doc_id, source, lang, topic, round(prob, 6) prob,
   cast(('0x' || substr(md5('6|' || coalesce(cast(doc_id as varchar), '')), 1, 13)) as ubigint)::double / 4503599627370496.0 < prob kept
 from docs join probs using (source, lang, topic)"""
