@@ -146,15 +146,16 @@ class Model:
         """(texts, languages) log-likelihood of the whole texts, and the letters they have."""
         codes, offsets, words = split_words(texts)
         runs = [letter_runs(w) for w in words.to_pylist()]
-        flat = sorted({r for rs in runs for r in rs}, key=len)
-        number, score = {r: i for i, r in enumerate(flat)}, np.zeros((len(flat), len(self.langs)))
-        for i in range(0, len(flat), 20_000):
-            score[i : i + 20_000] = np.log(self.forward(self.pieces.lattice(flat[i : i + 20_000])))
-        per = np.zeros((len(runs), len(self.langs) + 1))
-        for i, rs in enumerate(runs):
-            for r in rs:
-                per[i, :-1] += score[number[r]]
-                per[i, -1] += len(r.removeprefix(MARK))
+        who = np.repeat(np.arange(len(runs)), np.fromiter(map(len, runs), np.int64, len(runs)))
+        number: dict[str, int] = {}
+        which = np.array([number.setdefault(r, len(number)) for rs in runs for r in rs], np.int64)
+        flat, score = list(number), np.zeros((len(number), len(self.langs) + 1))
+        by = sorted(range(len(flat)), key=lambda i: len(flat[i]))
+        for i in range(0, len(by), 20_000):
+            part = by[i : i + 20_000]
+            score[part, :-1] = np.log(self.forward(self.pieces.lattice([flat[k] for k in part])))
+        score[:, -1] = [len(r) - (r[0] == MARK) for r in flat]
+        per = np.stack([np.bincount(who, score[which, k], len(runs)) for k in range(score.shape[1])], 1)
         cum = np.concatenate([np.zeros((1, per.shape[1])), np.cumsum(per[codes], axis=0)])
         total = cum[offsets[1:]] - cum[offsets[:-1]]
         return total[:, :-1], np.rint(total[:, -1])
