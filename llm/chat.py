@@ -54,14 +54,14 @@ def unescaped(text: Column, t: Template = DEFAULT) -> Column:
 
 
 def _state(roles: Column, t: Template) -> Column:
-    """Run the machine over the roles: a struct of the state (null once refused) and the place of the refusal."""
+    """Run the machine over the roles: a struct of the state (empty once refused) and the place of the refusal."""
     zero = F.struct(F.lit(t.start).alias("state"), F.lit(0).alias("at"), F.lit(None).cast("int").alias("bad"))
 
     def step(acc, role):
-        nxt = F.lit(None).cast("string")
+        nxt = F.lit("")
         for (state, name), to in t.moves.items():
             nxt = F.when((acc["state"] == state) & (role == name), to).otherwise(nxt)
-        return F.struct(nxt.alias("state"), (acc["at"] + 1).alias("at"), F.coalesce(acc["bad"], F.when(nxt.isNull(), acc["at"])).alias("bad"))
+        return F.struct(nxt.alias("state"), (acc["at"] + 1).alias("at"), F.coalesce(acc["bad"], F.when(nxt == "", acc["at"])).alias("bad"))
 
     return F.aggregate(roles, zero, step)
 
