@@ -152,9 +152,11 @@ def matches(texts, seeds: Seeds) -> list[list[dict]]:
     pos, item, at = seeds.hits(keys, offsets)
     doc = np.searchsorted(offsets, pos, "right") - 1
     out: list[list[dict]] = [[] for _ in range(len(offsets) - 1)]
+    if not len(doc):
+        return out
     by = np.lexsort((item, doc))
     pos, item, at, doc = pos[by], item[by], at[by], doc[by]
-    cut = np.nonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(item) != 0)]))[0] if len(doc) else []
+    cut = np.nonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(item) != 0)]))[0]
     for a, b in zip(cut, [*cut[1:], len(doc)], strict=True):
         x, it = int(doc[a]), seeds.items[item[a]]
         got = tiles(keys[offsets[x] : offsets[x + 1]], it, pos[a:b] - offsets[x], at[a:b], min(seeds.min_match, len(it)))

@@ -289,7 +289,8 @@ def block_scores(texts, counts: list[np.ndarray], total: int, kinds: int, order:
         score.append(s)
     best = score[0][w]
     for n in range(1, order):
-        best = np.where(ev.has[n], score[n][np.maximum(ev.place[n], 0)], best)
+        if len(score[n]):  # texts of one token have no longer n-gram
+            best = np.where(ev.has[n], score[n][np.maximum(ev.place[n], 0)], best)
     trie.close()
     return size, known, base, np.bincount(ev.owner, best, docs)
 
