@@ -16,8 +16,6 @@ from cairn.functions.parse import strip
 _WINDOWS_1252 = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
 _LATIN_1 = "".join(chr(b) for b in range(0x80, 0xA0))
 
-_HEAD = 1000  # comment blocks are looked for in this many leading lines
-
 
 def _numbered(rows: DataFrame) -> DataFrame:
     """Add ``ord``, the zero-based row number in the file.
@@ -45,69 +43,140 @@ def _numbered(rows: DataFrame) -> DataFrame:
     return (
         here.join(splits, ["__file", "__block"])
         .withColumn("ord", F.col("__at") - F.col("__first") + F.col("__before"))
-        .drop("__block", "__at", "__first", "__before")
-        .withColumnRenamed("__file", "file")
+        .drop("__at", "__first", "__before")
+        .withColumnsRenamed({"__file": "file", "__block": "split"})
     )
 
 
-def text_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8", pattern: str | None = None) -> DataFrame:
-    """``file, file_name, ord, line``; a leading byte-order mark is removed."""
-    reader = spark.read.option("encoding", encoding)
+_WINDOWS_NAMES = ("cp1252", "windows-1252")
+
+
+def _decoded(lines: DataFrame, encoding: str) -> DataFrame:
+    """The text reader keeps the bytes of a line; other encodings are decoded from them.
+
+    Windows-1252 is read as Latin-1, and the 32 bytes that differ are mapped afterwards.
+    """
+    if encoding.lower().replace("-", "") == "utf8":
+        return lines
+    if encoding.lower() in _WINDOWS_NAMES:
+        return lines.withColumn("line", F.translate(F.decode(F.col("line").cast("binary"), "ISO-8859-1"), _LATIN_1, _WINDOWS_1252))
+    return lines.withColumn("line", F.decode(F.col("line").cast("binary"), encoding))
+
+
+def text_lines(
+    spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8", pattern: str | None = None,
+    recursive: bool = False, splits: bool = False,
+) -> DataFrame:
+    """``file, file_name, ord, line``, and ``split`` when asked; a leading byte-order mark is removed."""
+    reader = spark.read.option("recursiveFileLookup", recursive)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     lines = _numbered(reader.text(path).withColumnRenamed("value", "line"))
+    if not splits:
+        lines = lines.drop("split")
+    lines = _decoded(lines, encoding)
     clean = F.regexp_replace("line", "\\r$", "")
     return lines.withColumn(
         "line", F.when(F.col("ord") == 0, F.regexp_replace(clean, "^﻿", "")).otherwise(clean)
     )
 
 
+def _running(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add the sum of ``value`` over all earlier lines of the file: within the split, and of earlier splits."""
+    here = Window.partitionBy("file", "split").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__v", value.cast("long"))
+    splits = rows.groupBy("file", "split").agg(F.sum("__v").alias("__n")).select(
+        "file", "split", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")
+    )
+    return (
+        rows.withColumn("__in", F.coalesce(F.sum("__v").over(here), F.lit(0)))
+        .join(splits, ["file", "split"])
+        .withColumn(name, F.col("__in") + F.col("__before"))
+        .drop("__v", "__in", "__before")
+    )
+
+
+def logical_records(lines: DataFrame) -> DataFrame:
+    """Records of ``file, file_name, split, ord, line``: a quoted line break does not end one.
+
+    A line starts a record if an even number of quotes stands before it in its file.  Lines that are a whole record
+    stay where they are; only the lines of broken records are gathered, record by record.  Blank records do not
+    count.  Adds ``record``, the zero-based number of the record in its file.
+    """
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"')))
+    rows = _running(lines, quotes % 2, "__open").withColumn("__first", F.col("__open") % 2 == 0)
+    rows = _running(rows, (F.col("__first") & (strip(F.col("line")) != "")).cast("int"), "__number")
+    rows = rows.withColumn("record", F.when(F.col("__first"), F.col("__number")).otherwise(F.col("__number") - 1))
+    alone = F.col("__first") & (quotes % 2 == 0)
+    whole = rows.filter(alone & (strip(F.col("line")) != "")).select("file", "file_name", "record", "line")
+    parts = F.array_sort(F.collect_list(F.struct("ord", "line")))
+    broken = rows.filter(~alone).groupBy("file", "file_name", "record").agg(parts.alias("p")).select(
+        "file", "file_name", "record", F.array_join(F.transform("p", lambda r: r["line"]), "\n").alias("line")
+    )
+    return whole.unionByName(broken)
+
+
+def _by_header(rows: DataFrame, heads: DataFrame, sep: str, carry: Sequence[str]) -> DataFrame:
+    """Columns by name from each file's own header; a name a file lacks is NULL there.
+
+    ``heads`` is ``file, line``.  The distinct header lines come to the driver, as column names must.
+    """
+    heads = with_cells(heads, sep).select("file", F.transform("cells", lambda c: strip(F.coalesce(c, F.lit("")))).alias("names"))
+    names: list[str] = []
+    for r in heads.select("names").distinct().collect():
+        names += [n for n in _unique(list(r["names"])) if n not in names]
+    lists = _renamed(heads)
+    cells = with_cells(rows, sep).join(lists, "file")
+    at = lambda n: F.nullif(F.array_position("__names", F.lit(n)), F.lit(0)) - 1
+    return cells.select(*carry, *[F.get("cells", at(n)).alias(n) for n in names])
+
+
+def _renamed(heads: DataFrame) -> DataFrame:
+    """``file, __names``: header names with duplicates renamed as ``_unique`` does."""
+    left = F.transform("names", lambda n, i: F.size(F.filter(F.col("names"), lambda m, j: (m == n) & (j > i))))
+    return heads.select("file", F.zip_with("names", left, lambda n, k: F.when(k > 0, F.concat(n, F.lit("#"), k.cast("string"))).otherwise(n)).alias("__names"))
+
+
 def csv_rows(
     spark: SparkSession, path: str | Sequence[str], sep: str = ",", encoding: str = "UTF-8",
-    numbered: bool = False, pattern: str | None = None,
+    numbered: bool = False, pattern: str | None = None, recursive: bool = False,
 ) -> DataFrame:
-    """Header CSV with every column a string; ``ord`` counts data rows when asked."""
-    windows = encoding.lower() in ("cp1252", "windows-1252")
-    reader = spark.read.options(
-        header=True, inferSchema=False, sep=sep, mode="PERMISSIVE",
-        encoding="ISO-8859-1" if windows else encoding,
-    )
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    rows = reader.csv(path)
-    if windows:  # Spark reads Latin-1; the 32 bytes that differ are mapped afterwards
-        mapped = [F.translate(F.col(f"`{c}`"), _LATIN_1, _WINDOWS_1252).alias(c) for c in rows.columns]
-        rows = rows.select(*mapped, "_metadata") if numbered else rows.select(*mapped)
-    return _numbered(rows) if numbered else rows
+    """Header CSV with every column a string; ``ord`` counts data rows when asked.
+
+    Each file is read by its own header; quoted line breaks stay inside their field.  ``file`` and ``file_name``
+    come with ``ord``.
+    """
+    records = logical_records(text_lines(spark, path, encoding, pattern, recursive, splits=True))
+    heads = records.filter("record = 0").select("file", "line")
+    rows = records.filter("record > 0").withColumn("ord", F.col("record") - 1)
+    return _by_header(rows, heads, sep, ("file", "file_name", "ord") if numbered else ())
 
 
 def _drop_comment_block(lines: DataFrame) -> DataFrame:
-    """Split off the leading ``/* */`` block of every file: adds ``start``, its first data line."""
+    """Split off the leading ``/* */`` block of every file: adds ``start``, its first data line.
+
+    Only the lines that open or close a block are ordered, so a block may have any length.
+    """
     t = strip(F.col("line"))
     opens, closes = t.startswith("/*"), t.endswith("*/")
-    state = F.when(closes, F.lit(False)).when(opens, F.lit(True))
-    before = Window.partitionBy("file").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-    head = lines.filter(F.col("ord") < _HEAD)
-    inside = F.coalesce(F.last(state, ignorenulls=True).over(before), F.lit(False))
-    starts = (
-        head.withColumn("comment", inside | opens)
-        .filter(~F.col("comment"))
-        .groupBy("file")
-        .agg(F.min("ord").alias("start"))
+    by = Window.partitionBy("file").orderBy("ord")
+    marks = lines.filter(opens | closes).select("file", "ord", opens.alias("o"), (opens & ~closes).alias("inside"))
+    marks = marks.withColumns({"before": F.coalesce(F.lag("inside").over(by), F.lit(False)), "next": F.lead("ord").over(by)})
+    data = F.when(~F.col("before") & ~F.col("o"), F.col("ord")).when(
+        ~F.col("inside") & (F.col("next").isNull() | (F.col("next") > F.col("ord") + 1)), F.col("ord") + 1
     )
+    plain = lines.filter((F.col("ord") == 0) & ~opens).select("file", F.lit(0).cast("long").alias("start"))
+    starts = marks.select("file", data.cast("long").alias("start")).unionByName(plain).groupBy("file").agg(F.min("start").alias("start"))
     return lines.join(starts, "file")
 
 
 def comment_block(lines: DataFrame) -> DataFrame:
-    """``file, native_metadata``: the leading comment block of each file as text.
-
-    A block is the lines up to the first ``*/``, bounded by the header window.
-    """
+    """``file, native_metadata``: the leading comment block of each file as text, up to the first ``*/``."""
     t = strip(F.col("line"))
-    head = lines.filter(F.col("ord") < _HEAD)
-    end = head.filter(t.contains("*/")).groupBy("file").agg(F.min("ord").alias("end"))
-    opened = head.filter((F.col("ord") == 0) & F.col("line").startswith("/*")).select("file")
-    block = head.join(end, "file").join(opened, "file", "left_semi").filter(F.col("ord") <= F.col("end"))
+    opened = lines.filter((F.col("ord") == 0) & F.col("line").startswith("/*")).select("file")
+    end = lines.filter(t.contains("*/")).groupBy("file").agg(F.min("ord").alias("end")).join(opened, "file", "left_semi")
+    block = lines.join(end, "file").filter(F.col("ord") <= F.col("end"))
     rows = F.array_sort(F.collect_list(F.struct("ord", "line")))
     text = F.array_join(F.transform(rows, lambda r: r["line"]), "\n")
     return block.groupBy("file").agg(
@@ -126,35 +195,25 @@ def _unique(names: Sequence[str]) -> list[str]:
 
 
 def commented_table(spark: SparkSession, path: str | Sequence[str], sep: str = "\t") -> DataFrame:
-    """Header table behind a comment block; all files must share one header.
-
-    Only header lines come to the driver, and only two distinct ones at most.
-    """
+    """Header table behind a comment block; each file is read by its own header."""
     lines = _drop_comment_block(text_lines(spark, path))
-    headers = [
-        r["line"] for r in lines.filter("ord = start").select("line").distinct().limit(2).collect()
-    ]
-    if len(headers) != 1:
-        raise ValueError(f"expected one shared header, found {len(headers)} under {path}")
-    names = _unique([h.strip() for h in headers[0].split(sep)])
-    ddl = ", ".join(f"`{n}` string" for n in names)
-    parsed = F.from_csv("line", ddl, {"sep": sep})
-    return (
-        lines.filter((F.col("ord") > F.col("start")) & (strip(F.col("line")) != ""))
-        .select("file_name", "ord", parsed.alias("r"))
-        .select("file_name", "ord", "r.*")
-    )
+    heads = lines.filter("ord = start").select("file", "line")
+    rows = lines.filter((F.col("ord") > F.col("start")) & (strip(F.col("line")) != ""))
+    return _by_header(rows, heads, sep, ("file_name", "ord"))
 
 
 # --- files that each bring their own header ------------------------------------------
 
 
-def with_cells(lines: DataFrame, width: int = 64, sep: str = ",") -> DataFrame:
-    """Add ``cells``, the line as an array of strings; each line is parsed once."""
-    ddl = ", ".join(f"c{i} string" for i in range(width))
-    fields = ", ".join(f"__r.c{i}" for i in range(width))
-    parsed = lines.withColumn("__r", F.from_csv("line", ddl, {"sep": sep}))
-    return parsed.withColumn("cells", F.expr(f"array({fields})")).drop("__r")
+def with_cells(lines: DataFrame, sep: str = ",") -> DataFrame:
+    """Add ``cells``, the line as an array of strings, however many; separators inside quotes do not split."""
+    bare = f"[^{sep}]*+"
+    field = f'("(?:[^"]++|"")*+"{bare}|{bare}){sep}'
+    cells = F.regexp_extract_all(F.concat("line", F.lit(sep)), F.lit(field), 1)
+    plain = F.transform(cells, lambda c: F.when(
+        c.startswith('"'), F.replace(F.regexp_replace(c, r'(?s)^"((?:[^"]++|"")*+)".*$', "$1"), F.lit('""'), F.lit('"'))
+    ).otherwise(F.nullif(c, F.lit(""))))
+    return lines.withColumn("cells", plain)
 
 
 def _clean(c: Column) -> Column:
@@ -201,16 +260,30 @@ def per_file_columns(
     concepts: Mapping[str, Sequence[str]],
     substring: bool = False,
     position_fallback: Mapping[str, tuple[str, int]] | None = None,
-    width: int = 64,
+    required: Sequence[str] | None = None,
 ) -> DataFrame:
     """Data rows with one text column per concept, resolved against each file's header.
 
     ``position_fallback`` gives a concept the column at an offset from a header
-    name, used when no header answers to the concept itself.  A file without some
-    concept is left out.  The header table has one row per file.
+    name, used when no header answers to the concept itself.  A concept that is not
+    ``required`` reads as blank where a file lacks it; a file without a required one
+    is left out, and ``missing_concepts`` names it.  All are required by default.
     """
-    rows = with_cells(lines, width)
-    last = max(header_rows)
+    rows = with_cells(lines)
+    heads = _concept_places(rows, header_rows, concepts, substring, position_fallback)
+    heads = heads.dropna(subset=[f"__{k}" for k in (concepts if required is None else required)])
+    return (
+        rows.filter(F.col("ord") > max(header_rows))
+        .join(heads, "file")
+        .select(
+            "file", "file_name", "ord",
+            *[strip(F.coalesce(F.get("cells", F.col(f"__{k}")), F.lit(""))).alias(k) for k in concepts],
+        )
+    )
+
+
+def _concept_places(rows, header_rows, concepts, substring, position_fallback) -> DataFrame:
+    """``file`` and the zero-based place of each concept, NULL where the header has none; one row per file."""
     heads = (
         rows.filter(F.col("ord").isin(*header_rows))
         .groupBy("file")
@@ -225,12 +298,14 @@ def per_file_columns(
             anchor, offset = position_fallback[concept]
             found = F.coalesce(found, find_column(F.col("names"), [anchor]) + offset)
         index[concept] = found
-    heads = heads.select("file", *[c.alias(f"__{k}") for k, c in index.items()]).dropna()
-    return (
-        rows.filter(F.col("ord") > last)
-        .join(heads, "file")
-        .select(
-            "file", "file_name", "ord",
-            *[strip(F.coalesce(F.get("cells", F.col(f"__{k}")), F.lit(""))).alias(k) for k in concepts],
-        )
-    )
+    return heads.select("file", *[c.alias(f"__{k}") for k, c in index.items()])
+
+
+def missing_concepts(
+    lines: DataFrame, header_rows: Sequence[int], concepts: Mapping[str, Sequence[str]], substring: bool = False,
+    position_fallback: Mapping[str, tuple[str, int]] | None = None,
+) -> DataFrame:
+    """``file, concept`` for every concept that a file's header does not have."""
+    heads = _concept_places(with_cells(lines), header_rows, concepts, substring, position_fallback)
+    lacking = F.filter(F.array(*[F.when(F.col(f"__{k}").isNull(), F.lit(k)) for k in concepts]), lambda k: k.isNotNull())
+    return heads.select("file", F.explode(lacking).alias("concept"))

@@ -95,7 +95,7 @@ def read_tsp(spark: SparkSession, path: str, landing: N.Landing) -> DataFrame:
     """A roster and one file per borehole, each with its own header."""
     lines = text_lines(spark, f"{path}/data", pattern="*.csv").filter(strip(F.col("line")) != "")
     is_roster = F.lower("file_name").contains("roster")
-    roster = per_file_columns(lines.filter(is_roster), (0,), ROSTER_COLUMNS, substring=True)
+    roster = per_file_columns(lines.filter(is_roster), (0,), ROSTER_COLUMNS, substring=True, required=("filename",))
     members = per_file_columns(lines.filter(~is_roster), (0,), BOREHOLE_COLUMNS, substring=True)
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{path}/data")
     files = listing.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"))

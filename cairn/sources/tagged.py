@@ -62,7 +62,7 @@ def tag_map(all_fields: Column) -> Column:
     entries = F.transform(
         all_fields,
         lambda f: F.struct(
-            F.substring(f, 1, 2).alias("tag"), _lines(F.substring(f, 4, 2**30)).alias("lines")
+            F.substring(f, 1, 2).alias("tag"), _lines(f.substr(F.lit(4), F.length(f))).alias("lines")
         ),
     )
     tags = F.array_distinct(F.transform(entries, lambda e: e["tag"]))

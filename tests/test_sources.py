@@ -153,11 +153,41 @@ def test_row_numbers_over_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_header_mismatch_is_refused(spark, tmp_path):
+def test_each_file_by_its_own_header(spark, tmp_path):
     put(tmp_path / "x/a.tsv", "/* c */\nA\tB\n1\t2\n")
-    put(tmp_path / "x/b.tsv", "/* c */\nA\tC\n1\t2\n")
-    with pytest.raises(ValueError, match="one shared header"):
-        D.commented_table(spark, str(tmp_path / "x"))
+    put(tmp_path / "x/b.tsv", "/* c */\nC\tA\n3\t4\n")
+    rows = D.commented_table(spark, str(tmp_path / "x")).orderBy("file_name").collect()
+    assert [(r.A, r.B, r.C) for r in rows] == [("1", "2", None), ("4", None, "3")]
+    put(tmp_path / "y/a.csv", "A,B\n1,2\n")
+    put(tmp_path / "y/b.csv", "B,A\n3,4\n")
+    assert sorted((r.A, r.B) for r in D.csv_rows(spark, str(tmp_path / "y")).collect()) == [("1", "2"), ("4", "3")]
+
+
+def test_comment_block_of_any_length(spark, tmp_path):
+    put(tmp_path / "a.tsv", "/* start\n" + "x\n" * 5000 + "end */\n/* more */\nA\tB\n1\t2\nends */\t3\n")
+    assert [(r.A, r.B, r.ord) for r in D.commented_table(spark, str(tmp_path / "a.tsv")).orderBy("ord").collect()] == [("1", "2", 5004), ("ends */", "3", 5005)]
+    assert D.comment_block(D.text_lines(spark, str(tmp_path / "a.tsv"))).first().native_metadata.count("\n") == 5001
+
+
+def test_records_keep_quoted_line_breaks(spark, tmp_path):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        put(tmp_path / "a.csv", "A,B\n" + "".join(f'{i},"line ""one""\n\nline, {i}"\n\n{i},\n' for i in range(400)))
+        rows = D.csv_rows(spark, str(tmp_path / "a.csv"), numbered=True).orderBy("ord").collect()
+        assert [r.ord for r in rows] == list(range(800))
+        assert all(r.B == f'line "one"\n\nline, {r.A}' for r in rows[::2]) and all(r.B is None for r in rows[1::2])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_cells_of_any_number_and_optional_concepts(spark, tmp_path):
+    put(tmp_path / "a.csv", ",".join(f"c{i}" for i in range(200)) + "\n" + ",".join(map(str, range(200))) + "\n")
+    put(tmp_path / "b.csv", 'c1,c2\n"x,y",""\n')
+    lines = D.text_lines(spark, str(tmp_path))
+    rows = D.per_file_columns(lines, (0,), {"one": ("c1",), "far": ("c199",)}, required=("one",)).orderBy("file_name").collect()
+    assert [(r.one, r.far) for r in rows] == [("1", "199"), ("x,y", "")]
+    assert D.per_file_columns(lines, (0,), {"one": ("c1",), "far": ("c199",)}).count() == 1
+    assert [(r.file[-5:], r.concept) for r in D.missing_concepts(lines, (0,), {"one": ("c1",), "far": ("c199",)}).collect()] == [("b.csv", "far")]
 
 
 def test_registry(spark):
