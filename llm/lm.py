@@ -22,12 +22,15 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import ask_rows, chain, pack_counts, partitions, scramble, split_words, tally, unpack_counts, word_hashes
 
 ORDER, MU, BITS = 3, (0.0, 20.0, 5.0), 12
+KEY_BITS = 48  # of an n-gram of two words or more: of 10**9 distinct ones about 3 in a million share a key; words have 64
+_KEY = np.uint64((2**64 - 1) ^ (2 ** (64 - KEY_BITS) - 1))
 _END = np.uint64(0x5851F42D4C957F2D)
 _SPAN = 12.0  # log10 probabilities from -12 to 0 are told apart
 
@@ -80,7 +83,7 @@ class EliasFano:
         self.low_bits = max(0, (self.universe // max(self.n, 1)).bit_length() - 1)
         values = values.astype(np.int64)
         l = self.low_bits
-        low = np.zeros(0, np.uint8) if not l else ((values[:, None] >> np.arange(l)) & 1).astype(np.uint8).ravel()
+        low = np.unpackbits(values.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, count=l, bitorder="little").ravel()
         self.low = store.put(_packed(low).view(np.uint8))
         high = np.zeros(self.n + (self.universe >> l) + 2, np.uint8)
         high[(values >> l) + np.arange(self.n)] = 1
@@ -204,13 +207,20 @@ class Events:
             x = scramble(before[k] + np.uint64(1))
             for j in range(k - 1, -1, -1):
                 x = chain(x, before[j])
+            if k:
+                x &= _KEY  # see KEY_BITS
             has = depth >= k - 1  # the end token before the text counts as one word of context
-            distinct, first, place = np.unique(x[has], return_index=True, return_inverse=True)
+            at = np.nonzero(has)[0]
+            x = x[at]
+            by = np.argsort(x)
+            x, at = x[by], at[by]
+            new = np.ones(len(x), bool)
+            new[1:] = x[1:] != x[:-1]
             whole = np.full(n, -1, np.int64)
-            whole[has] = place
-            self.keys.append(distinct)
+            whole[at] = np.cumsum(new) - 1
+            self.keys.append(x[new])
             self.place.append(whole)
-            self.first.append(np.nonzero(has)[0][first])
+            self.first.append(at[new])
             self.has.append(has)
 
     def counts(self, n: int, wanted: np.ndarray) -> np.ndarray:
@@ -219,16 +229,39 @@ class Events:
         return np.bincount(self.place[n][use], minlength=len(self.keys[n])).astype(np.int64)
 
 
+def _boxed(batches):
+    """The rows of a batch that go to one block as one compressed box: (block, box)."""
+    press = zstandard.ZstdCompressor()
+    for b in batches:
+        blocks = b["block"].to_numpy()
+        by = np.argsort(blocks, kind="stable")
+        rows = b.select(["doc_id", "text", "held_out"]).take(pa.array(by))
+        cuts = np.nonzero(np.concatenate([[True], np.diff(blocks[by]) != 0]))[0].tolist() if len(by) else []
+        boxes = []
+        for i, j in zip(cuts, [*cuts[1:], len(by)], strict=True):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema) as w:
+                w.write_batch(rows.slice(i, j - i))
+            boxes.append(press.compress(sink.getvalue().to_pybytes()))
+        yield pa.RecordBatch.from_arrays([pa.array(blocks[by][cuts], pa.int32()), pa.array(boxes, pa.binary())], ["block", "box"])
+
+
+def _unboxed(t: pa.Table) -> pa.Table:
+    press = zstandard.ZstdDecompressor()
+    return pa.concat_tables([pa.ipc.open_stream(press.decompress(b)).read_all() for b in t["box"].to_pylist()])
+
+
 ASK = "shard int, block int, keys binary, counts binary, n int"
 ANSWER = "block int, shard int, n int, counts binary, total long, kinds long"
 
 
 def _asker(order: int, shards: int):
-    def ask(t: pa.Table) -> pa.Table:
+    def ask(boxes: pa.Table) -> pa.Table:
+        t = _unboxed(boxes)
         ev, train = Events(t["text"], order), ~t["held_out"].to_numpy().astype(bool)
         out = []
         for n in range(order):
-            rows = ask_rows(t["block"][0].as_py(), ev.keys[n], ev.counts(n, train), shards)
+            rows = ask_rows(boxes["block"][0].as_py(), ev.keys[n], ev.counts(n, train), shards)
             out.append(rows.append_column("n", pa.array([n] * rows.num_rows, pa.int32())))
         return pa.concat_tables(out)
 
@@ -276,12 +309,13 @@ def block_scores(texts, counts: list[np.ndarray], total: int, kinds: int, order:
         ctx = np.where(opening, end, ev.place[0][prev]) if n == 1 else ev.place[n - 1][prev]
         word, low, c = w[at], ev.place[n - 1][at], counts[n]
         above = node[n - 1][ctx]
-        seen = np.nonzero((c > 0) & (above >= 0))[0]
-        seen = seen[np.lexsort((word[seen], above[seen]))]
+        by = np.lexsort((word, above))  # neighbours in the trie, for writing and for reading it
+        seen = by[(c[by] > 0) & (above[by] >= 0)]
         lower = 10.0 ** score[n - 1][low]
         p = np.log10((c[seen] + mu[n] * lower[seen]) / (counts[n - 1][ctx[seen]] + mu[n]))
         trie.add_level(above[seen], word[seen], p, back(c[seen], n + 1))
-        found = trie.find(n - 1, above, word)
+        found = np.empty(len(word), np.int64)
+        found[by] = trie.find(n - 1, above[by], word[by])
         hit = found >= 0
         s = score[n - 1][low] + np.where(above >= 0, trie.back(n - 1, np.maximum(above, 0)), 0.0)
         s[hit] = trie.prob(n, found[hit])
@@ -296,10 +330,11 @@ def block_scores(texts, counts: list[np.ndarray], total: int, kinds: int, order:
 
 
 def _scorer(order: int):
-    def run(t: pa.Table, answers: pa.Table) -> pa.Table:
+    def run(boxes: pa.Table, answers: pa.Table) -> pa.Table:
         kind = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
-        if not t.num_rows:
+        if not boxes.num_rows:
             return kind.empty_table()
+        t = _unboxed(boxes)
         shard, which, blobs = answers["shard"].to_numpy(), answers["n"].to_numpy(), answers["counts"].to_pylist()
         counts = []
         for n in range(order):
@@ -322,7 +357,7 @@ def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
     blocks = 2 * shards
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     block = F.pmod(F.xxhash64("doc_id", text), F.lit(blocks)).cast("int")
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce("held_out", F.lit(False)).alias("held_out"), block.alias("block"))
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce("held_out", F.lit(False)).alias("held_out"), block.alias("block")).mapInArrow(_boxed, "block int, box binary")
     asked = dealt.groupBy("block").applyInArrow(_asker(order, shards), ASK)
     answers = asked.groupBy("shard", "n").applyInArrow(_answerer(blocks), ANSWER)
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
