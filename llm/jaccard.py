@@ -6,9 +6,10 @@ into fragments.  For a pair, the overlap is counted in each fragment by itself a
 
 Finding pairs: two sets that link share an n-gram among the first ``n - ceil(t * n) + 1`` of either (n-grams of one
 class only come first and match nothing).  Classes that share such an n-gram form a bucket.  A large group of near
-copies would be all pairs of many buckets, so each bucket is first joined to its smallest member only, links are
-verified, and connected components are taken; what is left to compare are members of one bucket in different
-components, the smaller components against the rest.  So no link between components is missed, and none within one is
+copies would be all pairs of many buckets, so each bucket is first joined to one centre (the member with the fewest
+n-grams of its own) and to its first member, links are verified, and connected components are taken; what is left to
+compare are members of one bucket in different components, the smaller components against the rest, where their sizes
+and their own n-grams allow a link at all.  So no link between components is missed, and none within one is
 enumerated.  Nothing is capped or sampled.
 
 Counting is done in blocks of texts and ranges of keys: each block counts its n-grams once, each range adds the blocks
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 
 from llm.common import ASK, ask_rows, ascii_lower, components, partitions, shingle_keys, stored, tally
 
-FRAGMENTS = 8
+FRAGMENTS = 16
+SIZES = [f"s{i}" for i in range(FRAGMENTS)]  # how many n-grams a set has in each fragment
 TEXTS = "h1 long, h2 long, text string, block int"
 SETS = "h1 long, h2 long, n long, prefix array<bigint>, parts array<array<bigint>>"
 
@@ -100,7 +102,7 @@ def _setter(width: int, num: int, den: int, shards: int):
         doc, keys, level = doc[shared], keys[shared], level[shared].astype(np.int64)
         by = np.lexsort((keys, level, doc))
         doc, keys, level = doc[by], keys[by], level[by]
-        fragment = np.minimum(level - 1, FRAGMENTS // 2 - 1) * 2 + (keys >> np.uint64(63)).astype(np.int64)
+        fragment = np.minimum(level - 1, FRAGMENTS // 2 - 1) * 2 + (keys >> np.uint64(63)).astype(np.int64)  # in the global order
         signed = keys.view(np.int64)
         start = np.searchsorted(doc, np.arange(once.num_rows + 1))
         prefix = [signed[a : a + w] for a, w in zip(start[:-1], wanted, strict=True)]
@@ -128,13 +130,22 @@ def classes_of(docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFra
     return rows, stored(sets.join(reps, ["h1", "h2"]))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, fragments: DataFrame, num: int, den: int) -> DataFrame:
+def _sized(df: DataFrame, end: str) -> DataFrame:
+    """The columns id, n and the fragment sizes, renamed for one side of a pair."""
+    return df.select(*[c if c in ("token", "comp", "most") else F.col(c).alias(f"{c}{end}") for c in df.columns])
+
+
+def _possible(one: str, two: str, num: int, den: int):
+    """Can two sets of these sizes reach the threshold?  In a fragment they share no more than the smaller part."""
+    n1, n2 = F.col(f"n{one}"), F.col(f"n{two}")
+    most = sum((F.least(f"{s}{one}", f"{s}{two}") for s in SIZES), F.lit(0))
+    return (F.least(n1, n2) * den >= F.greatest(n1, n2) * num) & ((num + den) * most >= num * (n1 + n2))
+
+
+def _verified(pairs: DataFrame, able: DataFrame, fragments: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) that link: partial overlaps fragment by fragment, summed for each pair."""
-    size = sets.select(F.col("rep").alias("id"), "n")
-    long_enough = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
-    pairs = (
-        pairs.join(size.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b").where(long_enough)
-    )
+    a, b = _sized(able, "_a").withColumnRenamed("id_a", "a"), _sized(able, "_b").withColumnRenamed("id_b", "b")
+    pairs = pairs.join(a, "a").join(b, "b").where(_possible("_a", "_b", num, den)).select("a", "b", F.col("n_a").alias("na"), F.col("n_b").alias("nb"))
     left = fragments.select(F.col("id").alias("a"), "fragment", F.col("keys").alias("ka"))
     right = fragments.select(F.col("id").alias("b"), "fragment", F.col("keys").alias("kb"))
     part = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ka", "kb")).alias("o"))
@@ -144,26 +155,33 @@ def _verified(pairs: DataFrame, sets: DataFrame, fragments: DataFrame, num: int,
 
 def linked_components(sets: DataFrame, num: int, den: int) -> DataFrame:
     """(node, component) of the reps that link with another; all links between components are found."""
-    sets = sets.where("rep is not null")
-    able = sets.where(F.size("prefix") > 0)
-    fragments = stored(able.select(F.col("rep").alias("id"), F.posexplode("parts").alias("fragment", "keys")).where(F.size("keys") > 0))
-    entries = stored(able.select(F.explode("prefix").alias("token"), F.col("rep").alias("id"), "n"))
-    bucket = entries.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("c")).where("low < high")
-    # each bucket to its smallest and its largest member
-    pairs = entries.join(bucket, "token").select("id", F.explode(F.array("low", "high")).alias("to")).where("id <> to")
+    sizes = [F.size(F.get("parts", F.lit(i))).alias(c) for i, c in enumerate(SIZES)]
+    able = sets.where(F.col("rep").isNotNull() & (F.size("prefix") > 0)).select(F.col("rep").alias("id"), "n", *sizes, "prefix", "parts")
+    fragments = stored(able.select("id", F.posexplode("parts").alias("fragment", "keys")).where(F.size("keys") > 0))
+    entries = stored(able.select(F.explode("prefix").alias("token"), "id", "n", *SIZES))
+    able = able.select("id", "n", *SIZES)
+    # each bucket to the member with the fewest n-grams outside the last fragments, the likeliest centre of near copies, and to its first
+    unusual = F.col("n") - sum((F.col(c) for c in SIZES[FRAGMENTS // 2 :]), F.lit(0))
+    bucket = entries.groupBy("token").agg(F.min_by("id", F.struct(unusual, F.col("id"))).alias("centre"), F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    pairs = entries.join(bucket, "token").select("id", F.explode(F.array_distinct(F.array("centre", "low"))).alias("to")).where("id <> to")
     pairs = stored(pairs.select(F.least("id", "to").alias("a"), F.greatest("id", "to").alias("b")).distinct())
-    links = stored(_verified(pairs, sets, fragments, num, den))
+    links = stored(_verified(pairs, able, fragments, num, den))
     done = components(links)
     # what is left: members of one bucket in different components
-    marked = entries.join(done, F.col("id") == F.col("node"), "left").select("token", "id", "n", F.coalesce("component", "id").alias("comp"))
+    marked = entries.join(done, F.col("id") == F.col("node"), "left").select("token", "id", "n", *SIZES, F.coalesce("component", "id").alias("comp"))
+    shortest = marked.groupBy("token").agg(F.min("n").alias("least"))
+    partner = F.greatest(F.col("least"), F.ceil(F.col("n") * num / den))  # no partner in the bucket is shorter
+    shared = sum((F.col(c) for c in SIZES), F.lit(0))
+    marked = stored(marked.join(shortest, "token").where((num + den) * shared >= num * (F.col("n") + partner)).drop("least"))
     per = marked.groupBy("token", "comp").agg(F.count("*").alias("c"))
     mixed = per.groupBy("token").agg(F.max_by("comp", "c").alias("most"), F.count("*").alias("kinds")).where("kinds > 1")
-    left = stored(marked.join(mixed.select("token", "most"), "token"))
-    small = left.where("comp <> most").select("token", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    other = left.select("token", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), "most")
-    met = small.join(other, "token").where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("most")) | (F.col("x") < F.col("y"))) & (F.least("nx", "ny") * den >= F.greatest("nx", "ny") * num))
+    left = stored(marked.join(mixed.select("token", "most"), "token").withColumnRenamed("comp", "c"))
+    small, other = _sized(left.where("c <> most").drop("most"), "_x"), _sized(left, "_y")
+    met = small.join(other, "token").where(
+        (F.col("c_x") != F.col("c_y")) & ((F.col("c_y") == F.col("most")) | (F.col("id_x") < F.col("id_y"))) & _possible("_x", "_y", num, den))
+    met = met.select(F.col("id_x").alias("x"), F.col("id_y").alias("y"))
     rest = stored(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    more = stored(_verified(rest, sets, fragments, num, den))
+    more = stored(_verified(rest, able, fragments, num, den))
     if more.isEmpty():
         return done
     return components(links.union(more))
