@@ -24,10 +24,10 @@ TABLES: dict[str, tuple[StructType, tuple[str, ...]]] = {
 # --- pure transforms ---------------------------------------------------------------
 
 
-def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``new`` replaces rows of ``old`` with the same key; last of ``new`` by ``order``."""
     key = list(key)
-    fresh = keep_last(new, key, order) if order else new.dropDuplicates(key)
+    fresh = keep_last(new, key, order)
     fresh = fresh.select(*old.columns)
     return old.join(fresh.select(*key), key, "left_anti").select(*old.columns).unionByName(fresh)
 
@@ -35,9 +35,10 @@ def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[s
 def stored_form(obs: DataFrame, dataset_id: str | None = None) -> DataFrame:
     """Observation rows as the catalog keeps them: last row per id, text flags and extra.
 
-    The dataset id is the one being ingested, whatever the rows say.
+    The dataset id is the one being ingested, whatever the rows say; without one,
+    the rows of each dataset are kept apart.
     """
-    last = keep_last(obs, ["obs_id"], ["ord"])
+    last = keep_last(obs, ["obs_id"] if dataset_id is not None else ["dataset_id", "obs_id"], ["ord"])
     flags = F.when(F.size("qc_flags") > 0, F.array_join("qc_flags", ","))
     extra = F.when(F.size(F.map_keys("extra")) > 0, F.to_json("extra"))
     shaped = last.withColumns({"qc_flags": flags, "extra": extra})
@@ -191,9 +192,13 @@ class Catalog:
         )
 
     def register(self, table: str, rows: DataFrame, order: Sequence[str] = ()) -> None:
-        """Upsert by primary key; reads and rewrites the touched datasets only."""
+        """Upsert by primary key; reads and rewrites the touched datasets only.
+
+        Of rows with one key the last by ``order`` counts, by default by all other columns.
+        """
         shape, key = TABLES[table]
-        new = cut_lineage(S.conform(rows, shape) if not order else rows)
+        order = order or [c.name for c in shape if c.name not in key and c.dataType.typeName() not in ("map", "array", "struct")]
+        new = cut_lineage(S.conform(rows, shape) if set(order) <= set(shape.names) else rows)
         touched = new.select("dataset_id").distinct()
         old = self.read(table).join(touched, "dataset_id", "left_semi").select(*shape.names)
         merged = cut_lineage(upsert(old, new, key, order))

@@ -6,8 +6,8 @@ into a sum and a count by a partial aggregate, so a logger that holds a third of
 all rows is one row in the spatial join.  Places meet in buckets of latitude band
 x longitude cell x depth slice: the anchor side is copied to every bucket its
 search box touches, the other side stays in one bucket, and the exact distance
-and depth tests follow.  Nothing is capped; a crowded bucket is left to the
-adaptive skew join, which splits it.
+and depth tests follow.  Nothing is capped; a crowded bucket is split into shards
+of its searched places, and each shard meets a copy of the bucket's anchors.
 """
 
 from dataclasses import dataclass
@@ -112,6 +112,24 @@ def _cell_width(band: Column, dlat: float) -> Column:
     return F.lit(dlat) / F.greatest(F.cos(F.radians(edge)), F.lit(1e-6))
 
 
+_SHARD = 512  # searched places of one bucket that a task compares with the bucket's anchors
+
+
+def _sharded(anchors: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split the crowded buckets: searched places go to one shard each by their hash, anchors to all of them.
+
+    Only buckets of more than ``_SHARD`` searched places have shards, so elsewhere nothing is copied.
+    """
+    bucket = ["o_variable", "o_band", "o_cell", "o_slice"]
+    crowded = others.groupBy(*bucket).agg(F.ceil(F.count("*") / _SHARD).cast("int").alias("k")).filter("k > 1")
+    k = F.coalesce("k", F.lit(1))
+    place = F.xxhash64("o_source", "o_lat", "o_lon", "o_depth")
+    split = others.join(crowded, bucket, "left").withColumn("o_shard", F.pmod(place, k).cast("int")).drop("k")
+    named = crowded.toDF("variable", "band", "cell", "slice", "k")
+    copies = anchors.join(named, ["variable", "band", "cell", "slice"], "left").withColumn("shard", F.explode(F.sequence(F.lit(0), k - 1))).drop("k")
+    return copies, split
+
+
 def neighbour_means(obs: DataFrame, tol: Tolerance = Tolerance()) -> DataFrame:
     """Per anchor place and other source: mean and count of the readings nearby."""
     places = _places(obs)
@@ -166,11 +184,13 @@ def neighbour_means(obs: DataFrame, tol: Tolerance = Tolerance()) -> DataFrame:
         F.floor(lon / _cell_width(band, dlat)).alias("o_cell"),
         F.floor(depth / slice_m).alias("o_slice"),
     )
+    anchors, others = _sharded(anchors, others)
     meet = (
         (F.col("variable") == F.col("o_variable"))
         & (F.col("band") == F.col("o_band"))
         & (F.col("cell") == F.col("o_cell"))
         & (F.col("slice") == F.col("o_slice"))
+        & (F.col("shard") == F.col("o_shard"))
         & (F.struct("a_n", "a_source") < F.struct("o_n", "o_source"))
         & F.col("o_lat").between(F.col("south"), F.col("north"))
         & F.col("o_lon").between(F.col("west"), F.col("east"))

@@ -174,10 +174,12 @@ def drop_seeds(papers: DataFrame, seeds: DataFrame) -> DataFrame:
 def enrich(papers: DataFrame, works: DataFrame) -> DataFrame:
     """Fill missing title, year, authors and venue from a works snapshot by DOI.
 
-    Matched papers become ``verified``.  ``works`` has one row per ``doi`` with
-    ``title, year, authors, venue``.
+    Matched papers become ``verified``.  ``works`` has ``doi, title, year, authors,
+    venue``; of several works of one DOI the one with a title, a year and the first
+    title counts.
     """
-    w = works.select(
+    first = [F.col("title").isNull(), F.col("year").isNull(), F.col("title"), F.col("year"), F.col("venue"), F.to_json(F.struct("authors"))]
+    w = top_k(works.filter("doi is not null"), ["doi"], first, 1).select(
         F.col("doi").alias("__doi"), F.lit(True).alias("w_found"),
         *[F.col(c).alias(f"w_{c}") for c in ("title", "year", "authors", "venue")],
     )
@@ -240,31 +242,37 @@ def parse_ratings(responses: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows ``keys, pos, relevance, reason`` from rating responses in ``response``.
 
     Code fences and text around the array are ignored.  Items that are not objects
-    are skipped, unknown ratings become LOW and reasons end at 200 characters.
+    are skipped, unknown ratings become LOW and reasons end at 200 characters.  A
+    response that holds no array is one row without ``pos``.
     """
     text = F.regexp_replace(strip(F.col("response")), r"^```(?:json)?\s*|\s*```\s*$", "")
     inner = F.regexp_extract(text, r"(?s)\[.*\]", 0)
     items = F.coalesce(F.from_json(text, "array<string>"), F.from_json(inner, "array<string>"))
     objects = F.filter(items, lambda s: s.startswith("{"))
-    rated = responses.select(*keys, F.posexplode(objects).alias("pos", "item"))
+    listed = responses.withColumn("__objects", objects)
+    rated = listed.filter("__objects is not null").select(*keys, F.posexplode("__objects").alias("pos", "item"))
     r = F.from_json("item", "relevance string, reason string")
+    unread = listed.filter("__objects is null").select(
+        *keys, F.lit(None).cast("int").alias("pos"), F.lit("LOW").alias("relevance"), F.lit("parse error").alias("reason")
+    )
     return rated.select(
         *keys, "pos",
         F.when(member(r["relevance"], RELEVANCE), r["relevance"]).otherwise(F.lit("LOW")).alias("relevance"),
         F.substring(F.coalesce(r["reason"], F.lit("")), 1, 200).alias("reason"),
-    )
+    ).unionByName(unread)
 
 
 def attach_ratings(
     papers: DataFrame, ratings: DataFrame, keys: Sequence[str], drop_irrelevant: bool = True
 ) -> DataFrame:
     """Ratings by batch and position; a paper without one is LOW."""
-    out = papers.join(ratings, [*keys, "pos"], "left").withColumns(
+    unread = ratings.filter("pos is null").select(*keys, F.col("reason").alias("__unread")).distinct()
+    out = papers.join(ratings.filter("pos is not null"), [*keys, "pos"], "left").join(unread, list(keys), "left").withColumns(
         {
             "relevance": F.coalesce("relevance", F.lit("LOW")),
-            "reason": F.coalesce("reason", F.lit("no rating returned")),
+            "reason": F.coalesce("reason", "__unread", F.lit("no rating returned")),
         }
-    )
+    ).drop("__unread")
     return out.filter(F.col("relevance") != "IRRELEVANT") if drop_irrelevant else out
 
 
@@ -311,8 +319,11 @@ def ingest_counts(papers: DataFrame, store: DataFrame, order: Sequence[str] = ("
     )
 
 
-def stored_candidates(store: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Stored papers for a new rating round; rows stored as seeds are left out."""
+def stored_candidates(store: DataFrame, seeds: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Stored papers for a new rating round; rows stored as seeds are left out.
+
+    ``carry`` names columns of the store that come along.
+    """
     known = seeds.filter(F.col("doi").isNotNull()).select(
         F.col("doi").alias("__doi"), F.lit(True).alias("is_seed")
     ).distinct()
@@ -334,5 +345,10 @@ def stored_candidates(store: DataFrame, seeds: DataFrame) -> DataFrame:
         null_int("citation_count").alias("citation_count"),
         F.when(F.col("chunk_id").startswith("wos"), F.lit("wos")).otherwise(F.lit("store")).alias("source_backend"),
         F.coalesce("verified", F.lit(False)).alias("verified"),
+        *[F.col(c).alias(f"__{c}") for c in carry],
     )
-    return S.conform(shaped, S.PAPER_SCHEMA)
+    kept = S.conform(shaped, S.PAPER_SCHEMA) if not carry else shaped.select(
+        *[F.col(f.name).cast(f.dataType) if f.name in shaped.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in S.PAPER_SCHEMA],
+        *[F.col(f"__{c}").alias(c) for c in carry],
+    )
+    return kept

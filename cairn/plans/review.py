@@ -37,9 +37,7 @@ def triage(
 
     The store needs a numeric ``ord`` to number its papers by.
     """
-    rows = P.stored_candidates(store, seeds).join(
-        store.select("paper_id", "ord"), "paper_id"
-    )
+    rows = P.stored_candidates(store, seeds, carry=("chunk_id", "ord"))
     numbered = P.batch_numbers(rows.withColumn("all", F.lit(0)), "all", "ord", batch).drop("all")
     return P.attach_ratings(numbered, P.parse_ratings(responses, ["batch"]), ["batch"], drop_irrelevant)
 

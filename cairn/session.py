@@ -40,12 +40,14 @@ def local_session(name: str = "cairn", cores: str = "*", shuffle_partitions: int
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder the session names.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset, as
-    in tests on one machine, is a temporary folder used.
+    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset and the
+    session runs on one machine, as in tests, is a temporary folder used.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-ckpt-", dir="/tmp"))
     return df.checkpoint(eager=True)

@@ -7,7 +7,7 @@ from cairn.dims import DICTIONARY_COLUMNS
 from cairn.functions.parse import blank_to_null, strip
 from cairn.functions.text import file_id, missing_sentinel
 from cairn.operators.index import match_dictionary_files, match_entities
-from cairn.sources.delimited import text_lines
+from cairn.sources.delimited import csv_rows, text_lines
 
 EML_SCHEMA = (
     "entityName string, attributeList struct<attribute:array<struct<attributeName:string,"
@@ -50,11 +50,8 @@ def manifest_lines(lines: DataFrame) -> DataFrame:
 
 
 def dictionary_rows(spark: SparkSession, root: str, dataset_id: str) -> DataFrame:
-    """Declared columns of all ``*_dd.csv`` files; empty when the columns are not there."""
-    rows = (
-        spark.read.options(header=True, multiLine=True, pathGlobFilter="*_dd.csv", recursiveFileLookup=True)
-        .csv(root)
-    )
+    """Declared columns of all ``*_dd.csv`` files, each by its own header; a file without the columns declares nothing."""
+    rows = csv_rows(spark, root, numbered=True, pattern="*_dd.csv", recursive=True)
     if not set(DICTIONARY_COLUMNS) <= set(rows.columns):
         return spark.createDataFrame(
             [], "dataset_id string, dictionary_path string, ord bigint, raw_name string, unit string, missing_sentinel string"
@@ -62,8 +59,8 @@ def dictionary_rows(spark: SparkSession, root: str, dataset_id: str) -> DataFram
     unit = blank_to_null(F.col("Unit"))
     return rows.select(
         F.lit(dataset_id).alias("dataset_id"),
-        _relative("_metadata.file_path", root).alias("dictionary_path"),
-        F.monotonically_increasing_id().alias("ord"),
+        _relative("file", root).alias("dictionary_path"),
+        "ord",
         strip(F.col("Column_or_Row_Name")).alias("raw_name"),
         F.when(unit != "N/A", unit).alias("unit"),
         missing_sentinel(strip(F.col("Definition"))).alias("missing_sentinel"),
@@ -82,7 +79,7 @@ def eml_attributes(spark: SparkSession, root: str, dataset_id: str) -> DataFrame
 
     The document is found by content: any XML with data tables counts, and the
     conventional ``metadata/science-metadata.xml`` is preferred when it is there,
-    else the first path.
+    else the first path.  An attribute with several missing-value codes has a row for each.
     """
     tables = (
         spark.read.format("xml")
@@ -105,12 +102,12 @@ def eml_attributes(spark: SparkSession, root: str, dataset_id: str) -> DataFrame
             F.lit(dataset_id).alias("dataset_id"), strip(F.col("entityName")).alias("entity"), "table_ord",
             F.posexplode("attributeList.attribute").alias("pos", "a"),
         )
+        .select("*", F.posexplode_outer(attribute["missingValueCode"]).alias("code_pos", "code"))
         .select(
-            "dataset_id", "entity",
-            (F.col("table_ord") * 100000 + F.col("pos")).alias("ord"),
+            "dataset_id", "entity", F.struct("table_ord", "pos", "code_pos").alias("ord"),
             strip(attribute["attributeName"]).alias("raw_name"),
             blank_to_null(unit).alias("unit"),
-            blank_to_null(F.get(attribute["missingValueCode"], 0)["code"]).alias("missing_sentinel"),
+            blank_to_null(F.col("code.code")).alias("missing_sentinel"),
         )
         .filter((F.coalesce("entity", F.lit("")) != "") & (F.coalesce("raw_name", F.lit("")) != ""))
     )

@@ -404,7 +404,7 @@ union all select * from fresh"""),
     "stored_observations": (stored_observations, V.with_ctes(V.OBS_SQL, body="""
 select 'o' || (ord // 3) as obs_id, dataset_id, variable, round(value, 6) as value, unit, depth_m,
   strftime(time_start, '%Y-%m-%d %H:%M:%S') as time_start, cast(null as varchar) as qc_flags, '{"k":"' || k || '"}' as extra
-from obs qualify row_number() over (partition by ord // 3 order by ord desc) = 1""")),
+from obs qualify row_number() over (partition by dataset_id, ord // 3 order by ord desc) = 1""")),
     "replace_dataset": (replace_dataset, V.with_ctes(V.OBS_SQL, body="""
 select obs_id, dataset_id, variable, round(value, 6) as value, unit, depth_m, strftime(time_start, '%Y-%m-%d %H:%M:%S') as time_start,
   cast(null as varchar) as qc_flags, '{"k":"' || k || '"}' as extra from obs where dataset_id not in (select 'ds_' || (o_custkey % 2) from orders)

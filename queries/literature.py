@@ -263,6 +263,17 @@ MERGED_SQL = "merged as (select * from papers qualify row_number() over (partiti
 RATE = """case when batch % 4 = 3 or pos > 7 then 'LOW' else
     ['HIGH', 'IRRELEVANT', 'LOW', 'MEDIUM', 'LOW'][(pos + batch) % 5 + 1] end"""
 
+def triage(spark, sf):
+    """Stored papers with a second chunk each and some blank ids, rated again in one run."""
+    papers = V.papers(spark, sf).select("paper_id", "abstract", "ord")
+    store = P.stored_rows(V.papers(spark, sf), NOW).drop("ord").join(
+        papers.withColumn("chunk_id", P.chunk_id(F.col("paper_id"), F.col("abstract"))).groupBy("chunk_id").agg(F.min("ord").alias("ord")), "chunk_id")
+    again = store.withColumns({"chunk_id": F.concat("chunk_id", F.lit("_2")), "ord": F.col("ord") + 1000000, "paper_id": F.when(F.col("ord") % 3 == 0, F.lit("")).otherwise(F.col("paper_id"))})
+    none = spark.createDataFrame([], "batch bigint, response string")
+    out = review.triage(store.unionByName(again), _seeds(spark, sf).limit(0), none, drop_irrelevant=False)
+    return out.select("chunk_id", "paper_id", "batch", "pos", "reason")
+
+
 QUERIES = {
     "doi_extract": (doi_extract, f"""
 with found as (select doc_id, list_transform(regexp_extract_all({_CITED}, '10\\.\\d{{4,9}}/[^\\s"''<>)\\];,]+'), lambda d: regexp_replace(d, '[.,;)\\]]+$', '')) as l from documents)
@@ -317,9 +328,10 @@ select ord, paper_id, doi from papers where doi is null or doi not in (select do
     "batch_numbers": (batch_numbers, V.with_ctes(V.PAPERS_SQL, BATCH_SQL, body="select ord, theme, batch, pos from numbered")),
     "ratings": (ratings, """
 select doc_id, 0 as pos, ['HIGH', 'IRRELEVANT', 'LOW', 'MEDIUM'][doc_id % 4 + 1] as relevance, substr(repeat('r', doc_id % 250), 1, 200) as reason from documents where doc_id % 9 <> 8
-union all select doc_id, 1, 'LOW', 'second' from documents where doc_id % 9 <> 8"""),
+union all select doc_id, 1, 'LOW', 'second' from documents where doc_id % 9 <> 8
+union all select doc_id, null, 'LOW', 'parse error' from documents where doc_id % 9 = 8"""),
     "rated_papers": (rated_papers, V.with_ctes(V.PAPERS_SQL, BATCH_SQL, f"rated as (select *, {RATE} as relevance from numbered)", body="""
-select ord, theme, batch, pos, relevance, case when batch % 4 = 3 or pos > 7 then 'no rating returned' else 'because' end as reason from rated where relevance <> 'IRRELEVANT'""")),
+select ord, theme, batch, pos, relevance, case when batch % 4 = 3 then 'parse error' when pos > 7 then 'no rating returned' else 'because' end as reason from rated where relevance <> 'IRRELEVANT'""")),
     "themed_review": (themed_review, V.with_ctes(V.PAPERS_SQL, SEEDS_SQL, MERGED_SQL, """kept as (
   select * from merged where doi is null or doi not in (select doi from seeds where doi is not null)),
 numbered as (select *, (row_number() over (partition by theme order by ord) - 1) // 10 as batch,
@@ -343,4 +355,12 @@ select chunk_id, case when title = '' and wt is not null then wt else title end
     "triage_candidates": (triage_candidates, V.with_ctes(V.PAPERS_SQL, SEEDS_SQL, body=f"""
 select paper_id, doi, case when title = '' then '(no title)' else title end as title, year, venue, nullif(citation_count, 0) as citation_count, 'store' as source_backend
 from papers where not (length({CHUNK}) % 2 = 0 and doi is not null and doi in (select doi from seeds where doi is not null))""")),
+    "triage": (triage, V.with_ctes(V.PAPERS_SQL, f"""chunks as (
+  select {CHUNK} as chunk_id, paper_id, ord from papers),
+firsts as (select chunk_id, min(ord) as ord from chunks group by chunk_id),
+store as (select c.chunk_id, c.paper_id, f.ord from chunks c join firsts f using (chunk_id)),
+both_chunks as (select chunk_id, paper_id, ord from store union all
+  select chunk_id || '_2', case when ord % 3 = 0 then chunk_id || '_2' else paper_id end, ord + 1000000 from store),
+placed as (select *, row_number() over (order by ord) - 1 as n from both_chunks)""", body="""
+select chunk_id, paper_id, n // 10 as batch, cast(n % 10 as integer) as pos, 'no rating returned' as reason from placed""")),
 }
