@@ -4,8 +4,7 @@ Everything in this module is a constant of the domain.  Each table is far below
 a hundred rows, so operators turn it into a literal expression instead of a join.
 """
 
-# --- fixed values: observation types and variables -------------------------
-OBSERVATION_TYPES = ("point", "profile", "grid_cell", "event")
+# --- fixed values: variables -----------------------------------------------
 
 VARIABLES = (
     "active_layer_thickness",
@@ -197,5 +196,4 @@ EARTH_RADIUS_KM = 6371.0
 KM_PER_DEGREE = 111.0
 STORAGE_CRS = "EPSG:4326"
 ANALYSIS_CRS = "EPSG:3338"
-EMBEDDING_DIM = 384
 SCHEMA_VERSION = "0.1.0"

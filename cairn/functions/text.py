@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cairn.dims import DOI_IN_REFERENCE, DOI_IN_TEXT, SECRET_RULES
+from cairn.dims import DOI_IN_REFERENCE, DOI_IN_TEXT, SECRET_RULES, SECRET_SCAN_SKIP_SUFFIXES
 from cairn.functions.parse import strip
 
 SURNAME = r"^\s*([A-Za-z][A-Za-z'\-]+)"
@@ -96,6 +96,14 @@ def secret_hits(text: Column) -> Column:
     )
 
 
+def scan_skipped(path: Column) -> Column:
+    """Files the secret scan leaves out: binary formats, by suffix."""
+    skipped = F.lit(False)
+    for suffix in SECRET_SCAN_SKIP_SUFFIXES:
+        skipped = skipped | F.lower(path).endswith(suffix)
+    return skipped
+
+
 def missing_sentinel(definition: Column) -> Column:
     """The value listed after ``missing values =`` up to a full stop or line end."""
     tail = F.regexp_extract(definition, r"(?i)missing values =\s*([^.\n]*)", 1)

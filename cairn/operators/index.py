@@ -22,22 +22,23 @@ def file_format(path: Column) -> Column:
     return lookup(suffix, FORMAT_BY_SUFFIX)
 
 
+# --- fixed values: what a file is, by its lower-case name; the first rule that fits counts ---
+ROLE_RULES = (
+    ("flmd", r"(^|_)flmd\.csv$"),
+    ("dictionary", r"_dd\.csv$"),
+    ("eml", r"science-metadata.*\.xml$"),
+    ("metadata", r"\.xml$"),
+    ("readme", r"user_file.*\.pdf$"),
+    ("data", r"\.(csv|tsv|nc|tif|tiff)$"),
+)
+
+
 def file_role(path: Column) -> Column:
+    """The role of a bag file or of the first rule that fits, else ``aux``."""
     name = F.lower(base_name(path))
-    data = F.lit(False)
-    for suffix in (".csv", ".tsv", ".nc", ".tif", ".tiff"):
-        data = data | name.endswith(suffix)
-    return (
-        F.when(member(name, BAG_FILES), F.lit("bagit"))
-        .when((name == "flmd.csv") | name.endswith("_flmd.csv"), F.lit("flmd"))
-        .when(name.endswith("_dd.csv"), F.lit("dictionary"))
-        .when(name.contains("science-metadata") & name.endswith(".xml"), F.lit("eml"))
-        .when(name.endswith(".xml"), F.lit("metadata"))
-        .when(name.contains("user_file") & name.endswith(".pdf"), F.lit("readme"))
-        .when(name.endswith(".pdf"), F.lit("aux"))
-        .when(data, F.lit("data"))
-        .otherwise(F.lit("aux"))
-    )
+    found = [F.when(member(name, BAG_FILES), F.lit("bagit"))]
+    found += [F.when(name.rlike(rule), F.lit(role)) for role, rule in ROLE_RULES]
+    return F.coalesce(*found, F.lit("aux"))
 
 
 def map_variable(raw_name: Column) -> Column:

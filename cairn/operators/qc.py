@@ -161,13 +161,20 @@ def validate_observations(serves: DataFrame, obs: DataFrame) -> DataFrame:
 # --- staged folders ----------------------------------------------------------
 
 
-def missing_files(files: DataFrame) -> DataFrame:
+def _with_empty(files: DataFrame, folders: DataFrame | None) -> DataFrame:
+    """The files, and one row without path for every staged folder."""
+    files = files.select("dataset_id", "relative_path")
+    return files if folders is None else files.unionByName(folders.select("dataset_id", F.lit("").alias("relative_path")))
+
+
+def missing_files(files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
     """``dataset_id, file_name`` of required root files a dataset lacks.
 
-    ``files`` has ``dataset_id`` and ``relative_path``.  The required names are a
+    ``files`` has ``dataset_id`` and ``relative_path``, ``folders`` the ``dataset_id``
+    of all staged folders, those without files too.  The required names are a
     fixed list, so one flag per name is aggregated instead of joining.
     """
-    path = F.col("relative_path")
+    files, path = _with_empty(files, folders), F.col("relative_path")
     have = files.groupBy("dataset_id").agg(
         *[F.max(path == n).alias(n.replace(".", "_")) for n in REQUIRED_STAGED_FILES]
     )
@@ -179,9 +186,9 @@ def missing_files(files: DataFrame) -> DataFrame:
     return have.select("dataset_id", F.explode(lacking).alias("file_name"))
 
 
-def lacking_native_metadata(files: DataFrame) -> DataFrame:
+def lacking_native_metadata(files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
     """Datasets with neither a native metadata file nor any XML."""
-    path = F.col("relative_path")
+    files, path = _with_empty(files, folders), F.col("relative_path")
     native = member(path, NATIVE_METADATA_FILES) | path.endswith(".xml")
     return (
         files.groupBy("dataset_id").agg(F.max(native).alias("native")).filter("not native")
@@ -189,15 +196,15 @@ def lacking_native_metadata(files: DataFrame) -> DataFrame:
     )
 
 
-def check_self_describing(files: DataFrame) -> DataFrame:
-    missing = missing_files(files).select(
+def check_self_describing(files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
+    missing = missing_files(files, folders).select(
         *finding(
             "self_describing_missing", "error", F.lit(None).cast("string"),
             F.concat(F.col("dataset_id"), F.lit(" lacks "), F.col("file_name")),
             F.struct("dataset_id", "file_name"),
         )
     )
-    bare = lacking_native_metadata(files).select(
+    bare = lacking_native_metadata(files, folders).select(
         *finding(
             "self_describing_no_native", "warning", F.lit(None).cast("string"),
             F.concat(F.col("dataset_id"), F.lit(" carries no native metadata")),
@@ -259,8 +266,9 @@ def check_records(records: DataFrame) -> DataFrame:
     return unreadable.unionByName(check_citation(readable))
 
 
-def validate_staged(files: DataFrame, records: DataFrame) -> DataFrame:
-    return check_self_describing(files).unionByName(check_records(records))
+def validate_staged(files: DataFrame, records: DataFrame, folders: DataFrame | None = None) -> DataFrame:
+    """Findings on staged folders; ``folders`` names those that may have no file at all."""
+    return check_self_describing(files, folders).unionByName(check_records(records))
 
 
 def finding_counts(findings: DataFrame) -> DataFrame:

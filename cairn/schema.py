@@ -148,7 +148,6 @@ STORED_PAPER_SCHEMA = _table(
     ingested_at=_T,
 )
 
-FINDING_COLUMNS = ("check", "severity", "variable", "message", "detail")
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:

@@ -86,19 +86,25 @@ STAGED_SQL = """staged as (
       when 3 then 'metadata.txt' else 'data/eml.xml' end as relative_path from documents)"""
 
 
+def _folders(spark, sf):
+    """The staged folders, and one per supplier that holds no file."""
+    bare = V.table(spark, sf, "supplier").select(F.concat(F.lit("empty_"), F.col("s_suppkey").cast("string")).alias("dataset_id"))
+    return _staged(spark, sf).select("dataset_id").distinct().unionByName(bare)
+
+
 def qc_required_files(spark, sf):
-    return qc.missing_files(_staged(spark, sf))
+    return qc.missing_files(_staged(spark, sf), _folders(spark, sf))
 
 
 def qc_native_metadata(spark, sf):
-    return qc.lacking_native_metadata(_staged(spark, sf))
+    return qc.lacking_native_metadata(_staged(spark, sf), _folders(spark, sf))
 
 
 def _records(spark, sf):
     """Documents as provenance JSON; some cite themselves, some are not JSON."""
     n = F.col("doc_id")
     title, url = F.concat(F.lit("Set "), n.cast("string")), F.concat(F.lit("https://x.org/"), n.cast("string"))
-    citation = F.when(n % 4 == 0, F.concat(title, F.lit(". "), url)).when(n % 4 == 1, F.substring("text", 1, 60))
+    citation = F.when(n % 4 == 0, F.concat(title, F.lit(". "), url)).when(n % 4 == 1, F.col("text"))
     record = F.to_json(F.struct(
         title.alias("title"), citation.alias("citation"),
         F.when(n % 3 != 0, url).alias("source_url"), url.alias("landing_page"),
@@ -260,12 +266,13 @@ union all select distinct 'subsurface_depth_negative', 'error', variable from ca
   where variable in ('ground_temperature', 'volumetric_water_content') and depth_m < 0)""", body="""
 select severity, "check", count(*) as n from found group by all""")),
     "qc_required_files": (qc_required_files, V.with_ctes(STAGED_SQL, body="""
-select d.dataset_id, r.file_name from (select distinct dataset_id from staged) d,
+select d.dataset_id, r.file_name from (select dataset_id from staged union select 'empty_' || s_suppkey from supplier) d,
   (values ('PROVENANCE.json'), ('CITATION.cff'), ('README.md')) r(file_name)
 where not exists (select 1 from staged s where s.dataset_id = d.dataset_id and s.relative_path = r.file_name)""")),
     "qc_native_metadata": (qc_native_metadata, V.with_ctes(STAGED_SQL, body="""
 select dataset_id from staged group by dataset_id
-having not bool_or(relative_path in ('metadata.json', 'metadata.txt') or relative_path like '%.xml')""")),
+having not bool_or(relative_path in ('metadata.json', 'metadata.txt') or relative_path like '%.xml')
+union all select 'empty_' || s_suppkey from supplier""")),
     "qc_records": (qc_records, """
 select 'provenance_unreadable' as "check", 'error' as severity, 'set_' || doc_id as dataset_id from documents where doc_id % 10 = 7
 union all select 'citation_synthesized', 'error', 'set_' || doc_id from documents where doc_id % 10 <> 7 and doc_id % 4 = 0"""),

@@ -51,8 +51,9 @@ def secret_scan(spark, sf):
         .when(n % 5 == 3, F.concat(F.lit(" github_pat_"), F.repeat(F.lit("x_"), 11)))
         .otherwise(F.lit(" AKIASHORT ghp_short "))
     )
-    d = _docs(spark, sf).select("doc_id", F.concat("text", marker).alias("t"))
-    return d.select("doc_id", F.explode(X.secret_hits(F.col("t"))).alias("rule"))
+    suffix = F.when(n % 7 == 3, F.lit(".PNG")).when(n % 7 == 4, F.lit(".zip")).otherwise(F.lit(".md"))
+    d = _docs(spark, sf).select("doc_id", F.concat(F.lit("f"), n.cast("string"), suffix).alias("path"), F.concat("text", marker).alias("t"))
+    return d.filter(~X.scan_skipped(F.col("path"))).select("doc_id", F.explode(X.secret_hits(F.col("t"))).alias("rule"))
 
 
 def abstract_shortened(spark, sf):
@@ -104,7 +105,7 @@ def ingest_report(spark, sf):
 def platform_papers(spark, sf):
     raw = _docs(spark, sf).selectExpr(
         "lang as platform", "if(doc_id % 10 = 3, '', cast(doc_id as string)) as paper_id",
-        "if(doc_id % 4 = 0, concat('10.1234/P', doc_id), '') as doi", "substr(text, 1, 30) as title",
+        "if(doc_id % 4 = 0, concat('10.1234/P', doc_id), '') as doi", "text as title",
         "concat(' A', doc_id, ' ; ;B', doc_id, ';') as authors",
         "case doc_id % 3 when 0 then '2011-05-06' when 1 then 'n.d.' else '1999' end as published_date",
         "if(doc_id % 6 = 0, '', text) as abstract", "concat('https://x.org/', doc_id) as url", "cast(doc_id % 5 as int) as citations",
@@ -119,7 +120,7 @@ def scholar_papers(spark, sf):
     one = F.struct(
         F.concat(F.lit("p"), F.col("doc_id").cast("string")).alias("paperId"),
         F.create_map(F.lit("DOI"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("10.1234/S"), F.col("doc_id").cast("string")))).alias("externalIds"),
-        F.substring("text", 1, 25).alias("title"),
+        F.col("text").alias("title"),
         F.array(F.struct(F.lit("Doe").alias("name")), F.struct(F.lit("").alias("name"))).alias("authors"),
         (F.lit(2000) + F.col("doc_id") % 20).alias("year"), F.col("text").alias("abstract"),
     )
@@ -284,7 +285,8 @@ select doc_id, case when doc_id % 3 = 0 then '10.1/' || doc_id when doc_id % 2 =
 select doc_id, nullif(regexp_extract(text, '^\\s*([A-Za-z][A-Za-z''\\-]+)', 1), '') as surname from documents"""),
     "secret_scan": (secret_scan, """
 select doc_id, unnest(case doc_id % 5 when 0 then ['GitHub classic PAT'] when 1 then ['AWS access key id']
-  when 2 then ['AWS secret access key', 'JWT'] when 3 then ['GitHub fine-grained PAT'] else [] end) as rule from documents"""),
+  when 2 then ['AWS secret access key', 'JWT'] when 3 then ['GitHub fine-grained PAT'] else [] end) as rule from documents
+where doc_id % 7 not in (3, 4)"""),
     "abstract_shortened": (abstract_shortened, """
 select doc_id, md5(case when text = '' then '(no abstract)' when length(text) > 800 then substr(text, 1, 800) || '...' else text end) as digest from documents"""),
     "reference_titles": (reference_titles, """
@@ -306,12 +308,12 @@ select count(*) as records_parsed, count(*) filter (where doc_id % 3 <> 0) as re
   count(*) filter (where trim(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')) <> '') as records_with_abstract, count(*) as records_with_year from documents"""),
     "platform_papers": (platform_papers, """
 select case when doc_id % 4 = 0 then '10.1234/P' || doc_id when doc_id % 10 = 3 then 'unknown' else lang || ':' || doc_id end as paper_id,
-  case when doc_id % 4 = 0 then '10.1234/P' || doc_id end as doi, substr(text, 1, 30) as title, 'A' || doc_id || '|B' || doc_id as authors,
+  case when doc_id % 4 = 0 then '10.1234/P' || doc_id end as doi, text as title, 'A' || doc_id || '|B' || doc_id as authors,
   cast(case doc_id % 3 when 0 then 2011 when 2 then 1999 end as integer) as year, case when doc_id % 6 <> 0 and text <> '' then md5(text) end as abstract,
   cast(nullif(doc_id % 5, 0) as integer) as citation_count, 'paper_search_mcp:' || lang as source_backend from documents"""),
     "scholar_papers": (scholar_papers, """
 select case when doc_id % 2 = 0 then '10.1234/S' else 'p' end || doc_id as paper_id, case when doc_id % 2 = 0 then '10.1234/S' || doc_id end as doi,
-  substr(text, 1, 25) as title, 'Doe' as authors, cast(2000 + doc_id % 20 as integer) as year, md5(text) as abstract from documents"""),
+  text as title, 'Doe' as authors, cast(2000 + doc_id % 20 as integer) as year, md5(text) as abstract from documents"""),
     "works_enriched": (works_enriched, V.with_ctes(V.PAPERS_SQL, """e as (
   select *, doi is not null and substr(h, 2, 1) < '8' as hit from papers)""", body="""
 select ord, paper_id, case when title = '' and hit then 'Work ' || substr(h, 1, 8) else title end as title, case when year is null and hit then 2001 else year end as year,

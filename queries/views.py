@@ -147,7 +147,7 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     doi = F.when(F.substring(h, 1, 1) < "c", F.concat(F.lit("10.1234/"), F.substring(h, 1, 8)))
     shaped = d.select(
         F.coalesce(doi, h).alias("paper_id"), doi.alias("doi"),
-        F.when(n % 7 == 0, F.lit("")).otherwise(F.substring("text", 1, 40)).alias("title"),
+        F.when(n % 7 == 0, F.lit("")).otherwise(F.col("text")).alias("title"),
         F.when(n % 5 == 0, F.array().cast("array<string>"))
         .otherwise(F.array(F.concat(F.lit("Author "), (n % 50).cast("string")))).alias("authors"),
         F.when(n % 6 != 0, (F.lit(1980) + n % 45)).cast("int").alias("year"),
@@ -164,7 +164,7 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PAPERS_SQL = """papers as (
   select coalesce(doi, h) as paper_id, doi,
-    case when n % 7 = 0 then '' else substr(text, 1, 40) end as title,
+    case when n % 7 = 0 then '' else text end as title,
     case when n % 5 = 0 then '' else 'Author ' || (n % 50) end as authors,
     cast(case when n % 6 <> 0 then 1980 + n % 45 end as integer) as year,
     case when n % 4 <> 0 then 'Journal ' || (n % 9) end as venue,
