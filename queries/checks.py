@@ -96,6 +96,11 @@ def qc_required_files(spark, sf):
     return qc.missing_files(_staged(spark, sf), _folders(spark, sf))
 
 
+def qc_staged(spark, sf):
+    """All findings on staged folders, counted."""
+    return qc.finding_counts(qc.validate_staged(_staged(spark, sf), _records(spark, sf), _folders(spark, sf)))
+
+
 def qc_native_metadata(spark, sf):
     return qc.lacking_native_metadata(_staged(spark, sf), _folders(spark, sf))
 
@@ -264,6 +269,15 @@ union all select distinct 'subsurface_depth_missing', 'error', variable from can
   where variable in ('ground_temperature', 'volumetric_water_content') and depth_m is null
 union all select distinct 'subsurface_depth_negative', 'error', variable from canon
   where variable in ('ground_temperature', 'volumetric_water_content') and depth_m < 0)""", body="""
+select severity, "check", count(*) as n from found group by all""")),
+    "qc_staged": (qc_staged, V.with_ctes(STAGED_SQL, """folders as (select dataset_id from staged union select 'empty_' || s_suppkey from supplier),
+found as (
+  select 'self_describing_missing' as "check", 'error' as severity from folders d, (values ('PROVENANCE.json'), ('CITATION.cff'), ('README.md')) r(file_name)
+  where not exists (select 1 from staged s where s.dataset_id = d.dataset_id and s.relative_path = r.file_name)
+  union all select 'self_describing_no_native', 'warning' from folders d where not exists (
+    select 1 from staged s where s.dataset_id = d.dataset_id and (s.relative_path in ('metadata.json', 'metadata.txt') or s.relative_path like '%.xml'))
+  union all select 'provenance_unreadable', 'error' from documents where doc_id % 10 = 7
+  union all select 'citation_synthesized', 'error' from documents where doc_id % 10 <> 7 and doc_id % 4 = 0)""", body="""
 select severity, "check", count(*) as n from found group by all""")),
     "qc_required_files": (qc_required_files, V.with_ctes(STAGED_SQL, body="""
 select d.dataset_id, r.file_name from (select dataset_id from staged union select 'empty_' || s_suppkey from supplier) d,

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cairn.dims import FEATURE_CATEGORIES
 from cairn.functions import parse as P
 from cairn.operators import index as I
+from cairn.sources import delimited as D
 from cairn.sources import normalise as N
 from queries import views as V
 from queries.checks import r6
@@ -221,7 +222,55 @@ def _located_plots():
     return f"located as ({utm_sql('plots', 'ee', 'nn', 'plot_id', 12)})"
 
 
+# --- whole documents as the lines of files ----------------------------------------------------
+
+
+def _lines(spark, sf, content):
+    """``file, file_name, split, ord, line`` of one file per document with the given content."""
+    d = V.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("file"), F.expr(content).alias("content"))
+    parts = d.select("file", F.col("file").alias("file_name"), F.lit(0).alias("split"), F.posexplode(F.split("content", "\n")).alias("ord", "line"))
+    return parts.withColumn("ord", F.col("ord").cast("long"))
+
+
+def comment_blocks(spark, sf):
+    """Each document as a comment block before a table; no window on its length."""
+    lines = _lines(spark, sf, "concat('/* ', replace(text, '*/', ''), '\\n*/\\nA\\tB\\n')")
+    return D.comment_block(lines).select("file", F.md5("native_metadata").alias("digest"))
+
+
+def block_starts(spark, sf):
+    """First data line behind the comment block of each document."""
+    lines = _lines(spark, sf, "concat('/* ', replace(text, '*/', ''), '\\n*/\\nA\\tB\\n')")
+    return D._drop_comment_block(lines).filter("ord = start").select("file", "start", "line")
+
+
+def csv_records(spark, sf):
+    """Each document as a quoted field: its line breaks and quotes stay inside the record."""
+    lines = _lines(spark, sf, """concat('id,text\\n', doc_id, ',"', replace(text, '"', '""'), '"\\n\\nlast,x')""")
+    cells = D.with_cells(D.logical_records(lines).filter("record > 0"))
+    return cells.select("file", "record", F.get("cells", F.lit(0)).alias("id"), F.md5(F.get("cells", F.lit(1))).alias("digest"))
+
+
+def own_headers(spark, sf):
+    """Columns by name in files of two layouts; the optional one is blank where a file lacks it."""
+    lines = _lines(spark, sf, """if(doc_id % 2 = 0, concat('SiteName,File_Name\\n', source, ',', doc_id, '.csv'),
+        concat('filename,x,Latitude\\n', doc_id, '.csv,"a,b",', doc_id % 90))""")
+    rows = D.per_file_columns(lines, (0,), {"name": ("filename", "file_name"), "lat": ("latitude",), "site": ("sitename",)}, required=("name",))
+    return rows.select("file", "ord", "name", "lat", "site")
+
+
 QUERIES = {
+    "comment_blocks": (comment_blocks, """
+select cast(doc_id as varchar) as file, md5('/* ' || replace(text, '*/', '') || chr(10) || '*/') as digest from documents"""),
+    "block_starts": (block_starts, """
+select cast(doc_id as varchar) as file, cast(length(t) - length(replace(t, chr(10), '')) + 2 as bigint) as start, 'A' || chr(9) || 'B' as line
+from (select doc_id, replace(text, '*/', '') as t from documents)"""),
+    "csv_records": (csv_records, """
+select cast(doc_id as varchar) as file, cast(1 as bigint) as record, cast(doc_id as varchar) as id, md5(text) as digest from documents
+union all select cast(doc_id as varchar), 2, 'last', md5('x') from documents"""),
+    "own_headers": (own_headers, """
+select cast(doc_id as varchar) as file, cast(1 as bigint) as ord, doc_id || '.csv' as name, case when doc_id % 2 = 0 then '' else cast(doc_id % 90 as varchar) end as lat,
+  case when doc_id % 2 = 0 then source else '' end as site from documents"""),
     "source_calm": (source_calm, V.with_ctes(_raw_sql(CALM_RAW), """typed as (
   select *, case when "Event label" = '' then "Event" else "Event label" end as ev, try_cast(trim("ALD [cm]") as double) as cm,
     try_cast("Latitude of event" as double) as lat, cast("Longitude of event" as double) as lon, "DATE/TIME" as d from raw)""", body=f"""
