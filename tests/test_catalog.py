@@ -118,3 +118,25 @@ def test_bbox_coverage_of_points(spark):
     t = spark.createDataFrame([("2000-01-01", "2001-01-01"), ("bad", None)], "b string, e string")
     assert [r[0] for r in t.select(D.time_overlap(("2002", "x"), F.col("b"), F.col("e"))).collect()] == [True, True]
     assert [r[0] for r in t.select(D.time_overlap(("2002-01-01", "2003-01-01"), F.col("b"), F.col("e"))).collect()] == [False, True]
+
+
+def test_same_id_in_two_datasets(make_obs):
+    from cairn.operators import catalog as K
+
+    obs = make_obs([dict(obs_id="x", dataset_id="a", value=1.0), dict(obs_id="x", dataset_id="b", value=2.0), dict(obs_id="x", dataset_id="a", value=3.0)])
+    assert sorted((r.dataset_id, r.value) for r in K.stored_form(obs).collect()) == [("a", 3.0), ("b", 2.0)]
+
+
+def test_dictionaries_by_their_own_header_and_all_codes(spark, tmp_path):
+    from cairn.sources import package as K
+
+    (tmp_path / "metadata").mkdir()
+    (tmp_path / "a_dd.csv").write_text("nothing,here\n1,2\n")
+    (tmp_path / "b_dd.csv").write_text("Column_or_Row_Name,Unit,Definition,Column_or_Row_Long_Name,Data_Type\nt,degC,d,l,n\n")
+    (tmp_path / "c_dd.csv").write_text("Unit,Column_or_Row_Name,Definition,Column_or_Row_Long_Name,Data_Type\nm,z,d,l,n\n")
+    assert sorted((r.raw_name, r.unit) for r in K.dictionary_rows(spark, str(tmp_path), "d").collect()) == [("t", "degC"), ("z", "m")]
+    (tmp_path / "metadata/science-metadata.xml").write_text(
+        "<eml><dataTable><entityName>e.csv</entityName><attributeList><attribute><attributeName>t</attributeName>"
+        "<missingValueCode><code>-99</code></missingValueCode><missingValueCode><code>-88</code></missingValueCode></attribute></attributeList></dataTable></eml>")
+    rows = K.eml_attributes(spark, str(tmp_path), "d").orderBy("ord").collect()
+    assert [(r.raw_name, r.missing_sentinel) for r in rows] == [("t", "-99"), ("t", "-88")]

@@ -167,8 +167,9 @@ def brute_force(rows, tol):
     return out
 
 
-@pytest.mark.parametrize("seed, lat0, radius, depth_tol", [(1, 65.0, 5.0, 1.0), (2, 88.5, 20.0, 0.0), (3, -10.0, 300.0, 2.5), (4, 0.0, 5.0, 1.0)])
-def test_colocation_against_brute_force(make_obs, seed, lat0, radius, depth_tol):
+@pytest.mark.parametrize("seed, lat0, radius, depth_tol, shard", [(1, 65.0, 5.0, 1.0, 512), (1, 65.0, 5.0, 1.0, 4), (2, 88.5, 20.0, 0.0, 512), (3, -10.0, 300.0, 2.5, 8), (4, 0.0, 5.0, 1.0, 512)])
+def test_colocation_against_brute_force(make_obs, monkeypatch, seed, lat0, radius, depth_tol, shard):
+    monkeypatch.setattr(C, "_SHARD", shard)  # a small one splits most buckets
     rng = random.Random(seed)
     rows = []
     for _ in range(260):

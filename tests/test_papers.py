@@ -129,3 +129,20 @@ def test_triage(spark):
     responses = spark.createDataFrame([(0, '[{"relevance": "IRRELEVANT"}, {"relevance": "HIGH"}]')], "batch bigint, response string")
     got = review.triage(store, papers.filter("paper_id = 'p1'"), responses)
     assert [(r.paper_id, r.relevance) for r in got.collect()] == [("p3", "HIGH")]
+
+
+def test_triage_keeps_chunks_and_blank_ids(spark):
+    from pyspark.sql import functions as F
+
+    store = P.stored_rows(_papers(spark, [("p1", None, "x")]), NOW)
+    rows = [store.withColumns({"chunk_id": F.lit(c), "paper_id": F.lit(p), "ord": F.lit(i)}) for i, (c, p) in enumerate([("c1", "p1"), ("c2", "p1"), ("c3", "")])]
+    none = spark.createDataFrame([], "batch bigint, response string")
+    got = review.triage(rows[0].union(rows[1]).union(rows[2]), _papers(spark, []), none)
+    assert sorted((r.chunk_id, r.paper_id) for r in got.collect()) == [("c1", "p1"), ("c2", "p1"), ("c3", "c3")]
+
+
+def test_unreadable_response_is_a_parse_error(spark):
+    papers = spark.createDataFrame([(0, 0), (0, 1), (1, 0)], "batch bigint, pos int")
+    ratings = P.parse_ratings(spark.createDataFrame([(0, "sorry"), (1, "[]")], "batch bigint, response string"), ["batch"])
+    got = sorted((r.batch, r.pos, r.reason) for r in P.attach_ratings(papers, ratings, ["batch"]).collect())
+    assert got == [(0, 0, "parse error"), (0, 1, "parse error"), (1, 0, "no rating returned")]
