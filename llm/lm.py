@@ -251,34 +251,45 @@ def _unboxed(t: pa.Table) -> pa.Table:
     return pa.concat_tables([pa.ipc.open_stream(press.decompress(b)).read_all() for b in t["box"].to_pylist()])
 
 
-ASK = "shard int, block int, keys binary, counts binary, n int"
-ANSWER = "block int, shard int, n int, counts binary, total long, kinds long"
+ASK = "shard int, block int, keys array<binary>, counts array<binary>"
+ANSWER = "block int, shard int, counts array<binary>, total long, kinds long"
+_NONE = (b"", pack_counts(np.zeros(0, np.int64)))
+_BLOBS = pa.list_(pa.binary())
 
 
 def _asker(order: int, shards: int):
     def ask(boxes: pa.Table) -> pa.Table:
-        t = _unboxed(boxes)
+        """One row for each key range, with the keys and counts of every order."""
+        t, block = _unboxed(boxes), boxes["block"][0].as_py()
         ev, train = Events(t["text"], order), ~t["held_out"].to_numpy().astype(bool)
-        out = []
+        rows: dict[int, list] = {}
         for n in range(order):
-            rows = ask_rows(boxes["block"][0].as_py(), ev.keys[n], ev.counts(n, train), shards)
-            out.append(rows.append_column("n", pa.array([n] * rows.num_rows, pa.int32())))
-        return pa.concat_tables(out)
+            got = ask_rows(block, ev.keys[n], ev.counts(n, train), shards)
+            for shard, keys, counts in zip(got["shard"].to_pylist(), got["keys"].to_pylist(), got["counts"].to_pylist(), strict=True):
+                rows.setdefault(shard, [_NONE] * order)[n] = (keys, counts)
+        return pa.table({
+            "shard": pa.array(list(rows), pa.int32()), "block": pa.array([block] * len(rows), pa.int32()),
+            "keys": pa.array([[k for k, _ in r] for r in rows.values()], _BLOBS), "counts": pa.array([[c for _, c in r] for r in rows.values()], _BLOBS),
+        })
 
     return ask
 
 
-def _answerer(blocks: int):
+def _answerer(order: int, blocks: int):
     def answer(t: pa.Table) -> pa.Table:
-        asked, _, _, sums, places = tally(t)
-        n, shard, total, kinds = t["n"][0].as_py(), t["shard"][0].as_py(), int(sums.sum()), int((sums > 0).sum())
-        got = dict(zip(asked, places, strict=True))
-        every = range(blocks) if n == 0 else asked  # each block needs N and V
-        empty = np.zeros(0, np.int64)
+        """One row for every block, as each needs N and V, with the sums of what it asked for."""
+        keys, counts, shard = t["keys"].to_pylist(), t["counts"].to_pylist(), t["shard"][0].as_py()
+        blobs, total, kinds = [[_NONE[1]] * order for _ in range(blocks)], 0, 0
+        for n in range(order):
+            part = pa.table({"block": t["block"], "keys": pa.array([k[n] for k in keys], pa.binary()), "counts": pa.array([c[n] for c in counts], pa.binary())})
+            asked, _, _, sums, places = tally(part)
+            for b, p in zip(asked, places, strict=True):
+                blobs[b][n] = pack_counts(sums[p])
+            if n == 0:
+                total, kinds = int(sums.sum()), int((sums > 0).sum())
         return pa.table({
-            "block": pa.array(every, pa.int32()), "shard": pa.array([shard] * len(every), pa.int32()), "n": pa.array([n] * len(every), pa.int32()),
-            "counts": pa.array([pack_counts(sums[got[b]] if b in got else empty) for b in every], pa.binary()),
-            "total": pa.array([total] * len(every), pa.int64()), "kinds": pa.array([kinds] * len(every), pa.int64()),
+            "block": pa.array(range(blocks), pa.int32()), "shard": pa.array([shard] * blocks, pa.int32()), "counts": pa.array(blobs, _BLOBS),
+            "total": pa.array([total] * blocks, pa.int64()), "kinds": pa.array([kinds] * blocks, pa.int64()),
         })
 
     return answer
@@ -335,13 +346,9 @@ def _scorer(order: int):
         if not boxes.num_rows:
             return kind.empty_table()
         t = _unboxed(boxes)
-        shard, which, blobs = answers["shard"].to_numpy(), answers["n"].to_numpy(), answers["counts"].to_pylist()
-        counts = []
-        for n in range(order):
-            mine = np.nonzero(which == n)[0]
-            counts.append(np.concatenate([unpack_counts(blobs[i]) for i in mine[np.argsort(shard[mine])]] or [np.zeros(0, np.int64)]))
-        first = which == 0
-        total, kinds = int(answers["total"].to_numpy()[first].sum()), int(answers["kinds"].to_numpy()[first].sum())
+        by, blobs = np.argsort(answers["shard"].to_numpy()), answers["counts"].to_pylist()
+        counts = [np.concatenate([unpack_counts(blobs[i][n]) for i in by]) for n in range(order)]
+        total, kinds = int(answers["total"].to_numpy().sum()), int(answers["kinds"].to_numpy().sum())
         size, known, base, score = block_scores(t["text"], counts, total, kinds, order)
         return pa.table([t["doc_id"].cast(pa.int64()), t["held_out"], pa.array(size, pa.int64()), pa.array(known), pa.array([total] * len(size), pa.int64()), pa.array(base), pa.array(score)], schema=kind)
 
@@ -359,6 +366,6 @@ def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
     block = F.pmod(F.xxhash64("doc_id", text), F.lit(blocks)).cast("int")
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce("held_out", F.lit(False)).alias("held_out"), block.alias("block")).mapInArrow(_boxed, "block int, box binary")
     asked = dealt.groupBy("block").applyInArrow(_asker(order, shards), ASK)
-    answers = asked.groupBy("shard", "n").applyInArrow(_answerer(blocks), ANSWER)
+    answers = asked.groupBy("shard").applyInArrow(_answerer(order, blocks), ANSWER)
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scorer(order), out)
