@@ -7,11 +7,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -199,6 +201,32 @@ def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, flo
 # ---------------------------------------------------------------- corpus-wide counts, block by block
 
 
+BOXES = "block int, box binary"
+
+
+def boxed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch that go to one block as one compressed box; texts cross the shuffle at half their size."""
+    press = zstandard.ZstdCompressor()
+    for b in batches:
+        blocks = b["block"].to_numpy()
+        by = np.argsort(blocks, kind="stable")
+        rows = b.select([c for c in b.schema.names if c != "block"]).take(pa.array(by))
+        cuts = np.nonzero(np.concatenate([[True], np.diff(blocks[by]) != 0]))[0].tolist() if len(by) else []
+        boxes = []
+        for i, j in zip(cuts, [*cuts[1:], len(by)], strict=True):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema) as w:
+                w.write_batch(rows.slice(i, j - i))
+            boxes.append(press.compress(sink.getvalue().to_pybytes()))
+        yield pa.RecordBatch.from_arrays([pa.array(blocks[by][cuts], pa.int32()), pa.array(boxes, pa.binary())], ["block", "box"])
+
+
+def unboxed(t: pa.Table) -> pa.Table:
+    """All rows of the boxes of a block."""
+    press = zstandard.ZstdDecompressor()
+    return pa.concat_tables([pa.ipc.open_stream(press.decompress(b)).read_all() for b in t["box"].to_pylist()])
+
+
 def shard_bounds(shards: int) -> np.ndarray:
     """First key of each of the equal key ranges but the first."""
     return np.array([(i << 64) // shards for i in range(1, shards)], np.uint64)

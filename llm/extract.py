@@ -285,7 +285,9 @@ def lesson(page: str | None, words: list[str], r: np.random.Generator) -> list[B
 def fit(pages: DataFrame, limit: int = FIT_PAGES, seed: int = 0) -> Labeller | None:
     """Train on the pages (url, html) whose hashes are lowest; None without a page."""
     rows = pages.select("html").where("html is not null")
-    got = [r[0] for r in rows.orderBy(F.xxhash64(F.lit(seed), F.col("html")), "html").limit(limit).collect()]
+    u = F.pmod(F.xxhash64(F.lit(seed), F.col("html")), F.lit(1 << 40))
+    low = rows.where(u < min(1.0, 2 * limit / max(rows.count(), 1)) * float(1 << 40))  # so that no task sends all its pages
+    got = [r[0] for r in low.orderBy(u, "html").limit(limit).collect()]
     if not got:
         return None
     r, hasher, lessons = np.random.default_rng(seed), Hasher(), []

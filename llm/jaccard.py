@@ -28,16 +28,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import ASK, ask_rows, ascii_lower, components, partitions, shingle_keys, stored, tally
+from llm.common import ASK, BOXES, ask_rows, ascii_lower, boxed, components, partitions, shingle_keys, stored, tally, unboxed
 
 FRAGMENTS = 16
 SIZES = [f"s{i}" for i in range(FRAGMENTS)]  # how many n-grams a set has in each fragment
-TEXTS = "h1 long, h2 long, text string, block int"
 SETS = "h1 long, h2 long, n long, prefix array<bigint>, parts array<array<bigint>>"
 
 
 def _first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop the texts this task has already passed on, so that no hot text is shuffled more than once a task."""
+    """Box the texts this task has not passed on before, so that no hot text is shuffled more than once a task."""
+    return boxed(_unseen(batches))
+
+
+def _unseen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[tuple[int, int]] = set()
     for b in batches:
         keep = []
@@ -47,8 +50,9 @@ def _first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.filter(pa.array(keep, pa.bool_()))
 
 
-def _texts_once(t: pa.Table) -> pa.Table:
+def _texts_once(boxes: pa.Table) -> pa.Table:
     """The distinct texts of a block, in the order of their hashes."""
+    t = unboxed(boxes)
     h1, h2 = t["h1"].to_numpy(), t["h2"].to_numpy()
     by = np.lexsort((h2, h1))
     first = np.ones(len(by), bool)
@@ -122,7 +126,7 @@ def classes_of(docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFra
     hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(text, F.lit(1)).alias("h2"), text.alias("text"))
     rows = hashed.select("doc_id", "h1", "h2")
     block = F.pmod("h1", F.lit(2 * shards)).cast("int").alias("block")
-    texts = hashed.select("h1", "h2", "text", block).mapInArrow(_first_seen, TEXTS)
+    texts = hashed.select("h1", "h2", "text", block).mapInArrow(_first_seen, BOXES)
     asked = texts.groupBy("block").applyInArrow(_asker(width, shards), ASK)
     answers = asked.groupBy("shard").applyInArrow(_levels, "block int, shard int, levels binary")
     sets = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_setter(width, num, den, shards), SETS)

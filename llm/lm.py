@@ -22,11 +22,10 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import ask_rows, chain, pack_counts, partitions, scramble, split_words, tally, unpack_counts, word_hashes
+from llm.common import BOXES, ask_rows, boxed, chain, pack_counts, partitions, scramble, split_words, tally, unboxed, unpack_counts, word_hashes
 
 ORDER, MU, BITS = 3, (0.0, 20.0, 5.0), 12
 KEY_BITS = 48  # of an n-gram of two words or more: of 10**9 distinct ones about 3 in a million share a key; words have 64
@@ -229,28 +228,6 @@ class Events:
         return np.bincount(self.place[n][use], minlength=len(self.keys[n])).astype(np.int64)
 
 
-def _boxed(batches):
-    """The rows of a batch that go to one block as one compressed box: (block, box)."""
-    press = zstandard.ZstdCompressor()
-    for b in batches:
-        blocks = b["block"].to_numpy()
-        by = np.argsort(blocks, kind="stable")
-        rows = b.select(["doc_id", "text", "held_out"]).take(pa.array(by))
-        cuts = np.nonzero(np.concatenate([[True], np.diff(blocks[by]) != 0]))[0].tolist() if len(by) else []
-        boxes = []
-        for i, j in zip(cuts, [*cuts[1:], len(by)], strict=True):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rows.schema) as w:
-                w.write_batch(rows.slice(i, j - i))
-            boxes.append(press.compress(sink.getvalue().to_pybytes()))
-        yield pa.RecordBatch.from_arrays([pa.array(blocks[by][cuts], pa.int32()), pa.array(boxes, pa.binary())], ["block", "box"])
-
-
-def _unboxed(t: pa.Table) -> pa.Table:
-    press = zstandard.ZstdDecompressor()
-    return pa.concat_tables([pa.ipc.open_stream(press.decompress(b)).read_all() for b in t["box"].to_pylist()])
-
-
 ASK = "shard int, block int, keys array<binary>, counts array<binary>"
 ANSWER = "block int, shard int, counts array<binary>, total long, kinds long"
 _NONE = (b"", pack_counts(np.zeros(0, np.int64)))
@@ -260,7 +237,7 @@ _BLOBS = pa.list_(pa.binary())
 def _asker(order: int, shards: int):
     def ask(boxes: pa.Table) -> pa.Table:
         """One row for each key range, with the keys and counts of every order."""
-        t, block = _unboxed(boxes), boxes["block"][0].as_py()
+        t, block = unboxed(boxes), boxes["block"][0].as_py()
         ev, train = Events(t["text"], order), ~t["held_out"].to_numpy().astype(bool)
         rows: dict[int, list] = {}
         for n in range(order):
@@ -345,7 +322,7 @@ def _scorer(order: int):
         kind = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
         if not boxes.num_rows:
             return kind.empty_table()
-        t = _unboxed(boxes)
+        t = unboxed(boxes)
         by, blobs = np.argsort(answers["shard"].to_numpy()), answers["counts"].to_pylist()
         counts = [np.concatenate([unpack_counts(blobs[i][n]) for i in by]) for n in range(order)]
         total, kinds = int(answers["total"].to_numpy().sum()), int(answers["kinds"].to_numpy().sum())
@@ -364,7 +341,7 @@ def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
     blocks = 2 * shards
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     block = F.pmod(F.xxhash64("doc_id", text), F.lit(blocks)).cast("int")
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce("held_out", F.lit(False)).alias("held_out"), block.alias("block")).mapInArrow(_boxed, "block int, box binary")
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce("held_out", F.lit(False)).alias("held_out"), block.alias("block")).mapInArrow(boxed, BOXES)
     asked = dealt.groupBy("block").applyInArrow(_asker(order, shards), ASK)
     answers = asked.groupBy("shard").applyInArrow(_answerer(order, blocks), ANSWER)
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
