@@ -43,11 +43,10 @@ def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     docs = docs.select(*COLUMNS)
     found = jaccard.joined(docs, width=5, num=80, den=100)
     kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    first = F.struct("text", "lang", "source", "n_chars")
-    repeats = named.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    once = named.join(repeats, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(first).alias("r")).select("doc_id", "r.*")
-    return named.join(repeats, "doc_id", "left_anti").union(once).union(docs.where("doc_id is null")).select(*COLUMNS)
+    # one shuffle of the texts serves the join and the choice among rows that repeat an id
+    row = F.min(F.struct("text", "lang", "source", "n_chars")).alias("r")
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(row).select("doc_id", "r.*")
+    return named.union(docs.where("doc_id is null")).select(*COLUMNS)
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
