@@ -99,11 +99,16 @@ def manifest_mismatches(files: DataFrame, manifest: DataFrame) -> DataFrame:
     )
 
 
-def _prefixes(name: Column, shortest: int = 1) -> Column:
-    """Every leading part of a name, so that a prefix match becomes an equi-join."""
-    return F.transform(
-        F.sequence(F.lit(shortest), F.length(name)), lambda n: F.substring(name, F.lit(1), n)
-    )
+def _with_heads(names: DataFrame, name: str, heads: DataFrame, head: str) -> DataFrame:
+    """The names with each of their leading parts that may be one of ``heads`` of the data set, in column ``head``.
+
+    Only the lengths that the heads of a data set have are cut, so a name makes as many rows as there are such
+    lengths, and none in a data set without heads.  The lengths are one small row per data set.
+    """
+    lengths = heads.groupBy("dataset_id").agg(F.collect_set(F.length(head)).alias("__lengths"))
+    fits = F.filter("__lengths", lambda n: n <= F.length(name))
+    cut = names.join(lengths, "dataset_id").withColumn("__n", F.explode(fits))
+    return cut.withColumn(head, F.substring(F.col(name), F.lit(1), F.col("__n"))).drop("__n", "__lengths")
 
 
 def match_dictionary_files(files: DataFrame) -> DataFrame:
@@ -122,9 +127,9 @@ def match_dictionary_files(files: DataFrame) -> DataFrame:
         F.regexp_replace(name, r"_dd\.csv$", "").alias("prefix"),
     )
     data = files.filter(name.endswith(".csv") & ~is_dd & ~flmd).select(
-        "dataset_id", path.alias("target_path"), parent(path).alias("dir"),
-        F.explode(_prefixes(name, 0)).alias("prefix"),
+        "dataset_id", path.alias("target_path"), parent(path).alias("dir"), name.alias("__name")
     )
+    data = _with_heads(data, "__name", dictionaries, "prefix").drop("__name")
     matched = dictionaries.join(data, ["dataset_id", "dir", "prefix"], "left")
     return matched.select(
         "dataset_id", "dictionary_path",
@@ -216,7 +221,7 @@ def resolve_by_steps(wanted: DataFrame, files: DataFrame) -> DataFrame:
     3 the only file that starts with the site code; 4 the only file that starts
     with the region and carries the date token (any date, without a token).
 
-    Prefix and token tests are equi-joins on exploded prefixes and tokens, and
+    Prefix and token tests are equi-joins on the leading parts that may match and on tokens, and
     uniqueness is a count, so candidates are never listed or compared pairwise.
     """
     normal = F.regexp_replace("filename", "-", "_")
@@ -249,9 +254,9 @@ def resolve_by_steps(wanted: DataFrame, files: DataFrame) -> DataFrame:
         names.filter(
             ~F.lower("file_name").contains("roster") & F.col("file_name").endswith(".csv")
         )
-        .select("dataset_id", "file_name", F.explode(_prefixes(F.col("file_name"))).alias("head"))
-        .join(asked, ["dataset_id", "head"], "left_semi")
+        .select("dataset_id", "file_name")
     )
+    heads = _with_heads(heads, "file_name", asked, "head").join(asked, ["dataset_id", "head"], "left_semi")
 
     def only(candidates: DataFrame, keys: list[str], out: str) -> DataFrame:
         return (
