@@ -8,7 +8,7 @@ machine; the weight of the path it takes is the clause's score, so a word never
 the clause scores becomes a probability by a logistic calibration.
 
 The lexicon is learned: words and word beginnings found in toxic and hardly in clean labelled texts, beside a short
-fixed list.  It is fitted on at most about ``FIT_ROWS`` labelled documents, chosen by a hash of the id, and holds at
+fixed list; of near copies one counts.  It is fitted on at most about ``FIT_ROWS`` labelled documents, chosen by a hash of the id, and holds at
 most ``LEXICON`` entries, the best supported first.  Every text is scored whole.  Null and empty texts have weight 0
 and get the probability of a text without any match.  Without labels the fixed list and a fixed calibration are used.
 """
@@ -26,9 +26,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import calibrate, split_words, widened
+from llm.common import calibrate, split_words, widened, word_hashes
 
-FIT_ROWS, LEXICON, MIN_DOCS = 30_000, 20_000, 5
+FIT_ROWS, LEXICON, MIN_DOCS, EVIDENCE = 30_000, 20_000, 5, 14.0
 OTHER, WEAK, MILD, STRONG, THREAT, TARGET, NOT, SAID = range(8)
 STEMS = (4, 5, 6)
 
@@ -172,12 +172,22 @@ def _fixed() -> dict[str, int]:
     return {w: s for s, line in FIXED.items() for w in line.split()}
 
 
+def evidence(t: int, c: int, toxic: int, clean: int) -> float:
+    """Log-likelihood ratio of a unit's toxic and clean documents against the share of toxic ones overall."""
+    base = (toxic + 1) / (toxic + clean + 2)
+    n = t + c
+    return (t * np.log(t / (n * base)) if t else 0.0) + (c * np.log(c / (n * (1 - base))) if c else 0.0)
+
+
 def lexicon_of(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, int]:
     """Symbols of the units from (unit, toxic documents, clean documents)."""
     out, seen = _fixed(), {}
     for unit, t, c in counts:
-        c = c * max(toxic, 1) / max(clean, 1)  # clean documents as if there were as many as toxic ones
-        seen[unit] = STRONG if c <= 0.005 * t else MILD if c <= 0.03 * t else WEAK if c <= 0.1 * t else OTHER
+        if evidence(t, c, toxic, clean) >= EVIDENCE:
+            rate = t / (t + c)
+            seen[unit] = STRONG if rate >= 0.95 else MILD if rate >= 0.8 else WEAK if rate >= 0.5 else OTHER
+        elif c > 3 * t:
+            seen[unit] = OTHER  # clean texts use a word of the fixed list
     for unit, s in seen.items():
         if out.get(unit, OTHER) in (OTHER, WEAK, MILD, STRONG, THREAT):
             out[unit] = s
@@ -205,6 +215,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(names), pa.string()), pa.array(t), pa.array(c)], ["unit", "t", "c"])
 
 
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, sign): the smallest hash of a text's words, which near copies have in common."""
+    for b in batches:
+        codes, offsets, words = split_words(b["text"])
+        h = np.append(word_hashes(words)[codes] if len(codes) else np.zeros(0, np.uint64), np.uint64(2**64 - 1))
+        low = np.minimum.reduceat(h, offsets[:-1])
+        low[np.diff(offsets) == 0] = 0
+        yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(low.view(np.int64))], ["doc_id", "sign"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Fit on documents (doc_id, text) and labels (doc_id, toxic); rows with a null id or label are left out."""
     labels = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -213,14 +233,16 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         return Model(_fixed())
     u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
     sample = labels.where(u < min(1.0, rows / n))  # bounded, so it may be sent to the tasks
-    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", (F.col("toxic") > 0).alias("toxic"), (F.pmod(F.crc32(F.concat(F.lit("calibrate"), F.col("doc_id").cast("string"))), F.lit(5)) == 0).alias("held"))
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", (F.col("toxic") > 0).alias("toxic"), (F.pmod(F.crc32(F.concat(F.lit("calibrate"), F.col("doc_id").cast("string"))), F.lit(5)) == 0).alias("held"))
     split = n >= 5000
-    learn = found.where(~F.col("held")) if split else found
+    # the words of a group of copies would look like a lexicon: of documents with one sign the first counts
+    firsts = found.select("doc_id", "text").mapInArrow(_signed, "doc_id long, sign long").groupBy("sign").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    learn = (found.where(~F.col("held")) if split else found).join(F.broadcast(firsts), "doc_id")  # no more than the sample
     total = learn.groupBy("toxic").count().collect()  # two rows
-    size = {r["toxic"]: r["count"] for r in total}
+    size, fixed = {r["toxic"]: r["count"] for r in total}, [w for w, s in _fixed().items() if s <= THREAT]
     counts = (
         learn.select("text", "toxic").mapInArrow(_count, "unit string, t long, c long").groupBy("unit").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-        .where((F.col("t") >= MIN_DOCS) & (F.col("c") * size.get(True, 0) <= 0.1 * F.col("t") * max(size.get(False, 0), 1))).orderBy(F.desc("t"), "unit").limit(LEXICON)
+        .where((F.col("t") >= MIN_DOCS) & (F.col("c") <= F.col("t")) | F.col("unit").isin(*fixed) & (F.col("c") > 3 * F.col("t"))).orderBy(F.desc("t"), "unit").limit(LEXICON)
     )
     # what the labels say of the fixed list counts too, so a fixed word that clean texts use is dropped
     model = Model(lexicon_of([tuple(r) for r in counts.collect()], size.get(True, 0), size.get(False, 0)))
