@@ -149,11 +149,17 @@ def test_clauses_not_words():
 
 
 def test_toxicity_learns(llm_spark):
-    docs = [(i, f"den ganzen tag zorbaz{i % 7} lief du weg. ende" if i % 10 == 0 else f"den ganzen tag lief er {i} weg. ende") for i in range(600)]
-    labels = [(i, int(i % 10 == 0)) for i in range(400)] + [(None, 1), (5, None)]
+    r = np.random.default_rng(9)
+    filler = lambda: " ".join(f"w{x}" for x in r.integers(0, 3000, 12))
+    docs = [(i, f"{filler()} zorbaz{i % 7} lief du weg. {filler()}" if i % 10 == 0 else f"{filler()} lief er weg. {filler()}") for i in range(600)]
+    copied = "ein ganz anderer text mit eigenen worten die sonst niemand sagt"
+    docs += [(1000 + i, f"{copied} {i}") for i in range(60)]  # near copies, labelled toxic: their words are no lexicon
+    labels = [(i, int(i % 10 == 0)) for i in range(400)] + [(1000 + i, 1) for i in range(40)] + [(None, 1), (5, None)]
     d, l = llm_spark.createDataFrame(docs, "doc_id long, text string"), llm_spark.createDataFrame(labels, "doc_id long, toxic int")
     model = toxicity.fit(d, l)
     out = toxicity.scored(d.withColumn("weight", F.lit("clash")), model).toPandas()
-    assert ((out.toxicity >= 0.7) == (out.doc_id % 10 == 0)).all()
+    assert "zorb*" in model.lexicon and "niemand" not in model.lexicon
+    real = out[out.doc_id < 1000]
+    assert ((real.weight > 0) == (real.doc_id % 10 == 0)).all()
     assert toxicity.scored(d, toxicity.fit(d, l.where("false"))).where("toxicity >= 0.7").count() == 0
     assert toxicity.scored(d.where("false"), model).count() == 0
