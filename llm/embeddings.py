@@ -1,13 +1,16 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products within cells.
 
 Equal vectors are one class.  Spherical k-means is fitted on at most about ``FIT_ROWS`` classes, chosen by a hash; every
-class is then assigned to its nearest cell (home) and visits the next nearest, ``PROBES`` cells in all.  Within a cell
-the home vectors meet each other and the visitors, in blocks of ``BLOCK``: a crowded cell becomes many tasks, and a
-task holds two blocks.  A block pair gives each vector its number of links and its component within the block, never
+class is then assigned to its nearest cell (home) and visits every earlier cell that can hold a vector it links with: a
+vector of cell k lies on k's side of the plane midway between the centroids of h and k, so a vector of cell h with
+``x (c_h - c_k) > sin(acos(threshold)) |c_h - c_k|`` is too far from all of them.  Within a cell the home vectors meet each
+other in blocks of ``BLOCK`` and the visitors in blocks of ``GUESTS``: a crowded cell becomes many tasks, and a task
+holds two blocks.  A block pair gives each vector its number of links and its component within the block, never
 the pairs.  Cosines are products of vectors normalised in double precision; a pair links at ``threshold`` or more.
 
-A pair is found if the home of one is among the cells of the other; recall is measured in the tests.  Only vectors of
-one length are compared.  Vectors that are null, empty, zero or hold a null or non-finite component link with nothing,
+Every pair at ``threshold`` or more is found, once, in the earlier of its two cells; the cells only save comparisons, and
+where vectors are spread evenly few are saved: the rows dealt then grow with the square of the table.  Only vectors of one
+length are compared.  Vectors that are null, empty, zero or hold a null or non-finite component link with nothing,
 nor do rows without id.  Rows that repeat an id are one node of the components; each counts as a vector.
 """
 
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 
 from llm.common import components, stored
 
-FIT_ROWS, PER_CELL, MOST_CELLS, PROBES, BLOCK = 20_000, 400, 2048, 3, 1024
+FIT_ROWS, PER_CELL, MOST_CELLS, BLOCK, GUESTS = 20_000, 400, 2048, 1024, 4096
 
 
 def normalised(x: np.ndarray) -> np.ndarray:
@@ -63,11 +66,24 @@ def fit(classes: DataFrame, seed: int = 0) -> dict[int, np.ndarray]:
     return {d: spherical_kmeans(normalised(np.array(v)), cells[d], seed=seed) for d, v in got.items()}
 
 
-PLACED = "cell string, home boolean, id long, mult long, own int, visits array<int>, vec binary"
+PLACED = "dim int, cell int, id long, mult long, reach array<int>, vec binary"
+# more than the rounding of the products below, so that no cell is missed by it
+SLACK = 1e-7
 
 
-def placed(classes: DataFrame, centroids: dict[int, np.ndarray], probes: int = PROBES) -> DataFrame:
-    """One row for each cell a class (id, mult, dim, embedding) is in."""
+def reached(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray, list[list[int]]]:
+    """Home cell of every unit vector, and the cells before it that can hold a vector at ``threshold`` or more."""
+    p = x @ c.T
+    home = p.argmax(1)
+    apart = np.sqrt(np.maximum(2 - 2 * (c @ c.T), 0))
+    far = np.sqrt(1 - min(threshold, 1.0) ** 2)
+    near = (p.max(1, keepdims=True) - p <= far * apart[home] + SLACK) | (threshold <= 0)
+    near &= np.arange(len(c)) < home[:, None]
+    return home, [np.nonzero(row)[0].tolist() for row in near]
+
+
+def placed(classes: DataFrame, centroids: dict[int, np.ndarray], threshold: float) -> DataFrame:
+    """The home cell of each class (id, mult, dim, embedding), and the cells it visits."""
     sent = classes.sparkSession.sparkContext.broadcast(centroids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,14 +94,11 @@ def placed(classes: DataFrame, centroids: dict[int, np.ndarray], probes: int = P
                 at = np.nonzero(dims == d)[0]
                 x = normalised(every.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), d))
                 c = sent.value.get(int(d))
-                near = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :probes] if c is not None else np.zeros((len(at), 1), np.int64)
-                m = near.shape[1]
-                blobs = [v.tobytes() for v in x]
+                home, reach = reached(x, c, threshold) if c is not None else (np.zeros(len(at), int), [[]] * len(at))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([f"{d}/{k}" for k in near.ravel()], pa.string()), pa.array((np.arange(near.size) % m) == 0), pa.array(np.repeat(ids[at], m)),
-                    pa.array(np.repeat(mult[at], m)), pa.array(np.repeat(near[:, 0], m).astype(np.int32)),
-                    pa.array([row for row in near.astype(np.int32).tolist() for _ in range(m)], pa.list_(pa.int32())), pa.array([v for v in blobs for _ in range(m)], pa.binary()),
-                ], ["cell", "home", "id", "mult", "own", "visits", "vec"])
+                    pa.array(np.full(len(at), d, np.int32)), pa.array(home.astype(np.int32)), pa.array(ids[at]), pa.array(mult[at]),
+                    pa.array(reach, pa.list_(pa.int32())), pa.array([v.tobytes() for v in x], pa.binary()),
+                ], ["dim", "cell", "id", "mult", "reach", "vec"])
 
     return classes.select("id", "mult", "dim", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(run, PLACED)
 
@@ -105,8 +118,8 @@ def _compared(threshold: float):
     def run(t: pa.Table) -> pa.Table:
         kind = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("low", pa.int64())])
         left, right = t["left"].to_numpy(zero_copy_only=False), t["right"].to_numpy(zero_copy_only=False)
-        same, cell = t["same"][0].as_py(), int(t["cell"][0].as_py().partition("/")[2])
-        ids, mult, own = (t[x].to_numpy() for x in ("id", "mult", "own"))
+        same = t["same"][0].as_py()
+        ids, mult = t["id"].to_numpy(), t["mult"].to_numpy()
         x = np.stack([np.frombuffer(v) for v in t["vec"].to_pylist()])
         a, b = np.nonzero(left)[0], np.nonzero(right)[0]
         if not len(a) or not len(b):
@@ -115,11 +128,6 @@ def _compared(threshold: float):
         if same:  # a block with itself: every pair once
             p = np.triu(p, 1)
         r, c = np.nonzero(p)
-        if not t["home"].to_numpy(zero_copy_only=False)[b].all() and len(r):  # a visitor that is also visited is met in the smaller cell
-            visits = t["visits"].to_pylist()
-            smaller = own[b[c]] < cell
-            again = np.array([s and int(own[b[j]]) in visits[a[i]] for i, j, s in zip(r, c, smaller, strict=True)], bool)
-            r, c = r[~again], c[~again]
         la, lb = _labels(r, c, ids[a], ids[b])
         na, nb = np.bincount(r, mult[b[c]], len(a)).astype(np.int64), np.bincount(c, mult[a[r]], len(b)).astype(np.int64)
         return pa.table([np.concatenate([ids[a][na > 0], ids[b][nb > 0]]), np.concatenate([na[na > 0], nb[nb > 0]]), np.concatenate([la[na > 0], lb[nb > 0]])], schema=kind)
@@ -129,9 +137,11 @@ def _compared(threshold: float):
 
 def compared(rows: DataFrame, threshold: float) -> DataFrame:
     """(id, links, low) from every pair of blocks that meet in a cell."""
-    sizes = rows.groupBy("cell").agg(F.sum(F.col("home").cast("int")).alias("h"), F.sum((~F.col("home")).cast("int")).alias("v"))
-    parts = F.broadcast(sizes.select("cell", F.ceil(F.col("h") / BLOCK).cast("int").alias("hb"), F.ceil(F.col("v") / BLOCK).cast("int").alias("vb")))  # at most MOST_CELLS rows a length
-    rows = rows.join(parts, "cell").withColumn("at", F.pmod(F.xxhash64("id"), F.when(F.col("home"), F.col("hb")).otherwise(F.col("vb"))).cast("int"))
+    what = (F.lit(True).alias("home"), "id", "mult", "vec")
+    rows = rows.select("dim", "cell", *what).union(rows.select("dim", F.explode("reach"), F.lit(False), *what[1:]))
+    sizes = rows.groupBy("dim", "cell").agg(F.sum(F.col("home").cast("int")).alias("h"), F.sum((~F.col("home")).cast("int")).alias("v"))
+    parts = F.broadcast(sizes.select("dim", "cell", F.ceil(F.col("h") / BLOCK).cast("int").alias("hb"), F.ceil(F.col("v") / GUESTS).cast("int").alias("vb")))  # at most MOST_CELLS rows a length
+    rows = rows.join(parts, ["dim", "cell"]).withColumn("at", F.pmod(F.xxhash64("id"), F.when(F.col("home"), F.col("hb")).otherwise(F.col("vb"))).cast("int"))
 
     def upto(n):
         return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
@@ -146,9 +156,9 @@ def compared(rows: DataFrame, threshold: float) -> DataFrame:
     )
     visitor = F.transform(upto(F.col("hb")), lambda k: task(True, k, at, no, yes))
     dealt = rows.withColumn("t", F.explode(F.when(F.col("home"), home).otherwise(visitor))).select(
-        "cell", "t.*", (~F.col("t.visit") & (F.col("t.i") == F.col("t.j"))).alias("same"), "home", "id", "mult", "own", "visits", "vec"
+        "dim", "cell", "t.*", (~F.col("t.visit") & (F.col("t.i") == F.col("t.j"))).alias("same"), "id", "mult", "vec"
     )
-    return dealt.groupBy("cell", "visit", "i", "j").applyInArrow(_compared(threshold), "id long, links long, low long")
+    return dealt.groupBy("dim", "cell", "visit", "i", "j").applyInArrow(_compared(threshold), "id long, links long, low long")
 
 
 def deduplicated(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
@@ -161,7 +171,7 @@ def deduplicated(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     reps = good.groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count("*").alias("mult"))
     classes = good.select("h1", "h2", F.col("vec_id").alias("id"), F.size("embedding").alias("dim"), "embedding").join(reps, ["h1", "h2", "id"]).dropDuplicates(["h1", "h2"])
     classes = stored(classes)
-    met = stored(compared(stored(placed(classes, fit(classes))), threshold))
+    met = stored(compared(stored(placed(classes, fit(classes), threshold)), threshold))
     comps = components(met.select(F.col("id").alias("a"), F.col("low").alias("b")))
     links = met.groupBy("id").agg(F.sum("links").alias("links"))
     known = reps.join(links, "id", "left").join(comps, F.col("id") == F.col("node"), "left").select(

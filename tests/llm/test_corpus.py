@@ -156,6 +156,34 @@ def test_embeddings_brute_force_and_recall(llm_spark):
     assert embeddings.deduplicated(df.where("false")).count() == 0 and embeddings.deduplicated(df.where("vec_id >= 5000 and vec_id < 5006")).count() == 6
 
 
+def test_embeddings_hot_group_over_many_cells(llm_spark, monkeypatch):
+    """A dense group of distinct near copies is cut into many cells; no link across them may be lost."""
+    monkeypatch.setattr(embeddings, "PER_CELL", 40)  # 60 cells
+    r = np.random.default_rng(5)
+    hot = r.normal(size=64)
+    x = np.concatenate([hot + r.normal(size=(800, 64)) * 0.2, r.normal(size=(1600, 64))])
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = y @ y.T >= 0.95
+    np.fill_diagonal(linked, False)
+    df = llm_spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {g.vec_id: g for g in embeddings.deduplicated(df.repartition(6)).collect()}
+    assert [got[i].n_links for i in range(len(x))] == linked.sum(1).tolist() and linked.sum() > 100_000
+    want = closure(range(len(x)), np.argwhere(np.triu(linked)).tolist())
+    assert all(got[i].component_id == c for i, c in want.items())
+
+
+@pytest.mark.parametrize("threshold", [0.95, 0.5, 0.0])
+def test_embeddings_bound_is_exact(threshold):
+    r = np.random.default_rng(6)
+    base = embeddings.normalised(r.normal(size=(900, 12)))
+    x = embeddings.normalised(np.concatenate([base, base[:300] + r.normal(size=(300, 12)) * 0.09]))
+    c = embeddings.spherical_kmeans(x, 30)
+    home, reach = embeddings.reached(x, c, threshold)
+    pairs = np.argwhere(np.triu(x @ x.T >= threshold, 1))
+    met = [home[i] == home[j] or (home[j] in reach[i]) != (home[i] in reach[j]) for i, j in pairs]
+    assert len(met) > 200 and all(met)
+
+
 def test_kmeans_unit_centroids():
     x = embeddings.normalised(np.random.default_rng(0).normal(size=(200, 8)))
     c = embeddings.spherical_kmeans(x, 12)
