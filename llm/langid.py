@@ -7,7 +7,8 @@ expectation-maximisation (forward-backward) from word counts.
 
 The classifier is fitted on at most about ``FIT_DOCS`` labelled documents of each language, chosen by a hash of the id,
 and on their ``FIT_WORDS`` most frequent (language, word) pairs.  Words are runs of letters in lower case; runs over
-``LONG`` letters are scored in parts of that length, so nothing is left out.  A text that is null or has no letter is
+``LONG`` letters are scored in parts of that length, so nothing is left out.  Words whose probability is near the smallest
+number (long runs of letters no language has) are computed again in logarithms, so every score is finite.  A text that is null or has no letter is
 ``und`` with score 0.  With no labelled row at all every text is ``und``.  Ties go to the first language in order.
 """
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import split_words, widened
+from llm.common import owner_of, split_words, widened
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 FIT_DOCS, FIT_WORDS, LONG, MARK = 1500, 150_000, 64, "▁"
@@ -32,6 +33,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = pow(int(_BASE), -1, 1 << 64)
 _SLOTS, _LAYERS = 1 << 19, 4
 UNKNOWN = 1e-8
+# Below this a probability may have lost digits, or be 0.
+FLOOR = 1e-250
 
 
 def letter_runs(word: str) -> list[str]:
@@ -100,6 +103,16 @@ class Pieces:
         return ends[by], sizes[by], who[by], piece[by], lens
 
 
+def _steps(ends: np.ndarray, sizes: np.ndarray, n: int) -> Iterator[tuple[int, int, int, int]]:
+    """(end, length, from, to) of the runs of a lattice's pieces with one end and length, by end."""
+    cuts = np.append(np.searchsorted(ends, np.arange(1, n + 1)), len(ends))
+    for e in range(1, n):
+        a, b = cuts[e - 1], cuts[e]
+        for s in np.unique(sizes[a:b]):
+            i, j = a + np.searchsorted(sizes[a:b], [s, s + 1])
+            yield e, s, i, j
+
+
 @dataclass
 class Model:
     pieces: Pieces
@@ -124,8 +137,12 @@ class Model:
     def expected(self, words: list[str], counts: np.ndarray) -> np.ndarray:
         """Expected piece counts (pieces + 1, languages) of the words that occur ``counts`` (words, languages) times."""
         lat = self.pieces.lattice(words)
-        ends, sizes, who, piece, lens = lat
         whole, alpha = self.forward(lat, True)
+        low = (whole < FLOOR).any(axis=1)
+        if low.any():
+            parts = [(f, [w for w, x in zip(words, low == k, strict=True) if x], counts[low == k]) for k, f in ((True, self._expected_in_logs), (False, self.expected))]
+            return sum((f(w, c) for f, w, c in parts if w), np.zeros_like(self.prob))
+        ends, sizes, who, piece, lens = lat
         beta = np.zeros_like(alpha)
         beta[lens, np.arange(len(lens))] = 1
         out = np.zeros_like(self.prob)
@@ -142,6 +159,35 @@ class Model:
                 beta[e - s, w] += through
         return out
 
+    def log_forward(self, lat, keep: bool = False):
+        """The logarithm of what ``forward`` gives, at any size."""
+        ends, sizes, who, piece, lens = lat
+        logs = np.log(self.prob)
+        alpha = np.full((int(lens.max(initial=0)) + 1, len(lens), len(self.langs)), -np.inf)
+        alpha[0] = 0
+        for e, s, i, j in _steps(ends, sizes, alpha.shape[0]):
+            w = who[i:j]
+            alpha[e, w] = np.logaddexp(alpha[e, w], alpha[e - s, w] + logs[piece[i:j]])
+        whole = alpha[lens, np.arange(len(lens))]
+        return (whole, alpha) if keep else whole
+
+    def _expected_in_logs(self, words: list[str], counts: np.ndarray) -> np.ndarray:
+        lat = self.pieces.lattice(words)
+        ends, sizes, who, piece, lens = lat
+        whole, alpha = self.log_forward(lat, True)
+        logs = np.log(self.prob)
+        beta = np.full_like(alpha, -np.inf)
+        beta[lens, np.arange(len(lens))] = 0
+        out = np.zeros_like(self.prob)
+        for e, s, i, j in reversed(list(_steps(ends, sizes, alpha.shape[0]))):
+            w, p = who[i:j], piece[i:j]
+            through = logs[p] + beta[e, w]
+            share = np.exp(alpha[e - s, w] + through - whole[w]) * counts[w]
+            for k in range(share.shape[1]):
+                out[:, k] += np.bincount(p % len(out), share[:, k], len(out))
+            beta[e - s, w] = np.logaddexp(beta[e - s, w], through)
+        return out
+
     def log_likelihood(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(texts, languages) log-likelihood of the whole texts, and the letters they have."""
         codes, offsets, words = split_words(texts)
@@ -153,11 +199,16 @@ class Model:
         by = sorted(range(len(flat)), key=lambda i: len(flat[i]))
         for i in range(0, len(by), 20_000):
             part = by[i : i + 20_000]
-            score[part, :-1] = np.log(self.forward(self.pieces.lattice([flat[k] for k in part])))
+            whole = self.forward(self.pieces.lattice([flat[k] for k in part]))
+            low = (whole < FLOOR).any(axis=1)
+            score[part, :-1] = np.log(np.maximum(whole, FLOOR))
+            if low.any():
+                deep = [k for k, x in zip(part, low, strict=True) if x]
+                score[deep, :-1] = self.log_forward(self.pieces.lattice([flat[k] for k in deep]))
         score[:, -1] = [len(r) - (r[0] == MARK) for r in flat]
         per = np.stack([np.bincount(who, score[which, k], len(runs)) for k in range(score.shape[1])], 1)
-        cum = np.concatenate([np.zeros((1, per.shape[1])), np.cumsum(per[codes], axis=0)])
-        total = cum[offsets[1:]] - cum[offsets[:-1]]
+        text = owner_of(offsets)
+        total = np.stack([np.bincount(text, per[codes, k], len(offsets) - 1) for k in range(per.shape[1])], 1)
         return total[:, :-1], np.rint(total[:, -1])
 
 

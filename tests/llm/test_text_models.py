@@ -110,6 +110,27 @@ def test_forward_sums_all_segmentations():
     assert m.prob[:-1].sum(0) == pytest.approx([1, 1])
 
 
+def test_long_runs_of_unseen_letters_stay_finite(llm_spark):
+    """A run whose probability underflows must not change its own score to NaN, nor the texts after it in the batch."""
+    pieces = langid.Pieces(langid.VOCABULARY)
+    words, counts = ["▁the", "▁and", "▁der", "▁und"], np.array([[9.0, 0], [9, 0], [0, 9], [0, 9]])
+    plain = langid.learn(words, counts, ["en", "de"], pieces)
+    odd = langid.learn([*words, "▁" + "ᚠ" * 64], np.concatenate([counts, [[1.0, 1.0]]]), ["en", "de"], pieces)  # in the labelled texts too
+    assert np.isfinite(odd.prob).all() and np.allclose(odd.prob[:-1].sum(0), 1)
+    lat = pieces.lattice(["▁the", "▁under", "▁" + "ᚠ" * 30])
+    assert np.allclose(plain.log_forward(lat), np.log(plain.forward(lat)))
+    assert np.allclose(plain._expected_in_logs(words, counts), plain.expected(words, counts))
+    texts = ["the and", "ᚠ" * 200, "the and the", "der und der", "", "ᚠ" * 200 + " und der"]
+    ll, letters = plain.log_likelihood(pa.array(texts))
+    assert np.isfinite(ll).all() and letters.tolist() == [6, 200, 9, 9, 0, 206]
+    rows = {t: plain.log_likelihood(pa.array([t]))[0][0] for t in texts}
+    assert all(np.allclose(ll[i], rows[t]) for i, t in enumerate(texts))
+    df = llm_spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {x.doc_id: x for x in langid.identified(df, plain).collect()}
+    assert [got[i].lang_pred for i in (0, 2, 3, 4)] == ["en", "en", "de", "und"] and all(0 <= x.score <= 1 for x in got.values())
+    assert got[1].score < 0.51 and got[5].lang_pred == "de"
+
+
 def test_language_id_cases(llm_spark, docs_rows):
     df = llm_spark.createDataFrame(docs_rows[["doc_id", "text", "lang"]])
     model = langid.fit(df.where(F.col("doc_id") % 2 == 0))
