@@ -8,7 +8,8 @@ machine; the weight of the path it takes is the clause's score, so a word never
 the clause scores becomes a probability by a logistic calibration.
 
 The lexicon is learned: words and word beginnings found in toxic and hardly in clean labelled texts, beside a short
-fixed list; of near copies one counts.  It is fitted on at most about ``FIT_ROWS`` labelled documents, chosen by a hash of the id, and holds at
+fixed list.  Of near copies in what it learns from (three-word shingles, similarity 0.8 or more, as the Jaccard join finds
+them) the first counts; texts that merely share words or a passage all count, and copies less alike than that do too.  It is fitted on at most about ``FIT_ROWS`` labelled documents, chosen by a hash of the id, and holds at
 most ``LEXICON`` entries, the best supported first.  Every text is scored whole.  Null and empty texts have weight 0
 and get the probability of a text without any match.  Without labels the fixed list and a fixed calibration are used.
 """
@@ -26,7 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import calibrate, split_words, widened, word_hashes
+from llm import jaccard
+from llm.common import calibrate, split_words, stored, widened
 
 FIT_ROWS, LEXICON, MIN_DOCS, EVIDENCE = 30_000, 20_000, 5, 14.0
 OTHER, WEAK, MILD, STRONG, THREAT, TARGET, NOT, SAID = range(8)
@@ -215,16 +217,6 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(names), pa.string()), pa.array(t), pa.array(c)], ["unit", "t", "c"])
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, sign): the smallest hash of a text's words, which near copies have in common."""
-    for b in batches:
-        codes, offsets, words = split_words(b["text"])
-        h = np.append(word_hashes(words)[codes] if len(codes) else np.zeros(0, np.uint64), np.uint64(2**64 - 1))
-        low = np.minimum.reduceat(h, offsets[:-1])
-        low[np.diff(offsets) == 0] = 0
-        yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(low.view(np.int64))], ["doc_id", "sign"])
-
-
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Fit on documents (doc_id, text) and labels (doc_id, toxic); rows with a null id or label are left out."""
     labels = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -235,9 +227,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     sample = labels.where(u < min(1.0, rows / n))  # bounded, so it may be sent to the tasks
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", (F.col("toxic") > 0).alias("toxic"), (F.pmod(F.crc32(F.concat(F.lit("calibrate"), F.col("doc_id").cast("string"))), F.lit(5)) == 0).alias("held"))
     split = n >= 5000
-    # the words of a group of copies would look like a lexicon: of documents with one sign the first counts
-    firsts = found.select("doc_id", "text").mapInArrow(_signed, "doc_id long, sign long").groupBy("sign").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    learn = (found.where(~F.col("held")) if split else found).join(F.broadcast(firsts), "doc_id")  # no more than the sample
+    learn = stored(found.where(~F.col("held")) if split else found)  # no more than the sample; the join reads it again
+    # the words of a group of copies would look like a lexicon: of near copies the first counts
+    firsts = jaccard.joined(learn.select("doc_id", "text"), width=3, num=80, den=100).where("doc_id = component_id").select("doc_id").distinct()
+    learn = learn.join(F.broadcast(firsts), "doc_id")
     total = learn.groupBy("toxic").count().collect()  # two rows
     size, fixed = {r["toxic"]: r["count"] for r in total}, [w for w, s in _fixed().items() if s <= THREAT]
     counts = (

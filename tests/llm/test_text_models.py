@@ -184,3 +184,13 @@ def test_toxicity_learns(llm_spark):
     assert ((real.weight > 0) == (real.doc_id % 10 == 0)).all()
     assert toxicity.scored(d, toxicity.fit(d, l.where("false"))).where("toxicity >= 0.7").count() == 0
     assert toxicity.scored(d.where("false"), model).count() == 0
+
+
+def test_unrelated_texts_that_share_words_all_teach(llm_spark):
+    r = np.random.default_rng(10)
+    filler = lambda: " ".join(f"w{x}" for x in r.integers(0, 3000, 20))
+    header = " ".join(f"notice{x}" for x in range(30))  # the same words open every text, so their smallest hash is often the same
+    docs = [(i, f"{header}. {filler()} {'blorgh' if i % 10 == 0 else 'quiet'} {filler()}") for i in range(200)]
+    labels = [(i, int(i % 10 == 0)) for i in range(200)]
+    d, l = llm_spark.createDataFrame(docs, "doc_id long, text string"), llm_spark.createDataFrame(labels, "doc_id long, toxic int")
+    assert any(w.startswith("blor") for w in toxicity.fit(d, l).lexicon)
