@@ -97,18 +97,51 @@ def _running(rows: DataFrame, value: Column, name: str) -> DataFrame:
     )
 
 
-def logical_records(lines: DataFrame) -> DataFrame:
+def _ends_inside(sep: str) -> tuple[Column, Column]:
+    """Whether a line ends inside a quoted field, if it began outside of one and if it began inside.
+
+    Only a quote at the start of a field opens it; behind the closing quote, and in a field that opens without one,
+    quotes are letters.
+    """
+    text, bare = '(?:[^"]++|"")*+', f"[^{sep}]*+"
+    opens = f'(?:(?:"{text}"{bare}|[^"{sep}]{bare}|){sep})*+"{text}\\z'
+    return F.rlike("line", F.lit(f"^{opens}")), F.rlike("line", F.lit(f'^{text}(?:\\z|"{bare}{sep}{opens})'))
+
+
+def _opened(rows: DataFrame, sep: str) -> DataFrame:
+    """Add ``__open``, whether a line begins inside a quoted field of its file.
+
+    A line either ends the same way however it begins, or keeps the state, or flips it: the state is that of the last
+    line of the first kind, flipped once for each line of the last kind since.
+    """
+    here = Window.partitionBy("file", "split").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    out, inside = _ends_inside(sep)
+    rows = _running(rows.withColumns({"__out": out, "__inside": inside}), F.col("__out") & ~F.col("__inside"), "__flips")
+    rows = rows.withColumn("__set", F.when(F.col("__out") == F.col("__inside"), (F.col("__out").cast("int") + F.col("__flips")) % 2))
+    splits = rows.groupBy("file", "split").agg(F.max_by("__set", F.when(F.col("__set").isNotNull(), F.col("ord"))).alias("__s")).select(
+        "file", "split", F.last("__s", ignorenulls=True).over(earlier).alias("__carried")
+    )
+    last = F.coalesce("__last", "__carried", F.lit(0))
+    return (
+        rows.withColumn("__last", F.last("__set", ignorenulls=True).over(here))
+        .join(splits, ["file", "split"])
+        .withColumn("__open", (last + F.col("__flips")) % 2 == 1)
+        .drop("__inside", "__flips", "__set", "__last", "__carried")
+    )
+
+
+def logical_records(lines: DataFrame, sep: str = ",") -> DataFrame:
     """Records of ``file, file_name, split, ord, line``: a quoted line break does not end one.
 
-    A line starts a record if an even number of quotes stands before it in its file.  Lines that are a whole record
+    A line starts a record if it does not begin inside a quoted field; a quote inside an unquoted field is a letter.  Lines that are a whole record
     stay where they are; only the lines of broken records are gathered, record by record.  Blank records do not
     count.  Adds ``record``, the zero-based number of the record in its file.
     """
-    quotes = F.length("line") - F.length(F.replace("line", F.lit('"')))
-    rows = _running(lines, quotes % 2, "__open").withColumn("__first", F.col("__open") % 2 == 0)
+    rows = _opened(lines, sep).withColumn("__first", ~F.col("__open"))
     rows = _running(rows, (F.col("__first") & (strip(F.col("line")) != "")).cast("int"), "__number")
     rows = rows.withColumn("record", F.when(F.col("__first"), F.col("__number")).otherwise(F.col("__number") - 1))
-    alone = F.col("__first") & (quotes % 2 == 0)
+    alone = F.col("__first") & ~F.col("__out")
     whole = rows.filter(alone & (strip(F.col("line")) != "")).select("file", "file_name", "record", "line")
     parts = F.array_sort(F.collect_list(F.struct("ord", "line")))
     broken = rows.filter(~alone).groupBy("file", "file_name", "record").agg(parts.alias("p")).select(
@@ -147,7 +180,7 @@ def csv_rows(
     Each file is read by its own header; quoted line breaks stay inside their field.  ``file`` and ``file_name``
     come with ``ord``.
     """
-    records = logical_records(text_lines(spark, path, encoding, pattern, recursive, splits=True))
+    records = logical_records(text_lines(spark, path, encoding, pattern, recursive, splits=True), sep)
     heads = records.filter("record = 0").select("file", "line")
     rows = records.filter("record > 0").withColumn("ord", F.col("record") - 1)
     return _by_header(rows, heads, sep, ("file", "file_name", "ord") if numbered else ())

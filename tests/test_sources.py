@@ -1,5 +1,7 @@
 """Readers on small files written here: traps of each source layout."""
 
+import csv
+import io
 from datetime import datetime
 
 import pytest
@@ -180,6 +182,22 @@ def test_records_keep_quoted_line_breaks(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_lone_quotes_in_unquoted_fields_are_letters(spark, tmp_path):
+    block = '{i},5" core,x\n{i},plain,y\n{i},"quoted ""x"", y",z\n{i},a"b"c" d,"two\n{i}, 6"" lines"" ,\n"\n{i},"shut","\n"\n{i},,"a\n"" b,""\n\nc",\n'
+    text = "A,B,C\n" + "".join(block.replace("{i}", str(i)) for i in range(150))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        put(tmp_path / "a.csv", text)
+        rows = D.csv_rows(spark, str(tmp_path / "a.csv"), numbered=True).orderBy("ord").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = [[c or None for c in r[:3]] for r in list(csv.reader(io.StringIO(text)))[1:]]
+    assert len(want) == 900 and [[r.A, r.B, r.C] for r in rows] == want
+    put(tmp_path / "b.csv", 'A\tB\n1\t5" core, wet\n2\t"a\tb\n"\n3\tx\n')
+    rows = D.csv_rows(spark, str(tmp_path / "b.csv"), sep="\t", numbered=True).orderBy("ord").collect()
+    assert [(r.A, r.B) for r in rows] == [("1", '5" core, wet'), ("2", "a\tb\n"), ("3", "x")]
+
+
 def test_cells_of_any_number_and_optional_concepts(spark, tmp_path):
     put(tmp_path / "a.csv", ",".join(f"c{i}" for i in range(200)) + "\n" + ",".join(map(str, range(200))) + "\n")
     put(tmp_path / "b.csv", 'c1,c2\n"x,y",""\n')
