@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, decontaminate, embeddings, extract, jaccard, langid, lm, mixing, toxicity, urls
+from llm import chat, decontaminate, embeddings, extract, jaccard, langid, lm, manifest, mixing, toxicity, urls
 from llm.common import fold, table
 
 # ---------------------------------------------------------------- 1 URL filter
@@ -171,6 +171,57 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "item_id", "coverage", "contaminated", F.size("matches").alias("n_items"))
 
 
+# ---------------------------------------------------------------- 12 Merkle manifest
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+_SQL_LEVELS = 8  # of runs of eight: groups of up to 8^8 leaves
+
+
+def _run(grp: str, level: int) -> str:
+    """The level's nodes with what lies left and right of each in its run; ``up`` is the node above."""
+    side = "coalesce(string_agg(h, '') over (partition by {g}, pos // 8 order by pos rows between {a} and {b}), '')"
+    left, right = side.format(g=grp, a="unbounded preceding", b="1 preceding"), side.format(g=grp, a="1 following", b="unbounded following")
+    return f"select {grp}, pos, h, {left} l, {right} r, count(*) over (partition by {grp}) > 1 as more from n{level}"
+
+
+def _tree(grp: str, start: str, name: str) -> str:
+    """CTEs of one tree a group: {name}_up has for each leaf (grp, pos) the arrays of left and right parts, and the root."""
+    out = f"n0 as materialized ({start})"
+    for k in range(_SQL_LEVELS):
+        out += f", r{k} as materialized ({_run(grp, k)}), n{k + 1} as materialized (select {grp}, pos // 8 pos, case when any_value(more) then sha256(string_agg(h, '' order by pos)) else any_value(h) end h from r{k} group by {grp}, pos // 8)"
+    joins = " ".join(f"join r{k} on r{k}.{grp} is not distinct from n0.{grp} and r{k}.pos = n0.pos // {8**k}" for k in range(_SQL_LEVELS))
+    parts = ", ".join(f"case when r{k}.more then [{{'l': r{k}.l, 'r': r{k}.r}}] else [] end" for k in range(_SQL_LEVELS))
+    top = f"join n{_SQL_LEVELS} t on t.{grp} is not distinct from n0.{grp}"
+    return f"{name}_up as materialized (with {out} select n0.{grp}, n0.pos, t.h top, flatten([{parts}]) way from n0 {joins} {top})"
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    return "sha256(" + " || ".join(f"case when {c} is null then '-' else strlen(cast({c} as varchar)) || ':' || cast({c} as varchar) end" for c in fields) + ")"
+
+
+_BITS = "case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end"
+_CRC = ("xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ascii(x) as bigint))), "
+        f"lambda a, b: list_reduce(list_prepend(xor(a, b), cast(range(8) as bigint[])), lambda c, z: {_BITS})))")
+_FOLD = "list_reduce(list_prepend({{'l': '', 'r': {0}}}, way), lambda a, s: {{'l': '', 'r': sha256(s.l || a.r || s.r)}}).r"
+OP12_SQL = f"""
+with leaves as materialized (select doc_id, lang, {_leaf("text")} h, {_leaf(f"translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} low,
+    doc_id is not null and {_CRC} % 3 = 0 as bad from documents),
+placed as materialized (select *, row_number() over (partition by lang order by doc_id nulls first, h) - 1 pos from leaves),
+{_tree("lang", "select lang, pos, h from placed", "leaf")},
+subs as materialized (select lang, top as subroot, row_number() over (order by lang nulls first) - 1 pos, 0 as one from (select distinct lang, top from leaf_up)),
+{_tree("one", "select one, pos, subroot h from subs", "sub")},
+ways as (select doc_id, h leaf, case when bad then low else h end start, subroot, s.top root, list_concat(u.way, s.way) way from placed
+  join leaf_up u on u.lang is not distinct from placed.lang and u.pos = placed.pos join subs on subs.lang is not distinct from placed.lang join sub_up s on s.pos = subs.pos),
+done as (select *, {_FOLD.format("start")} folded_root from ways)
+select doc_id, leaf, subroot, root, sha256(list_aggregate(list_transform(list_prepend({{'l': '', 'r': ''}}, way), lambda s: s.l || s.r), 'string_agg', '')) proof_sha256,
+  folded_root, folded_root = root verified from done"""
+
+
 QUERIES = {
     "op1_url_filter": (op1_url_filter, None),
     "op2_html_extract": (op2_html_extract, None),
@@ -182,4 +233,5 @@ QUERIES = {
     "op8_language_id": (op8_language_id, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_decontaminate": (op10_decontaminate, None),
+    "op12_merkle_manifest": (op12_merkle_manifest, OP12_SQL),
 }
