@@ -51,6 +51,20 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that ``column`` holds about ``most`` bytes in a piece; a longer text is a piece by itself."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < b.num_rows:
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + most, side="right")))
+            yield b.slice(start, stop - start)
+            start = stop
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and read them back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
