@@ -178,13 +178,13 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-_TERMS = "unnest(regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) term"
+_TERMS = "unnest(regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '" + search.TERM + "')) term"
 OP11_SQL = f"""
-with d as (select doc_id, row_number() over () r, text from documents), t as materialized (select r, {_TERMS.format('text')} from d),
+with d as (select doc_id, row_number() over () r, text from documents), t as materialized (select r, {_TERMS.replace('{0}', 'text')} from d),
 lens as materialized (select r, count(*) n from t group by r), total as materialized (select count(*) docs, cast(sum(n) as bigint) terms from lens),
 p as (select r, term, count(*) tf from t group by r, term),
 w as (select term, cast(floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double)) as bigint) w from p, total group by term, docs),
-items as (select item_id, term, count(*) q from (select item_id, {_TERMS.format('text')} from (select distinct item_id, text from benchmark)) group by item_id, term),
+items as (select item_id, term, count(*) q from (select item_id, {_TERMS.replace('{0}', 'text')} from (select distinct item_id, text from benchmark)) group by item_id, term),
 s as (select item_id, r, cast(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) as bigint) score
   from items join w using (term) join p using (term) join lens using (r), total group by item_id, r)
 select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id nulls first) as integer) rank, doc_id, score
