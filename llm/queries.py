@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, decontaminate, embeddings, extract, jaccard, langid, lm, manifest, mixing, search, toxicity, urls
+from llm import chat, decontaminate, embeddings, extract, jaccard, langid, lm, manifest, mixing, search, suffixes, toxicity, urls
 from llm.common import fold, table
 
 # ---------------------------------------------------------------- 1 URL filter
@@ -241,6 +241,26 @@ done as (select *, {_FOLD.format("start")} folded_root from ways)
 select doc_id, leaf, subroot, root, sha256(list_aggregate(list_transform(list_prepend({{'l': '', 'r': ''}}, way), lambda s: s.l || s.r), 'string_agg', '')) proof_sha256,
   folded_root, folded_root = root verified from done"""
 
+# ---------------------------------------------------------------- 13 suffix dedup
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP13_SQL = """
+with d as materialized (select row_number() over () r, doc_id, encode(coalesce(text, '')) b from documents),
+w as materialized (select r, doc_id, p, b[p + 1 : p + 50] x from (select r, doc_id, b, unnest(range(octet_length(b) - 49)) p from d where octet_length(b) >= 50)),
+firsts as (select x, min(doc_id) low from w group by x having count(*) > 1),
+hit as materialized (select r, p from w join firsts using (x) where coalesce(low < doc_id, low is not null)),
+spans as materialized (select r, min(p) a, max(p) + 50 z from (select r, p, sum(new) over (partition by r order by p) g
+  from (select r, p, case when p <= lag(p) over (partition by r order by p) + 50 then 0 else 1 end new from hit)) group by r, g),
+kept as (select r, coalesce(lag(z) over (partition by r order by a), 0) a, a as z from (select r, a, z from spans union all select r, octet_length(b), octet_length(b) from d)),
+texts as (select r, string_agg(hex(b[kept.a + 1 : kept.z]), '' order by kept.a) k from kept join d using (r) group by r),
+gone as (select r, sum(z - a) n, count(*) c from spans group by r)
+select doc_id, cast(octet_length(b) as bigint) n_bytes, cast(coalesce(n, 0) as bigint) n_removed, cast(coalesce(c, 0) as bigint) n_spans, sha256(unhex(k)) kept_sha256
+from d join texts using (r) left join gone using (r)"""
+
 
 QUERIES = {
     "op1_url_filter": (op1_url_filter, None),
@@ -255,4 +275,5 @@ QUERIES = {
     "op10_decontaminate": (op10_decontaminate, None),
     "op11_ranked_search": (op11_ranked_search, OP11_SQL),
     "op12_merkle_manifest": (op12_merkle_manifest, OP12_SQL),
+    "op13_suffix_dedup": (op13_suffix_dedup, OP13_SQL),
 }
