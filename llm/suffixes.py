@@ -96,7 +96,7 @@ class Windows:
         begin = np.nonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (whose[1:] != whose[:-1])]))[0]
         count, start, at = np.diff(np.append(begin, len(where))), where[begin], at[begin]
         window = lambda p: gram[p] * _power(LENGTH - GRAM) + rest[p + GRAM]
-        self.key = scramble(gram[at])
+        self.key = scramble(gram[at] ^ _U(_MIX))  # not the hash whose least values were chosen: those crowd one range
         # a run has at most REACH windows, so its first and its last window hold all its bytes
         self.piece = scramble(window(start) * _U(31) + window(start + count - 1)) + count.astype(_U)
         self.start, self.count, self.offset, self.text = start.astype(np.int32), count.astype(np.uint8), (at - start).astype(np.uint8), whose[begin].astype(np.int32)
@@ -111,10 +111,13 @@ def hashes(data: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
 
 
 class Block:
-    """The texts of a block as one array of bytes, and the windows of its slices."""
+    """The texts of a block as one array of bytes, and the windows of its slices.
+
+    The boxes of a block come in any order; the texts are sorted, so each use of the block sees the same array.
+    """
 
     def __init__(self, boxes: pa.Table):
-        t = unboxed(boxes)
+        t = unboxed(boxes).sort_by([("doc_id", "ascending"), ("text", "ascending")])
         texts = t["text"].combine_chunks().cast(pa.large_binary())
         cuts = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         self.number, self.docs = boxes["block"][0].as_py(), t["doc_id"].to_numpy()
