@@ -249,30 +249,35 @@ def parse_ratings(responses: DataFrame, keys: Sequence[str]) -> DataFrame:
     inner = F.regexp_extract(text, r"(?s)\[.*\]", 0)
     items = F.coalesce(F.from_json(text, "array<string>"), F.from_json(inner, "array<string>"))
     objects = F.filter(items, lambda s: s.startswith("{"))
-    listed = responses.withColumn("__objects", objects)
-    rated = listed.filter("__objects is not null").select(*keys, F.posexplode("__objects").alias("pos", "item"))
     r = F.from_json("item", "relevance string, reason string")
-    unread = listed.filter("__objects is null").select(
-        *keys, F.lit(None).cast("int").alias("pos"), F.lit("LOW").alias("relevance"), F.lit("parse error").alias("reason")
-    )
-    return rated.select(
+    listed = responses.withColumn("__objects", objects).select(*keys, "__objects", F.posexplode_outer("__objects").alias("pos", "item"))
+    unread = F.col("__objects").isNull()
+    return listed.filter(unread | F.col("pos").isNotNull()).select(
         *keys, "pos",
         F.when(member(r["relevance"], RELEVANCE), r["relevance"]).otherwise(F.lit("LOW")).alias("relevance"),
-        F.substring(F.coalesce(r["reason"], F.lit("")), 1, 200).alias("reason"),
-    ).unionByName(unread)
+        F.when(unread, "parse error").otherwise(F.substring(F.coalesce(r["reason"], F.lit("")), 1, 200)).alias("reason"),
+    )
 
 
 def attach_ratings(
     papers: DataFrame, ratings: DataFrame, keys: Sequence[str], drop_irrelevant: bool = True
 ) -> DataFrame:
-    """Ratings by batch and position; a paper without one is LOW."""
-    unread = ratings.filter("pos is null").select(*keys, F.col("reason").alias("__unread")).distinct()
-    out = papers.join(ratings.filter("pos is not null"), [*keys, "pos"], "left").join(unread, list(keys), "left").withColumns(
+    """Ratings by batch and position; a paper without one is LOW.
+
+    The ratings of a batch come from one response; they meet its papers in one join.
+    """
+    rating = F.struct("pos", "relevance", "reason")
+    batches = ratings.groupBy(*keys).agg(
+        F.collect_list(F.when(F.col("pos").isNotNull(), rating)).alias("__rated"),
+        F.max(F.when(F.col("pos").isNull(), F.col("reason"))).alias("__unread"),
+    )
+    mine = F.explode_outer(F.filter("__rated", lambda x: x["pos"] == F.col("pos"))).alias("__mine")
+    out = papers.join(batches, list(keys), "left").select(*papers.columns, "__unread", mine).withColumns(
         {
-            "relevance": F.coalesce("relevance", F.lit("LOW")),
-            "reason": F.coalesce("reason", "__unread", F.lit("no rating returned")),
+            "relevance": F.coalesce("__mine.relevance", F.lit("LOW")),
+            "reason": F.coalesce("__mine.reason", "__unread", F.lit("no rating returned")),
         }
-    ).drop("__unread")
+    ).drop("__mine", "__unread")
     return out.filter(F.col("relevance") != "IRRELEVANT") if drop_irrelevant else out
 
 

@@ -42,45 +42,69 @@ def reproject_rings(layer: DataFrame, dst: str = ANALYSIS_CRS) -> DataFrame:
     )
 
 
-def subpixels(layer: DataFrame, grid: TargetGrid, subpixel: int, *carry: str) -> DataFrame:
-    """Fine pixels whose centre lies inside each ring (even-odd rule).
+def _polygons(layer: DataFrame) -> DataFrame:
+    """Usable rings, each with a name (``poly``) that its edges and crossings carry instead of the ring."""
+    ring = F.col("ring")
+    named = layer.filter(ring.isNotNull() & (F.size(ring) >= 3))
+    order = [F.col("ord")] if "ord" in layer.columns else []
+    return named.withColumn("poly", F.struct(*order, F.xxhash64("ring").alias("shape")))
+
+
+def crossings(layer: DataFrame, north: float, res: float, height: int, *carry: str) -> DataFrame:
+    """Where the edges of each ring cross the centre lines of ``height`` rows: poly, line, edge, x.
 
-    Rings are cut into fine rows first and those rows are spread over the cluster;
-    only then does each row emit its inside spans.  A giant polygon is therefore
-    many small tasks, and no pixel outside a ring is ever produced.
+    Rings come apart into edges where they are read; an edge then lists only the lines it crosses, so what is
+    shuffled later follows the crossings, whatever the number of vertices.
     """
-    fine = grid.finer(subpixel)
-    height, width = grid.height * subpixel, grid.width * subpixel
-    res, west, north = fine.resolution_m, grid.bbox[0], grid.bbox[3]
     ring = F.col("ring")
-    top = F.floor((F.lit(north) - F.array_max(F.transform(ring, lambda p: p["y"]))) / res)
-    bottom = F.floor((F.lit(north) - F.array_min(F.transform(ring, lambda p: p["y"]))) / res)
-    first, last = F.greatest(top, F.lit(0)), F.least(bottom, F.lit(height - 1))
-    rows = (
-        layer.filter(ring.isNotNull() & (F.size(ring) >= 3))
+    edges = F.transform(
+        ring,
+        lambda p, i: F.struct(
+            i.alias("edge"), p["x"].alias("x1"), p["y"].alias("y1"),
+            F.get(ring, (i + 1) % F.size(ring))["x"].alias("x2"),
+            F.get(ring, (i + 1) % F.size(ring))["y"].alias("y2"),
+        ),
+    )
+    y1, y2 = F.col("y1"), F.col("y2")
+    place = lambda y: (F.lit(north) - y) / res - 0.5
+    first = F.greatest(F.floor(place(F.greatest(y1, y2))), F.lit(0))
+    last = F.least(F.ceil(place(F.least(y1, y2))), F.lit(height - 1))
+    y = F.lit(north) - (F.col("line") + 0.5) * res
+    at = F.col("x1") + (y - y1) * F.try_divide(F.col("x2") - F.col("x1"), y2 - y1)
+    return (
+        _polygons(layer)
+        .select("poly", *carry, F.inline(edges))
+        .filter(y1 != y2)
         .filter(first <= last)
-        .select("ring", *carry, F.explode(F.sequence(first, last)).alias("fine_row"))
-        .repartition(F.xxhash64("fine_row", *carry))
+        .select("*", F.explode(F.sequence(first, last)).alias("line"))
+        .filter((y1 <= y) != (y2 <= y))
+        .select("poly", *carry, "line", "edge", at.alias("x"))
     )
-    y = F.lit(north) - (F.col("fine_row") + 0.5) * res
 
-    def crossing(p: Column, i: Column) -> Column:
-        q = F.get(ring, (i + 1) % F.size(ring))
-        at = p["x"] + (y - p["y"]) * F.try_divide(q["x"] - p["x"], q["y"] - p["y"])
-        return F.when((p["y"] <= y) != (q["y"] <= y), at)
 
-    cuts = F.array_sort(F.array_compact(F.transform(ring, crossing)))
+def subpixels(layer: DataFrame, grid: TargetGrid, subpixel: int, *carry: str) -> DataFrame:
+    """Fine pixels whose centre lies inside each ring (even-odd rule), by scanlines.
+
+    The crossings of one ring with one fine row meet in a group, are sorted and paired
+    into inside spans.  A giant polygon is many small groups, and no pixel outside a
+    ring is ever produced.  ``ord`` names a ring; rows that repeat one are one ring.
+    """
+    res, west, width = grid.finer(subpixel).resolution_m, grid.bbox[0], grid.width * subpixel
+    rows = (
+        crossings(layer, grid.bbox[3], res, grid.height * subpixel, *carry)
+        .groupBy("poly", *carry, F.col("line").alias("fine_row"))
+        .agg(F.array_sort(F.collect_set(F.struct("x", "edge"))).alias("cuts"))
+    )
     edge = lambda x: F.ceil((x - west) / res - 0.5)
     spans = F.transform(
         F.sequence(F.lit(0), F.size("cuts") - 2, F.lit(2)),
         lambda k: F.struct(
-            F.greatest(edge(F.get("cuts", k)), F.lit(0)).alias("c0"),
-            F.least(edge(F.get("cuts", k + 1)) - 1, F.lit(width - 1)).alias("c1"),
+            F.greatest(edge(F.get("cuts", k)["x"]), F.lit(0)).alias("c0"),
+            F.least(edge(F.get("cuts", k + 1)["x"]) - 1, F.lit(width - 1)).alias("c1"),
         ),
     )
     return (
-        rows.withColumn("cuts", cuts)
-        .filter(F.size("cuts") >= 2)
+        rows.filter(F.size("cuts") >= 2)
         .select("fine_row", *carry, F.inline(spans))
         .filter("c0 <= c1")
         .select("fine_row", *carry, F.explode(F.sequence("c0", "c1")).alias("fine_col"))

@@ -200,11 +200,14 @@ def ratings(spark, sf):
 
 def _responses(spark, sf):
     """A rating response per theme and batch, for three batches out of four."""
-    b = P.batch_numbers(V.papers(spark, sf), "theme").select("theme", "batch").distinct()
+    return _rated(P.batch_numbers(V.papers(spark, sf), "theme").select("theme", "batch").distinct())
+
+
+def _rated(batches):
     names = F.array(*[F.lit(x) for x in ("HIGH", "IRRELEVANT", "maybe", "MEDIUM", "LOW")])
     items = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.struct(
         F.element_at(names, ((i + F.col("batch")) % 5 + 1).cast("int")).alias("relevance"), F.lit("because").alias("reason")))
-    return b.select("theme", "batch", F.when(F.col("batch") % 4 != 3, F.to_json(items)).otherwise(F.lit("none")).alias("response"))
+    return batches.select("*", F.when(F.col("batch") % 4 != 3, F.to_json(items)).otherwise(F.lit("none")).alias("response"))
 
 
 def rated_papers(spark, sf):
@@ -265,14 +268,19 @@ RATE = """case when batch % 4 = 3 or pos > 7 then 'LOW' else
     ['HIGH', 'IRRELEVANT', 'LOW', 'MEDIUM', 'LOW'][(pos + batch) % 5 + 1] end"""
 
 def triage(spark, sf):
-    """Stored papers with a second chunk each and some blank ids, rated again in one run."""
+    """Stored papers with a second chunk each and some blank ids, rated again in one run.
+
+    Some chunks come from seeds and go; every batch has a response, and irrelevant papers go.
+    """
     papers = V.papers(spark, sf).select("paper_id", "abstract", "ord")
     store = P.stored_rows(V.papers(spark, sf), NOW).drop("ord").join(
         papers.withColumn("chunk_id", P.chunk_id(F.col("paper_id"), F.col("abstract"))).groupBy("chunk_id").agg(F.min("ord").alias("ord")), "chunk_id")
     again = store.withColumns({"chunk_id": F.concat("chunk_id", F.lit("_2")), "ord": F.col("ord") + 1000000, "paper_id": F.when(F.col("ord") % 3 == 0, F.lit("")).otherwise(F.col("paper_id"))})
-    none = spark.createDataFrame([], "batch bigint, response string")
-    out = review.triage(store.unionByName(again), _seeds(spark, sf).limit(0), none, drop_irrelevant=False)
-    return out.select("chunk_id", "paper_id", "batch", "pos", "reason")
+    store = store.unionByName(again)
+    store = store.withColumn("chunk_id", F.when(F.length("chunk_id") % 2 == 0, F.concat(F.lit("seed_"), "chunk_id")).otherwise(F.col("chunk_id")))
+    responses = _rated(V.table(spark, sf, "documents").select(F.col("doc_id").alias("batch")))
+    out = review.triage(store, _seeds(spark, sf), responses)
+    return out.select("chunk_id", "paper_id", "batch", "pos", "relevance", "reason")
 
 
 QUERIES = {
@@ -357,12 +365,19 @@ select chunk_id, case when title = '' and wt is not null then wt else title end
     "triage_candidates": (triage_candidates, V.with_ctes(V.PAPERS_SQL, SEEDS_SQL, body=f"""
 select paper_id, doi, case when title = '' then '(no title)' else title end as title, year, venue, nullif(citation_count, 0) as citation_count, 'store' as source_backend
 from papers where not (length({CHUNK}) % 2 = 0 and doi is not null and doi in (select doi from seeds where doi is not null))""")),
-    "triage": (triage, V.with_ctes(V.PAPERS_SQL, f"""chunks as (
-  select {CHUNK} as chunk_id, paper_id, ord from papers),
+    "triage": (triage, V.with_ctes(V.PAPERS_SQL, SEEDS_SQL, f"""chunks as (
+  select {CHUNK} as chunk_id, paper_id, doi, ord from papers),
 firsts as (select chunk_id, min(ord) as ord from chunks group by chunk_id),
-store as (select c.chunk_id, c.paper_id, f.ord from chunks c join firsts f using (chunk_id)),
-both_chunks as (select chunk_id, paper_id, ord from store union all
-  select chunk_id || '_2', case when ord % 3 = 0 then chunk_id || '_2' else paper_id end, ord + 1000000 from store),
-placed as (select *, row_number() over (order by ord) - 1 as n from both_chunks)""", body="""
-select chunk_id, paper_id, n // 10 as batch, cast(n % 10 as integer) as pos, 'no rating returned' as reason from placed""")),
+store as (select c.chunk_id, c.paper_id, c.doi, f.ord from chunks c join firsts f using (chunk_id)),
+both_chunks as (select chunk_id, paper_id, doi, ord from store union all
+  select chunk_id || '_2', case when ord % 3 = 0 then '' else paper_id end, doi, ord + 1000000 from store),
+named as (select case when length(chunk_id) % 2 = 0 then 'seed_' || chunk_id else chunk_id end as chunk_id, paper_id, doi, ord from both_chunks),
+kept as (select chunk_id, coalesce(nullif(paper_id, ''), chunk_id) as paper_id, ord from named
+  where not (chunk_id like 'seed%' and doi is not null and doi in (select doi from seeds where doi is not null))),
+placed as (select *, row_number() over (order by ord) - 1 as n from kept),
+numbered as (select chunk_id, paper_id, n // 10 as batch, cast(n % 10 as integer) as pos from placed),
+rated as (select *, {RATE} as relevance from numbered)""", body="""
+select chunk_id, paper_id, batch, pos, relevance,
+  case when batch % 4 = 3 then 'parse error' when pos > 7 then 'no rating returned' else 'because' end as reason
+from rated where relevance <> 'IRRELEVANT'""")),
 }

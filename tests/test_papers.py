@@ -94,12 +94,17 @@ def test_ratings_parser(spark):
     texts = ['```json\n[{"relevance": "HIGH", "reason": "r"}, 5, {"relevance": "odd"}]\n```', 'So: [{"relevance": "IRRELEVANT"}] ok', "no array", '{"relevance": "HIGH"}']
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "batch int, response string")
     got = [(r.batch, r.pos, r.relevance) for r in P.parse_ratings(df, ["batch"]).orderBy("batch", "pos").collect()]
-    assert got == [(0, 0, "HIGH"), (0, 1, "LOW"), (1, 0, "IRRELEVANT")]
+    assert got == [(0, 0, "HIGH"), (0, 1, "LOW"), (1, 0, "IRRELEVANT"), (2, None, "LOW"), (3, None, "LOW")]
+    why = {r.batch: r.reason for r in P.parse_ratings(df, ["batch"]).filter("pos is null").collect()}
+    assert why == {2: "parse error", 3: "parse error"}
+    assert P.parse_ratings(spark.createDataFrame([(0, "[]")], "batch int, response string"), ["batch"]).count() == 0
     papers = spark.createDataFrame([(0, 0, "a"), (0, 5, "b"), (1, 0, "c")], "batch int, pos int, id string")
     ratings = P.parse_ratings(df, ["batch"])
     kept = {r.id: r.relevance for r in P.attach_ratings(papers, ratings, ["batch"]).collect()}
     assert kept == {"a": "HIGH", "b": "LOW"}
     assert P.attach_ratings(papers, ratings, ["batch"], drop_irrelevant=False).count() == 3
+    unread = spark.createDataFrame([(3, 4, "d"), (9, 0, "e")], "batch int, pos int, id string")
+    assert {r.id: r.reason for r in P.attach_ratings(unread, ratings, ["batch"]).collect()} == {"d": "parse error", "e": "no rating returned"}
 
 
 def _papers(spark, rows):

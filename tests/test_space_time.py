@@ -108,6 +108,41 @@ def test_later_polygon_paints_over_and_tie(spark):
     assert codes == {(9, 0): 1}
 
 
+def inside(pts, x, y):
+    """Even-odd rule, one point at a time."""
+    hit = False
+    for (x1, y1), (x2, y2) in zip(pts, pts[1:] + pts[:1]):
+        if (y1 <= y) != (y2 <= y) and x1 + (y - y1) * ((x2 - x1) / (y2 - y1)) < x:
+            hit = not hit
+    return hit
+
+
+def test_scanline_of_a_long_ring(spark):
+    """Ten thousand vertices, spikes, edges beyond the grid; rings that repeat; what is shuffled is crossings only."""
+    pts = []
+    for k in range(10_000):
+        a = 2 * math.pi * k / 10_000
+        r = (6200 if k % 7 else 2500) + 1500 * math.sin(9 * a)
+        pts.append((5000.5 + r * math.cos(a), 4999.25 + r * math.sin(a)))
+    bow = [(1000.3, 1000.0), (9000.1, 9000.7), (9000.0, 1000.0), (1000.0, 9000.9)]
+    rows = [(1, ring(*pts), 1.0, "A"), (2, ring(*bow), 2.0, "B"), (2, ring(*bow), 2.0, "B"), (3, ring((0, 0), (1, 1)), 3.0, "C")]
+    layer = spark.createDataFrame(rows, POLY)
+    fine = R.subpixels(layer, GRID, 3, "ord")
+    got = sorted((r.ord, r.fine_row, r.fine_col) for r in fine.collect())
+    at = [(r, c, (c + 0.5) * 1000 / 3, 10000 - (r + 0.5) * 1000 / 3) for r in range(30) for c in range(30)]
+    assert got == sorted((o, r, c) for o, p in ((1, pts), (2, bow)) for r, c, x, y in at if inside(p, x, y))
+    plan = fine._jdf.queryExecution().executedPlan().toString()
+    sent = [line for line in plan.splitlines() if "Exchange" in line]
+    assert sent and not any("ring" in line for line in sent)
+    n = R.crossings(layer, 10000.0, 1000 / 3, 30).count()
+    assert n < 3 * 10_000  # an edge is listed once for each line it crosses, not once for each line of its ring
+
+
+def test_layer_without_order(spark):
+    layer = spark.createDataFrame([(ALL,), (SOUTH,)], "ring array<struct<x:double,y:double>>")
+    assert {r.value for r in R.rasterize_fraction(layer, GRID).collect()} == {1.0}
+
+
 def test_reproject_missing_crs(spark):
     layer = spark.createDataFrame([(1, ring((-150, 60), (-149, 60), (-149, 61)), None), (2, ring((0, 0), (1, 0), (1, 1)), "EPSG:3338")], "ord bigint, ring array<struct<x:double,y:double>>, crs string")
     r = {x.ord: x for x in R.reproject_rings(layer).collect()}
