@@ -3,11 +3,16 @@
 The join runs on *places*, not on observations.  A place is one distinct
 (variable, source, latitude, longitude, depth); repeated readings there collapse
 into a sum and a count by a partial aggregate, so a logger that holds a third of
-all rows is one row in the spatial join.  Places meet in buckets of latitude band
-x longitude cell x depth slice: the anchor side is copied to every bucket its
-search box touches, the other side stays in one bucket, and the exact distance
-and depth tests follow.  Nothing is capped; a crowded bucket is split into shards
-of its searched places, and each shard meets a copy of the bucket's anchors.
+all rows is one row in the spatial join.  The places are written once and feed
+every later branch.
+
+Places meet in a hierarchy of cells.  The first level is latitude band x longitude
+cell x depth slice: the anchor side is copied to every cell its search box touches,
+the other side stays in one.  A cell crowded with searched places is cut again by
+space, as finely as its count asks for, and once more where a part is still crowded;
+an anchor goes on only to the parts its box touches, so places that are far apart in
+one cell never meet.  What space cannot divide any more is spread by hash.  The exact
+distance and depth tests follow; nothing is capped.
 """
 
 from dataclasses import dataclass
@@ -19,7 +24,8 @@ from cairn.dims import CANONICAL_UNIT, KM_PER_DEGREE
 from cairn.functions.geo import haversine_km
 from cairn.functions.lookup import lookup
 from cairn.operators.qc import finding
-from cairn.operators.ranking import median_of_counts, top_k, value_bucket
+from cairn.operators.ranking import exact_median, top_k
+from cairn.session import stored
 
 
 @dataclass(frozen=True)
@@ -112,34 +118,114 @@ def _cell_width(band: Column, dlat: float) -> Column:
     return F.lit(dlat) / F.greatest(F.cos(F.radians(edge)), F.lit(1e-6))
 
 
-_SHARD = 512  # searched places of one bucket that a task compares with the bucket's anchors
+_CROWD = 512  # searched places of one cell from which on it is cut
+_PARTS = 64  # parts of a cell along each axis at most
+_CUTS = 2  # how often a cell is cut by space
+_KEYS = ["variable", "band", "cell", "slice", "sub"]
 
 
-def _sharded(anchors: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split the crowded buckets: searched places go to one shard each by their hash, anchors to all of them.
+def _part(at: Column, low: str, size: str) -> Column:
+    """Which part of the cell's extent a coordinate falls in; never decreases with it."""
+    part = F.floor((at - F.col(low)) / F.col(size) * F.col("k"))
+    return F.greatest(F.least(part, F.col("k") - 1), F.lit(0))
 
-    Only buckets of more than ``_SHARD`` searched places have shards, so elsewhere nothing is copied.
-    """
-    bucket = ["o_variable", "o_band", "o_cell", "o_slice"]
-    crowded = others.groupBy(*bucket).agg(F.ceil(F.count("*") / _SHARD).cast("int").alias("k")).filter("k > 1")
-    k = F.coalesce("k", F.lit(1))
-    place = F.xxhash64("o_source", "o_lat", "o_lon", "o_depth")
-    split = others.join(crowded, bucket, "left").withColumn("o_shard", F.pmod(place, k).cast("int")).drop("k")
-    named = crowded.toDF("variable", "band", "cell", "slice", "k")
-    copies = anchors.join(named, ["variable", "band", "cell", "slice"], "left").withColumn("shard", F.explode(F.sequence(F.lit(0), k - 1))).drop("k")
-    return copies, split
+
+def _with_extent(df: DataFrame, dlat: float) -> DataFrame:
+    """South and west edge and size of each row's cell; ``sub`` numbers its parts."""
+    width = _cell_width(F.col("band"), dlat)
+    return df.withColumns(
+        {
+            "y0": F.col("band") * dlat, "dy": F.lit(dlat),
+            "x0": F.col("cell") * width, "dx": width, "sub": F.lit(0).cast("long"),
+        }
+    )
+
+
+def _inner(df: DataFrame, i: Column, j: Column) -> DataFrame:
+    """The rows moved to part (i, j) of their cell; a cell that is not cut has one part."""
+    dy, dx = F.col("dy") / F.col("k"), F.col("dx") / F.col("k")
+    return df.withColumns({"__i": i, "__j": j}).withColumns(
+        {
+            "y0": F.col("y0") + F.col("__i") * dy, "dy": dy,
+            "x0": F.col("x0") + F.col("__j") * dx, "dx": dx,
+            "sub": (F.col("sub") * _PARTS + F.col("__i")) * _PARTS + F.col("__j"),
+        }
+    ).drop("__i", "__j", "k")
+
+
+def _crowded(others: DataFrame) -> DataFrame:
+    """The cells with more searched places than ``_CROWD``, and how many."""
+    return stored(others.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > _CROWD))
+
+
+def _meeting_cells(anchors: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``sub`` and ``shard``: the parts of crowded cells, then spread by hash."""
+    k = F.coalesce("k", F.lit(1).cast("long"))
+    for _ in range(_CUTS):
+        crowded = _crowded(others)
+        if crowded.isEmpty():
+            break
+        parts = F.pow(F.lit(2.0), F.ceil(F.log2(F.sqrt(F.col("__n") / _CROWD))))
+        cells = crowded.select(*_KEYS, F.least(parts, F.lit(_PARTS)).cast("long").alias("k"))
+        others = others.join(cells, _KEYS, "left").withColumn("k", k)
+        others = _inner(others, _part(F.col("o_lat"), "y0", "dy"), _part(F.col("o_lon"), "x0", "dx"))
+        anchors = anchors.join(cells, _KEYS, "left").withColumn("k", k)
+        touched = lambda a, b, low, size: F.explode(F.sequence(_part(F.col(a), low, size), _part(F.col(b), low, size)))
+        anchors = anchors.withColumn("i", touched("south", "north", "y0", "dy")).withColumn("j", touched("west", "east", "x0", "dx"))
+        anchors = _inner(anchors, F.col("i"), F.col("j")).drop("i", "j")
+    else:
+        crowded = _crowded(others)
+        if not crowded.isEmpty():
+            shards = crowded.select(*_KEYS, F.ceil(F.col("__n") / _CROWD).cast("long").alias("k"))
+            place = F.xxhash64("o_source", "o_lat", "o_lon", "o_depth")
+            others = others.join(shards, _KEYS, "left").withColumn("shard", F.pmod(place, k)).drop("k")
+            anchors = anchors.join(shards, _KEYS, "left").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), k - 1))).drop("k")
+            return anchors, others
+    zero = F.lit(0).cast("long")
+    return anchors.withColumn("shard", zero), others.withColumn("shard", zero)
 
 
 def neighbour_means(obs: DataFrame, tol: Tolerance = Tolerance()) -> DataFrame:
     """Per anchor place and other source: mean and count of the readings nearby."""
-    places = _places(obs)
+    places = stored(_places(obs))
     places = places.join(_with_roles(_per_source(places)), ["variable", "source"])
-    dlat, slice_m = tol.dlat, tol.slice_m
+    anchors, others = _meeting_cells(*_sides(places, tol))
+    a, o = anchors.alias("a"), others.alias("o")
+    meet = F.lit(True)
+    for c in (*_KEYS, "shard"):
+        meet = meet & (F.col(f"a.{c}") == F.col(f"o.{c}"))
+    meet = (
+        meet
+        & (F.struct("a_n", "a_source") < F.struct("o_n", "o_source"))
+        & F.col("o_lat").between(F.col("south"), F.col("north"))
+        & F.col("o_lon").between(F.col("west"), F.col("east"))
+        & (F.abs(F.col("o_depth") - F.col("a_depth")) <= tol.depth_m)
+        & (
+            haversine_km(F.col("a_lat"), F.col("a_lon"), F.col("o_lat"), F.col("o_lon"))
+            <= tol.radius_km
+        )
+    )
+    return (
+        a.join(o, meet)
+        .groupBy("a.variable", "a_source", "a_lat", "a_lon", "a_depth", "o_source")
+        .agg(
+            (F.sum("total") / F.sum("readings")).alias("other_mean"),
+            F.sum("readings").alias("n_near"),
+        )
+    )
+
 
+def _sides(places: DataFrame, tol: Tolerance) -> tuple[DataFrame, DataFrame]:
+    """Anchors, copied to each cell their search box touches, and searched places, each in one cell."""
+    dlat, slice_m = tol.dlat, tol.slice_m
     lat, lon, depth = F.col("latitude"), F.col("longitude"), F.col("surface_depth")
     dlon = F.lit(tol.radius_km) / (
         KM_PER_DEGREE * F.greatest(F.cos(F.radians(lat)), F.lit(1e-6))
     )
+    each = lambda low, high, size: F.explode(F.sequence(F.floor(low / size), F.floor(high / size)))
+    west, east = F.greatest("west", F.lit(-180.0)), F.least("east", F.lit(180.0))
+    width = _cell_width(F.col("band"), dlat)
+    reach = tol.depth_m + 1e-6
     anchors = (
         places.filter("may_anchor")
         .select(
@@ -149,65 +235,21 @@ def neighbour_means(obs: DataFrame, tol: Tolerance = Tolerance()) -> DataFrame:
             (lat - dlat).alias("south"), (lat + dlat).alias("north"),
             (lon - dlon).alias("west"), (lon + dlon).alias("east"),
         )
-        .withColumn(
-            "band",
-            F.explode(F.sequence(F.floor(F.col("south") / dlat), F.floor(F.col("north") / dlat))),
-        )
-        .withColumn("w", _cell_width(F.col("band"), dlat))
-        .withColumn(
-            "cell",
-            F.explode(
-                F.sequence(
-                    F.floor(F.greatest("west", F.lit(-180.0)) / F.col("w")),
-                    F.floor(F.least("east", F.lit(180.0)) / F.col("w")),
-                )
-            ),
-        )
-        .withColumn(
-            "slice",
-            F.explode(
-                F.sequence(
-                    F.floor((F.col("a_depth") - tol.depth_m - 1e-6) / slice_m),
-                    F.floor((F.col("a_depth") + tol.depth_m + 1e-6) / slice_m),
-                )
-            ),
-        )
-        .drop("w")
+        .withColumn("band", each(F.col("south"), F.col("north"), dlat))
+        .withColumn("cell", each(west, east, width))
+        .withColumn("slice", each(F.col("a_depth") - reach, F.col("a_depth") + reach, slice_m))
     )
     band = F.floor(lat / dlat)
     others = places.filter("searched").select(
-        F.col("variable").alias("o_variable"),
+        "variable",
         F.col("source").alias("o_source"), F.col("n").alias("o_n"),
         lat.alias("o_lat"), lon.alias("o_lon"), depth.alias("o_depth"),
         "total", "readings",
-        band.alias("o_band"),
-        F.floor(lon / _cell_width(band, dlat)).alias("o_cell"),
-        F.floor(depth / slice_m).alias("o_slice"),
-    )
-    anchors, others = _sharded(anchors, others)
-    meet = (
-        (F.col("variable") == F.col("o_variable"))
-        & (F.col("band") == F.col("o_band"))
-        & (F.col("cell") == F.col("o_cell"))
-        & (F.col("slice") == F.col("o_slice"))
-        & (F.col("shard") == F.col("o_shard"))
-        & (F.struct("a_n", "a_source") < F.struct("o_n", "o_source"))
-        & F.col("o_lat").between(F.col("south"), F.col("north"))
-        & F.col("o_lon").between(F.col("west"), F.col("east"))
-        & (F.abs(F.col("o_depth") - F.col("a_depth")) <= tol.depth_m)
-        & (
-            haversine_km(F.col("a_lat"), F.col("a_lon"), F.col("o_lat"), F.col("o_lon"))
-            <= tol.radius_km
-        )
-    )
-    return (
-        anchors.join(others, meet)
-        .groupBy("variable", "a_source", "a_lat", "a_lon", "a_depth", "o_source")
-        .agg(
-            (F.sum("total") / F.sum("readings")).alias("other_mean"),
-            F.sum("readings").alias("n_near"),
-        )
+        band.alias("band"),
+        F.floor(lon / _cell_width(band, dlat)).alias("cell"),
+        F.floor(depth / slice_m).alias("slice"),
     )
+    return _with_extent(anchors, dlat), _with_extent(others, dlat)
 
 
 def colocate(obs: DataFrame, tol: Tolerance = Tolerance()) -> DataFrame:
@@ -278,32 +320,28 @@ def worst_sites(
 def consistency_report(
     obs: DataFrame, tol: Tolerance = Tolerance(), pairs: DataFrame | None = None
 ) -> DataFrame:
-    """One row per variable with two or more sources, in one of three outcomes."""
-    pairs = colocate(obs, tol) if pairs is None else pairs
+    """One row per variable with two or more sources, in one of three outcomes.
+
+    ``pairs`` is what ``colocate`` found, if it is there already; else it is found once.
+    """
+    pairs = stored(colocate(obs, tol)) if pairs is None else pairs
     providers = (
-        _per_source(_places(obs))
+        _placed(obs).select("variable", "source").distinct()
         .groupBy("variable")
         .agg(F.array_sort(F.collect_list("source")).alias("sources"))
         .filter(F.size("sources") >= 2)
     )
-    # one narrow table of distinct metrics feeds the counts, labels and median
-    tally = pairs.groupBy(
-        "variable", "anchor_source", "other_source", _disagrees(tol).alias("far"),
-        value_bucket(F.col("metric")).alias("__b"), F.col("metric").alias("__v"),
-    ).agg(F.count(F.lit(1)).alias("__c"))
-    counts = tally.groupBy("variable").agg(
-        F.expr("sum(__c) as n_spatial"),
-        F.expr("sum(case when __v is not null then __c else 0 end) as n_metric"),
-        F.expr("sum(case when far then __c else 0 end) as n_disagreements"),
-        F.expr(
-            "transform(array_sort(collect_set(case when __v is not null then struct("
-            "least(anchor_source, other_source) as a, greatest(anchor_source, other_source) as b, "
-            "concat(anchor_source, ' vs ', other_source) as label) end)), x -> x.label) as pair_labels"
-        ),
+    label = F.struct(
+        F.least("anchor_source", "other_source").alias("a"), F.greatest("anchor_source", "other_source").alias("b"),
+        F.concat("anchor_source", F.lit(" vs "), "other_source").alias("label"),
     )
-    median = median_of_counts(tally.filter("__v is not null and not isnan(__v)"), ["variable"]).select(
-        "variable", F.col("median").alias("median_metric")
+    counts = pairs.groupBy("variable").agg(
+        F.count(F.lit(1)).alias("n_spatial"),
+        F.count("metric").alias("n_metric"),
+        F.count(F.when(_disagrees(tol), 1)).alias("n_disagreements"),
+        F.transform(F.array_sort(F.collect_set(F.when(F.col("metric").isNotNull(), label))), lambda x: x["label"]).alias("pair_labels"),
     )
+    median = exact_median(pairs, ["variable"], "metric").select("variable", F.col("median").alias("median_metric"))
     zero = F.lit(0).cast("long")
     joined = (
         providers.join(counts, "variable", "left")
@@ -325,8 +363,8 @@ def consistency_report(
 
 
 def check_cross_source(obs: DataFrame, tol: Tolerance = Tolerance()) -> DataFrame:
-    """The report as findings, each with its worst sites in the detail."""
-    pairs = colocate(obs, tol)
+    """The report as findings, each with its worst sites in the detail; both from one co-location."""
+    pairs = stored(colocate(obs, tol))
     report = consistency_report(obs, tol, pairs)
     site = F.struct(
         "rank", "lat", "lon", "depth_m", "anchor", "other", "n_near", "metric",

@@ -17,7 +17,8 @@ from cairn.dims import (
 )
 from cairn.functions.lookup import lookup, member
 from cairn.functions.parse import blank_to_null, strip
-from cairn.operators.ranking import median_of_counts, smallest_distinct, value_bucket
+from cairn.operators.ranking import histogram, median_by_rank, smallest_distinct
+from cairn.session import stored
 
 
 def finding(
@@ -39,22 +40,17 @@ def present_variables(obs: DataFrame) -> DataFrame:
 def distribution_summary(obs: DataFrame) -> DataFrame:
     """Count, min, median, max and depth coverage per variable.
 
-    Everything comes from one table of distinct values with their counts, so the
-    observations are read and shuffled once.
+    One scan fills a histogram that has everything but the median's exact value; a
+    second one reads the values of the middle bucket only.
     """
-    v = F.col("value")
-    counted = obs.groupBy(
-        "variable", value_bucket(v).alias("__b"), v.alias("__v")
-    ).agg(
-        F.count(F.lit(1)).alias("__c"),
-        F.count("depth_m").alias("d_n"), F.min("depth_m").alias("d_lo"), F.max("depth_m").alias("d_hi"),
-    )
-    plain = counted.groupBy("variable").agg(
-        F.sum("__c").alias("n"), F.min("__v").alias("min"), F.max("__v").alias("max"),
+    depth = [F.count("depth_m").alias("d_n"), F.min("depth_m").alias("d_lo"), F.max("depth_m").alias("d_hi")]
+    hist = stored(histogram(obs, ["variable"], "value", more=depth))
+    plain = hist.groupBy("variable").agg(
+        F.sum("__c").alias("n"), F.min("__lo").alias("min"), F.max("__hi").alias("max"),
         F.sum("d_n").alias("n_with_depth"), F.min("d_lo").alias("depth_min"), F.max("d_hi").alias("depth_max"),
     )
-    real = counted.filter(~F.isnan("__v"))
-    return plain.join(median_of_counts(real, ["variable"]).drop("n"), "variable", "left")
+    median = median_by_rank(obs, hist.filter("__b is not null"), ["variable"], "value")
+    return plain.join(median.drop("n"), "variable", "left")
 
 
 def value_range_report(

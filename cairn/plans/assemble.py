@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cairn.dims import VARIABLES
 from cairn.operators import colocate, qc, temporal, units
 from cairn.sources.normalise import pool
+from cairn.session import stored
 from cairn.sources.sinks import write_format
 
 log = logging.getLogger(__name__)
@@ -102,9 +103,9 @@ def run(
 ) -> Assembled:
     """Write the analysis-ready table and build the reports on what was pooled.
 
-    The pooled frame feeds several actions, so it is persisted, spilling to disk.
+    The pooled frame feeds several actions, so it is written to the shared folder once.
     """
-    obs = harmonise(parts, request).persist()
+    obs = stored(harmonise(parts, request))
     cross = colocate.check_cross_source(obs, tol)
     paths = write_format(obs, out_dir, request.target_format)
     return Assembled(obs, summary(obs, cross), notes(obs, cross), paths)

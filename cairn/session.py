@@ -1,6 +1,7 @@
 """Session helpers: sensible defaults, and lineage cuts that survive executor loss."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,17 +38,34 @@ def local_session(name: str = "cairn", cores: str = "*", shuffle_partitions: int
     return tune(builder.getOrCreate())
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder the session names.
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder the session names in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset and the
-    session runs on one machine, as in tests, is a temporary folder used.
+    Only when it is unset and the session runs on one machine, as in tests, is a
+    temporary folder used.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None and not sc.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-ckpt-", dir="/tmp"))
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write the rows to the shared folder and read them back.
+
+    For a table that several branches read: it is computed once, survives lost
+    executors, and each branch reads only its columns.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -4,6 +4,7 @@ import math
 import random
 from datetime import datetime
 
+import numpy as np
 import pytest
 
 from cairn.operators import colocate as C
@@ -75,10 +76,15 @@ def test_staged_folder(spark):
     ]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_exact_median_against_sort(spark, seed):
+@pytest.mark.parametrize("seed, middle", [(1, 1 << 20), (2, 1 << 20), (1, 1), (3, 5)])
+def test_exact_median_against_sort(spark, monkeypatch, seed, middle):
     import statistics
 
+    from cairn.operators import ranking
+
+    monkeypatch.setattr(ranking, "_MIDDLE", middle)  # a small one narrows the middle in further rounds
+    monkeypatch.setattr(ranking, "_SLICES", 7)
+
     rng = random.Random(seed)
     rows = []
     for g in "abc":
@@ -94,6 +100,19 @@ def test_exact_median_against_sort(spark, seed):
     assert got == {g: statistics.median(vs) for g, vs in want.items()}
 
 
+def test_median_shuffles_buckets_and_the_middle_only(spark):
+    """100,000 distinct values: histogram rows and the middle bucket's values are all that is grouped."""
+    from cairn.operators import ranking
+
+    df = spark.range(100_000).selectExpr("id % 2 as k", "100 + id / 1000D as v")
+    hist = ranking.histogram(df, ["k"], "v")
+    rows = hist.collect()
+    assert len(rows) < 200 and max(r["__c"] for r in rows) < 1600
+    assert {r.k: r["median"] for r in exact_median(df, ["k"], "v").collect()} == {0: 149.999, 1: 150.0}
+    plan = exact_median(df, ["k"], "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "__lo" in plan.split("Aggregate")[-1]  # values meet the middle's range below the grouping
+
+
 def test_keep_and_positions(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "z"), ("a", 2, "y"), ("b", 9, "q")], "k string, ord bigint, v string")
     assert sorted(r.v for r in keep_first(df, ["k"]).collect()) == ["q", "x"]
@@ -167,9 +186,9 @@ def brute_force(rows, tol):
     return out
 
 
-@pytest.mark.parametrize("seed, lat0, radius, depth_tol, shard", [(1, 65.0, 5.0, 1.0, 512), (1, 65.0, 5.0, 1.0, 4), (2, 88.5, 20.0, 0.0, 512), (3, -10.0, 300.0, 2.5, 8), (4, 0.0, 5.0, 1.0, 512)])
-def test_colocation_against_brute_force(make_obs, monkeypatch, seed, lat0, radius, depth_tol, shard):
-    monkeypatch.setattr(C, "_SHARD", shard)  # a small one splits most buckets
+@pytest.mark.parametrize("seed, lat0, radius, depth_tol, crowd", [(1, 65.0, 5.0, 1.0, 512), (1, 65.0, 5.0, 1.0, 1), (2, 88.5, 20.0, 0.0, 2), (3, -10.0, 300.0, 2.5, 3), (4, 0.0, 5.0, 1.0, 512)])
+def test_colocation_against_brute_force(make_obs, monkeypatch, seed, lat0, radius, depth_tol, crowd):
+    monkeypatch.setattr(C, "_CROWD", crowd)  # a small one cuts most cells, again and by hash
     rng = random.Random(seed)
     rows = []
     for _ in range(260):
@@ -185,6 +204,34 @@ def test_colocation_against_brute_force(make_obs, monkeypatch, seed, lat0, radiu
     assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-6 for k in want)
 
 
+def test_one_crowded_cell(make_obs):
+    """20,000 distinct places in one cell, most of them in a corner of it; far parts of the cell never meet."""
+    rng = np.random.default_rng(7)
+    tol = C.Tolerance()
+    band = int(65.0 // tol.dlat)
+    lat = (band + np.concatenate([rng.uniform(0.01, 0.99, 8000), rng.uniform(0.9, 0.93, 12000)])) * tol.dlat
+    width = tol.dlat / math.cos(math.radians((band + 1) * tol.dlat))
+    lon = (int(-150 // width) + np.concatenate([rng.uniform(0.01, 0.99, 8000), rng.uniform(0.1, 0.13, 12000)])) * width
+    alat, alon = (band + rng.uniform(-0.95, 1.95, 150)) * tol.dlat, (int(-150 // width) + rng.uniform(-0.95, 1.95, 150)) * width
+    rows = [site("big", y, x, 1.0 + k % 7) for k, (y, x) in enumerate(zip(lat, lon))]
+    obs = make_obs(rows + [site("few", y, x, 2.0) for y, x in zip(alat, alon)])
+    got = {round(r.latitude, 12): (r.n_near, r.other_mean) for r in C.colocate(obs, tol).collect()}
+    value = 1.0 + np.arange(20_000) % 7
+    p, q = np.radians(alat)[:, None], np.radians(lat)[None, :]
+    h = np.sin((q - p) / 2) ** 2 + np.cos(p) * np.cos(q) * np.sin(np.radians(lon[None, :] - alon[:, None]) / 2) ** 2
+    near = 2 * 6371.0 * np.arcsin(np.sqrt(h)) <= tol.radius_km
+    near &= (np.abs(lat[None, :] - alat[:, None]) <= tol.dlat) & (np.abs(lon[None, :] - alon[:, None]) <= tol.radius_km / (111.0 * np.cos(p)))
+    want = {round(float(y), 12): (int(n.sum()), value[n].mean()) for y, n in zip(alat, near) if n.any()}
+    assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
+    places = C._places(obs)
+    places = places.join(C._with_roles(C._per_source(places)), ["variable", "source"])
+    sides = C._sides(places, tol)
+    met = lambda a, o, keys: a.select(*keys).join(o.select(*keys), keys).count()
+    whole, cut = met(*sides, C._KEYS), met(*C._meeting_cells(*sides), [*C._KEYS, "shard"])
+    box = int(((np.abs(lat[None, :] - alat[:, None]) <= tol.dlat) & (np.abs(lon[None, :] - alon[:, None]) <= tol.radius_km / (111.0 * np.cos(p)))).sum())
+    assert whole > 1.5 * box and cut < 1.15 * box  # what meets is hardly more than what lies in the search box
+
+
 def test_check_cross_source_findings(make_obs):
     obs = make_obs([site("a", 65, -150, 1.0), site("b", 65, -150, 2.0), site("b", 65, -150, 2.0)])
     f = C.check_cross_source(obs).collect()
