@@ -42,6 +42,11 @@ class Tolerance:
     def dlat(self) -> float:
         return self.radius_km / KM_PER_DEGREE
 
+    @property
+    def cell_deg(self) -> float:
+        """Height of a cell: twice the radius, so an anchor touches two bands, as a rule."""
+        return 2 * self.dlat
+
     @property
     def slice_m(self) -> float:
         return 2 * self.depth_m if self.depth_m > 0 else 1.0
@@ -110,12 +115,12 @@ def source_pairs(obs: DataFrame) -> DataFrame:
     return a.join(o, (F.col("variable") == F.col("v")) & smaller).drop("v")
 
 
-def _cell_width(band: Column, dlat: float) -> Column:
+def _cell_width(band: Column, size: float) -> Column:
     """Longitude cell of a band; a function of the band alone, so both sides agree."""
     edge = F.least(
-        F.greatest(F.abs(band * dlat), F.abs((band + 1) * dlat)), F.lit(90.0)
+        F.greatest(F.abs(band * size), F.abs((band + 1) * size)), F.lit(90.0)
     )
-    return F.lit(dlat) / F.greatest(F.cos(F.radians(edge)), F.lit(1e-6))
+    return F.lit(size) / F.greatest(F.cos(F.radians(edge)), F.lit(1e-6))
 
 
 _CROWD = 512  # searched places of one cell from which on it is cut
@@ -130,12 +135,12 @@ def _part(at: Column, low: str, size: str) -> Column:
     return F.greatest(F.least(part, F.col("k") - 1), F.lit(0))
 
 
-def _with_extent(df: DataFrame, dlat: float) -> DataFrame:
+def _with_extent(df: DataFrame, size: float) -> DataFrame:
     """South and west edge and size of each row's cell; ``sub`` numbers its parts."""
-    width = _cell_width(F.col("band"), dlat)
+    width = _cell_width(F.col("band"), size)
     return df.withColumns(
         {
-            "y0": F.col("band") * dlat, "dy": F.lit(dlat),
+            "y0": F.col("band") * size, "dy": F.lit(size),
             "x0": F.col("cell") * width, "dx": width, "sub": F.lit(0).cast("long"),
         }
     )
@@ -153,9 +158,10 @@ def _inner(df: DataFrame, i: Column, j: Column) -> DataFrame:
     ).drop("__i", "__j", "k")
 
 
-def _crowded(others: DataFrame) -> DataFrame:
-    """The cells with more searched places than ``_CROWD``, and how many."""
-    return stored(others.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > _CROWD))
+def _crowded(others: DataFrame) -> DataFrame | None:
+    """The cells with more searched places than ``_CROWD``, and how many; None if there is none."""
+    crowded = others.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > _CROWD)
+    return None if crowded.isEmpty() else stored(crowded)
 
 
 def _meeting_cells(anchors: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -163,7 +169,7 @@ def _meeting_cells(anchors: DataFrame, others: DataFrame) -> tuple[DataFrame, Da
     k = F.coalesce("k", F.lit(1).cast("long"))
     for _ in range(_CUTS):
         crowded = _crowded(others)
-        if crowded.isEmpty():
+        if crowded is None:
             break
         parts = F.pow(F.lit(2.0), F.ceil(F.log2(F.sqrt(F.col("__n") / _CROWD))))
         cells = crowded.select(*_KEYS, F.least(parts, F.lit(_PARTS)).cast("long").alias("k"))
@@ -175,7 +181,7 @@ def _meeting_cells(anchors: DataFrame, others: DataFrame) -> tuple[DataFrame, Da
         anchors = _inner(anchors, F.col("i"), F.col("j")).drop("i", "j")
     else:
         crowded = _crowded(others)
-        if not crowded.isEmpty():
+        if crowded is not None:
             shards = crowded.select(*_KEYS, F.ceil(F.col("__n") / _CROWD).cast("long").alias("k"))
             place = F.xxhash64("o_source", "o_lat", "o_lon", "o_depth")
             others = others.join(shards, _KEYS, "left").withColumn("shard", F.pmod(place, k)).drop("k")
@@ -191,14 +197,15 @@ def neighbour_means(obs: DataFrame, tol: Tolerance = Tolerance()) -> DataFrame:
     places = places.join(_with_roles(_per_source(places)), ["variable", "source"])
     anchors, others = _meeting_cells(*_sides(places, tol))
     a, o = anchors.alias("a"), others.alias("o")
+    box = _box(F.col("a_lat"), F.col("a_lon"), tol)  # again, which is cheaper than to shuffle it
     meet = F.lit(True)
     for c in (*_KEYS, "shard"):
         meet = meet & (F.col(f"a.{c}") == F.col(f"o.{c}"))
     meet = (
         meet
         & (F.struct("a_n", "a_source") < F.struct("o_n", "o_source"))
-        & F.col("o_lat").between(F.col("south"), F.col("north"))
-        & F.col("o_lon").between(F.col("west"), F.col("east"))
+        & F.col("o_lat").between(box["south"], box["north"])
+        & F.col("o_lon").between(box["west"], box["east"])
         & (F.abs(F.col("o_depth") - F.col("a_depth")) <= tol.depth_m)
         & (
             haversine_km(F.col("a_lat"), F.col("a_lon"), F.col("o_lat"), F.col("o_lon"))
@@ -215,16 +222,18 @@ def neighbour_means(obs: DataFrame, tol: Tolerance = Tolerance()) -> DataFrame:
     )
 
 
+def _box(lat: Column, lon: Column, tol: Tolerance) -> dict[str, Column]:
+    """Search box around an anchor."""
+    dlon = F.lit(tol.radius_km) / (KM_PER_DEGREE * F.greatest(F.cos(F.radians(lat)), F.lit(1e-6)))
+    return {"south": lat - tol.dlat, "north": lat + tol.dlat, "west": lon - dlon, "east": lon + dlon}
+
+
 def _sides(places: DataFrame, tol: Tolerance) -> tuple[DataFrame, DataFrame]:
     """Anchors, copied to each cell their search box touches, and searched places, each in one cell."""
-    dlat, slice_m = tol.dlat, tol.slice_m
+    size, slice_m = tol.cell_deg, tol.slice_m
     lat, lon, depth = F.col("latitude"), F.col("longitude"), F.col("surface_depth")
-    dlon = F.lit(tol.radius_km) / (
-        KM_PER_DEGREE * F.greatest(F.cos(F.radians(lat)), F.lit(1e-6))
-    )
     each = lambda low, high, size: F.explode(F.sequence(F.floor(low / size), F.floor(high / size)))
     west, east = F.greatest("west", F.lit(-180.0)), F.least("east", F.lit(180.0))
-    width = _cell_width(F.col("band"), dlat)
     reach = tol.depth_m + 1e-6
     anchors = (
         places.filter("may_anchor")
@@ -232,24 +241,23 @@ def _sides(places: DataFrame, tol: Tolerance) -> tuple[DataFrame, DataFrame]:
             "variable",
             F.col("source").alias("a_source"), F.col("n").alias("a_n"),
             lat.alias("a_lat"), lon.alias("a_lon"), depth.alias("a_depth"),
-            (lat - dlat).alias("south"), (lat + dlat).alias("north"),
-            (lon - dlon).alias("west"), (lon + dlon).alias("east"),
         )
-        .withColumn("band", each(F.col("south"), F.col("north"), dlat))
-        .withColumn("cell", each(west, east, width))
+        .withColumns(_box(F.col("a_lat"), F.col("a_lon"), tol))
+        .withColumn("band", each(F.col("south"), F.col("north"), size))
+        .withColumn("cell", each(west, east, _cell_width(F.col("band"), size)))
         .withColumn("slice", each(F.col("a_depth") - reach, F.col("a_depth") + reach, slice_m))
     )
-    band = F.floor(lat / dlat)
+    band = F.floor(lat / size)
     others = places.filter("searched").select(
         "variable",
         F.col("source").alias("o_source"), F.col("n").alias("o_n"),
         lat.alias("o_lat"), lon.alias("o_lon"), depth.alias("o_depth"),
         "total", "readings",
         band.alias("band"),
-        F.floor(lon / _cell_width(band, dlat)).alias("cell"),
+        F.floor(lon / _cell_width(band, size)).alias("cell"),
         F.floor(depth / slice_m).alias("slice"),
     )
-    return _with_extent(anchors, dlat), _with_extent(others, dlat)
+    return _with_extent(anchors, size), _with_extent(others, size)
 
 
 def colocate(obs: DataFrame, tol: Tolerance = Tolerance()) -> DataFrame:

@@ -204,6 +204,65 @@ def test_colocation_against_brute_force(make_obs, monkeypatch, seed, lat0, radiu
     assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-6 for k in want)
 
 
+def test_one_crowded_cell(make_obs):
+    """20,000 distinct places in one cell, most of them in a corner of it; far parts of the cell never meet."""
+    rng = np.random.default_rng(7)
+    tol = C.Tolerance()
+    size = tol.cell_deg
+    band = int(65.0 // size)
+    lat = (band + np.concatenate([rng.uniform(0.01, 0.99, 8000), rng.uniform(0.9, 0.93, 12000)])) * size
+    width = size / math.cos(math.radians((band + 1) * size))
+    lon = (int(-150 // width) + np.concatenate([rng.uniform(0.01, 0.99, 8000), rng.uniform(0.1, 0.13, 12000)])) * width
+    alat, alon = (band + rng.uniform(-0.45, 1.45, 150)) * size, (int(-150 // width) + rng.uniform(-0.45, 1.45, 150)) * width
+    rows = [site("big", 65, -150, 1.0), site("big", 65, -150, 2.0), site("small", 65, -150, 3.0)]
+    pairs = C.colocate(make_obs(rows)).collect()
+    assert [(p.anchor_source, p.n_near, p.other_mean) for p in pairs] == [("small", 2, 1.5)]
+
+
+def brute_force(rows, tol):
+    """Every pair of every pair of sources, one by one."""
+    out = {}
+    by = {}
+    for i, r in enumerate(rows):
+        by.setdefault((r["variable"], r["source"]), []).append((i, r))
+    for (v, sa), a_rows in by.items():
+        for (v2, sb), b_rows in by.items():
+            if v != v2 or sa == sb or (len(a_rows), sa) > (len(b_rows), sb):
+                continue
+            for i, a in a_rows:
+                dlon = tol.radius_km / (111.0 * max(math.cos(math.radians(a["latitude"])), 1e-6))
+                near = []
+                for _, b in b_rows:
+                    if abs(b["latitude"] - a["latitude"]) > tol.dlat or abs(b["longitude"] - a["longitude"]) > dlon:
+                        continue
+                    p, q = math.radians(a["latitude"]), math.radians(b["latitude"])
+                    h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b["longitude"] - a["longitude"]) / 2) ** 2
+                    far = 2 * 6371.0 * math.asin(math.sqrt(min(1.0, h))) > tol.radius_km
+                    if not far and abs((b["depth_m"] or 0.0) - (a["depth_m"] or 0.0)) <= tol.depth_m:
+                        near.append(b["value"])
+                if near:
+                    out[f"o{i}", sb] = (len(near), round(sum(near) / len(near), 9))
+    return out
+
+
+@pytest.mark.parametrize("seed, lat0, radius, depth_tol, crowd", [(1, 65.0, 5.0, 1.0, 512), (1, 65.0, 5.0, 1.0, 1), (2, 88.5, 20.0, 0.0, 2), (3, -10.0, 300.0, 2.5, 3), (4, 0.0, 5.0, 1.0, 512)])
+def test_colocation_against_brute_force(make_obs, monkeypatch, seed, lat0, radius, depth_tol, crowd):
+    monkeypatch.setattr(C, "_CROWD", crowd)  # a small one cuts most cells, again and by hash
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(260):
+        rows.append(site(
+            rng.choice("abc"), round(lat0 + rng.uniform(-0.4, 0.4) * radius / 20, 3), round(rng.uniform(-179.9, 179.9) if seed == 2 else -150 + rng.uniform(-1, 1) * radius / 20, 3),
+            rng.uniform(-5, 5), rng.choice([None, 0.0, 0.5, 1.0, 2.0, 10.0, -1.0]), rng.choice(["ground_temperature", "snow_depth"]),
+        ))
+    rows += [dict(rows[0]) for _ in range(140)]  # one hot place holds a third of the rows
+    tol = C.Tolerance(radius_km=radius, depth_m=depth_tol)
+    got = {(r.obs_id, r.other_source): (r.n_near, round(r.other_mean, 9)) for r in C.colocate(make_obs(rows), tol).collect()}
+    want = brute_force(rows, tol)
+    assert got.keys() == want.keys() and want
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-6 for k in want)
+
+
 def test_one_crowded_cell(make_obs):
     """20,000 distinct places in one cell, most of them in a corner of it; far parts of the cell never meet."""
     rng = np.random.default_rng(7)
