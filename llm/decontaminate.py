@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import WORD, split_words, widened, word_hashes
+from llm.common import slices as cut
 
 MIN_MATCH, THRESHOLD = 5, 0.6
 SLICE_WORDS = 500_000
@@ -179,7 +180,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_M
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, name=name) -> Iterator[pa.RecordBatch]:
             kind = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.list_(pa.struct([(c, pa.int32()) for c in ("doc_at", "item_at", "words")])))]))
-            for b in batches:
+            for b in cut(batches, "text"):
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(matches(b.column(at), sent.value), kind)], [*b.schema.names, name])
 
         docs = docs.mapInArrow(run, widened(docs, f"{name} {MATCHES}"))

@@ -28,10 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import ASK, BOXES, ask_rows, ascii_lower, boxed, components, partitions, shingle_keys, stored, tally, unboxed
+from llm.common import ASK, BOXES, ask_rows, ascii_lower, boxed, components, partitions, shingle_keys, slices, stored, tally, tidy, unboxed
 
 FRAGMENTS = 16
 SIZES = [f"s{i}" for i in range(FRAGMENTS)]  # how many n-grams a set has in each fragment
+SEEN = 1 << 16
 SETS = "h1 long, h2 long, n long, prefix array<bigint>, parts array<array<bigint>>"
 
 
@@ -42,7 +43,9 @@ def _first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _unseen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[tuple[int, int]] = set()
-    for b in batches:
+    for b in slices(batches, "text"):
+        if len(seen) > SEEN:  # a text passed on twice is only shuffled twice
+            seen.clear()
         keep = []
         for k in zip(b["h1"].to_pylist(), b["h2"].to_pylist(), strict=True):
             keep.append(k not in seen)
@@ -127,9 +130,9 @@ def classes_of(docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFra
     rows = hashed.select("doc_id", "h1", "h2")
     block = F.pmod("h1", F.lit(2 * shards)).cast("int").alias("block")
     texts = hashed.select("h1", "h2", "text", block).mapInArrow(_first_seen, BOXES)
-    asked = texts.groupBy("block").applyInArrow(_asker(width, shards), ASK)
-    answers = asked.groupBy("shard").applyInArrow(_levels, "block int, shard int, levels binary")
-    sets = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_setter(width, num, den, shards), SETS)
+    asked = texts.groupBy("block").applyInArrow(tidy(_asker(width, shards)), ASK)
+    answers = asked.groupBy("shard").applyInArrow(tidy(_levels), "block int, shard int, levels binary")
+    sets = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(tidy(_setter(width, num, den, shards)), SETS)
     reps = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
     return rows, stored(sets.join(reps, ["h1", "h2"]))
 

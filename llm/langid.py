@@ -24,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import owner_of, split_words, widened
+from llm.common import owner_of, slices, split_words, widened
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 FIT_DOCS, FIT_WORDS, LONG, MARK = 1500, 150_000, 64, "▁"
+LATTICE = 4_000  # words whose segmentations are summed at once
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = pow(int(_BASE), -1, 1 << 64)
@@ -197,8 +198,8 @@ class Model:
         which = np.array([number.setdefault(r, len(number)) for rs in runs for r in rs], np.int64)
         flat, score = list(number), np.zeros((len(number), len(self.langs) + 1))
         by = sorted(range(len(flat)), key=lambda i: len(flat[i]))
-        for i in range(0, len(by), 20_000):
-            part = by[i : i + 20_000]
+        for i in range(0, len(by), LATTICE):
+            part = by[i : i + LATTICE]
             whole = self.forward(self.pieces.lattice([flat[k] for k in part]))
             low = (whole < FLOOR).any(axis=1)
             score[part, :-1] = np.log(np.maximum(whole, FLOOR))
@@ -219,8 +220,8 @@ def learn(words: list[str], counts: np.ndarray, langs: list[str], pieces: Pieces
     by = sorted(range(len(words)), key=lambda i: len(words[i]))
     for _ in range(rounds):
         total = np.zeros_like(prob)
-        for i in range(0, len(by), 20_000):
-            part = by[i : i + 20_000]
+        for i in range(0, len(by), LATTICE):
+            part = by[i : i + LATTICE]
             total += model.expected([words[k] for k in part], counts[part])
         total = total[:-1] + smooth
         model.prob = np.concatenate([total / total.sum(0), np.full((1, len(langs)), UNKNOWN)])
@@ -228,7 +229,7 @@ def learn(words: list[str], counts: np.ndarray, langs: list[str], pieces: Pieces
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches, "text"):
         got: Counter = Counter()
         langs = b["lang"].to_pylist()
         codes, offsets, words = split_words(b["text"])
@@ -272,7 +273,7 @@ def identified(docs: DataFrame, model: Model | None, evidence: float = 60.0) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for b in batches:
+        for b in slices(batches, "text"):
             ll, letters = m.log_likelihood(b.column(at))
             ll = ll * np.minimum(1, evidence / np.maximum(letters, 1))[:, None]
             post = np.exp(ll - ll.max(axis=1, keepdims=True))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import jaccard
-from llm.common import calibrate, split_words, stored, widened
+from llm.common import calibrate, slices, split_words, stored, widened
 
 FIT_ROWS, LEXICON, MIN_DOCS, EVIDENCE = 30_000, 20_000, 5, 14.0
 OTHER, WEAK, MILD, STRONG, THREAT, TARGET, NOT, SAID = range(8)
@@ -197,7 +197,7 @@ def lexicon_of(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> di
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches, "text"):
         toxic = np.array(b["toxic"].to_pylist(), bool)
         codes, offsets, words = split_words(b["text"])
         who = np.repeat(np.arange(len(toxic)), np.diff(offsets))
@@ -243,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([pa.array(sent.value.weights(b["text"])), b["toxic"]], ["weight", "toxic"])
 
     got = held.select("text", "toxic").mapInArrow(weigh, "weight double, toxic boolean").toArrow()  # at most the sample
@@ -261,7 +261,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "text"):
             w = sent.value.weights(b.column(at))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(w), pa.array(sent.value.probability(w))], [*b.schema.names, "weight", "toxicity"])
 
