@@ -53,12 +53,17 @@ def map_variable(raw_name: Column) -> Column:
 
 
 def index_files(files: DataFrame) -> DataFrame:
-    """Classify and fingerprint ``dataset_id, relative_path, content`` rows.
+    """Classify ``dataset_id, relative_path`` rows with their size and both checksums.
 
-    One pass computes size and both checksums.  Generated sidecars at the dataset
-    root and dot files are not data and are left out.
+    Those come with the rows, or from ``content`` in one pass.  Generated sidecars at the
+    dataset root and dot files are not data and are left out.
     """
-    path, content = F.col("relative_path"), F.col("content")
+    path = F.col("relative_path")
+    if "content" in files.columns:
+        content = F.col("content")
+        size, sha, md5 = F.octet_length(content), F.sha2(content, 256), F.md5(content)
+    else:
+        size, sha, md5 = F.col("bytes"), F.col("content_checksum"), F.col("md5")
     kept = files.filter(
         ~member(path, ROOT_SIDECARS) & ~base_name(path).startswith(".")
     )
@@ -67,9 +72,9 @@ def index_files(files: DataFrame) -> DataFrame:
         "dataset_id", "relative_path",
         file_role(path).alias("role"),
         file_format(path).alias("format"),
-        F.octet_length(content).cast("long").alias("bytes"),
-        F.sha2(content, 256).alias("content_checksum"),
-        F.md5(content).alias("md5"),
+        size.cast("long").alias("bytes"),
+        sha.alias("content_checksum"),
+        md5.alias("md5"),
     )
 
 
@@ -176,10 +181,11 @@ def _ordered_distinct(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return first.groupBy(*keys).agg(F.array_join(parts, ", ").alias(value))
 
 
-def collapse_variables(declared: DataFrame, crs_tier: str) -> DataFrame:
+def collapse_variables(declared: DataFrame, crs_tier: str | Column) -> DataFrame:
     """One row per (variable, file) from declared columns.
 
-    ``declared`` has ``dataset_id, file_id, raw_name, unit, ord``.  Duplicates go
+    ``declared`` has ``dataset_id, file_id, raw_name, unit, ord``; ``crs_tier`` may depend
+    on the dataset.  Duplicates go
     away in a partial aggregate first, so only distinct names are listed.
     """
     mapped = map_variable(F.col("raw_name"))
@@ -192,7 +198,8 @@ def collapse_variables(declared: DataFrame, crs_tier: str) -> DataFrame:
         flags.join(_ordered_distinct(d, keys, "raw_name"), keys)
         .join(_ordered_distinct(d, keys, "unit"), keys, "left")
         .select(
-            *keys, "raw_name", "unit", F.lit(crs_tier).alias("crs_tier"), "parseable",
+            *keys, "raw_name", "unit",
+            (F.lit(crs_tier) if isinstance(crs_tier, str) else crs_tier).alias("crs_tier"), "parseable",
         )
     )
 

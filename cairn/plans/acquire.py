@@ -1,6 +1,7 @@
-"""From a landed package to catalog rows, observations and findings."""
+"""From landed packages to catalog rows, observations and findings."""
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from cairn.dims import SCHEMA_VERSION
 from cairn.functions.text import download_id
 from cairn.operators import index, qc
 from cairn.operators.catalog import Catalog
+from cairn.session import stored
 from cairn.sources import package as pkg
 from cairn.sources.normalise import Landing
 from cairn.sources.registry import get_source
@@ -19,59 +21,62 @@ CRS_TIER = {"ess_dive_dd": "pdf", "dataone_bagit": "assumed-wgs84"}
 
 @dataclass
 class PackageIndex:
-    """Lazy index tables of one package."""
+    """Index tables of one package or of many; the files are read once."""
 
     files: DataFrame
     variables: DataFrame
     standard: DataFrame
     mismatches: DataFrame
     fingerprint: DataFrame
+    listed: DataFrame  # every file, sidecars too
 
 
-def index_package(spark: SparkSession, root: str, landing: Landing) -> PackageIndex:
-    """File and variable tables of a package directory.
+def index_packages(
+    spark: SparkSession, root: str, dataset_id: str | None = None, access_timestamp: datetime | None = None
+) -> PackageIndex:
+    """File and variable tables of every package below ``root``, in one job, whatever their standards.
 
-    The metadata standard of the one package decides the reader of declared
-    variables; it is the only value that comes to the driver.
+    The standard is a column per dataset: dictionary rows count where it is a dictionary
+    package, metadata attributes and the manifest where it is a bag.  Sizes and digests
+    are read once and written; the index, the manifest check and the fingerprint use them.
     """
-    raw = pkg.package_files(spark, root, landing.dataset_id)
+    raw = stored(pkg.package_files(spark, root, dataset_id))
     files = index.index_files(raw)
     standard = index.detect_standard(raw.select("dataset_id", "relative_path"))
-    kind = standard.select("standard").first()
-    kind = kind["standard"] if kind else "unknown"
     listed = files.select("dataset_id", "relative_path")
-    declared = None
-    if kind == "ess_dive_dd":
-        declared = pkg.declared_by_dictionary(
-            pkg.dictionary_rows(spark, root, landing.dataset_id), listed
-        )
-    elif kind == "dataone_bagit":
-        declared = pkg.declared_by_eml(pkg.eml_attributes(spark, root, landing.dataset_id), listed)
-    if declared is None:
-        variables = spark.createDataFrame(
-            [], "dataset_id string, variable string, file_id string, raw_name string, unit string, "
-            "crs_tier string, parseable boolean",
-        )
-        sentinels = spark.createDataFrame([], "dataset_id string, file_id string, missing_sentinel string")
-    else:
-        variables = index.collapse_variables(declared, CRS_TIER[kind])
-        sentinels = index.file_sentinels(declared)
-    full = (
-        files.join(sentinels, ["dataset_id", "file_id"], "left")
-        .withColumn("access_timestamp", F.lit(landing.access_timestamp).cast("timestamp"))
+    of = lambda df, kind: df.join(standard.filter(F.col("standard") == kind).select("dataset_id"), "dataset_id")
+    columns = ["dataset_id", "file_id", "raw_name", "unit", "missing_sentinel", "ord"]
+    # the place of a declared column: file, row; or table, attribute, code
+    place = lambda *parts: F.array(*[F.col(p).cast("long") for p in parts])
+    by_dictionary = pkg.declared_by_dictionary(of(pkg.dictionary_rows(spark, root, dataset_id), "ess_dive_dd"), listed)
+    by_eml = pkg.declared_by_eml(of(pkg.eml_attributes(spark, root, dataset_id), "dataone_bagit"), listed)
+    declared = (
+        by_dictionary.withColumn("ord", place("ord")).select(*columns)
+        .unionByName(by_eml.withColumn("ord", place("ord.table_ord", "ord.pos", "ord.code_pos")).select(*columns))
     )
-    declared_md5 = (
-        pkg.manifest(spark, root, landing.dataset_id)
-        if kind == "dataone_bagit"
-        else spark.createDataFrame([], "dataset_id string, relative_path string, md5 string")
+    tiers = F.create_map(*[F.lit(x) for pair in CRS_TIER.items() for x in pair])
+    variables = index.collapse_variables(declared, "").drop("crs_tier").join(standard, "dataset_id").select(
+        "dataset_id", "variable", "file_id", "raw_name", "unit",
+        F.element_at(tiers, F.col("standard")).alias("crs_tier"), "parseable",
+    )
+    full = (
+        files.join(index.file_sentinels(declared), ["dataset_id", "file_id"], "left")
+        .withColumn("access_timestamp", F.lit(access_timestamp).cast("timestamp"))
     )
+    declared_md5 = of(pkg.manifest(spark, root, dataset_id), "dataone_bagit")
     return PackageIndex(
         full, variables, standard,
         index.manifest_mismatches(files, declared_md5),
         index.package_fingerprint(files),
+        raw.select("dataset_id", "relative_path"),
     )
 
 
+def index_package(spark: SparkSession, root: str, landing: Landing) -> PackageIndex:
+    """The index of one landed package."""
+    return index_packages(spark, root, landing.dataset_id, landing.access_timestamp)
+
+
 @dataclass
 class Acquired:
     """What one acquisition produced; tables stay lazy over the catalog."""
@@ -121,11 +126,8 @@ def acquire(
     catalog.register("package_files", idx.files)
     catalog.register("dataset_variables", idx.variables)
 
-    listed = pkg.package_files(spark, index_root or root, landing.dataset_id)
-    records = listed.filter("relative_path = 'PROVENANCE.json'").select(
-        "dataset_id", F.col("content").cast("string").alias("content")
-    )
-    findings = qc.validate_staged(listed.select("dataset_id", "relative_path"), records)
+    records = pkg.provenance_texts(spark, index_root or root, landing.dataset_id)
+    findings = qc.validate_staged(idx.listed, records)
     if not parse:
         return Acquired(idx, None, findings, 0)
 

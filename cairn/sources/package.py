@@ -1,6 +1,11 @@
-"""Landed packages: file bytes, manifests, data dictionaries and EML metadata."""
+"""Landed packages: file digests, manifests, data dictionaries and EML metadata.
 
-from pyspark.sql import DataFrame, SparkSession
+Every reader takes one package, or a folder of packages, each named by its folder.
+"""
+
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.dims import DICTIONARY_COLUMNS
@@ -8,6 +13,7 @@ from cairn.functions.parse import blank_to_null, strip
 from cairn.functions.text import file_id, missing_sentinel
 from cairn.operators.index import match_dictionary_files, match_entities
 from cairn.sources.delimited import csv_rows, text_lines
+from cairn.sources.files import file_digests
 
 EML_SCHEMA = (
     "entityName string, attributeList struct<attribute:array<struct<attributeName:string,"
@@ -18,27 +24,48 @@ EML_SCHEMA = (
 )
 
 
-def _relative(path_col: str, root: str):
-    """Path below ``root``; both sides without a scheme."""
-    plain = F.regexp_replace(F.regexp_replace(path_col, r"^[a-z0-9]+:/+", "/"), "%20", " ")
-    return F.substring_index(plain, root.rstrip("/") + "/", -1)
+def _located(path: Column, root: str, dataset_id: str | None) -> list[Column]:
+    """``dataset_id, relative_path`` of a full path.
 
+    Without a ``dataset_id`` each folder below ``root`` is a package of that name.
+    """
+    plain = F.regexp_replace(F.regexp_replace(path, r"^[a-z0-9]+:/+", "/"), "%20", " ")
+    base = re.sub(r"^[a-z0-9]+:/+", "/", root).rstrip("/")
+    below = F.substring_index(plain, f"{base}/", -1)
+    return _parted(below, dataset_id)
 
-def package_files(spark: SparkSession, root: str, dataset_id: str) -> DataFrame:
-    """``dataset_id, relative_path, content`` of every file under ``root``.
 
-    Spark skips names that start with ``.`` or ``_``.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return files.select(
-        F.lit(dataset_id).alias("dataset_id"), _relative("path", root).alias("relative_path"), "content"
+def _parted(below: Column, dataset_id: str | None) -> list[Column]:
+    if dataset_id is not None:
+        return [F.lit(dataset_id).alias("dataset_id"), below.alias("relative_path")]
+    return [
+        F.substring_index(below, "/", 1).alias("dataset_id"),
+        F.regexp_replace(below, "^[^/]*/", "").alias("relative_path"),
+    ]
+
+
+def package_files(spark: SparkSession, root: str, dataset_id: str | None = None) -> DataFrame:
+    """``dataset_id, relative_path, bytes, content_checksum, md5`` of every file of one package, or of all below ``root``."""
+    found = file_digests(spark, root)
+    if dataset_id is None:
+        found = found.filter(F.col("path").contains("/"))
+    return found.select(*_parted(F.col("path"), dataset_id), "bytes", "content_checksum", "md5")
+
+
+def provenance_texts(spark: SparkSession, root: str, dataset_id: str | None = None) -> DataFrame:
+    """``dataset_id, content`` of the provenance records at the roots of packages."""
+    texts = spark.read.text(root, wholetext=True, pathGlobFilter="PROVENANCE.json", recursiveFileLookup=True)
+    return (
+        texts.select(*_located(F.col("_metadata.file_path"), root, dataset_id), F.col("value").alias("content"))
+        .filter("relative_path = 'PROVENANCE.json'").drop("relative_path")
     )
 
 
-def manifest(spark: SparkSession, root: str, dataset_id: str) -> DataFrame:
-    """``dataset_id, relative_path, md5`` from the ``md5 path`` lines of the manifest."""
-    lines = text_lines(spark, root, pattern="manifest-md5.txt")
-    return manifest_lines(lines.select(F.lit(dataset_id).alias("dataset_id"), "line"))
+def manifest(spark: SparkSession, root: str, dataset_id: str | None = None) -> DataFrame:
+    """``dataset_id, relative_path, md5`` from the ``md5 path`` lines of the manifests at the roots of packages."""
+    lines = text_lines(spark, root, pattern="manifest-md5.txt", recursive=True)
+    placed = lines.select(*_located(F.col("file"), root, dataset_id), "line")
+    return manifest_lines(placed.filter("relative_path = 'manifest-md5.txt'"))
 
 
 def manifest_lines(lines: DataFrame) -> DataFrame:
@@ -49,7 +76,7 @@ def manifest_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def dictionary_rows(spark: SparkSession, root: str, dataset_id: str) -> DataFrame:
+def dictionary_rows(spark: SparkSession, root: str, dataset_id: str | None = None) -> DataFrame:
     """Declared columns of all ``*_dd.csv`` files, each by its own header; a file without the columns declares nothing."""
     rows = csv_rows(spark, root, numbered=True, pattern="*_dd.csv", recursive=True)
     if not set(DICTIONARY_COLUMNS) <= set(rows.columns):
@@ -57,9 +84,10 @@ def dictionary_rows(spark: SparkSession, root: str, dataset_id: str) -> DataFram
             [], "dataset_id string, dictionary_path string, ord bigint, raw_name string, unit string, missing_sentinel string"
         )
     unit = blank_to_null(F.col("Unit"))
+    dataset, path = _located(F.col("file"), root, dataset_id)
     return rows.select(
-        F.lit(dataset_id).alias("dataset_id"),
-        _relative("file", root).alias("dictionary_path"),
+        dataset,
+        path.alias("dictionary_path"),
         "ord",
         strip(F.col("Column_or_Row_Name")).alias("raw_name"),
         F.when(unit != "N/A", unit).alias("unit"),
@@ -74,10 +102,10 @@ def declared_by_dictionary(rows: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def eml_attributes(spark: SparkSession, root: str, dataset_id: str) -> DataFrame:
-    """Declared attributes of the package's metadata document.
+def eml_attributes(spark: SparkSession, root: str, dataset_id: str | None = None) -> DataFrame:
+    """Declared attributes of each package's metadata document.
 
-    The document is found by content: any XML with data tables counts, and the
+    A package's document is found by content: any XML with data tables counts, and the
     conventional ``metadata/science-metadata.xml`` is preferred when it is there,
     else the first path.  An attribute with several missing-value codes has a row for each.
     """
@@ -86,20 +114,21 @@ def eml_attributes(spark: SparkSession, root: str, dataset_id: str) -> DataFrame
         .options(rowTag="dataTable", pathGlobFilter="*.xml", recursiveFileLookup=True)
         .schema(EML_SCHEMA)
         .load(root)
-        .withColumn("doc", _relative("_metadata.file_path", root))
+        .select("*", *_located(F.col("_metadata.file_path"), root, dataset_id))
+        .withColumnRenamed("relative_path", "doc")
         .withColumn("table_ord", F.monotonically_increasing_id())
     )
     preference = F.struct((F.col("doc") != "metadata/science-metadata.xml"), F.col("doc"))
-    chosen = tables.agg(F.min_by("doc", preference).alias("doc"))
+    chosen = tables.groupBy("dataset_id").agg(F.min_by("doc", preference).alias("doc"))
     attribute = F.col("a")
     scale = attribute["measurementScale"]
     unit = F.coalesce(
         *[scale[s]["unit"][u] for u in ("standardUnit", "customUnit") for s in ("ratio", "interval")]
     )
     return (
-        tables.join(chosen, "doc")
+        tables.join(chosen, ["dataset_id", "doc"])
         .select(
-            F.lit(dataset_id).alias("dataset_id"), strip(F.col("entityName")).alias("entity"), "table_ord",
+            "dataset_id", strip(F.col("entityName")).alias("entity"), "table_ord",
             F.posexplode("attributeList.attribute").alias("pos", "a"),
         )
         .select("*", F.posexplode_outer(attribute["missingValueCode"]).alias("code_pos", "code"))

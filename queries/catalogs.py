@@ -1,11 +1,16 @@
 """Package index, catalog tables and reports, discovery."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cairn.functions.text import download_id, missing_sentinel
 from cairn.operators import catalog as K
 from cairn.operators import discover as D
 from cairn.operators import index as I
+from cairn.plans.acquire import index_packages
+from cairn.session import shared_dir
+from cairn.sources.files import write_files
 from cairn.sources.package import manifest_lines
 from cairn.sources.sinks import analysis_ready, provenance_records
 from queries import views as V
@@ -54,6 +59,45 @@ def package_fingerprint(spark, sf):
     return I.package_fingerprint(I.index_files(V.files(spark, sf)))
 
 
+# a folder of packages of both standards, one per supplier; the text is SQL on Spark and DuckDB alike
+_EML = ("'<eml><dataTable><entityName>S ' || k || '.csv</entityName><attributeList><attribute><attributeName>EIC, %</attributeName>"
+        "<measurementScale><ratio><unit><standardUnit>percent</standardUnit></unit></ratio></measurementScale>"
+        "<missingValueCode><code>-99</code></missingValueCode></attribute><attribute><attributeName>Remark ' || k % 7 || '</attributeName>"
+        "</attribute></attributeList></dataTable></eml>'")
+PACKAGES_SQL = f"""with s as (select s_suppkey as k, 'set_' || s_suppkey as d, 'a,b' || chr(10) || '1,' || s_name || chr(10) as body from supplier)
+select d as dataset_id, 'T_' || k || '_2020.csv' as relative_path, body as content from s where k % 2 = 0
+union all select d, 'T_' || k || '_dd.csv', 'Column_or_Row_Name,Unit,Definition' || chr(10) || 'soil_temperature_5cm,degC,missing values = -' || k || chr(10)
+  || 'site' || k % 5 || ',N/A,Name' || chr(10) from s where k % 2 = 0
+union all select d, 'README.md', 'generated' from s where k % 2 = 0
+union all select d, 'bagit.txt', 'BagIt' from s where k % 2 = 1
+union all select d, 'data/S_' || k || '.csv', body from s where k % 2 = 1
+union all select d, 'metadata/science-metadata.xml', {_EML} from s where k % 2 = 1
+union all select d, 'manifest-md5.txt', case when k % 3 = 0 then md5('other') else md5(body) end || '  data/S_' || k || '.csv' || chr(10) from s where k % 2 = 1"""
+
+
+def _folder(spark, sf):
+    """The packages written below a shared folder, and their index."""
+    V.table(spark, sf, "supplier").createOrReplaceTempView("supplier")
+    root = f"{shared_dir(spark).rstrip('/')}/packages-{uuid.uuid4().hex}"
+    files = spark.sql(PACKAGES_SQL)
+    write_files(files.select(F.concat_ws("/", "dataset_id", "relative_path").alias("path"), "content"), root)
+    return index_packages(spark, root)
+
+
+def folder_files(spark, sf):
+    idx = _folder(spark, sf)
+    return idx.files.join(idx.standard, "dataset_id").select(
+        "dataset_id", "relative_path", "role", "format", "bytes", "content_checksum", "md5", "missing_sentinel", "standard")
+
+
+def folder_variables(spark, sf):
+    return _folder(spark, sf).variables
+
+
+def folder_mismatches(spark, sf):
+    return _folder(spark, sf).mismatches.select("dataset_id", "relative_path", "declared_md5")
+
+
 def dictionary_match(spark, sf):
     return I.match_dictionary_files(V.files(spark, sf)).distinct()
 
@@ -351,6 +395,25 @@ select distinct i.dataset_id, i.relative_path, lower(f.declared_md5) as declared
 where lower(i.md5) <> lower(f.declared_md5)""")),
     "package_fingerprint": (package_fingerprint, V.with_ctes(*INDEX, body="""
 select dataset_id, sha256(string_agg(relative_path || ':' || bytes, chr(10) order by relative_path, bytes)) as fingerprint from indexed group by dataset_id""")),
+    "folder_files": (folder_files, f"""
+with f as ({PACKAGES_SQL})
+select dataset_id, relative_path, case when relative_path like '%dd.csv' then 'dictionary' when relative_path like '%.csv' then 'data'
+    when relative_path like '%.xml' then 'eml' else 'bagit' end as role,
+  case when relative_path like '%.csv' then 'csv' when relative_path like '%.xml' then 'xml' else 'text' end as format,
+  cast(strlen(content) as bigint) as bytes, sha256(content) as content_checksum, md5(content) as md5,
+  case when relative_path like '%2020.csv' then '-' || split_part(dataset_id, '_', 2) when relative_path like 'data/%' then '-99' end as missing_sentinel,
+  case when cast(split_part(dataset_id, '_', 2) as bigint) % 2 = 0 then 'ess_dive_dd' else 'dataone_bagit' end as standard
+from f where relative_path <> 'README.md'"""),
+    "folder_variables": (folder_variables, """
+with s as (select s_suppkey as k, 'set_' || s_suppkey as d from supplier),
+v as (select d, 'T_' || k || '_2020.csv' as p, 'soil_temperature' as variable, 'soil_temperature_5cm' as raw_name, 'degC' as unit, 'pdf' as tier, true as ok from s where k % 2 = 0
+  union all select d, 'T_' || k || '_2020.csv', 'site' || k % 5, 'site' || k % 5, null, 'pdf', false from s where k % 2 = 0
+  union all select d, 'data/S_' || k || '.csv', 'excess_ice_content', 'EIC, %', 'percent', 'assumed-wgs84', true from s where k % 2 = 1
+  union all select d, 'data/S_' || k || '.csv', 'Remark ' || k % 7, 'Remark ' || k % 7, null, 'assumed-wgs84', false from s where k % 2 = 1)
+select d as dataset_id, variable, substr(sha256(d || '|' || p), 1, 16) as file_id, raw_name, unit, tier as crs_tier, ok as parseable from v"""),
+    "folder_mismatches": (folder_mismatches, """
+select 'set_' || s_suppkey as dataset_id, 'data/S_' || s_suppkey || '.csv' as relative_path, md5('other') as declared_md5
+from supplier where s_suppkey % 2 = 1 and s_suppkey % 3 = 0"""),
     "dictionary_match": (dictionary_match, V.with_ctes(V.FILES_SQL, """parts as (
   select *, regexp_extract(relative_path, '([^/]*)$', 1) as name, regexp_replace(relative_path, '/?[^/]*$', '') as dir from files)""", body="""
 select distinct d.dataset_id, d.relative_path as dictionary_path, coalesce(t.relative_path, d.relative_path) as target_path

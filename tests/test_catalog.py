@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cairn.operators import catalog as K
 from cairn.operators import discover as D
 from cairn.operators import index as I
-from cairn.plans.acquire import acquire, index_package
+from cairn.plans.acquire import acquire, index_package, index_packages
 from cairn.sources.normalise import Landing
 from test_sources import CALM, land, put
 
@@ -62,6 +62,51 @@ def test_bag_package(spark, tmp_path):
     assert {r.relative_path: r.missing_sentinel for r in idx.files.collect()}["data/Sample.csv"] == "-99"
 
 
+def test_many_packages_in_one_job(spark, tmp_path):
+    """Both standards, a bare folder and names with marks, below one root."""
+    good = hashlib.md5(b"x\n").hexdigest()
+    for k in range(3):
+        put(tmp_path / f"bag{k}/bagit.txt", "BagIt")
+        put(tmp_path / f"bag{k}/data/Sample.csv", "x\n")
+        put(tmp_path / f"bag{k}/metadata/science-metadata.xml", EML)
+        put(tmp_path / f"bag{k}/manifest-md5.txt", f"{good if k else '0' * 32}  data/Sample.csv\n")
+        put(tmp_path / f"dd{k}/A_1.csv", "a\n1\n")
+        put(tmp_path / f"dd{k}/A_dd.csv", f"Column_or_Row_Name,Unit,Definition\nsoil_temperature_{k}cm,degC,missing values = -{k}\n")
+        put(tmp_path / f"dd{k}/sub/science-metadata.xml", EML)  # of no bag: declares nothing
+    put(tmp_path / "bare/_notes.txt", "n")
+    put(tmp_path / "stray.txt", "no package")
+    idx = index_packages(spark, str(tmp_path))
+    assert {r.dataset_id: r.standard for r in idx.standard.collect()} == {
+        **{f"bag{k}": "dataone_bagit" for k in range(3)}, **{f"dd{k}": "ess_dive_dd" for k in range(3)}, "bare": "unknown"}
+    assert [(r.dataset_id, r.relative_path) for r in idx.mismatches.collect()] == [("bag0", "data/Sample.csv")]
+    got = {(r.dataset_id, r.variable): (r.raw_name, r.unit, r.crs_tier) for r in idx.variables.collect()}
+    assert got == {
+        **{(f"dd{k}", "soil_temperature"): (f"soil_temperature_{k}cm", "degC", "pdf") for k in range(3)},
+        **{(f"bag{k}", "excess_ice_content"): ("EIC, %", "percent", "assumed-wgs84") for k in range(3)},
+        **{(f"bag{k}", "GMC, %"): ("GMC, %", "pct", "assumed-wgs84") for k in range(3)}}
+    files = {(r.dataset_id, r.relative_path): r for r in idx.files.collect()}
+    assert files["dd2", "A_1.csv"].missing_sentinel == "-2" and files["bare", "_notes.txt"].bytes == 1 and len(files) == 3 * 7 + 1
+    assert idx.fingerprint.count() == 7
+
+
+def test_a_file_beyond_two_gigabytes(spark, tmp_path):
+    """Three sparse gigabytes are hashed in pieces; no column holds them."""
+    from cairn.sources.files import file_digests
+
+    with open(tmp_path / "big.bin", "wb") as f:
+        f.truncate(3 << 30)
+    put(tmp_path / "deep/er/Ünïcode name.csv", "é")
+    want = hashlib.sha256()
+    for _ in range(3 << 7):
+        want.update(bytes(8 << 20))
+    got = {r.path: r for r in file_digests(spark, f"file://{tmp_path}").collect()}
+    assert got["big.bin"].bytes == 3 << 30 and got["big.bin"].content_checksum == want.hexdigest()
+    assert got["deep/er/Ünïcode name.csv"].md5 == hashlib.md5("é".encode()).hexdigest() and len(got) == 2
+    assert [r.path for r in file_digests(spark, str(tmp_path / "big.bin")).select("path").collect()] == ["big.bin"]
+    (tmp_path / "none").mkdir()
+    assert file_digests(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_fingerprint(spark):
     f = spark.createDataFrame([("d", "b", 2), ("d", "a", 1)], "dataset_id string, relative_path string, bytes bigint")
     assert I.package_fingerprint(f).first().fingerprint == hashlib.sha256(b"a:1\nb:2").hexdigest()
