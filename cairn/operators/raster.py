@@ -1,4 +1,4 @@
-"""Vector-to-raster conversion and raster resampling on sparse pixel tables.
+"""Vector-to-raster conversion and raster resampling on sparse pixel tables, joined by tiles.
 
 A vector layer is a table with ``ring`` (array of x/y structs), attributes and
 ``ord`` (paint order).  A raster is a table ``row, col, value``.
@@ -191,50 +191,98 @@ def _to_source(spec: RasterSpec, x: Column, y: Column) -> tuple[Column, Column]:
     return ALASKA_ALBERS.inverse(x, y) if spec.crs == STORAGE_CRS else (x, y)
 
 
-def _upsample(pixels: DataFrame, spec: RasterSpec, grid: TargetGrid, corners: bool) -> DataFrame:
-    cells = grid.cells(pixels.sparkSession)
-    sx, sy = _to_source(spec, F.col("x"), F.col("y"))
-    located = cells.select(
-        F.col("row").alias("d_row"), F.col("col").alias("d_col"),
-        ((sx - spec.west) / spec.dx).alias("pc"), ((F.lit(spec.north) - sy) / spec.dy).alias("pr"),
-    ).filter(
-        (F.col("pc") >= 0) & (F.col("pc") < spec.width)
-        & (F.col("pr") >= 0) & (F.col("pr") < spec.height)
+_TILE = 64  # pixels, and target cells, along a side of a tile
+
+
+def source_tiles(pixels: DataFrame) -> DataFrame:
+    """The raster as tiles ``s_row, s_col, values``: one array a tile, row by row, NULL where there is no pixel.
+
+    Tiles start one pixel before the raster, and hold one more row and column than they
+    are wide, so that a pixel's right and lower neighbours are in its own tile.  Of rows
+    that repeat a pixel the smallest value counts.
+    """
+    width = _TILE + 1
+
+    def places(c: str) -> Column:
+        at = F.col(c) + 1
+        tile, inner = F.floor(at / _TILE), at % _TILE
+        own = F.struct(tile.alias("tile"), inner.alias("at"))
+        edge = F.struct((tile - 1).alias("tile"), F.lit(_TILE).cast("long").alias("at"))
+        return F.when((inner == 0) & (tile > 0), F.array(own, edge)).otherwise(F.array(own))
+
+    copies = pixels.filter(~F.isnan("value")).select(
+        F.col("value").cast("double").alias("value"), F.explode(places("row")).alias("r"), places("col").alias("c")
+    ).select("value", "r", F.explode("c").alias("c"))
+    listed = copies.groupBy(F.col("r.tile").alias("s_row"), F.col("c.tile").alias("s_col")).agg(
+        F.array_sort(F.collect_list(F.struct((F.col("r.at") * width + F.col("c.at")).alias("at"), "value"))).alias("__p")
     )
-    if corners:
-        r0, c0 = F.floor(F.col("pr") - 0.5), F.floor(F.col("pc") - 0.5)
-        fr, fc = F.col("pr") - 0.5 - r0, F.col("pc") - 0.5 - c0
-        picks = F.array(
-            *[
-                F.struct(
-                    (r0 + i).alias("row"), (c0 + j).alias("col"),
-                    ((fr if i else 1.0 - fr) * (fc if j else 1.0 - fc)).alias("w"),
-                )
-                for i in (0, 1)
-                for j in (0, 1)
-            ]
-        )
-    else:
-        picks = F.array(
-            F.struct(F.floor("pr").alias("row"), F.floor("pc").alias("col"), F.lit(1.0).alias("w"))
-        )
-    wanted = located.select("d_row", "d_col", F.inline(picks)).filter("w > 0")
-    return wanted.join(pixels.filter(~F.isnan("value")), ["row", "col"])
 
+    def filled(x: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get("__p", i - 1)["at"]).otherwise(F.lit(-1).cast("long"))
+        gap = (x["at"] - before - 1).cast("int")
+        some = F.concat(F.array_repeat(F.lit(None).cast("double"), gap), F.array(x["value"]))
+        return F.when(gap < 0, F.array().cast("array<double>")).otherwise(some)
 
-def regrid_nearest(pixels: DataFrame, spec: RasterSpec, grid: TargetGrid) -> DataFrame:
-    return _upsample(pixels, spec, grid, corners=False).select(
-        F.col("d_row").alias("row"), F.col("d_col").alias("col"), "value"
+    return listed.select("s_row", "s_col", F.flatten(F.transform("__p", filled)).alias("values"))
+
+
+def _cells_of(tiles: DataFrame, spec: RasterSpec, grid: TargetGrid, corners: bool) -> DataFrame:
+    """The target cells of each tile ``t_row, t_col`` that lie in the source, with their source tile and place in it.
+
+    ``p``, ``q`` are the source row and column of the first pixel wanted, counted from
+    -1, and ``fr``, ``fc`` how far beyond its centre the cell's centre lies.
+    """
+    k = F.col("__k")
+    cells = tiles.select("*", F.explode(F.sequence(F.lit(0), F.lit(_TILE * _TILE - 1))).alias("__k")).select(
+        *tiles.columns, (F.col("t_row") * _TILE + F.floor(k / _TILE)).alias("row"), (F.col("t_col") * _TILE + k % _TILE).alias("col")
+    ).filter((F.col("row") < grid.height) & (F.col("col") < grid.width))
+    sx, sy = _to_source(spec, grid.x(F.col("col")), grid.y(F.col("row")))
+    place = F.struct(((sx - spec.west) / spec.dx).alias("pc"), ((F.lit(spec.north) - sy) / spec.dy).alias("pr"))
+    # as rows of one, so that the projection is not written out again in each filter that uses it
+    located = cells.select("*", F.inline(F.array(place))).filter((F.col("pc") >= 0) & (F.col("pc") < spec.width) & (F.col("pr") >= 0) & (F.col("pr") < spec.height))
+    back = 0.5 if corners else 0.0
+    r0, c0 = F.floor(F.col("pr") - back), F.floor(F.col("pc") - back)
+    return located.select(
+        *tiles.columns, "row", "col", (r0 + 1).alias("p"), (c0 + 1).alias("q"),
+        (F.col("pr") - back - r0).alias("fr"), (F.col("pc") - back - c0).alias("fc"),
     )
 
 
+def _upsample(pixels: DataFrame, spec: RasterSpec, grid: TargetGrid, corners: bool) -> DataFrame:
+    """Target cells with the source tile they read.
+
+    A target tile meets the few source tiles under it, one joined row each; its cells
+    are listed after the join and read pixels by index.
+    """
+    down, across = -(-grid.height // _TILE), -(-grid.width // _TILE)
+    n = F.col("id")
+    targets = pixels.sparkSession.range(down * across).select(F.floor(n / across).alias("t_row"), (n % across).alias("t_col"))
+    under = lambda c: F.floor(F.col(c) / _TILE)
+    pairs = _cells_of(targets, spec, grid, corners).select("t_row", "t_col", under("p").alias("s_row"), under("q").alias("s_col")).distinct()
+    met = pairs.join(source_tiles(pixels), ["s_row", "s_col"])
+    return _cells_of(met, spec, grid, corners).filter((under("p") == F.col("s_row")) & (under("q") == F.col("s_col")))
+
+
+def _pixel(i: int, j: int) -> Column:
+    return F.get("values", ((F.col("p") % _TILE + i) * (_TILE + 1) + F.col("q") % _TILE + j).cast("int"))
+
+
+def regrid_nearest(pixels: DataFrame, spec: RasterSpec, grid: TargetGrid) -> DataFrame:
+    cells = _upsample(pixels, spec, grid, corners=False)
+    return cells.select("row", "col", _pixel(0, 0).alias("value")).filter("value is not null")
+
+
 def regrid_bilinear(pixels: DataFrame, spec: RasterSpec, grid: TargetGrid) -> DataFrame:
     """Weighted mean of the four nearest pixels; missing ones leave the weights."""
-    return (
-        _upsample(pixels, spec, grid, corners=True)
-        .groupBy(F.col("d_row").alias("row"), F.col("d_col").alias("col"))
-        .agg((F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("value"))
-    )
+    cells = _upsample(pixels, spec, grid, corners=True)
+    total, weight = F.lit(0.0), F.lit(0.0)
+    for i in (0, 1):
+        for j in (0, 1):
+            w = (F.col("fr") if i else 1.0 - F.col("fr")) * (F.col("fc") if j else 1.0 - F.col("fc"))
+            there = (w > 0) & _pixel(i, j).isNotNull()
+            total = total + F.when(there, w * _pixel(i, j)).otherwise(F.lit(0.0))
+            weight = weight + F.when(there, w).otherwise(F.lit(0.0))
+    return cells.select("row", "col", F.try_divide(total, weight).alias("value")).filter("value is not null")
 
 
 def _downsampled(pixels: DataFrame, spec: RasterSpec, grid: TargetGrid) -> DataFrame:

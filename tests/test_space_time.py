@@ -162,3 +162,42 @@ def test_regrid(spark):
     assert get(R.regrid(px, spec, coarse, upsample=False))[0, 0] == 5.5
     cats = spark.createDataFrame([(0, 0, 7.0), (0, 1, 7.0), (1, 0, 3.0), (1, 1, 3.0), (2, 2, 9.0)], "row bigint, col bigint, value double")
     assert get(R.regrid(cats, spec, coarse, categorical=True, upsample=False)) == {(0, 0): 3.0, (1, 1): 9.0}
+
+
+@pytest.mark.parametrize("tile", [4, 64])
+def test_regrid_by_tiles(spark, monkeypatch, tile):
+    """Sparse pixels, cells at tile edges and raster edges, both projections, against one cell at a time."""
+    import random
+
+    monkeypatch.setattr(R, "_TILE", tile)
+    rng = random.Random(5)
+    height, width = 23, 31
+    px = {(r, c): rng.uniform(-9, 9) for r in range(height) for c in range(width) if rng.random() < 0.8 and not 9 <= r < 17}
+    rows = [(r, c, v) for (r, c), v in px.items()] + [(1, 1, float("nan"))] + [(r, c, v) for (r, c), v in list(px.items())[:3]]
+    pixels = spark.createDataFrame(rows, "row bigint, col bigint, value double")
+    metres = (R.RasterSpec(1000.0, 24000.0, 1000.0, 1000.0, width, height), G.TargetGrid((250.0, 330.0, 33000.0, 25010.0), 390.0))
+    x, y = ALASKA_ALBERS.forward_point(-150.0, 65.0)
+    degrees = (R.RasterSpec(-150.3, 65.2, 0.02, 0.02, width, height, "EPSG:4326"), G.TargetGrid((x - 20000, y - 26000, x + 17000, y + 24000), 900.0))
+    for spec, grid in (metres, degrees):
+        near, linear = {}, {}
+        for row in range(grid.height):
+            for col in range(grid.width):
+                gx, gy = grid.bbox[0] + (col + 0.5) * grid.resolution_m, grid.bbox[3] - (row + 0.5) * grid.resolution_m
+                sx, sy = (gx, gy) if spec is metres[0] else ALASKA_ALBERS.inverse_point(gx, gy)
+                pc, pr = (sx - spec.west) / spec.dx, (spec.north - sy) / spec.dy
+                if not (0 <= pc < width and 0 <= pr < height):
+                    continue
+                if (math.floor(pr), math.floor(pc)) in px:
+                    near[row, col] = px[math.floor(pr), math.floor(pc)]
+                r0, c0 = math.floor(pr - 0.5), math.floor(pc - 0.5)
+                got = [(px.get((r0 + i, c0 + j)), abs(1 - i - (pr - 0.5 - r0)) * abs(1 - j - (pc - 0.5 - c0))) for i in (0, 1) for j in (0, 1)]
+                w = sum(k for v, k in got if v is not None and k > 0)
+                if w > 0:
+                    linear[row, col] = sum(v * k for v, k in got if v is not None) / w
+        for fn, want in ((R.regrid_nearest, near), (R.regrid_bilinear, linear)):
+            got = {(r.row, r.col): r.value for r in fn(pixels, spec, grid).collect()}
+            assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+    joins = [line for line in R.regrid_bilinear(pixels, *metres)._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert len(joins) == 1
+    met = R.source_tiles(pixels)
+    assert met.count() == -(-(height + 1) // tile) * -(-(width + 1) // tile) or tile == 4
