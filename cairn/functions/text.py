@@ -110,3 +110,15 @@ def missing_sentinel(definition: Column) -> Column:
     tail = strip(tail)
     tail = F.regexp_replace(tail, "^['\"‘’]+|['\"‘’]+$", "")
     return F.when(tail != "", tail)
+
+
+def general(value: Column, digits: int = 3) -> Column:
+    """A number in ``digits`` significant digits, plain or with an exponent, without trailing zeros."""
+    full = F.format_string(f"%.{digits - 1}e", value)
+    power = F.substring_index(full, "e", -1).try_cast("int")
+    bare = lambda s: F.regexp_replace(F.regexp_replace(s, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    plain = F.coalesce(*[F.when(power == k, F.format_string(f"%.{digits - 1 - k}f", value)) for k in range(-4, digits)])
+    short = F.concat(bare(F.substring_index(full, "e", 1)), F.lit("e"), F.substring_index(full, "e", -1))
+    return F.when(F.isnan(value), F.lit("nan")).when(power.isNull(), F.lower(full)).otherwise(
+        F.coalesce(F.when(plain.contains("."), bare(plain)).otherwise(plain), short)
+    )

@@ -1,14 +1,16 @@
 """Assembly: pool, harmonise, tag, cross-check and summarise observations."""
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cairn.dims import VARIABLES
+from cairn.functions.text import general
 from cairn.operators import colocate, qc, temporal, units
+from cairn.schema import valid_coords
 from cairn.sources.normalise import pool
 from cairn.session import stored
 from cairn.sources.sinks import write_format
@@ -49,6 +51,57 @@ def harmonise(parts: Sequence[DataFrame], request: AssemblyRequest = AssemblyReq
     return obs
 
 
+def _rejections() -> dict[str, Column]:
+    """Why a row cannot be used; the first reason that fits counts."""
+    lat, lon = F.col("latitude"), F.col("longitude")
+    return {
+        "without coordinates": lat.isNull() | lon.isNull(),
+        "beyond the coordinate range": ~valid_coords(lat, lon),
+        "without value": F.col("value").isNull(),
+    }
+
+
+@dataclass
+class Watched:
+    """One dataset's usable rows; what was read and rejected is counted while they are read."""
+
+    name: str
+    rows: DataFrame
+    seen: Observation
+
+    @classmethod
+    def of(cls, name: str, part: DataFrame) -> "Watched":
+        why = F.coalesce(*[F.when(bad, F.lit(r)) for r, bad in _rejections().items()])
+        seen = Observation()
+        marked = part.withColumn("__why", why)
+        counts = [F.count(F.when(F.col("__why") == r, 1)).alias(r) for r in _rejections()]
+        rows = marked.observe(seen, F.count(F.lit(1)).alias("read"), *counts)
+        return cls(name, rows.filter("__why is null").drop("__why"), seen)
+
+    def outcome(self) -> tuple[str, int, int, str]:
+        """Name, rows read, rows kept and the rejections, once the rows were written."""
+        n = dict(self.seen.get)
+        read = n.pop("read")
+        return self.name, read, read - sum(n.values()), ", ".join(f"{k} {r}" for r, k in n.items() if k)
+
+
+def outcomes(watched: Sequence[Watched], spark) -> DataFrame:
+    """``dataset, rows_read, rows_kept, rejected``: one row per dataset."""
+    return spark.createDataFrame(
+        [w.outcome() for w in watched], "dataset string, rows_read bigint, rows_kept bigint, rejected string"
+    )
+
+
+def failures(outcome: DataFrame) -> DataFrame:
+    """A line for each dataset that gave no usable row."""
+    why = F.when(F.col("rows_read") == 0, F.lit("no rows")).otherwise(
+        F.format_string("no usable row of %d (%s)", "rows_read", "rejected")
+    )
+    return outcome.filter("rows_kept = 0").select(
+        F.lit(4).alias("section"), F.col("dataset").alias("line_ord"), F.concat(F.lit("failed: "), "dataset", F.lit(": "), why).alias("line")
+    )
+
+
 def summary(obs: DataFrame, cross: DataFrame | None = None) -> DataFrame:
     """One row: observations, cross-source warnings, unit problems."""
     cross = colocate.consistency_report(obs) if cross is None else cross
@@ -61,8 +114,8 @@ def summary(obs: DataFrame, cross: DataFrame | None = None) -> DataFrame:
     )
 
 
-def notes(obs: DataFrame, cross: DataFrame | None = None) -> DataFrame:
-    """Readable summary lines (``section, line_ord, line``), one per variable or finding."""
+def notes(obs: DataFrame, cross: DataFrame | None = None, outcome: DataFrame | None = None) -> DataFrame:
+    """Readable summary lines (``section, line_ord, line``): one per variable, finding and failed dataset."""
     d = qc.distribution_summary(obs)
     depth = F.when(
         F.col("n_with_depth") > 0,
@@ -71,7 +124,7 @@ def notes(obs: DataFrame, cross: DataFrame | None = None) -> DataFrame:
     per_variable = d.select(
         F.lit(1).alias("section"), F.col("variable").alias("line_ord"),
         F.concat(
-            F.format_string("%s: n=%d min=%.3g median=%.3g max=%.3g", "variable", "n", "min", "median", "max"),
+            F.format_string("%s: n=%d min=%s median=%s max=%s", "variable", "n", *[general(F.col(c)) for c in ("min", "median", "max")]),
             depth,
         ).alias("line"),
     )
@@ -87,7 +140,8 @@ def notes(obs: DataFrame, cross: DataFrame | None = None) -> DataFrame:
             F.format_string("unit problems: %d", "n").alias("line"),
         )
     )
-    return per_variable.unionByName(findings).unionByName(problems)
+    lines = per_variable.unionByName(findings).unionByName(problems)
+    return lines if outcome is None else lines.unionByName(failures(outcome))
 
 
 @dataclass
@@ -99,13 +153,19 @@ class Assembled:
 
 
 def run(
-    parts: Sequence[DataFrame], request: AssemblyRequest, out_dir: str, tol: colocate.Tolerance = colocate.Tolerance()
+    parts: Sequence[DataFrame] | Mapping[str, DataFrame], request: AssemblyRequest, out_dir: str,
+    tol: colocate.Tolerance = colocate.Tolerance(),
 ) -> Assembled:
     """Write the analysis-ready table and build the reports on what was pooled.
 
-    The pooled frame feeds several actions, so it is written to the shared folder once.
+    ``parts`` are the datasets, by name if they have one.  The pooled frame feeds several
+    actions, so it is written to the shared folder once; the same pass counts what each
+    dataset gave and why rows were rejected, and a dataset without a usable row is listed
+    in the notes as failed.
     """
-    obs = stored(harmonise(parts, request))
+    named = parts if isinstance(parts, Mapping) else {f"dataset {k + 1}": p for k, p in enumerate(parts)}
+    watched = [Watched.of(name, part) for name, part in named.items()]
+    obs = stored(harmonise([w.rows for w in watched], request))
     cross = colocate.check_cross_source(obs, tol)
     paths = write_format(obs, out_dir, request.target_format)
-    return Assembled(obs, summary(obs, cross), notes(obs, cross), paths)
+    return Assembled(obs, summary(obs, cross), notes(obs, cross, outcomes(watched, obs.sparkSession)), paths)

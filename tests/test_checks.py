@@ -312,3 +312,28 @@ def test_assembly_request_tags(make_obs, tmp_path):
         "obs_id", "source_id", "dataset_id", "variable", "value", "unit", "latitude", "longitude", "depth_m", "time_start", "time_end", "in_bbox"]
     assert {r.metric: r.n for r in a.summary.collect()}["n_observations"] == 3
     assert any("n=3" in r.line for r in a.notes.collect())
+
+
+def test_failed_datasets_in_the_notes(make_obs, tmp_path):
+    from cairn.plans.assemble import AssemblyRequest, run
+
+    good = make_obs([dict(value=1.5), dict(value=None), dict(latitude=None)])
+    bad = make_obs([dict(latitude=95.0), dict(longitude=None), dict(latitude=float("nan")), dict(value=None)])
+    a = run({"good": good, "bad": bad, "none": bad.filter("false")}, AssemblyRequest(), str(tmp_path))
+    lines = {r.line_ord: r.line for r in a.notes.filter("section = 4").collect()}
+    assert lines == {
+        "bad": "failed: bad: no usable row of 4 (1 without coordinates, 2 beyond the coordinate range, 1 without value)",
+        "none": "failed: none: no rows"}
+    assert a.observations.count() == 1
+
+
+def test_general_numbers(spark):
+    from cairn.functions.text import general
+
+    rng = random.Random(3)
+    values = [0.0, 1.0, -1.0, 9.996, 99.96, 999.6, 1234.5, 1e-4, 0.00009999, 1e300, -2.5e-7, 40.0, 100.0, float("nan"), float("inf")]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randint(-9, 9) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(general(df["v"])).collect()]
+    want = [f"{v:.3g}" for v in values]
+    assert [(g, w) for g, w in zip(got, want) if g != w] == [("infinity", "inf")]
