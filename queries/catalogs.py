@@ -8,6 +8,7 @@ from cairn.functions.text import download_id, missing_sentinel
 from cairn.operators import catalog as K
 from cairn.operators import discover as D
 from cairn.operators import index as I
+from cairn.operators import requests as Q
 from cairn.plans.acquire import index_packages
 from cairn.session import shared_dir
 from cairn.sources.files import write_files
@@ -337,6 +338,48 @@ def search_overlap(spark, sf):
     ).select("dataset_id")
 
 
+def _requests(spark, sf):
+    """suppliers as search requests: boxes of all sizes, some of the globe, some periods that cannot be read."""
+    k = F.col("s_suppkey")
+    half = lambda m, n: F.lit(-175.0) + (k * m % n) / F.lit(10.0)
+    box = k % 7 != 0
+    west, south = half(29, 420), F.lit(50.0) + (k * 11 % 230) / F.lit(10.0)
+    wide = F.when(k % 5 == 0, F.lit(40.0)).otherwise((k % 60) / F.lit(10.0))
+    return V.table(spark, sf, "supplier").select(
+        k.alias("request_id"), F.when(box, west).alias("west"), F.when(box, south).alias("south"),
+        F.when(box, west + wide).alias("east"), F.when(box, south + wide / 2).alias("north"),
+        F.when(k % 4 != 0, F.concat((F.lit(1995) + k % 15).cast("string"), F.lit("-01-01"))).alias("begin"),
+        F.when(k % 4 != 0, F.concat((F.lit(1998) + k % 15).cast("string"), F.lit("-12-31"))).alias("end"),
+        F.when(k % 3 == 0, F.array(F.lit("soil_temperature"), F.lit("Machinery"))).when(k % 3 == 1, F.array(F.lit("survey"))).alias("terms"),
+    )
+
+
+REQUESTS_SQL = """asked as (select *, s_suppkey as k, -175.0::double + (s_suppkey * 29 % 420) / 10.0::double as rw,
+    50.0::double + (s_suppkey * 11 % 230) / 10.0::double as rs, case when s_suppkey % 5 = 0 then 40.0::double else (s_suppkey % 60) / 10.0::double end as wide from supplier),
+requests as (select k as request_id, case when k % 7 <> 0 then rw else -180 end as rw, case when k % 7 <> 0 then rs else -90 end as rs,
+  case when k % 7 <> 0 then rw + wide else 180 end as re, case when k % 7 <> 0 then rs + wide / 2 else 90 end as rn,
+  case when k % 4 <> 0 then (1995 + k % 15) || '-01-01' end as lo, case when k % 4 <> 0 then (1998 + k % 15) || '-12-31' end as hi from asked),
+pairs as (select * from requests join meta on east >= rw and west <= re and north >= rs and south <= rn)"""
+
+
+SHARES_SQL = """shares as (select *, least(re, east) - greatest(rw, west) as w, least(rn, north) - greatest(rs, south) as h,
+    (east - west) * (north - south) as area from pairs),
+covered as (select * from (select *, case when area <= 1e-9 then 1.0::double when w <= 0 or h <= 0 then 0 else w * h / area end as coverage from shares)
+  where coverage >= 0.1 and coalesce(end_date >= lo and begin_date <= hi, true))"""
+
+
+def requests_coverage(spark, sf):
+    return Q.search_by_coverage(V.metadata(spark, sf), _requests(spark, sf), rows=None).select("request_id", "dataset_id", r6("coverage").alias("coverage"))
+
+
+def requests_coverage_top(spark, sf):
+    return Q.search_by_coverage(V.metadata(spark, sf), _requests(spark, sf), rows=3).select("request_id", "dataset_id", "rank")
+
+
+def requests_overlap(spark, sf):
+    return Q.search_by_overlap(V.metadata(spark, sf), _requests(spark, sf), rows=None).select("request_id", "dataset_id")
+
+
 def search_static(spark, sf):
     products = V.table(spark, sf, "customer").selectExpr(
         "c_custkey", "array(lower(c_mktsegment), 'elev') as keywords", "cast(50 + c_custkey % 20 as double) as south",
@@ -513,6 +556,13 @@ where cov >= 0.1 and coalesce(end_date >= '2001-01-01' and begin_date <= '2006-1
     "search_overlap": (search_overlap, V.with_ctes(V.METADATA_SQL, body="""
 select dataset_id from meta where superseded_by is null and contains(lower(text), 'soil temperature') and contains(lower(text), 'machinery')
   and east >= -165 and west <= -141 and north >= 60 and south <= 70 and end_date >= '2001-01-01' and begin_date <= '2006-12-31'""")),
+    "requests_coverage": (requests_coverage, V.with_ctes(V.METADATA_SQL, REQUESTS_SQL, SHARES_SQL, body="""
+select request_id, dataset_id, round(coverage, 6) as coverage from covered""")),
+    "requests_coverage_top": (requests_coverage_top, V.with_ctes(V.METADATA_SQL, REQUESTS_SQL, SHARES_SQL, body="""
+select request_id, dataset_id, rank from covered qualify row_number() over (partition by request_id order by rank, dataset_id) <= 3""")),
+    "requests_overlap": (requests_overlap, V.with_ctes(V.METADATA_SQL, REQUESTS_SQL, body="""
+select request_id, dataset_id from pairs where superseded_by is null and coalesce(end_date >= lo, lo is null) and coalesce(begin_date <= hi, hi is null)
+  and case request_id % 3 when 0 then contains(lower(text), 'soil temperature') and contains(lower(text), 'machinery') when 1 then contains(lower(text), 'survey') else true end""")),
     "search_static": (search_static, """
 select c_custkey from customer where c_mktsegment = 'MACHINERY' and 50 + c_custkey % 20 <= 61.5 and 2000 + c_custkey % 24 <= 2012"""),
     "dataset_info": (dataset_info, V.with_ctes(V.METADATA_SQL, body="""

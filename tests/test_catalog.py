@@ -185,3 +185,37 @@ def test_dictionaries_by_their_own_header_and_all_codes(spark, tmp_path):
         "<missingValueCode><code>-99</code></missingValueCode><missingValueCode><code>-88</code></missingValueCode></attribute></attributeList></dataTable></eml>")
     rows = K.eml_attributes(spark, str(tmp_path), "d").orderBy("ord").collect()
     assert [(r.raw_name, r.missing_sentinel) for r in rows] == [("t", "-99"), ("t", "-88")]
+
+
+def test_many_requests_against_many_boxes(spark):
+    """Boxes of every size against brute force: each pair once, no nested loop."""
+    import random
+
+    from cairn.operators import requests as Q
+
+    rng = random.Random(11)
+
+    def box():
+        if rng.random() < 0.1:
+            return (-180.0, -90.0, 180.0, 90.0)
+        size = rng.choice([0.0, 0.5, 3.0, 14.0, 60.0, 150.0])
+        w, s = round(rng.uniform(-180, 180 - size), 1), round(rng.uniform(-90, 90 - size / 2), 1)
+        return (w, s, w + size, s + size / 2)
+
+    sets = [(f"d{k}", *box()) for k in range(120)] + [("edge", 10.0, 10.0, 15.0, 15.0), ("none", None, None, None, None)]
+    asked = [(k, *box()) for k in range(60)] + [(90, 15.0, 15.0, 20.0, 20.0), (91, None, None, None, None)]
+    meta = spark.createDataFrame([(*d, k, "2000-01-01", None, None, "t") for k, d in enumerate(sets)],
+        "dataset_id string, west double, south double, east double, north double, rank int, begin_date string, end_date string, superseded_by string, text string")
+    req = spark.createDataFrame(asked, "request_id int, west double, south double, east double, north double").selectExpr(
+        "*", "string(null) as begin", "string(null) as end", "cast(null as array<string>) as terms")
+    found = Q.overlapping(req, meta)
+    got = sorted((r.r_request_id, r.dataset_id) for r in found.collect())
+    want = []
+    for k, *q in asked:
+        w, s, e, n = q if q[0] is not None else (-180, -90, 180, 90)
+        want += [(k, d) for d, a, b, c, f in sets if a is not None and c >= w and a <= e and f >= s and b <= n]
+    assert got == sorted(want) and (90, "edge") in got
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert Q.search_by_overlap(meta, req, rows=None).count() == len(want)
+    assert max(r["count"] for r in Q.search_by_coverage(meta, req, rows=2).groupBy("request_id").count().collect()) == 2
