@@ -1,5 +1,6 @@
 """Catalog tables: pure upsert/replace transforms, reports, and a Parquet store."""
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql.types import StructType
 from cairn import schema as S
 from cairn.functions.text import format_bytes
 from cairn.operators.ranking import keep_last
-from cairn.session import cut_lineage
+from cairn.session import stored
 
 # --- fixed values: catalog tables, their schema and primary key ----------------
 TABLES: dict[str, tuple[StructType, tuple[str, ...]]] = {
@@ -20,6 +21,9 @@ TABLES: dict[str, tuple[StructType, tuple[str, ...]]] = {
     "dataset_variables": (S.DATASET_VARIABLE_SCHEMA, ("dataset_id", "variable", "file_id")),
 }
 
+# the version a dataset has from commit ``seq`` on
+LOG_SCHEMA = StructType().add("dataset_id", "string").add("version", "string").add("seq", "long")
+
 
 # --- pure transforms ---------------------------------------------------------------
 
@@ -155,11 +159,13 @@ def variable_breakdown(variables: DataFrame) -> DataFrame:
 
 
 class Catalog:
-    """The five tables as Parquet under one root, partitioned by dataset.
+    """The five tables as Parquet under one root.
 
-    Every write touches only the partitions of the datasets it brings, through
-    Spark's dynamic partition overwrite, so an interrupted job leaves the old
-    partition in place.
+    A write puts the new rows of the datasets it brings aside, under a version of its own,
+    and then publishes all of them by one small file in the table's log: which version each
+    dataset has from now on.  Until that file is there readers see the old rows of every
+    dataset, and afterwards the new rows of every dataset; a job that dies in between has
+    changed nothing.  Rows of earlier versions stay on disk and are not read.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -168,28 +174,45 @@ class Catalog:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def log_path(self, table: str) -> str:
+        return f"{self.root}/log/{table}"
+
     def create(self) -> "Catalog":
         """Create the missing tables, empty."""
         for table, (shape, _) in TABLES.items():
-            try:
-                self.spark.read.schema(shape).parquet(self.path(table)).limit(0).collect()
-            except Exception as e:  # only a missing path is expected here
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
-                self._write(self.spark.createDataFrame([], shape), table, "append")
+            for path, schema in ((self.path(table), shape), (self.log_path(table), LOG_SCHEMA)):
+                try:
+                    self.spark.read.schema(schema).parquet(path).limit(0).collect()
+                except Exception as e:  # only a missing path is expected here
+                    if "PATH_NOT_FOUND" not in str(e):
+                        raise
+                    self.spark.createDataFrame([], schema).write.mode("append").parquet(path)
         return self
 
+    def versions(self, table: str) -> DataFrame:
+        """``dataset_id, version``: the version each dataset is read in."""
+        log = self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path(table))
+        return log.groupBy("dataset_id").agg(F.max(F.struct("seq", "version"))["version"].alias("version"))
+
     def read(self, table: str) -> DataFrame:
         shape = TABLES[table][0]
-        return self.spark.read.schema(shape).parquet(self.path(table)).select(*shape.names)
-
-    def _write(self, df: DataFrame, table: str, mode: str) -> None:
-        (
-            df.write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("dataset_id")
-            .parquet(self.path(table))
-        )
+        rows = self.spark.read.schema(StructType([*shape.fields]).add("version", "string")).parquet(self.path(table))
+        current = self.versions(table).withColumnRenamed("dataset_id", "__dataset")
+        same = (rows["version"] == current["version"]) & rows["dataset_id"].eqNullSafe(current["__dataset"])
+        return rows.join(current, same).select(*[rows[n] for n in shape.names])
+
+    def _commit(self, df: DataFrame, table: str) -> None:
+        """Write the rows aside, then publish their datasets."""
+        version = uuid.uuid4().hex
+        df.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version", "dataset_id").parquet(self.path(table))
+        self._publish(table, version)
+
+    def _publish(self, table: str, version: str) -> None:
+        """Append one file to the log; it names every dataset of the version."""
+        written = self.spark.read.schema("dataset_id string, version string").parquet(self.path(table))
+        touched = written.filter(F.col("version") == version).select("dataset_id").distinct()
+        last = self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path(table)).agg(F.max("seq")).first()[0] or 0
+        touched.select("dataset_id", F.lit(version).alias("version"), F.lit(last + 1).cast("long").alias("seq")).coalesce(1).write.mode("append").parquet(self.log_path(table))
 
     def register(self, table: str, rows: DataFrame, order: Sequence[str] = ()) -> None:
         """Upsert by primary key; reads and rewrites the touched datasets only.
@@ -198,15 +221,14 @@ class Catalog:
         """
         shape, key = TABLES[table]
         order = order or [c.name for c in shape if c.name not in key and c.dataType.typeName() not in ("map", "array", "struct")]
-        new = cut_lineage(S.conform(rows, shape) if set(order) <= set(shape.names) else rows)
+        new = stored(S.conform(rows, shape) if set(order) <= set(shape.names) else rows)
         touched = new.select("dataset_id").distinct()
         old = self.read(table).join(touched, "dataset_id", "left_semi").select(*shape.names)
-        merged = cut_lineage(upsert(old, new, key, order))
-        self._write(merged, table, "overwrite")
+        self._commit(upsert(old, new, key, order), table)
 
     def ingest(self, obs: DataFrame, dataset_id: str | None = None) -> int:
         """Replace the observations of the datasets in ``obs``; empty input changes nothing."""
         written = Observation("ingested")
         new = stored_form(obs, dataset_id).observe(written, F.count(F.lit(1)).alias("n"))
-        self._write(new, "observations", "overwrite")
+        self._commit(new, "observations")
         return written.get["n"]

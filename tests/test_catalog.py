@@ -3,6 +3,7 @@
 import hashlib
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from cairn.operators import catalog as K
@@ -136,6 +137,29 @@ def test_catalog_upsert(spark, tmp_path):
     assert {r.dataset_id: r.name for r in cat.read("datasets").collect()} == {"d0": "new", "d1": "y"}
 
 
+def test_a_job_that_dies_before_the_commit(spark, make_obs, tmp_path, monkeypatch):
+    """Several datasets in one ingest: all of them change, or none."""
+    cat = K.Catalog(spark, str(tmp_path / "cat")).create()
+    rows = lambda v: make_obs([dict(dataset_id=d, obs_id=f"{d}{i}", value=v) for d in ("a", "b", "c") for i in range(2)])
+    cat.ingest(rows(1.0))
+    held = lambda: sorted((r.dataset_id, r.value) for r in cat.read("observations").collect())
+    old = [(d, 1.0) for d in "abc" for _ in range(2)]
+    assert held() == old
+    # written aside, not published
+    monkeypatch.setattr(K.Catalog, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        cat.ingest(rows(2.0))
+    assert held() == old
+    monkeypatch.undo()
+    # the write itself fails in one of the datasets
+    broken = rows(3.0).withColumn("value", F.expr("if(dataset_id = 'b', raise_error('disk'), value)").cast("double"))
+    with pytest.raises(Exception, match="disk"):
+        cat.ingest(broken)
+    assert held() == old
+    assert cat.ingest(rows(4.0).filter("dataset_id <> 'c'")) == 4
+    assert held() == [("a", 4.0), ("a", 4.0), ("b", 4.0), ("b", 4.0), ("c", 1.0), ("c", 1.0)]
+
+
 def test_acquire_end_to_end(spark, tmp_path):
     root = tmp_path / "raw/pangaea/calm_alt"
     path = put(root / "calm.tsv", CALM)
