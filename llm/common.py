@@ -47,6 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset (one machine)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named
