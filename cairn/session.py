@@ -1,4 +1,4 @@
-"""Session helpers: sensible defaults, and lineage cuts that survive executor loss."""
+"""Session helpers: sensible defaults, and intermediate tables that survive executor loss."""
 
 import tempfile
 import uuid
@@ -53,12 +53,6 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and read them back.
 
