@@ -141,6 +141,19 @@ def grid_dense_count(spark, sf):
     return G.point_to_grid(G.to_grid_xy(canon(spark, sf)), GRID, "count", dense=True)
 
 
+def grid_default(spark, sf):
+    """Readings per cell of the default grid."""
+    return G.point_to_grid(G.to_grid_xy(canon(spark, sf)), G.DEFAULT_GRID, "count")
+
+
+_LON0, _LAT0, _LON1, _LAT1 = (f"{v!r}::double" for v in G.DEFAULT_EXTENT)
+_CORNER = albers_sql("lon", "lat")
+DEFAULT_SQL = f"""corners(lon, lat) as (values ({_LON0}, {_LAT0}), ({_LON0}, {_LAT1}), ({_LON1}, {_LAT0}), ({_LON1}, {_LAT1})),
+frame as (select floor(min(rho * sin(theta)) / 1000) * 1000 as w, ceil(max({_K['rho0']!r}::double - rho * cos(theta)) / 1000) * 1000 as n,
+    floor(min({_K['rho0']!r}::double - rho * cos(theta)) / 1000) * 1000 as s, ceil(max(rho * sin(theta)) / 1000) * 1000 as e
+  from (select {_CORNER[0]} as rho, {_CORNER[1]} as theta from corners))"""
+
+
 # --- polygons ---------------------------------------------------------------------------
 
 POLY_GRID = G.TargetGrid((0.0, 0.0, 20000.0, 20000.0), 1000.0)
@@ -246,6 +259,9 @@ select obs_id, round(longitude, 9) as lon, round(latitude, 9) as lat from canon"
     "grid_min": (_grid("min"), _grid_sql("min(value)")),
     "grid_sum": (_grid("sum"), _grid_sql("sum(value)")),
     "grid_count": (_grid("count"), _grid_sql("cast(count(*) as double)")),
+    "grid_default": (grid_default, V.with_ctes(*CANON, PROJECTED_SQL, DEFAULT_SQL, body="""
+select cast(floor((n - y) / 1000) as bigint) as row, cast(floor((x - w) / 1000) as bigint) as col, cast(count(*) as double) as value
+from projected, frame where x >= w and x < e and y > s and y <= n group by all""")),
     "grid_dense_count": (grid_dense_count, V.with_ctes(*CANON, PROJECTED_SQL, BINNED_SQL, body=f"""
 select r.range as row, c.range as col, cast(coalesce(n, 0) as double) as value
 from range({GRID.height}) r cross join range({GRID.width}) c
