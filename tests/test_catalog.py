@@ -243,3 +243,31 @@ def test_many_requests_against_many_boxes(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert Q.search_by_overlap(meta, req, rows=None).count() == len(want)
     assert max(r["count"] for r in Q.search_by_coverage(meta, req, rows=2).groupBy("request_id").count().collect()) == 2
+
+
+def test_requests_that_are_alike_meet_once(spark, monkeypatch):
+    """Copies of boxes are one class: far fewer pairs are compared than found, and classes of any size come out whole."""
+    from cairn.operators import requests as Q
+
+    monkeypatch.setattr(Q, "_ALIKE", 7)
+    monkeypatch.setattr(Q, "_CROWD", 2)
+    meta = spark.range(300).selectExpr(
+        "concat('d', id) as dataset_id", "if(id % 3 = 0, 10D, 50D) as west", "10D as south", "if(id % 3 = 0, 12D, 52D) as east", "12D as north",
+        "300 - id as rank", "if(id % 2 = 0, '2000-01-01', null) as begin_date", "if(id % 2 = 0, '2001-01-01', null) as end_date",
+        "cast(null as string) as superseded_by", "if(id % 5 = 0, 'Snow Depth', 'ice') as text")
+    req = spark.range(40).selectExpr(
+        "id as request_id", "if(id % 2 = 0, 9D, null) as west", "9D as south", "if(id % 2 = 0, 20D, null) as east", "20D as north",
+        "'1999-01-01' as begin", "'2002-01-01' as end", "if(id % 4 = 0, array('snow_depth', ' '), null) as terms")
+    compared = []
+    meet = Q._meet
+    monkeypatch.setattr(Q, "_meet", lambda a, m: compared.append(a.count() * m.count()) or meet(a, m))
+    got = Q.search_by_coverage(meta, req, rows=None)
+    assert got.count() == 20 * 100 + 20 * 300 and max(compared) <= 8
+    assert got.select("request_id", "dataset_id").distinct().count() == got.count()
+    top = Q.search_by_coverage(meta, req, rows=2).collect()
+    assert sorted((r.request_id, r.dataset_id) for r in top) == sorted(
+        (k, d) for k in range(40) for d in (("d297", "d294") if k % 2 == 0 else ("d299", "d298")))
+    said = Q.search_by_overlap(meta, req, rows=None)
+    want = sum(1 for k in range(40) for d in range(0, 300, 2) if (k % 2 or d % 3 == 0) and (k % 4 or d % 5 == 0))
+    assert said.count() == want and max(compared) <= 12
+    assert Q.search_by_overlap(meta, req, rows=3).count() == 120
