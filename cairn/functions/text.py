@@ -80,12 +80,13 @@ def download_id(dataset_id: Column, checksum: Column) -> Column:
 
 
 def format_bytes(n: Column) -> Column:
-    """B, KB and MB with one decimal, GB with two."""
+    """B, KB and MB with one decimal, GB with two; ties go to the even digit, as in C's printf."""
+    text = lambda unit, size, digits: F.format_string(f"%.{digits}f{unit}", F.rint(n * 10.0**digits / size) / 10.0**digits)
     return (
         F.when(n < 1024, F.format_string("%dB", n))
-        .when(n < 1024**2, F.format_string("%.1fKB", n / 1024.0))
-        .when(n < 1024**3, F.format_string("%.1fMB", n / float(1024**2)))
-        .otherwise(F.format_string("%.2fGB", n / float(1024**3)))
+        .when(n < 1024**2, text("KB", 1024.0, 1))
+        .when(n < 1024**3, text("MB", 1024.0**2, 1))
+        .otherwise(text("GB", 1024.0**3, 2))
     )
 
 

@@ -271,3 +271,12 @@ def test_requests_that_are_alike_meet_once(spark, monkeypatch):
     want = sum(1 for k in range(40) for d in range(0, 300, 2) if (k % 2 or d % 3 == 0) and (k % 4 or d % 5 == 0))
     assert said.count() == want and max(compared) <= 12
     assert Q.search_by_overlap(meta, req, rows=3).count() == 120
+
+
+def test_sizes_round_like_printf(spark):
+    from cairn.functions.text import format_bytes
+
+    sizes = [0, 1023, 1024, 22784, 33024, 1048575, 1048576, 1310720, 1363149, 5 << 28, (1 << 30) + 5368709, 10**13] + [256 * k for k in range(4, 400, 7)]
+    got = spark.createDataFrame([(n,) for n in sizes], "n bigint").select("n", format_bytes(F.col("n"))).collect()
+    scale = lambda n: f"{n}B" if n < 1024 else f"{n / 1024:.1f}KB" if n < 1 << 20 else f"{n / (1 << 20):.1f}MB" if n < 1 << 30 else f"{n / (1 << 30):.2f}GB"
+    assert [(n, s, scale(n)) for n, s in got if s != scale(n)] == []
