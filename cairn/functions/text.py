@@ -113,13 +113,83 @@ def missing_sentinel(definition: Column) -> Column:
     return F.when(tail != "", tail)
 
 
+def _product_error(a: Column, b: Column, product: Column) -> Column:
+    """What rounding took off ``a * b``, exactly (Dekker)."""
+    halves = lambda x: (x * 134217729.0 - (x * 134217729.0 - x), x - (x * 134217729.0 - (x * 134217729.0 - x)))
+    (ah, al), (bh, bl) = halves(a), halves(b)
+    return ((ah * bh - product) + ah * bl + al * bh) + al * bl
+
+
+def _once(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def _whole(a: Column, power: Column) -> Column:
+    """``a`` times ten to the ``power`` as a whole number, rounded as C's printf does: by the exact binary value,
+    ties to even.  Java's formatter rounds the shortest decimal text half up.  For powers up to 22 either way."""
+
+    def rounded(x):
+        a, ten, p = x["a"], x["ten"], x["p"]
+        off = F.when(x["up"], _product_error(a, ten, p)).otherwise((a - p * ten) - _product_error(p, ten, p * ten))
+        side = F.when(off > 0, F.ceil(p).cast("double")).when(off < 0, F.floor(p).cast("double")).otherwise(F.rint(p))
+        return F.when(F.abs(p - F.rint(p)) == 0.5, side).otherwise(F.rint(p))
+
+    def scaled(x):
+        p = F.when(x["up"], x["a"] * x["ten"]).otherwise(x["a"] / x["ten"])
+        return _once(F.struct(x["a"].alias("a"), x["ten"].alias("ten"), x["up"].alias("up"), p.alias("p")), rounded)
+
+    return _once(F.struct(a.alias("a"), F.pow(F.lit(10.0), F.abs(power)).alias("ten"), (power >= 0).alias("up")), scaled)
+
+
+def fixed(value: Column, digits: int) -> Column:
+    """A number with ``digits`` decimals, as C's printf writes it."""
+
+    def text(v):
+        n = F.format_string("%.0f", _whole(F.abs(v), F.lit(digits)))
+        return F.when(F.abs(v) < 1e13, _once(n, lambda n: signed(v, n))).otherwise(F.format_string(f"%.{digits}f", v))
+
+    def signed(v, n):
+        n = F.lpad(n, F.greatest(F.length(n), F.lit(digits + 1)), "0")
+        sign = F.when(v < 0, F.lit("-")).otherwise(F.lit(""))
+        return F.concat(sign, F.substr(n, F.lit(1), F.length(n) - digits), F.lit("."), F.right(n, F.lit(digits)))
+
+    return _once(value, text)
+
+
 def general(value: Column, digits: int = 3) -> Column:
-    """A number in ``digits`` significant digits, plain or with an exponent, without trailing zeros."""
-    full = F.format_string(f"%.{digits - 1}e", value)
-    power = F.substring_index(full, "e", -1).try_cast("int")
+    """A number in ``digits`` significant digits, plain or with an exponent, without trailing zeros, as C's printf writes it."""
     bare = lambda s: F.regexp_replace(F.regexp_replace(s, r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    plain = F.coalesce(*[F.when(power == k, F.format_string(f"%.{digits - 1 - k}f", value)) for k in range(-4, digits)])
-    short = F.concat(bare(F.substring_index(full, "e", 1)), F.lit("e"), F.substring_index(full, "e", -1))
-    return F.when(F.isnan(value), F.lit("nan")).when(power.isNull(), F.lower(full)).otherwise(
-        F.coalesce(F.when(plain.contains("."), bare(plain)).otherwise(plain), short)
-    )
+
+    def text(x):
+        full, first = x["full"], x["first"]
+        far = F.concat(bare(F.substring_index(full, "e", 1)), F.lit("e"), F.substring_index(full, "e", -1))
+        known = F.when((x["size"] > 0) & (x["size"] < F.pow(F.lit(10.0), first)), first - 1).otherwise(first)
+        sign = F.when(full.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+        near = F.concat(sign, _once(known, lambda k: _once(F.struct(k.alias("k"), _whole(x["size"], F.lit(digits - 1) - k).alias("n")), written)))
+        return (
+            F.when(F.isnan(x["v"]), F.lit("nan")).when(first.isNull(), F.lower(full))
+            .when(F.abs(first) > 18, far).otherwise(near)
+        )
+
+    def written(x):
+        more = x["n"] >= 10.0**digits
+        n = F.lpad(F.format_string("%.0f", F.when(more, x["n"] / 10).otherwise(x["n"])), digits, "0")
+        return _once(F.struct(F.when(more, x["k"] + 1).otherwise(x["k"]).alias("power"), n.alias("n")), placed)
+
+    def placed(x):
+        n, power = x["n"], x["power"]
+        left = F.greatest(power + 1, F.lit(0))  # digits before the point
+        plain = F.concat(
+            F.when(left == 0, F.lit("0")).otherwise(F.substr(n, F.lit(1), left)), F.lit("."),
+            F.repeat(F.lit("0"), F.greatest(-power - 1, F.lit(0))), F.substr(n, left + 1),
+        )
+        short = F.concat(bare(F.concat(F.left(n, F.lit(1)), F.lit("."), F.substr(n, F.lit(2)))), F.format_string("e%+03d", power))
+        return F.when((power >= -4) & (power < digits), bare(plain)).otherwise(short)
+
+    def measured(v):
+        full = F.format_string(f"%.{digits - 1}e", v)
+        first = F.substring_index(full, "e", -1).try_cast("int")
+        return _once(F.struct(v.alias("v"), F.abs(v).alias("size"), full.alias("full"), first.alias("first")), text)
+
+    return _once(value, measured)

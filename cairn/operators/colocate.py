@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from cairn.dims import CANONICAL_UNIT, KM_PER_DEGREE
 from cairn.functions.geo import haversine_km
 from cairn.functions.lookup import lookup
+from cairn.functions.text import fixed
 from cairn.operators.qc import finding
 from cairn.operators.ranking import exact_median, top_k
 from cairn.session import stored
@@ -399,9 +400,9 @@ def check_cross_source(obs: DataFrame, tol: Tolerance = Tolerance()) -> DataFram
         )
         .otherwise(
             F.format_string(
-                "%s: %d meetings of %s, median %s %.2f, %d beyond tolerance",
+                "%s: %d meetings of %s, median %s %s, %d beyond tolerance",
                 F.col("variable"), F.col("n_colocated"), F.array_join("pair_labels", ", "),
-                F.col("metric"), F.col("median_metric"), F.col("n_disagreements"),
+                F.col("metric"), fixed(F.round("median_metric", 9) + F.lit(0.0), 2), F.col("n_disagreements"),
             )
         )
     )

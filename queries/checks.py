@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from cairn.functions.text import fixed
 from cairn.operators import colocate as C
 from cairn.operators import qc, units
 from cairn.plans.assemble import AssemblyRequest, harmonise, run, summary
@@ -42,7 +43,7 @@ def distribution_summary(spark, sf):
 
 def qc_value_range(spark, sf):
     d = qc.value_range_report(canon(spark, sf))
-    text = F.transform("examples", lambda v: F.format_string("%.4f", v))
+    text = F.transform("examples", lambda v: fixed(v, 4))
     return d.select(
         "variable", "n_bad", "n_total", r6("min").alias("min"), r6("max").alias("max"), "lo", "hi",
         F.array_join(text, ",").alias("examples"),

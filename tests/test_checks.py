@@ -337,3 +337,17 @@ def test_general_numbers(spark):
     got = [r[0] for r in df.select(general(df["v"])).collect()]
     want = [f"{v:.3g}" for v in values]
     assert [(g, w) for g, w in zip(got, want) if g != w] == [("infinity", "inf")]
+
+
+def test_numbers_round_like_printf(spark):
+    """Ties of the binary value go to even; a value just off a tie goes to its side."""
+    from pyspark.sql import functions as F
+
+    from cairn.functions.text import fixed, general
+
+    rng = random.Random(5)
+    values = [466.5, 467.5, 1.005, 1.015, 9.995, 0.125, 0.135, -31.05, -31.049999999999983, 12450.0, 12350.0, 0.09995, 99.95, -0.0, -0.001, 2.675, 1e22]
+    values += [rng.randint(0, 99999) / 10 ** rng.randint(0, 7) * rng.choice([-1, 1]) + 0.0 for _ in range(300)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", general(F.col("v")), fixed(F.col("v") + F.lit(0.0), 2)).collect()
+    assert [(v, g) for v, g, _ in rows if g != f"{v:.3g}"] == []
+    assert [(v, f) for v, _, f in rows if f != f"{v + 0.0:.2f}"] == []
