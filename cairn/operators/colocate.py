@@ -13,6 +13,11 @@ space, as finely as its count asks for, and once more where a part is still crow
 an anchor goes on only to the parts its box touches, so places that are far apart in
 one cell never meet.  What space cannot divide any more is spread by hash.  The exact
 distance and depth tests follow; nothing is capped.
+
+Distances are tested between *columns*: all the places of a source at one position and
+depth slice.  What an anchor column meets is summed by depth over all positions, and
+only these sums meet the depths of its own places, so many depths at many positions
+close together do not multiply.
 """
 
 from dataclasses import dataclass
@@ -127,6 +132,7 @@ def _cell_width(band: Column, size: float) -> Column:
 _CROWD = 512  # searched places of one cell from which on it is cut
 _PARTS = 64  # parts of a cell along each axis at most
 _CUTS = 2  # how often a cell is cut by space
+_LEVELS = 512  # depths of one column that travel together
 _KEYS = ["variable", "band", "cell", "slice", "sub"]
 
 
@@ -184,7 +190,7 @@ def _meeting_cells(anchors: DataFrame, others: DataFrame) -> tuple[DataFrame, Da
         crowded = _crowded(others)
         if crowded is not None:
             shards = crowded.select(*_KEYS, F.ceil(F.col("__n") / _CROWD).cast("long").alias("k"))
-            place = F.xxhash64("o_source", "o_lat", "o_lon", "o_depth")
+            place = F.xxhash64("o_source", "o_lat", "o_lon", "part")
             others = others.join(shards, _KEYS, "left").withColumn("shard", F.pmod(place, k)).drop("k")
             anchors = anchors.join(shards, _KEYS, "left").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), k - 1))).drop("k")
             return anchors, others
@@ -207,15 +213,23 @@ def neighbour_means(obs: DataFrame, tol: Tolerance = Tolerance()) -> DataFrame:
         & (F.struct("a_n", "a_source") < F.struct("o_n", "o_source"))
         & F.col("o_lat").between(box["south"], box["north"])
         & F.col("o_lon").between(box["west"], box["east"])
-        & (F.abs(F.col("o_depth") - F.col("a_depth")) <= tol.depth_m)
         & (
             haversine_km(F.col("a_lat"), F.col("a_lon"), F.col("o_lat"), F.col("o_lon"))
             <= tol.radius_km
         )
     )
-    return (
+    column = ["variable", "a_source", "a_lat", "a_lon", "slice"]
+    around = (
         a.join(o, meet)
-        .groupBy("a.variable", "a_source", "a_lat", "a_lon", "a_depth", "o_source")
+        .select(*[f"a.{c}" if c in ("variable", "slice") else c for c in column], "o_source", F.inline("levels"))
+        .groupBy(*column, "o_source", "o_depth")
+        .agg(F.sum("total").alias("total"), F.sum("readings").alias("readings"))
+    )
+    own = _anchors(places, tol).select(*column, "a_depth")
+    return (
+        own.join(around, column)
+        .filter(F.abs(F.col("o_depth") - F.col("a_depth")) <= tol.depth_m)
+        .groupBy("variable", "a_source", "a_lat", "a_lon", "a_depth", "o_source")
         .agg(
             (F.sum("total") / F.sum("readings")).alias("other_mean"),
             F.sum("readings").alias("n_near"),
@@ -229,34 +243,55 @@ def _box(lat: Column, lon: Column, tol: Tolerance) -> dict[str, Column]:
     return {"south": lat - tol.dlat, "north": lat + tol.dlat, "west": lon - dlon, "east": lon + dlon}
 
 
+def _each(low: Column, high: Column, size) -> Column:
+    return F.explode(F.sequence(F.floor(low / size), F.floor(high / size)))
+
+
+def _anchors(places: DataFrame, tol: Tolerance) -> DataFrame:
+    """The places that may anchor, once for every depth slice they reach."""
+    depth, reach = F.col("surface_depth"), tol.depth_m + 1e-6
+    return places.filter("may_anchor").select(
+        "variable",
+        F.col("source").alias("a_source"), F.col("n").alias("a_n"),
+        F.col("latitude").alias("a_lat"), F.col("longitude").alias("a_lon"), depth.alias("a_depth"),
+        _each(depth - reach, depth + reach, tol.slice_m).alias("slice"),
+    )
+
+
+def _searched(places: DataFrame, tol: Tolerance) -> DataFrame:
+    """The searched places as columns: their depths with sum and count; a column of very many depths in ``part`` s."""
+    column = ["variable", "o_source", "o_n", "o_lat", "o_lon", "slice"]
+    rows = places.filter("searched").select(
+        "variable",
+        F.col("source").alias("o_source"), F.col("n").alias("o_n"),
+        F.col("latitude").alias("o_lat"), F.col("longitude").alias("o_lon"),
+        F.floor(F.col("surface_depth") / tol.slice_m).alias("slice"),
+        F.col("surface_depth").alias("o_depth"), "total", "readings",
+    )
+    many = rows.groupBy(*column).agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > _LEVELS)
+    parts = F.coalesce(F.ceil(F.col("k") / _LEVELS), F.lit(1).cast("long"))
+    return (
+        rows.join(many, column, "left")
+        .withColumn("part", F.pmod(F.xxhash64("o_depth"), parts))
+        .groupBy(*column, "part")
+        .agg(F.collect_list(F.struct("o_depth", "total", "readings")).alias("levels"))
+    )
+
+
 def _sides(places: DataFrame, tol: Tolerance) -> tuple[DataFrame, DataFrame]:
-    """Anchors, copied to each cell their search box touches, and searched places, each in one cell."""
-    size, slice_m = tol.cell_deg, tol.slice_m
-    lat, lon, depth = F.col("latitude"), F.col("longitude"), F.col("surface_depth")
-    each = lambda low, high, size: F.explode(F.sequence(F.floor(low / size), F.floor(high / size)))
+    """Anchor columns, copied to each cell their search box touches, and searched columns, each in one cell."""
+    size = tol.cell_deg
     west, east = F.greatest("west", F.lit(-180.0)), F.least("east", F.lit(180.0))
-    reach = tol.depth_m + 1e-6
     anchors = (
-        places.filter("may_anchor")
-        .select(
-            "variable",
-            F.col("source").alias("a_source"), F.col("n").alias("a_n"),
-            lat.alias("a_lat"), lon.alias("a_lon"), depth.alias("a_depth"),
-        )
+        _anchors(places, tol).drop("a_depth").distinct()
         .withColumns(_box(F.col("a_lat"), F.col("a_lon"), tol))
-        .withColumn("band", each(F.col("south"), F.col("north"), size))
-        .withColumn("cell", each(west, east, _cell_width(F.col("band"), size)))
-        .withColumn("slice", each(F.col("a_depth") - reach, F.col("a_depth") + reach, slice_m))
+        .withColumn("band", _each(F.col("south"), F.col("north"), size))
+        .withColumn("cell", _each(west, east, _cell_width(F.col("band"), size)))
     )
-    band = F.floor(lat / size)
-    others = places.filter("searched").select(
-        "variable",
-        F.col("source").alias("o_source"), F.col("n").alias("o_n"),
-        lat.alias("o_lat"), lon.alias("o_lon"), depth.alias("o_depth"),
-        "total", "readings",
-        band.alias("band"),
-        F.floor(lon / _cell_width(band, size)).alias("cell"),
-        F.floor(depth / slice_m).alias("slice"),
+    others = (
+        stored(_searched(places, tol))
+        .withColumn("band", F.floor(F.col("o_lat") / size))
+        .withColumn("cell", F.floor(F.col("o_lon") / _cell_width(F.col("band"), size)))
     )
     return _with_extent(anchors, size), _with_extent(others, size)
 

@@ -351,3 +351,23 @@ def test_numbers_round_like_printf(spark):
     rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", general(F.col("v")), fixed(F.col("v") + F.lit(0.0), 2)).collect()
     assert [(v, g) for v, g, _ in rows if g != f"{v:.3g}"] == []
     assert [(v, f) for v, _, f in rows if f != f"{v + 0.0:.2f}"] == []
+
+
+def test_depths_at_close_positions_do_not_multiply(make_obs, monkeypatch):
+    """What meets is counted in columns, not in places; the means equal brute force, also where a column has several parts."""
+    monkeypatch.setattr(C, "_LEVELS", 5)
+    tol = C.Tolerance()
+    rng = np.random.default_rng(8)
+    few, big = ([(s, 65.0 + 1e-4 * p, float(d), float(v)) for p in range(n) for d, v in zip(rng.permutation(60)[:40] / 10, rng.uniform(1, 3, 40))] for s, n in (("few", 4), ("big", 8)))
+    obs = make_obs([dict(source=s, latitude=y, depth_m=d, value=v) for s, y, d, v in few + big])
+    places = C._places(obs)
+    places = places.join(C._with_roles(C._per_source(places)), ["variable", "source"])
+    a, o = C._meeting_cells(*C._sides(places, tol))
+    met = a.alias("a").join(o.alias("o"), [*C._KEYS, "shard"]).count()
+    assert met < len(few) * len(big) / 10
+    got = {r.obs_id: (r.n_near, r.other_mean) for r in C.colocate(obs, tol).collect()}
+    assert len(got) == len(few)
+    for k, (_, _, d, _) in enumerate(few):
+        near = [v for _, _, e, v in big if abs(e - d) <= 1.0]
+        n, mean = got[f"o{k}"]
+        assert n == len(near) and abs(mean - sum(near) / n) < 1e-9
