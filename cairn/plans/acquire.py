@@ -10,7 +10,6 @@ from cairn.dims import SCHEMA_VERSION
 from cairn.functions.text import download_id
 from cairn.operators import index, qc
 from cairn.operators.catalog import Catalog
-from cairn.session import stored
 from cairn.sources import package as pkg
 from cairn.sources.normalise import Landing
 from cairn.sources.registry import get_source
@@ -38,9 +37,11 @@ def index_packages(
 
     The standard is a column per dataset: dictionary rows count where it is a dictionary
     package, metadata attributes and the manifest where it is a bag.  Sizes and digests
-    are read once and written; the index, the manifest check and the fingerprint use them.
+    and the texts that describe a package are read once and written; the index, the manifest
+    check, the declared columns and the fingerprint use them.
     """
-    raw = stored(pkg.package_files(spark, root, dataset_id))
+    source = (spark, root, dataset_id, pkg.landed(spark, root, dataset_id))
+    raw = pkg.package_files(*source)
     files = index.index_files(raw)
     standard = index.detect_standard(raw.select("dataset_id", "relative_path"))
     listed = files.select("dataset_id", "relative_path")
@@ -48,8 +49,8 @@ def index_packages(
     columns = ["dataset_id", "file_id", "raw_name", "unit", "missing_sentinel", "ord"]
     # the place of a declared column: file, row; or table, attribute, code
     place = lambda *parts: F.array(*[F.col(p).cast("long") for p in parts])
-    by_dictionary = pkg.declared_by_dictionary(of(pkg.dictionary_rows(spark, root, dataset_id), "ess_dive_dd"), listed)
-    by_eml = pkg.declared_by_eml(of(pkg.eml_attributes(spark, root, dataset_id), "dataone_bagit"), listed)
+    by_dictionary = pkg.declared_by_dictionary(of(pkg.dictionary_rows(*source), "ess_dive_dd"), listed)
+    by_eml = pkg.declared_by_eml(of(pkg.eml_attributes(*source), "dataone_bagit"), listed)
     declared = (
         by_dictionary.withColumn("ord", place("ord")).select(*columns)
         .unionByName(by_eml.withColumn("ord", place("ord.table_ord", "ord.pos", "ord.code_pos")).select(*columns))
@@ -63,7 +64,7 @@ def index_packages(
         files.join(index.file_sentinels(declared), ["dataset_id", "file_id"], "left")
         .withColumn("access_timestamp", F.lit(access_timestamp).cast("timestamp"))
     )
-    declared_md5 = of(pkg.manifest(spark, root, dataset_id), "dataone_bagit")
+    declared_md5 = of(pkg.manifest(*source), "dataone_bagit")
     return PackageIndex(
         full, variables, standard,
         index.manifest_mismatches(files, declared_md5),

@@ -74,7 +74,11 @@ def text_lines(
     lines = _numbered(reader.text(path).withColumnRenamed("value", "line"))
     if not splits:
         lines = lines.drop("split")
-    lines = _decoded(lines, encoding)
+    return clean_lines(_decoded(lines, encoding))
+
+
+def clean_lines(lines: DataFrame) -> DataFrame:
+    """Without a carriage return at the end, and without a byte-order mark at the start of a file."""
     clean = F.regexp_replace("line", "\\r$", "")
     return lines.withColumn(
         "line", F.when(F.col("ord") == 0, F.regexp_replace(clean, "^﻿", "")).otherwise(clean)
@@ -180,7 +184,12 @@ def csv_rows(
     Each file is read by its own header; quoted line breaks stay inside their field.  ``file`` and ``file_name``
     come with ``ord``.
     """
-    records = logical_records(text_lines(spark, path, encoding, pattern, recursive, splits=True), sep)
+    return csv_table(text_lines(spark, path, encoding, pattern, recursive, splits=True), sep, numbered)
+
+
+def csv_table(lines: DataFrame, sep: str = ",", numbered: bool = False) -> DataFrame:
+    """``csv_rows`` of ``file, file_name, split, ord, line``."""
+    records = logical_records(lines, sep)
     heads = records.filter("record = 0").select("file", "line")
     rows = records.filter("record > 0").withColumn("ord", F.col("record") - 1)
     return _by_header(rows, heads, sep, ("file", "file_name", "ord") if numbered else ())

@@ -1,6 +1,7 @@
 """Landed packages: file digests, manifests, data dictionaries and EML metadata.
 
-Every reader takes one package, or a folder of packages, each named by its folder.
+Every reader takes one package, or a folder of packages, each named by its folder; the ``rows`` that ``landed`` gave
+save it from reading the files again.
 """
 
 import re
@@ -11,9 +12,13 @@ from pyspark.sql import functions as F
 from cairn.dims import DICTIONARY_COLUMNS
 from cairn.functions.parse import blank_to_null, strip
 from cairn.functions.text import file_id, missing_sentinel
-from cairn.operators.index import match_dictionary_files, match_entities
-from cairn.sources.delimited import csv_rows, text_lines
-from cairn.sources.files import file_digests
+from cairn.operators.index import base_name, match_dictionary_files, match_entities
+from cairn.session import stored
+from cairn.sources.delimited import clean_lines, csv_table
+from cairn.sources.files import read_files
+
+# --- fixed values: the files that describe a package, by name; read as lines, or as XML elements of a name --------
+TEXTS = {"manifest-md5.txt": None, "*_dd.csv": None, "*.xml": "dataTable"}
 
 EML_SCHEMA = (
     "entityName string, attributeList struct<attribute:array<struct<attributeName:string,"
@@ -44,12 +49,32 @@ def _parted(below: Column, dataset_id: str | None) -> list[Column]:
     ]
 
 
-def package_files(spark: SparkSession, root: str, dataset_id: str | None = None) -> DataFrame:
-    """``dataset_id, relative_path, bytes, content_checksum, md5`` of every file of one package, or of all below ``root``."""
-    found = file_digests(spark, root)
+def landed(spark: SparkSession, root: str, dataset_id: str | None = None) -> DataFrame:
+    """The files of one package, or of all below ``root``, read once and written.
+
+    A row per file has ``dataset_id, relative_path, bytes, content_checksum, md5``; further rows have ``ord`` and
+    ``content`` of the files that describe a package.
+    """
+    found = read_files(spark, root, TEXTS)
     if dataset_id is None:
         found = found.filter(F.col("path").contains("/"))
-    return found.select(*_parted(F.col("path"), dataset_id), "bytes", "content_checksum", "md5")
+    return stored(found.select("*", *_parted(F.col("path"), dataset_id)))
+
+
+def package_files(
+    spark: SparkSession, root: str, dataset_id: str | None = None, rows: DataFrame | None = None
+) -> DataFrame:
+    """``dataset_id, relative_path, bytes, content_checksum, md5`` of every file of one package, or of all below ``root``."""
+    rows = landed(spark, root, dataset_id) if rows is None else rows
+    return rows.filter("ord is null").select("dataset_id", "relative_path", "bytes", "content_checksum", "md5")
+
+
+def _contents(rows: DataFrame, wanted: Column) -> DataFrame:
+    """``path, dataset_id, relative_path, ord, line`` of the wanted files; as Spark's readers, without hidden names."""
+    hidden = F.col("path").rlike(r"(^|/)(_[^=/]*|\.[^/]*)(/|$)")
+    return rows.filter(F.col("ord").isNotNull() & wanted & ~hidden).select(
+        "path", "dataset_id", "relative_path", "ord", F.col("content").cast("string").alias("line")
+    )
 
 
 def provenance_texts(spark: SparkSession, root: str, dataset_id: str | None = None) -> DataFrame:
@@ -61,11 +86,13 @@ def provenance_texts(spark: SparkSession, root: str, dataset_id: str | None = No
     )
 
 
-def manifest(spark: SparkSession, root: str, dataset_id: str | None = None) -> DataFrame:
+def manifest(
+    spark: SparkSession, root: str, dataset_id: str | None = None, rows: DataFrame | None = None
+) -> DataFrame:
     """``dataset_id, relative_path, md5`` from the ``md5 path`` lines of the manifests at the roots of packages."""
-    lines = text_lines(spark, root, pattern="manifest-md5.txt", recursive=True)
-    placed = lines.select(*_located(F.col("file"), root, dataset_id), "line")
-    return manifest_lines(placed.filter("relative_path = 'manifest-md5.txt'"))
+    rows = landed(spark, root, dataset_id) if rows is None else rows
+    lines = clean_lines(_contents(rows, F.col("relative_path") == "manifest-md5.txt"))
+    return manifest_lines(lines.select("dataset_id", "line"))
 
 
 def manifest_lines(lines: DataFrame) -> DataFrame:
@@ -76,15 +103,20 @@ def manifest_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def dictionary_rows(spark: SparkSession, root: str, dataset_id: str | None = None) -> DataFrame:
+def dictionary_rows(
+    spark: SparkSession, root: str, dataset_id: str | None = None, rows: DataFrame | None = None
+) -> DataFrame:
     """Declared columns of all ``*_dd.csv`` files, each by its own header; a file without the columns declares nothing."""
-    rows = csv_rows(spark, root, numbered=True, pattern="*_dd.csv", recursive=True)
+    rows = landed(spark, root, dataset_id) if rows is None else rows
+    lines = _contents(rows, base_name(F.col("relative_path")).endswith("_dd.csv"))
+    lines = lines.select(F.col("path").alias("file"), F.col("relative_path").alias("file_name"), F.lit(0).alias("split"), "ord", "line")
+    rows = csv_table(clean_lines(lines), numbered=True)
     if not set(DICTIONARY_COLUMNS) <= set(rows.columns):
         return spark.createDataFrame(
             [], "dataset_id string, dictionary_path string, ord bigint, raw_name string, unit string, missing_sentinel string"
         )
     unit = blank_to_null(F.col("Unit"))
-    dataset, path = _located(F.col("file"), root, dataset_id)
+    dataset, path = _parted(F.col("file"), dataset_id)
     return rows.select(
         dataset,
         path.alias("dictionary_path"),
@@ -102,22 +134,20 @@ def declared_by_dictionary(rows: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def eml_attributes(spark: SparkSession, root: str, dataset_id: str | None = None) -> DataFrame:
+def eml_attributes(
+    spark: SparkSession, root: str, dataset_id: str | None = None, rows: DataFrame | None = None
+) -> DataFrame:
     """Declared attributes of each package's metadata document.
 
     A package's document is found by content: any XML with data tables counts, and the
     conventional ``metadata/science-metadata.xml`` is preferred when it is there,
     else the first path.  An attribute with several missing-value codes has a row for each.
     """
-    tables = (
-        spark.read.format("xml")
-        .options(rowTag="dataTable", pathGlobFilter="*.xml", recursiveFileLookup=True)
-        .schema(EML_SCHEMA)
-        .load(root)
-        .select("*", *_located(F.col("_metadata.file_path"), root, dataset_id))
-        .withColumnRenamed("relative_path", "doc")
-        .withColumn("table_ord", F.monotonically_increasing_id())
-    )
+    rows = landed(spark, root, dataset_id) if rows is None else rows
+    found = _contents(rows, base_name(F.col("relative_path")).endswith(".xml"))
+    tables = found.select(
+        "dataset_id", F.col("relative_path").alias("doc"), F.col("ord").alias("table_ord"), F.from_xml("line", EML_SCHEMA).alias("t")
+    ).select("dataset_id", "doc", "table_ord", "t.*")
     preference = F.struct((F.col("doc") != "metadata/science-metadata.xml"), F.col("doc"))
     chosen = tables.groupBy("dataset_id").agg(F.min_by("doc", preference).alias("doc"))
     attribute = F.col("a")

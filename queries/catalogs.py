@@ -78,7 +78,8 @@ union all select d, 'manifest-md5.txt', case when k % 3 = 0 then md5('other') el
 
 def _folder(spark, sf):
     """The packages written below a shared folder, and their index."""
-    V.table(spark, sf, "supplier").createOrReplaceTempView("supplier")
+    spread = 4 * spark.sparkContext.defaultParallelism  # a table may be one row group
+    V.table(spark, sf, "supplier").repartition(spread, "s_suppkey").createOrReplaceTempView("supplier")
     root = f"{shared_dir(spark).rstrip('/')}/packages-{uuid.uuid4().hex}"
     files = spark.sql(PACKAGES_SQL)
     write_files(files.select(F.concat_ws("/", "dataset_id", "relative_path").alias("path"), "content"), root)

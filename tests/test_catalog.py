@@ -211,6 +211,38 @@ def test_dictionaries_by_their_own_header_and_all_codes(spark, tmp_path):
     assert [(r.raw_name, r.missing_sentinel) for r in rows] == [("t", "-99"), ("t", "-88")]
 
 
+def test_packages_are_read_through_one_listing(spark, tmp_path):
+    """No table lists or opens the packages' files again, whatever their texts look like."""
+    for k in range(3):
+        put(tmp_path / f"bag{k}/bagit.txt", "BagIt")
+        put(tmp_path / f"bag{k}/data/Sample.csv", "x\n")
+        put(tmp_path / f"bag{k}/metadata/science-metadata.xml", EML.replace(
+            "<dataTable><entityName>Other", "<!-- <dataTable><entityName>Sample.csv</entityName> --><dataTable id='a>b'><entityName>Other"))
+        put(tmp_path / f"bag{k}/manifest-md5.txt", f"\ufeff{'0' * 32}  data/Sample.csv\r\n")
+        put(tmp_path / f"dd{k}/A_1.csv", "a\n1\n")
+        put(tmp_path / f"dd{k}/A_dd.csv", f'\ufeffColumn_or_Row_Name,Unit,Definition\r\nx{k},"deg\r\nC",\r\n')
+        put(tmp_path / f"dd{k}/_old/B_dd.csv", "Column_or_Row_Name,Unit,Definition\nhidden,m,\n")
+    idx = index_packages(spark, str(tmp_path))
+    for table in (idx.files, idx.variables, idx.mismatches, idx.standard, idx.fingerprint):
+        assert not [f for f in table.inputFiles() if str(tmp_path) in f]
+    assert sorted((r.dataset_id, r.variable, r.unit) for r in idx.variables.collect()) == sorted(
+        [(f"bag{k}", v, u) for k in range(3) for v, u in (("excess_ice_content", "percent"), ("GMC, %", "pct"))] + [(f"dd{k}", f"x{k}", "deg\nC") for k in range(3)])
+    assert sorted((r.dataset_id, r.declared_md5) for r in idx.mismatches.collect()) == [(f"bag{k}", "0" * 32) for k in range(3)]
+
+
+def test_texts_are_cut_alike_in_pieces_of_any_size():
+    from cairn.sources.files import Elements, Lines
+
+    def cut(cutter, data, n):
+        return [x for i in range(0, len(data), n) for x in cutter.feed(data[i : i + n])] + cutter.close()
+
+    xml = (b"<?xml?><!-- <t>no</t> --><x><t id='a>b'><n>1</n><![CDATA[</t>]]></t><ts/><t/><t>\r\n<t>in</t><!-- </t> --> x</t ><t>open")
+    for n in range(1, len(xml) + 1):
+        assert cut(Elements("t"), xml, n) == [b"<t id='a>b'><n>1</n><![CDATA[</t>]]></t>", b"<t>\r\n<t>in</t><!-- </t> --> x</t >"]
+    for n in range(1, 12):
+        assert cut(Lines(), b"a\r\n\r\nb\rc\n\rd", n) == [b"a", b"", b"b", b"c", b"", b"d"] and cut(Lines(), b"a\r\n", n) == [b"a"]
+
+
 def test_many_requests_against_many_boxes(spark):
     """Boxes of every size against brute force: each pair once, no nested loop."""
     import random
