@@ -208,7 +208,8 @@ def category_index(spark, sf):
 
 
 def slugs(spark, sf):
-    return V.table(spark, sf, "documents").select("doc_id", P.slug(F.col("text")).alias("slug"))
+    texts = V.table(spark, sf, "documents").select("doc_id", "text").repartition("doc_id")  # a table may be one row group
+    return texts.select("doc_id", P.slug(F.col("text")).alias("slug"))
 
 
 _TIME = "strftime({0}, '%Y-%m-%d %H:%M:%S')"

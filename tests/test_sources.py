@@ -25,6 +25,21 @@ def put(path, text, encoding="utf-8"):
     return str(path)
 
 
+def test_slugs_search_each_text_once_and_are_spread(spark, tmp_path):
+    """Also where all texts are one row group; odd texts as before."""
+    from cairn.functions import parse as P
+    from queries import sources
+
+    odd = {"": "unknown", "_": "unknown", "é ü": "unknown", None: "unknown", "_a__b_": "a_b", "  x": "x", "y\n": "y", "Ünï-code\U0001f600Z9": "n_code_Z9", "a": "a", "0": "0"}
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "doc_id bigint, text string")
+    assert [r.s for r in rows.orderBy("doc_id").select(P.slug(F.col("text")).alias("s")).collect()] == list(odd.values())
+    rows.unionAll(spark.range(10, 200).select("id", F.lit("a b"))).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    found = sources.slugs(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1 and "RepartitionByExpression" in plan
+    assert found.count() == 200
+
+
 CALM = """/* Dataset: thaw depth
  more text */
 Event label\tSite\tName\tIdentification\tCountry\tArea/locality\tLatitude of event\tLongitude of event\tDATE/TIME\tALD [cm]\tSample comment\tComment
