@@ -7,6 +7,7 @@ from cairn.dims import BAG_FILES, FORMAT_BY_SUFFIX, ROOT_SIDECARS, VARIABLE_ALIA
 from cairn.functions.lookup import lookup, member
 from cairn.functions.parse import strip
 from cairn.functions.text import file_id
+from cairn.session import stored
 
 
 def base_name(path: Column) -> Column:
@@ -229,13 +230,15 @@ def resolve_by_steps(wanted: DataFrame, files: DataFrame) -> DataFrame:
     with the region and carries the date token (any date, without a token).
 
     Prefix and token tests are equi-joins on the leading parts that may match and on tokens, and
-    uniqueness is a count, so candidates are never listed or compared pairwise.
+    uniqueness is a count, so candidates are never listed or compared pairwise.  The names and what the
+    first two steps find are written, as each later step reads them; only rows still open go on to those.
     """
     normal = F.regexp_replace("filename", "-", "_")
     normal = F.when(F.lower(normal).endswith(".csv"), normal).otherwise(
         F.concat(normal, F.lit(".csv"))
     )
     code = F.coalesce("site_code", F.lit(""))
+    wanted = wanted.drop("file_name")  # of the roster itself; the one found takes its name
     w = wanted.withColumns(
         {
             "normal": normal,
@@ -243,10 +246,13 @@ def resolve_by_steps(wanted: DataFrame, files: DataFrame) -> DataFrame:
             "region": F.when(code.contains("_"), F.substring_index(code, "_", 2)).otherwise(code),
         }
     )
-    names = files.select("dataset_id", "file_name").distinct()
+    names = stored(files.select("dataset_id", "file_name").distinct())
     named = lambda key, out: names.withColumn(out, F.col("file_name")).withColumnRenamed("file_name", key)
-    exact = w.join(named("filename", "f1"), ["dataset_id", "filename"], "left").join(
+    exact = stored(w.join(named("filename", "f1"), ["dataset_id", "filename"], "left").join(
         named("normal", "f2"), ["dataset_id", "normal"], "left"
+    ))
+    settled = exact.filter("f1 is not null or f2 is not null").select(
+        *wanted.columns, F.when(F.col("f1").isNotNull(), 1).otherwise(2).alias("step"), F.coalesce("f1", "f2").alias("file_name")
     )
     open_rows = exact.filter("f1 is null and f2 is null")
     asked = (
@@ -278,17 +284,14 @@ def resolve_by_steps(wanted: DataFrame, files: DataFrame) -> DataFrame:
         heads.withColumn("date_token", F.explode(tokens)), ["head", "date_token"], "on_date"
     )
     picked = (
-        exact.join(alone.withColumnsRenamed({"head": "code", "alone": "f3"}), ["dataset_id", "code"], "left")
+        open_rows.join(alone.withColumnsRenamed({"head": "code", "alone": "f3"}), ["dataset_id", "code"], "left")
         .join(alone.withColumnsRenamed({"head": "region", "alone": "any_date"}), ["dataset_id", "region"], "left")
         .join(on_date.withColumnRenamed("head", "region"), ["dataset_id", "region", "date_token"], "left")
     )
     f4 = F.when(F.col("date_token").isNull(), F.col("any_date")).otherwise(F.col("on_date"))
-    step = (
-        F.when(F.col("f1").isNotNull(), 1).when(F.col("f2").isNotNull(), 2)
-        .when(F.col("f3").isNotNull(), 3).when(f4.isNotNull(), 4)
-    )
-    return (
-        picked.withColumns({"step": step, "file_name": F.coalesce("f1", "f2", "f3", f4)})
+    step = F.when(F.col("f3").isNotNull(), 3).otherwise(4)
+    return settled.unionByName(
+        picked.withColumns({"step": step, "file_name": F.coalesce("f3", f4)})
         .filter(F.col("file_name").isNotNull())
         .select(*wanted.columns, "step", "file_name")
     )

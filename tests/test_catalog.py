@@ -230,6 +230,23 @@ def test_packages_are_read_through_one_listing(spark, tmp_path):
     assert sorted((r.dataset_id, r.declared_md5) for r in idx.mismatches.collect()) == [(f"bag{k}", "0" * 32) for k in range(3)]
 
 
+def test_settled_roster_rows_skip_the_later_steps(spark, tmp_path):
+    """All four steps, rows without a site code, and names that are read once."""
+    names = ["US_A_1_2020_01_01.csv", "US_A_2_2020_01_02.csv", "US_B_1_2021_01_01.csv", "US_B_2_2022_01_01.csv", "US_C_7_x.csv"]
+    spark.createDataFrame([("d", n) for n in names * 2], "dataset_id string, file_name string").write.parquet(str(tmp_path / "names"))
+    asked = [
+        ("d", "US_A_1_2020_01_01.csv", "", None, 1), ("d", "US_A_2_2020-01-02", None, None, 2), ("d", "gone", "US_C_7", None, 3),
+        ("d", "gone", "US_B_9", "2022_01_01", 4), ("d", "gone", "US_C_8", None, 4), ("d", "gone", "", "2021_01_01", None),
+        ("d", "gone", None, None, None), ("e", "US_A_1_2020_01_01.csv", "US_A_1", None, None), ("d", None, "US_C_7", None, 3),
+    ]
+    w = spark.createDataFrame([(*a[:4], i) for i, a in enumerate(asked)], "dataset_id string, filename string, site_code string, date_token string, ord int")
+    found = I.resolve_by_steps(w, spark.read.parquet(str(tmp_path / "names")))
+    assert not [f for f in found.inputFiles() if str(tmp_path / "names") in f]
+    got = {r.ord: (r.step, r.file_name) for r in found.collect()}
+    at = {0: 0, 1: 1, 2: 4, 3: 3, 4: 4, 8: 4}
+    assert got == {i: (asked[i][4], names[at[i]]) for i in at}
+
+
 def test_texts_are_cut_alike_in_pieces_of_any_size():
     from cairn.sources.files import Elements, Lines
 
