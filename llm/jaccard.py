@@ -1,8 +1,8 @@
 """N-gram Jaccard join by vertical partitioning.
 
 Equal texts (after lower-casing A-Z) are one class.  The distinct word n-grams of all classes are put in one global
-order, rare ones first: by the power of two below the number of classes that hold them, then by key.  The order is cut
-into fragments.  For a pair, the overlap is counted in each fragment by itself and summed.
+order, rare ones first: by the power of two below the number of classes that hold them, then by key.  The n-grams are dealt
+over fragments by their level and half of the keys.  For a pair, the overlap is counted in each fragment by itself and summed.
 
 Finding pairs: two sets that link share an n-gram among the first ``n - ceil(t * n) + 1`` of either (n-grams of one
 class only come first and match nothing).  Classes that share such an n-gram form a bucket.  A large group of near
@@ -109,12 +109,13 @@ def _setter(width: int, num: int, den: int, shards: int):
         doc, keys, level = doc[shared], keys[shared], level[shared].astype(np.int64)
         by = np.lexsort((keys, level, doc))
         doc, keys, level = doc[by], keys[by], level[by]
-        fragment = np.minimum(level - 1, FRAGMENTS // 2 - 1) * 2 + (keys >> np.uint64(63)).astype(np.int64)  # in the global order
         signed = keys.view(np.int64)
         start = np.searchsorted(doc, np.arange(once.num_rows + 1))
         prefix = [signed[a : a + w] for a, w in zip(start[:-1], wanted, strict=True)]
-        cuts = np.searchsorted(doc * FRAGMENTS + fragment, np.arange(once.num_rows * FRAGMENTS + 1)) if len(doc) else np.zeros(once.num_rows * FRAGMENTS + 1, np.int64)
-        inner = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(signed))
+        place = doc * FRAGMENTS + np.minimum(level - 1, FRAGMENTS // 2 - 1) * 2 + (keys >> np.uint64(63)).astype(np.int64)
+        by = np.argsort(place, kind="stable")  # the last two fragments hold several levels, so their keys alternate in the order above
+        cuts = np.searchsorted(place[by], np.arange(once.num_rows * FRAGMENTS + 1))
+        inner = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(signed[by]))
         outer = pa.ListArray.from_arrays(pa.array(np.arange(once.num_rows + 1) * FRAGMENTS, pa.int32()), inner)
         return pa.table([once["h1"].cast(pa.int64()), once["h2"].cast(pa.int64()), pa.array(size, pa.int64()), pa.array([p.tolist() for p in prefix], pa.list_(pa.int64())), outer], schema=kind)
 

@@ -67,6 +67,24 @@ def test_jaccard_brute_force(llm_spark, width, num):
     assert {i: got[i].component_id for i in sets} == want and {i: got[i].n_shingles for i in sets} == {i: len(s) for i, s in sets.items()}
 
 
+def test_jaccard_large_groups_of_near_copies(llm_spark):
+    """N-grams of 256 to 511 and of more than 512 texts in one text: none may be lost between the last fragments."""
+    r = np.random.default_rng(11)
+    words_of = lambda n: [f"w{i}" for i in r.choice(3000, n)]
+    base, ends = words_of(60), (words_of(40), words_of(60))
+    rows = []
+    for g in range(800):
+        w = base + ends[g % 2]
+        for k in range(int(r.integers(1, 4))):
+            w[int(r.integers(len(w)))] = f"e{g}x{k}"
+        rows.append((g + 5, " ".join(w)))
+    sets = {i: {tuple(w[k : k + 4]) for k in range(len(w) - 3)} for i, t in rows for w in [words(t)]}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    df = llm_spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = {x.doc_id: x.component_id for x in jaccard.joined(df, 4, 85, 100).collect()}
+    assert got == closure(sets, links)
+
+
 def test_jaccard_odd_rows(llm_spark):
     text = "a b c d e f g h i j"
     df = llm_spark.createDataFrame([(None, text), (3, text), (9, text), (9, text), (9, None)], "doc_id long, text string")
