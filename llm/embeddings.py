@@ -1,15 +1,19 @@
-"""Embedding near-duplicates: spherical k-means cells, blocked cosine products within cells.
+"""Embedding near-duplicates: spherical k-means cells, vectors packed in blocks, cosine products of pairs of blocks.
 
 Equal vectors are one class.  Spherical k-means is fitted on at most about ``FIT_ROWS`` classes, chosen by a hash; every
-class is then assigned to its nearest cell (home) and visits every earlier cell that can hold a vector it links with: a
-vector of cell k lies on k's side of the plane midway between the centroids of h and k, so a vector of cell h with
-``x (c_h - c_k) > sin(acos(threshold)) |c_h - c_k|`` is too far from all of them.  Within a cell the home vectors meet each
-other in blocks of ``BLOCK`` and the visitors in blocks of ``GUESTS``: a crowded cell becomes many tasks, and a task
-holds two blocks.  A block pair gives each vector its number of links and its component within the block, never
-the pairs.  Cosines are products of vectors normalised in double precision; a pair links at ``threshold`` or more.
-
-Every pair at ``threshold`` or more is found, once, in the earlier of its two cells; the cells only save comparisons, and
-where vectors are spread evenly few are saved: the rows dealt then grow with the square of the table.  Only vectors of one
+class is then assigned to its nearest cell (home).  It meets the classes of its cell, and those of every earlier cell that
+can hold a vector it links with: a vector of cell k lies on k's side of the plane midway between the centroids of h and k,
+so a vector of cell h with ``x (c_h - c_k) > sin(acos(threshold)) |c_h - c_k|`` is too far from all of them.
+
+Each class is written once, in a block of at most about ``BLOCK`` rows: cells follow each other in the blocks, and a
+crowded cell fills several.  A pair of blocks meets where the cells of one are reached from the other.  The pairs are a
+product of the stored blocks with themselves: each task reads two pieces of the table, nothing is shuffled, so the disk
+needed follows the number of vectors and not that of the pairs.  Products are taken in single precision first; what comes
+near the threshold is decided by products of vectors normalised in double precision, and links at ``threshold`` or more.
+A pair of blocks gives each vector its number of links and its component within the pair, never the links.
+
+Every pair at ``threshold`` or more is found, once; the cells only save comparisons, and where vectors are spread evenly
+few are saved: the comparisons, though not the disk, then grow with the square of the table.  Only vectors of one
 length are compared.  Vectors that are null, empty, zero or hold a null or non-finite component link with nothing,
 nor do rows without id.  Rows that repeat an id are one node of the components; each counts as a vector.
 """
@@ -20,12 +24,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import components, stored
+from llm.common import components, free_memory, stored
 
-FIT_ROWS, PER_CELL, MOST_CELLS, BLOCK, GUESTS = 20_000, 400, 2048, 1024, 4096
+FIT_ROWS, PER_CELL, MOST_CELLS = 20_000, 400, 2048
+# rows and bytes of a block; a small table is cut in about FEW blocks of LEAST rows or more, so that there are tasks enough
+BLOCK, BLOCK_BYTES, FEW, LEAST = 4096, 4 << 20, 64, 512
+TILE = 512  # vectors of a cell that are compared at once
 
 
 def normalised(x: np.ndarray) -> np.ndarray:
@@ -66,25 +73,43 @@ def fit(classes: DataFrame, seed: int = 0) -> dict[int, np.ndarray]:
     return {d: spherical_kmeans(normalised(np.array(v)), cells[d], seed=seed) for d, v in got.items()}
 
 
-PLACED = "dim int, cell int, id long, mult long, reach array<int>, vec binary"
 # more than the rounding of the products below, so that no cell is missed by it
 SLACK = 1e-7
 
 
-def reached(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray, list[list[int]]]:
-    """Home cell of every unit vector, and the cells before it that can hold a vector at ``threshold`` or more."""
-    p = x @ c.T
-    home = p.argmax(1)
-    apart = np.sqrt(np.maximum(2 - 2 * (c @ c.T), 0))
+def near(x: np.ndarray, home: np.ndarray, c: np.ndarray, cells: np.ndarray, threshold: float) -> np.ndarray:
+    """For every unit vector and each of the cells, whether the cell can hold a vector at ``threshold`` or more."""
+    own = np.einsum("ij,ij->i", x, c[home])[:, None]
+    apart = np.sqrt(np.maximum(2 - 2 * (c @ c[cells].T), 0))
     far = np.sqrt(1 - min(threshold, 1.0) ** 2)
-    near = (p.max(1, keepdims=True) - p <= far * apart[home] + SLACK) | (threshold <= 0)
-    near &= np.arange(len(c)) < home[:, None]
-    return home, [np.nonzero(row)[0].tolist() for row in near]
+    return (own - x @ c[cells].T <= far * apart[home] + SLACK) | (threshold <= 0)
+
+
+def reached(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Home cell of every unit vector, and the cells before it that can hold a vector at ``threshold`` or more."""
+    home = (x @ c.T).argmax(1)
+    every = np.arange(len(c))
+    return home, [np.nonzero(row)[0] for row in near(x, home, c, every, threshold) & (every < home[:, None])]
+
+
+def _wide(blob: bytes, n: int, dim: int) -> np.ndarray:
+    """n packed vectors in double precision."""
+    return np.frombuffer(blob, np.float32 if len(blob) == 4 * n * dim else np.float64).astype(np.float64).reshape(n, dim)
+
+
+def _packed(x: np.ndarray) -> np.ndarray:
+    """In single precision where that loses nothing."""
+    with np.errstate(over="ignore"):
+        short = x.astype(np.float32)
+    return short if (short == x).all() else x
 
 
-def placed(classes: DataFrame, centroids: dict[int, np.ndarray], threshold: float) -> DataFrame:
-    """The home cell of each class (id, mult, dim, embedding), and the cells it visits."""
-    sent = classes.sparkSession.sparkContext.broadcast(centroids)
+HOMES = "dim int, cell int, id long, mult long, vec binary"
+BLOCKS = "dim int, block long, cells array<int>, reach array<int>, at binary, id binary, mult binary, vec binary"
+
+
+def homes(classes: DataFrame, sent) -> DataFrame:
+    """The home cell of each class (id, mult, dim, embedding); ``sent`` are the broadcast centroids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -92,15 +117,49 @@ def placed(classes: DataFrame, centroids: dict[int, np.ndarray], threshold: floa
             ids, mult, every = b["id"].to_numpy(), b["mult"].to_numpy(), b["embedding"]
             for d in np.unique(dims):
                 at = np.nonzero(dims == d)[0]
-                x = normalised(every.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), d))
+                x = every.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), d)
                 c = sent.value.get(int(d))
-                home, reach = reached(x, c, threshold) if c is not None else (np.zeros(len(at), int), [[]] * len(at))
+                home = (normalised(x) @ c.T).argmax(1) if c is not None else np.zeros(len(at), int)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(at), d, np.int32)), pa.array(home.astype(np.int32)), pa.array(ids[at]), pa.array(mult[at]),
-                    pa.array(reach, pa.list_(pa.int32())), pa.array([v.tobytes() for v in x], pa.binary()),
-                ], ["dim", "cell", "id", "mult", "reach", "vec"])
-
-    return classes.select("id", "mult", "dim", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(run, PLACED)
+                    pa.array([v.tobytes() for v in _packed(x)], pa.binary()),
+                ], ["dim", "cell", "id", "mult", "vec"])
+
+    return classes.select("id", "mult", "dim", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(run, HOMES)
+
+
+def _packer(sent, threshold: float):
+    def pack(t: pa.Table) -> pa.Table:
+        dim = t["dim"][0].as_py()
+        home, ids = t["cell"].to_numpy(), t["id"].to_numpy()
+        by = np.lexsort((ids, home))
+        home, x = home[by], np.concatenate([_wide(v, 1, dim) for v in t["vec"].to_pylist()])[by]
+        cells, c = np.unique(home), sent.value.get(dim)
+        reach = cells
+        if c is not None:
+            every = np.arange(len(c))
+            for a in range(0, len(x), 1024):
+                h = home[a : a + 1024]
+                seen = (near(normalised(x[a : a + 1024]), h, c, every, threshold) & (every < h[:, None])).any(0)
+                reach = np.union1d(reach, every[seen])
+        return pa.table([
+            pa.array([dim], pa.int32()), pa.array([t["block"][0].as_py()]), pa.array([cells], pa.list_(pa.int32())), pa.array([reach.astype(np.int32)], pa.list_(pa.int32())),
+            *[pa.array([v.tobytes()], pa.binary()) for v in (home.astype(np.int32), ids[by], t["mult"].to_numpy()[by], _packed(x))],
+        ], names=["dim", "block", "cells", "reach", "at", "id", "mult", "vec"])
+
+    return pack
+
+
+def blocks(classes: DataFrame, sent, threshold: float) -> DataFrame:
+    """All classes, once each, in blocks: their cells, the cells reached from them, and their rows by cell."""
+    rows = homes(classes, sent)
+    before = Window.partitionBy("dim").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    count, total = F.col("count"), F.sum("count").over(Window.partitionBy("dim"))
+    size = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.greatest(F.lit(LEAST), F.ceil(total / FEW)), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("dim")))))
+    sizes = rows.groupBy("dim", "cell").count().select("dim", "cell", "count", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"), size.alias("size"))
+    rows = rows.join(F.broadcast(sizes), ["dim", "cell"])  # at most MOST_CELLS rows a length
+    block = F.floor((F.col("start") + F.pmod(F.xxhash64("id"), count)) / F.col("size")).alias("block")
+    return rows.select(*[f.split()[0] for f in HOMES.split(", ")], block).groupBy("dim", "block").applyInArrow(_packer(sent, threshold), BLOCKS)
 
 
 def _labels(r: np.ndarray, c: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,51 +173,85 @@ def _labels(r: np.ndarray, c: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarr
             return a, b
 
 
-def _compared(threshold: float):
-    def run(t: pa.Table) -> pa.Table:
-        kind = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("low", pa.int64())])
-        left, right = t["left"].to_numpy(zero_copy_only=False), t["right"].to_numpy(zero_copy_only=False)
-        same = t["same"][0].as_py()
-        ids, mult = t["id"].to_numpy(), t["mult"].to_numpy()
-        x = np.stack([np.frombuffer(v) for v in t["vec"].to_pylist()])
-        a, b = np.nonzero(left)[0], np.nonzero(right)[0]
-        if not len(a) or not len(b):
-            return kind.empty_table()
-        p = x[a] @ x[b].T >= threshold
-        if same:  # a block with itself: every pair once
-            p = np.triu(p, 1)
-        r, c = np.nonzero(p)
-        la, lb = _labels(r, c, ids[a], ids[b])
-        na, nb = np.bincount(r, mult[b[c]], len(a)).astype(np.int64), np.bincount(c, mult[a[r]], len(b)).astype(np.int64)
-        return pa.table([np.concatenate([ids[a][na > 0], ids[b][nb > 0]]), np.concatenate([na[na > 0], nb[nb > 0]]), np.concatenate([la[na > 0], lb[nb > 0]])], schema=kind)
-
-    return run
-
-
-def compared(rows: DataFrame, threshold: float) -> DataFrame:
-    """(id, links, low) from every pair of blocks that meet in a cell."""
-    what = (F.lit(True).alias("home"), "id", "mult", "vec")
-    rows = rows.select("dim", "cell", *what).union(rows.select("dim", F.explode("reach"), F.lit(False), *what[1:]))
-    sizes = rows.groupBy("dim", "cell").agg(F.sum(F.col("home").cast("int")).alias("h"), F.sum((~F.col("home")).cast("int")).alias("v"))
-    parts = F.broadcast(sizes.select("dim", "cell", F.ceil(F.col("h") / BLOCK).cast("int").alias("hb"), F.ceil(F.col("v") / GUESTS).cast("int").alias("vb")))  # at most MOST_CELLS rows a length
-    rows = rows.join(parts, ["dim", "cell"]).withColumn("at", F.pmod(F.xxhash64("id"), F.when(F.col("home"), F.col("hb")).otherwise(F.col("vb"))).cast("int"))
-
-    def upto(n):
-        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-
-    def task(visit, i, j, left, right):
-        return F.struct(F.lit(visit).alias("visit"), i.alias("i"), j.alias("j"), left.alias("left"), right.alias("right"))
-
-    at, yes, no = F.col("at"), F.lit(True), F.lit(False)
-    home = F.concat(
-        F.transform(upto(F.col("hb")), lambda k: task(False, F.least(at, k), F.greatest(at, k), at <= k, at >= k)),
-        F.transform(upto(F.col("vb")), lambda k: task(True, at, k, yes, no)),
-    )
-    visitor = F.transform(upto(F.col("hb")), lambda k: task(True, k, at, no, yes))
-    dealt = rows.withColumn("t", F.explode(F.when(F.col("home"), home).otherwise(visitor))).select(
-        "dim", "cell", "t.*", (~F.col("t.visit") & (F.col("t.i") == F.col("t.j"))).alias("same"), "id", "mult", "vec"
-    )
-    return dealt.groupBy("dim", "cell", "visit", "i", "j").applyInArrow(_compared(threshold), "id long, links long, low long")
+def linked(a: np.ndarray, b: np.ndarray, a4: np.ndarray, b4: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the unit vectors of a and b with a product of ``threshold`` or more; a4 and b4 are their short forms."""
+    p = a4 @ b4.T
+    r, c = np.divmod(np.flatnonzero(p >= threshold - 1e-6 - 2e-7 * a.shape[1]), len(b))  # beyond the rounding of short products
+    if 64 * len(r) > p.size:
+        return np.nonzero(a @ b.T >= threshold)
+    sure = np.einsum("ij,ij->i", a[r], b[c]) >= threshold
+    return r[sure], c[sure]
+
+
+def met(one: dict, two: dict, c: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, links, lows) of the vectors of two blocks, or of one block given twice, that link within them."""
+    same = one["block"] == two["block"]
+    if one["block"] < two["block"]:  # the later one visits the cells of the earlier
+        one, two = two, one
+    
+    def rows(block):
+        at, ids, mult = (np.frombuffer(block[k], t) for k, t in (("at", np.int32), ("id", np.int64), ("mult", np.int64)))
+        x = normalised(_wide(block["vec"], len(ids), block["dim"]))
+        return at, ids, mult, x, x.astype(np.float32)
+
+    home, ida, ma, a, a4 = rows(one)
+    at, idb, mb, b, b4 = (home, ida, ma, a, a4) if same else rows(two)
+    cells, starts = np.unique(at, return_index=True)
+    meets = near(a, home, c, cells, threshold) if c is not None else np.ones((len(a), len(cells)), bool)
+    na, nb, edges = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64), []
+    for k, (start, stop) in enumerate(zip(starts, [*starts[1:], len(b)], strict=True)):
+        for s in range(start, stop, TILE):
+            e, first = min(s + TILE, stop), s if same else 0
+            who = np.nonzero(meets[first:, k])[0] + first
+            if 4 * len(who) > 3 * (len(a) - first):
+                who = slice(first, len(a))
+            p, q = linked(a[who], b[s:e], a4[who], b4[s:e], threshold)
+            p, q = (p + first if isinstance(who, slice) else who[p]), q + s
+            if same:  # every pair once
+                p, q = p[p > q], q[p > q]
+            if not len(p):
+                continue
+            na += np.bincount(p, mb[q], len(a)).astype(np.int64)
+            nb += np.bincount(q, ma[p], len(b)).astype(np.int64)
+            la, lb = _labels(p, q - s, ida, idb[s:e])
+            p, q = np.unique(p), np.unique(q)
+            edges += [(ida[p], la[p]), (idb[q], lb[q - s])]
+    if not edges:
+        return (np.zeros(0, np.int64),) * 3
+    node, low = (np.concatenate(x) for x in zip(*edges, strict=True))
+    nodes, place = np.unique(np.concatenate([node, low]), return_inverse=True)
+    u, v, every = place[: len(node)], place[len(node) :], np.arange(len(nodes))
+    lows, _ = _labels(np.concatenate([u, every]), np.concatenate([v, every]), nodes, nodes)
+    links = np.zeros(len(nodes), np.int64)
+    np.add.at(links, np.searchsorted(nodes, ida[na > 0]), na[na > 0])
+    np.add.at(links, np.searchsorted(nodes, idb[nb > 0]), nb[nb > 0])
+    return nodes, links, lows
+
+
+MET = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("low", pa.int64())])
+
+
+def compared(packed: DataFrame, sent, threshold: float) -> DataFrame:
+    """(id, links, low) from every pair of the stored blocks that meets; the pairs are read, not shuffled."""
+    one, two = (packed.select(*[F.col(c).alias(f"{c}_{n}") for c in packed.columns]) for n in (1, 2))
+    i, j = F.col("block_1"), F.col("block_2")
+
+    def reaches(later: int, earlier: int) -> Column:
+        return F.arrays_overlap(f"reach_{later}", f"cells_{earlier}")
+
+    once = (i == j) | ((i < j) == ((i + j) % 2 == 0))  # one of (i, j) and (j, i), so that tasks are alike
+    pairs = one.join(two.hint("shuffle_replicate_nl"), (F.col("dim_1") == F.col("dim_2")) & once & F.when(i < j, reaches(2, 1)).otherwise(reaches(1, 2)))
+    names = ("dim", "block", "at", "id", "mult", "vec")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for n in range(b.num_rows):
+                left, right = ({k: b[f"{k}_{side}"][n].as_py() for k in names} for side in (1, 2))
+                found = met(left, right, sent.value.get(left["dim"]), threshold)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], schema=MET)
+            free_memory()
+
+    return pairs.select(*[f"{k}_{side}" for side in (1, 2) for k in names]).mapInArrow(run, "id long, links long, low long")
 
 
 def deduplicated(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
@@ -171,9 +264,10 @@ def deduplicated(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     reps = good.groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count("*").alias("mult"))
     classes = good.select("h1", "h2", F.col("vec_id").alias("id"), F.size("embedding").alias("dim"), "embedding").join(reps, ["h1", "h2", "id"]).dropDuplicates(["h1", "h2"])
     classes = stored(classes)
-    met = stored(compared(stored(placed(classes, fit(classes), threshold)), threshold))
-    comps = components(met.select(F.col("id").alias("a"), F.col("low").alias("b")))
-    links = met.groupBy("id").agg(F.sum("links").alias("links"))
+    sent = classes.sparkSession.sparkContext.broadcast(fit(classes))
+    found = stored(compared(stored(blocks(classes, sent, threshold)), sent, threshold))
+    comps = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
+    links = found.groupBy("id").agg(F.sum("links").alias("links"))
     known = reps.join(links, "id", "left").join(comps, F.col("id") == F.col("node"), "left").select(
         "h1", "h2", F.lit(True).alias("usable"), (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     out = rows.select("vec_id", "h1", "h2", "usable").join(known, ["h1", "h2", "usable"], "left")

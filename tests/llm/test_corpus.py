@@ -190,6 +190,33 @@ def test_embeddings_hot_group_over_many_cells(llm_spark, monkeypatch):
     assert all(got[i].component_id == c for i, c in want.items())
 
 
+def test_embeddings_are_compared_without_a_shuffle(llm_spark, monkeypatch):
+    """Evenly spread vectors visit every cell: each is still written once, and cells over several blocks lose nothing."""
+    for name, value in (("PER_CELL", 100), ("LEAST", 32), ("FEW", 20), ("TILE", 24)):
+        monkeypatch.setattr(embeddings, name, value, raising=False)
+    plans, keep = [], embeddings.stored
+
+    def watched(df):
+        plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString(), out := keep(df)))
+        return out
+
+    monkeypatch.setattr(embeddings, "stored", watched)
+    r = np.random.default_rng(8)
+    x = np.concatenate([r.normal(size=(500, 32)), r.normal(size=32) + r.normal(size=(150, 32)) * 0.15])
+    x = np.concatenate([x, x[:100] + r.normal(size=(100, 32)) * 0.1])
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = y @ y.T >= 0.95
+    np.fill_diagonal(linked, False)
+    df = llm_spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {g.vec_id: g for g in embeddings.deduplicated(df.repartition(5)).collect()}
+    assert [got[i].n_links for i in range(len(x))] == linked.sum(1).tolist() and linked.sum() > 10_000
+    assert {i: g.component_id for i, g in got.items()} == closure(range(len(x)), np.argwhere(np.triu(linked)).tolist())
+    (plan,) = [p for columns, p, _ in plans if columns == ["id", "links", "low"]]
+    assert "Exchange" not in plan and "CartesianProduct" in plan
+    (packed,) = [t for columns, _, t in plans if "reach" in columns]
+    assert packed.count() > 15 and sorted(i for b in packed.collect() for i in np.frombuffer(b["id"], np.int64)) == list(range(len(x)))
+
+
 @pytest.mark.parametrize("threshold", [0.95, 0.5, 0.0])
 def test_embeddings_bound_is_exact(threshold):
     r = np.random.default_rng(6)
