@@ -322,6 +322,24 @@ def test_requests_that_are_alike_meet_once(spark, monkeypatch):
     assert Q.search_by_overlap(meta, req, rows=3).count() == 120
 
 
+def test_requests_are_expanded_in_the_tasks_of_the_session(spark, monkeypatch):
+    """Rows are made in the last stage: it is not cut by the few bytes it reads, even where nearly all datasets are one class."""
+    from cairn.operators import requests as Q
+
+    monkeypatch.setattr(Q, "_ALIKE", 50)
+    monkeypatch.setattr(Q, "_ASKING", 5, raising=False)
+    meta = spark.range(300).selectExpr(
+        "concat('d', id) as dataset_id", "10D as west", "10D as south", "12D as east", "if(id = 0, 13D, 12D) as north", "id as rank",
+        "'2000-01-01' as begin_date", "'2001-01-01' as end_date", "cast(null as string) as superseded_by", "if(id % 5 = 0, 'Snow Depth', 'ice') as text")
+    req = spark.range(100).selectExpr(
+        "id as request_id", "9D as west", "9D as south", "20D as east", "20D as north", "'1999-01-01' as begin", "'2002-01-01' as end",
+        "if(id % 4 = 0, array('snow_depth'), null) as terms")
+    for found, want in ((Q.search_by_coverage(meta, req, rows=None), 30_000), (Q.search_by_overlap(meta, req, rows=None), 75 * 300 + 25 * 60)):
+        seen = found.select("request_id", "dataset_id", F.spark_partition_id().alias("task")).collect()
+        assert len(seen) == len({(r.request_id, r.dataset_id) for r in seen}) == want
+        assert len({r.task for r in seen}) == 4  # spark.sql.shuffle.partitions of this session
+
+
 def test_sizes_round_like_printf(spark):
     from cairn.functions.text import format_bytes
 
